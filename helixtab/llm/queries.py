@@ -2,12 +2,24 @@
 
 from __future__ import annotations
 
+from helixtab.llm.imatch import op1_document_fingerprints
+from helixtab.llm.mixing import OP8_SQL, op8_mix_sources
+from helixtab.llm.packing import op7_cost_balanced_packing
+from helixtab.llm.quality_rules import op10_quality_rules
+from helixtab.llm.secret_scan import op6_secret_scan
+from helixtab.llm.simhash_dedup import op2_simhash_dedup
 from helixtab.llm.substring_dedup import op4_substring_dedup
 from helixtab.llm.suffix_dedup import op5_suffix_array_dedup
 
 QUERIES = {
+    "op1_document_fingerprints": op1_document_fingerprints,
+    "op2_simhash_dedup": op2_simhash_dedup,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_suffix_array_dedup": op5_suffix_array_dedup,
+    "op6_secret_scan": op6_secret_scan,
+    "op7_cost_balanced_packing": op7_cost_balanced_packing,
+    "op8_mix_sources": op8_mix_sources,
+    "op10_quality_rules": op10_quality_rules,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {"op8_mix_sources": OP8_SQL}
