@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from helixtab.llm._util import WORD, read, with_running
+from helixtab.llm._util import WORD, read, with_running, words
 
 #: Weights of the sources in order, over and over; share of all words; passes over a source at most.
 WEIGHTS, SHARE_HALVES, PASSES = (5, 2, 1), 3, 2
@@ -52,30 +52,52 @@ def shuffled(doc_id: Column, seed: str = "mix") -> Column:
     return F.md5(F.concat(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(f":{seed}")))
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, seed: str = "mix") -> DataFrame:
+def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, seed: str = "mix", carry: Column | None = None) -> DataFrame:
     """Each row's doc_id, source, size (words), source_size, target (of its source), taken (words), and its hash.
 
     docs: doc_id, source, text; other columns are ignored. A null text has no words; a null
     source is a source, ordered last; a null doc_id is shuffled like any other. Each row is a
     document: rows that repeat one are taken like any others. Whole documents are taken but for the one at the
-    budget. taken is at most PASSES times size. An empty table gives none.
+    budget. taken is at most PASSES times size. An empty table gives none. carry: a value of each
+    row that goes along, as the column carried.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"), shuffled(F.col("doc_id"), seed).alias("hash"))
-    order = [F.col("source").asc_nulls_last(), F.col("hash"), F.col("doc_id"), F.col("size")]
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"), shuffled(F.col("doc_id"), seed).alias("hash"), (F.lit(None).cast("long") if carry is None else carry).alias("carried"))
+    order = [F.col("source").asc_nulls_last(), F.col("hash"), F.col("doc_id"), F.col("size"), F.col("carried")]
     queued = with_running(rows, order, F.col("size"), "before").drop("before_range")
     targets = source_targets(queued.select("source", "size"), weights)
     named = queued.join(targets, queued["source"].eqNullSafe(targets["source"])).drop(targets["source"])
     passes = named.withColumn("pass", F.explode(F.array(*[F.lit(i) for i in range(PASSES)])))
     words = F.col("pass") * F.col("source_size") + F.col("before") - F.col("source_start") + F.col("size")
     timed = passes.withColumn("finish", words.cast("double") / F.col("weight")).drop("source_start", "weight")
-    order = [F.col("finish"), F.col("source").asc_nulls_last(), F.col("hash"), F.col("doc_id"), F.col("size"), F.col("pass"), F.col("before")]
+    order = [F.col("finish"), F.col("source").asc_nulls_last(), F.col("hash"), F.col("doc_id"), F.col("size"), F.col("carried"), F.col("pass"), F.col("before")]
     ranged = with_running(timed, order, F.col("size"), "ahead")
     taken = F.greatest(F.lit(0), F.least(F.col("size"), F.col("budget") - F.col("ahead")))
     # only rows without words can be alike in all of these; they are counted and given back
-    key = ["doc_id", "source", "size", "source_size", "target", "hash", "before"]
+    key = ["doc_id", "source", "size", "source_size", "target", "hash", "before", "carried"]
     rows = ranged.groupBy(*key).agg(F.sum(taken).alias("taken"), F.expr(f"count(*) div {PASSES}").cast("int").alias("alike"))
     return rows.withColumn("alike", F.explode(F.array_repeat(F.lit(0), F.col("alike")))).drop("before", "alike")
 
+def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, seed: str = "mix") -> DataFrame:
+    """docs as the mix has them, same columns: a row for each time a document is taken.
+
+    The document at the budget is cut to the words taken, joined by one space; n_chars, if there, follows. Rows
+    that share doc_id, source and text are taken together and given by one of them.
+    """
+    keyed = docs.withColumn("_key", F.xxhash64(F.coalesce("text", F.lit(""))))
+    named = {c: F.col(c) for c in ("doc_id", "source")}
+    first = keyed.dropDuplicates(["doc_id", "source", "_key"])
+    takes = mix(docs, weights, seed, carry=F.xxhash64(F.coalesce("text", F.lit(""))))
+    takes = takes.groupBy("doc_id", "source", "carried").agg(F.sum("taken").alias("_taken"), F.any_value("size").alias("_size")).where("_taken > 0")
+    takes = takes.select(*[named[c].alias(f"_{c}") for c in named], F.col("carried").alias("_carried"), "_taken", "_size")
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_doc_id")) & F.col("source").eqNullSafe(F.col("_source")) & (F.col("_key") == F.col("_carried"))
+    parts = F.filter(F.array_append(F.array_repeat(F.col("_size"), F.expr("int(_taken div _size)")), F.expr("_taken % _size")), lambda n: n > 0)
+    rows = first.join(takes, same).withColumn("_part", F.explode(parts))
+    text = F.when(F.col("_part") == F.col("_size"), F.col("text")).otherwise(F.array_join(F.slice(words(F.col("text")), F.lit(1), F.col("_part").cast("int")), " "))
+    out = rows.withColumn("text", text)
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return out.select(*docs.columns)
+
 
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")

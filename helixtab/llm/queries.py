@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from helixtab.llm.imatch import op1_document_fingerprints
+from helixtab.llm.license_scan import OP3_SQL, op3_license_scan
+from helixtab.llm.lm_scoring import op9_lm_scoring
 from helixtab.llm.mixing import OP8_SQL, op8_mix_sources
 from helixtab.llm.packing import op7_cost_balanced_packing
 from helixtab.llm.quality_rules import op10_quality_rules
@@ -14,12 +16,14 @@ from helixtab.llm.suffix_dedup import op5_suffix_array_dedup
 QUERIES = {
     "op1_document_fingerprints": op1_document_fingerprints,
     "op2_simhash_dedup": op2_simhash_dedup,
+    "op3_license_scan": op3_license_scan,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_suffix_array_dedup": op5_suffix_array_dedup,
     "op6_secret_scan": op6_secret_scan,
     "op7_cost_balanced_packing": op7_cost_balanced_packing,
     "op8_mix_sources": op8_mix_sources,
+    "op9_lm_scoring": op9_lm_scoring,
     "op10_quality_rules": op10_quality_rules,
 }
 
-ORACLE_SQL = {"op8_mix_sources": OP8_SQL}
+ORACLE_SQL = {"op3_license_scan": OP3_SQL, "op8_mix_sources": OP8_SQL}
