@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from helixtab.llm._components import components
 from helixtab.llm._util import read, stored
 
-#: A variant with more different fingerprints than this is not paired up but cut further.
+#: Where more different fingerprints than this meet, they are not paired up but cut further.
 BUSY = 24
 
 
@@ -50,56 +50,77 @@ def fingerprints(docs: DataFrame, size: int = 3) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, "doc_id long, fp long")
 
 
-def _long(mask: int) -> int:
+def _long(bits) -> int:
+    mask = sum(1 << b for b in bits)
     return mask - (1 << 64) if mask >> 63 else mask
 
 
+def _of(values: list, index: str):
+    """The element of a fixed list that a column picks."""
+    kind = (lambda v: F.array(*map(F.lit, v))) if isinstance(values[0], list) else F.lit
+    return F.element_at(F.array(*map(kind, values)), F.col(index) + 1)
+
+
+def _stars(rows: DataFrame, key: list[str]) -> DataFrame:
+    """A link from each fp to the least under its key."""
+    least = rows.groupBy(*key).agg(F.min("fp").alias("b"), F.count("*").alias("n")).where("n > 1").drop("n")
+    return rows.join(least, key).where("fp != b").select(F.col("fp").alias("a"), "b")
+
+
 def links(fps: DataFrame, distance: int = 2) -> DataFrame:
     """(a, b): links that connect all fp of distance or fewer differing bits; fps: distinct fp.
 
-    Few fingerprints under a variant: its pairs are verified. Many: each gets variants of the
-    other bits too, as many wildcards as the distance leaves; those that agree then differ by
-    the distance at most, and are linked to the least of them instead of in pairs.
+    Bits are cut into two halves, one of which differs by one bit at most. Either it differs in
+    one bit: fingerprints meet under that half with this bit as a wildcard, on different sides
+    of it, and the other half may differ by distance - 1. Or it is equal: they meet under it,
+    and the other half may differ by distance. Where few meet, pairs are verified. Where many
+    do, those of the first kind meet again under variants of the other half with as many
+    wildcards as it may differ by, and are linked to the least of them, as all that agree there
+    are near; those of the second kind have their other half cut in the same way, then to
+    variants. So no group's pairs are all made, and no link between groups is lost.
     """
     if not 1 <= distance <= 3:
         raise ValueError("distance must be 1, 2 or 3")
-    n = distance // 2 + 1
-    width = 64 // n
-    segments = [range(i * width, 64 if i == n - 1 else (i + 1) * width) for i in range(n)]
-    masks = [_long(sum(1 << b for b in s if b != bit)) for s in segments for bit in s]
-    mask_of = F.element_at(F.array(*map(F.lit, masks)), F.col("bit") + 1)
-    variants = fps.select("fp", F.explode(F.sequence(F.lit(0), F.lit(63))).alias("bit")).select("fp", "bit", F.col("fp").bitwiseAND(mask_of).alias("part"))
-    sizes = variants.groupBy("bit", "part").count().where("count > 1")
-    shared = stored(variants.join(sizes, ["bit", "part"]), "variants")
-    # equal segments agree in all their variants; the first one counts
-    start = [s[0] for s in segments for _ in s]
-    is_first = F.col("bit") == F.element_at(F.array(*map(F.lit, start)), F.col("bit") + 1)
-    few = shared.where(F.col("count") <= BUSY).select("bit", "part", F.col("fp").alias("a"))
-    other = few.withColumnRenamed("a", "b")
-    apart = F.col("a").bitwiseXOR(F.col("b"))
-    differs = F.expr("shiftright(a ^ b, bit) & 1") == 1
-    pairs = few.join(other, ["bit", "part"]).where((F.col("a") < F.col("b")) & (F.bit_count(apart) <= distance) & (differs | is_first)).select("a", "b")
-
-    def rest(k: int, segment: range) -> list[int]:
-        bits = [b for b in range(64) if b not in segment]
-        return [_long(sum(1 << b for b in bits if b not in gone)) for gone in combinations(bits, min(k, len(bits)))]
-
-    many = shared.where(F.col("count") > BUSY)
-    found = None
-    for s in segments:
-        own = many.where(F.col("bit").between(s[0], s[-1]))
-        for rows, k in ((own, distance - 1), (own.where(F.col("bit") == s[0]), distance)):
-            same = k == distance  # the segment itself is equal
-            cut = rows.select(
-                "fp", F.lit(k).alias("k"), "bit",
-                (F.col("fp").bitwiseAND(F.lit(_long(sum(1 << b for b in s)))) if same else F.col("part")).alias("part"),
-                F.posexplode(F.array(*map(F.lit, rest(k, s)))).alias("nth", "mask"),
-            ).select("fp", "k", "bit", "part", "nth", F.col("fp").bitwiseAND(F.col("mask")).alias("rest"))
-            found = cut if found is None else found.unionAll(cut)
-    key = ["k", "bit", "part", "nth", "rest"]
-    least = found.groupBy(*key).agg(F.min("fp").alias("b"), F.count("*").alias("n")).where("n > 1").drop("n")
-    stars = found.join(least, key).where("fp != b").select(F.col("fp").alias("a"), "b")
-    return pairs.unionAll(stars).distinct()
+    near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance
+    found: list[DataFrame] = []
+
+    def wildcards(rest: list[int], k: int) -> list[int]:
+        return [_long(set(rest) - set(gone)) for gone in combinations(rest, min(k, len(rest)))]
+
+    branches: list[tuple[list[int], list[int]]] = [([], list(range(64)))]  # bits that are equal, the others
+    rows = fps.select("fp", F.lit(0).alias("branch"))
+    for depth in range(2):
+        cross, equal = [], []  # (branch, mask, bit, other half), (branch, mask, equal bits, other half)
+        for i, (same, rest) in enumerate(branches):
+            halves = rest[: len(rest) // 2], rest[len(rest) // 2 :]
+            for half, other in (halves, halves[::-1]):
+                equal.append((i, _long(same + half), same + half, other))
+                cross += [(i, _long(set(same + half) - {bit}), bit, other) for bit in half]
+        ids = [[j for j, x in enumerate(cross) if x[0] == i] for i in range(len(branches))]
+        variants = rows.select("fp", F.explode(_of(ids, "branch")).alias("id")).select("fp", "id", F.col("fp").bitwiseAND(_of([x[1] for x in cross], "id")).alias("part"))
+        variants = variants.withColumn("bit", _of([x[2] for x in cross], "id")).withColumn("side", F.expr("shiftright(fp, bit) & 1"))
+        sizes = variants.groupBy("id", "part").agg(F.count("*").alias("n"), F.sum("side").alias("ones")).where("ones > 0 and ones < n")
+        met = stored(variants.join(sizes, ["id", "part"]).withColumn("fewer", F.least("ones", F.expr("n - ones"))), f"variants{depth}")
+        few = met.where(F.col("fewer") <= BUSY)
+        zeros, ones = (few.where(F.col("side") == i).select("id", "part", F.col("fp").alias(c)) for i, c in enumerate("ab"))
+        found.append(zeros.join(ones, ["id", "part"]).where(near).select("a", "b"))
+        many = met.where(F.col("fewer") > BUSY).select("fp", "id", "part", F.posexplode(_of([wildcards(x[3], distance - 1) for x in cross], "id")).alias("nth", "mask"))
+        found.append(_stars(many.select("fp", "id", "part", "nth", F.col("fp").bitwiseAND(F.col("mask")).alias("rest")), ["id", "part", "nth", "rest"]))
+
+        ids = [[j for j, x in enumerate(equal) if x[0] == i] for i in range(len(branches))]
+        alike = rows.select("fp", F.explode(_of(ids, "branch")).alias("id")).select("fp", "id", F.col("fp").bitwiseAND(_of([x[1] for x in equal], "id")).alias("part"))
+        sizes = alike.groupBy("id", "part").agg(F.count("*").alias("n")).where("n > 1")
+        met = stored(alike.join(sizes, ["id", "part"]), f"equal{depth}")
+        few = met.where(F.col("n") <= BUSY).select("id", "part", F.col("fp").alias("a"))
+        found.append(few.join(few.withColumnRenamed("a", "b"), ["id", "part"]).where(near & F.expr("a < b")).select("a", "b"))
+        rows = met.where(F.col("n") > BUSY).select("fp", F.col("id").alias("branch"), "part")
+        branches = [(x[2], x[3]) for x in equal]
+    last = rows.select("fp", "branch", "part", F.posexplode(_of([wildcards(rest, distance) for _, rest in branches], "branch")).alias("nth", "mask"))
+    found.append(_stars(last.select("fp", "branch", "part", "nth", F.col("fp").bitwiseAND(F.col("mask")).alias("rest")), ["branch", "part", "nth", "rest"]))
+    every = found[0]
+    for more in found[1:]:
+        every = every.unionAll(more)
+    return every.distinct()
 
 
 def near_duplicates(docs: DataFrame, size: int = 3, distance: int = 2) -> DataFrame:
@@ -120,5 +141,15 @@ def near_duplicates(docs: DataFrame, size: int = 3, distance: int = 2) -> DataFr
     return rows.join(named, "fp").select("doc_id", "fp", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def deduplicated(docs: DataFrame, size: int = 3, distance: int = 2) -> DataFrame:
+    """docs without near duplicates, same columns: the row of the least doc_id of each component stays.
+
+    Of rows that share that doc_id one stays; where every doc_id of a component is null, one row.
+    """
+    groups = near_duplicates(docs, size, distance).select(F.col("doc_id").alias("_id"), F.col("fp").alias("_fp"), F.col("component_id").alias("_least"))
+    stay = groups.where("_id <=> _least").groupBy("_id", "_least").agg(F.min("_fp").alias("_fp")).select("_id")
+    return docs.join(stay, F.col("doc_id").cast("long").eqNullSafe(F.col("_id"))).drop("_id").dropDuplicates(["doc_id"]).select(*docs.columns)
+
+
 def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
