@@ -1,7 +1,7 @@
 """I-Match fingerprints of documents.
 
 Terms whose inverse document frequency lies in a band are kept; the distinct terms of a
-document are sorted and hashed within each of many random subsets of that lexicon. Subsets
+document are sorted (by their 64-bit hashes, which stand for them) and hashed within each of many random subsets of that lexicon. Subsets
 come at several rates, so that short and long documents both have some with a few terms:
 an edit changes those that hold a changed term and leaves the others.
 """
@@ -15,32 +15,33 @@ from helixtab.llm._util import SPACE, read, stored, to_rows, with_running, with_
 
 #: Share of documents that a term of the lexicon is in, at least and at most.
 RAREST, COMMONEST = 1 / 2000, 1 / 20
-#: (parts that a level deals the lexicon into, parts of it that are subsets); the first level covers all.
-LEVELS = ((8, 8), (32, 16), (128, 24), (512, 24), (2048, 24), (8192, 24))
+#: (parts that a level deals the lexicon into, parts of it that are subsets).
+LEVELS = ((16, 8), (64, 12), (256, 24), (1024, 24), (4096, 24))
 SLOTS = sum(n for _, n in LEVELS)
 #: Hexadecimal digits of a subset's hash; an empty subset has dashes.
 DIGITS = 4
 
 
 def terms(text: Column) -> Column:
-    """Distinct words in lower case, sorted."""
-    return F.array_sort(F.array_distinct(F.split(F.trim(F.regexp_replace(F.lower(text), SPACE, " ")), " ")))
+    """Distinct words in lower case."""
+    return F.array_distinct(F.split(F.lower(text), SPACE))
 
 
 def lexicon(texts: DataFrame, n: int) -> DataFrame:
-    """(term, slots): terms in the band, and the subsets that each is in.
+    """(term, slots): terms in the band, as 64-bit hashes, and the subsets that each is in.
 
     It has at most mean-distinct-terms / RAREST rows, however many documents there are: each
     of its terms is in n * RAREST documents, and all documents have n * mean terms.
     """
-    df = texts.select(F.explode(terms(F.col("text"))).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
-    kept = df.where((F.col("term") != "") & (F.col("df") >= n * RAREST) & (F.col("df") <= max(1.0, n * COMMONEST)))
+    each = texts.select(F.explode(terms(F.col("text"))).alias("word")).where("word != ''")
+    df = each.select(F.xxhash64("word").alias("term")).groupBy("term").agg(F.count("*").alias("df"))
+    kept = df.where((F.col("df") >= n * RAREST) & (F.col("df") <= max(1.0, n * COMMONEST)))
     slots, first = [], 0
     for seed, (parts, subsets) in enumerate(LEVELS):
         part = F.pmod(F.xxhash64("term", F.lit(seed)), F.lit(parts)).cast("int")
         slots.append(F.when(part < subsets, part + first))
         first += subsets
-    return kept.select("term", F.array_compact(F.array(*slots)).alias("slots"))
+    return kept.select("term", F.array_compact(F.array(*slots)).alias("slots")).where(F.size("slots") > 0)
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -66,32 +67,30 @@ def _shown(f: Column) -> Column:
 
 
 def fingerprints(texts: DataFrame, words: DataFrame, sides: list[str]) -> DataFrame:
-    """(doc, variant, side, print) for the texts in the columns sides; texts is partitioned by doc and variant.
+    """(doc, variant, prints) for the texts in the columns sides; texts is partitioned by doc and variant.
 
-    print: whole (hash of the first level's hashes, so of all kept terms) and hashes, -1 where
-    a subset is empty. A text without kept terms has no row.
+    prints has, for each side, whole (hash of the hashes) and hashes, -1 where a subset is
+    empty; null where no term of that text is in a subset. If none is in any, there is no row.
     """
     each = texts.select("doc", "variant", F.posexplode(F.array(*sides)).alias("side", "text"))
-    found = each.select("doc", "variant", "side", F.explode(terms(F.col("text"))).alias("term"))
-    found = found.join(F.broadcast(words), "term").select("doc", "variant", "side", "term", F.explode("slots").alias("slot"))
-    hashed = F.xxhash64(F.array_join(F.array_sort(F.collect_list("term")), " "))
-    slots = found.groupBy("doc", "variant", "side", "slot").agg(hashed.alias("h"))
-    got = slots.groupBy("doc", "variant", "side").agg(F.map_from_entries(F.collect_list(F.struct("slot", "h"))).alias("by"))
-    first = LEVELS[0][1]
+    found = each.select("doc", "variant", "side", F.explode(terms(F.col("text"))).alias("word")).select("doc", "variant", "side", F.xxhash64("word").alias("term"))
+    found = found.join(F.broadcast(words), "term").select("doc", "variant", "term", F.explode("slots").alias("slot"), "side")
+    hashed = F.xxhash64(F.sort_array(F.collect_list("term")))
+    slots = found.groupBy("doc", "variant", (F.col("side") * SLOTS + F.col("slot")).alias("slot")).agg(hashed.alias("h"))
+    got = slots.groupBy("doc", "variant").agg(F.map_from_entries(F.collect_list(F.struct("slot", "h"))).alias("by"))
     size = 1 << 4 * DIGITS
-    of = lambda i: F.try_element_at(F.col("by"), i.cast("int"))
-    return got.select(
-        "doc", "variant", "side",
-        F.struct(
-            F.xxhash64(F.transform(F.sequence(F.lit(0), F.lit(first - 1)), of)).alias("whole"),
-            F.transform(F.sequence(F.lit(0), F.lit(SLOTS - 1)), lambda i: F.coalesce(F.pmod(of(i), F.lit(size)).cast("int"), F.lit(-1))).alias("hashes"),
-        ).alias("print"),
-    )
+
+    def of(side: int) -> Column:
+        every = F.transform(F.sequence(F.lit(side * SLOTS), F.lit(side * SLOTS + SLOTS - 1)), lambda i: F.try_element_at(F.col("by"), i))
+        some = F.exists(every, lambda h: h.isNotNull())
+        return F.when(some, F.struct(F.xxhash64(every).alias("whole"), F.transform(every, lambda h: F.coalesce(F.pmod(h, F.lit(size)).cast("int"), F.lit(-1))).alias("hashes")))
+
+    return got.select("doc", "variant", *[of(i).alias(f"print_{c}") for i, c in enumerate(sides)])
 
 
 def _plain(text: Column) -> Column:
     """The print of a text without kept terms: a hash of all its terms, and empty subsets."""
-    return F.struct(F.xxhash64(F.concat(F.lit("plain "), F.array_join(terms(text), " "))).alias("whole"), F.array_repeat(F.lit(-1), SLOTS).alias("hashes"))
+    return F.struct(F.xxhash64(F.concat(F.lit("plain "), F.array_join(F.sort_array(terms(text)), " "))).alias("whole"), F.array_repeat(F.lit(-1), SLOTS).alias("hashes"))
 
 
 def compare_edits(docs: DataFrame) -> DataFrame:
@@ -116,12 +115,11 @@ def compare_edits(docs: DataFrame) -> DataFrame:
     starts = rows.join(order, ["doc", "variant"]).select(F.col("to_doc").alias("doc"), F.col("to_variant").alias("variant"), "need", F.expr("left(text, need)").alias("start"))
     both = rows.join(starts, ["doc", "variant"]).withColumn("edited", F.concat(F.expr("left(text, length(text) - need)"), F.col("start")))
     prints = fingerprints(both, lexicon(rows, n), ["text", "edited"])
-    sides = prints.groupBy("doc", "variant").agg(*[F.any_value(F.when(F.col("side") == i, F.col("print")), True).alias(c) for i, c in enumerate(("p", "e"))])
     facts = both.select("doc", "variant", "text", "edited")
     out = stored(
-        facts.join(sides, ["doc", "variant"], "left").select(
+        facts.join(prints, ["doc", "variant"], "left").select(
             "doc", "variant", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
-            F.coalesce("p", _plain(F.col("text"))).alias("p"), F.coalesce("e", _plain(F.col("edited"))).alias("e"),
+            F.coalesce("print_text", _plain(F.col("text"))).alias("p"), F.coalesce("print_edited", _plain(F.col("edited"))).alias("e"),
         ), "prints",
     )
     following = out.select("doc", "variant", F.col("p").alias("q")).join(order, ["doc", "variant"]).select(F.col("to_doc").alias("doc"), F.col("to_variant").alias("variant"), "q")
