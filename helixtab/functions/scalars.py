@@ -42,9 +42,10 @@ def four_digits(c: Column) -> Column:
     Where the shortest decimal form is a tie, the last digit is rounded to even.
     """
     scale = F.pow(F.lit(10.0), F.lit(3) - F.floor(F.log10(F.abs(c))))
-    text = F.format_string("%.12f", F.bround(c * scale, 0) / scale)
+    rounded = F.bround(c * scale, 0) / scale
+    text = F.format_string("%.12f", rounded)
     trimmed = F.regexp_replace(F.regexp_replace(text, r"(\.\d*?)0+$", "$1"), r"\.$", "")
-    large = F.regexp_replace(F.regexp_replace(F.format_string("%.3e", c), r"(\.\d*?)0+e", "$1e"), r"\.e", "e")
+    large = F.regexp_replace(F.regexp_replace(F.format_string("%.3e", rounded), r"(\.\d*?)0+e", "$1e"), r"\.e", "e")
     return F.when(c == 0, "0").when((F.abs(c) >= 1e4) | (F.abs(c) < 1e-4), large).otherwise(trimmed)
 
 
@@ -277,9 +278,10 @@ def strands(connection: Column) -> Column:
 
 def info_map(info: Column) -> Column:
     """'k=v;flag' as a map; a flag's value is ''."""
-    entries = F.transform(F.split(info, ";"), lambda x: F.struct(F.split_part(x, F.lit("="), F.lit(1)).alias("k"), F.regexp_replace(x, "^[^=]*=?", "").alias("v")))
-    last = F.filter(entries, lambda e, i: ~F.exists(F.slice(entries, i + 2, F.greatest(F.size(entries) - i - 1, F.lit(0))), lambda o: o["k"] == e["k"]))
-    return F.map_from_entries(last)
+    parts = F.split(info, ";")
+    key = lambda x: F.split_part(x, F.lit("="), F.lit(1))
+    last = F.filter(parts, lambda x, i: ~F.exists(F.slice(parts, i + 2, F.greatest(F.size(parts) - i - 1, F.lit(0))), lambda o: key(o) == key(x)))
+    return F.map_from_arrays(F.transform(last, key), F.transform(last, lambda x: F.regexp_replace(x, "^[^=]*=?", "")))
 
 
 def sample_map(format_: Column, sample: Column) -> Column:
