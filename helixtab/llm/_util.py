@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -13,6 +15,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
 #: Stands for a null doc_id where ids are compared: after all others.
 NO_ID = (1 << 63) - 1
+#: Rows that a Python task gets at a time; each batch is in the memory of the JVM and of Python.
+BATCH_ROWS = 500
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -87,3 +91,39 @@ def to_rows(docs: DataFrame, found: DataFrame, repeated: bool) -> DataFrame:
         F.coalesce("text", F.lit("")).alias("text"),
     )
     return keys.join(found, ["doc", "text"]).select("doc_id", *out)
+
+
+def in_arrow(df: DataFrame, run: Callable, schema) -> DataFrame:
+    """df.mapInArrow(run, schema) in batches of few rows, as texts may be long: this lowers the session's rows a batch to BATCH_ROWS."""
+    spark, key = df.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key, "10000")) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+    return df.mapInArrow(run, schema)
+
+
+def with_found(docs: DataFrame, schema: str, found: Callable[[str | None], tuple], rows: int = 256) -> DataFrame:
+    """docs with the columns of schema, which found gives for each text; columns of those names are replaced.
+
+    Texts are taken from Arrow a few rows at a time, so that a task holds few of them as Python strings.
+    """
+    kinds = {"long": pa.int64(), "string": pa.string(), "double": pa.float64(), "boolean": pa.bool_()}
+    new = [tuple(c.split()) for c in schema.split(", ")]
+    rest = [c for c in docs.columns if c not in {n for n, _ in new}]
+
+    def run(batches):
+        for whole in batches:
+            for at in range(0, whole.num_rows, rows):
+                b = whole.slice(at, rows)
+                got = list(zip(*map(found, b["text"].to_pylist()), strict=True))
+                columns = [pa.array(c, kinds[k]) for c, (_, k) in zip(got, new, strict=True)]
+                yield pa.RecordBatch.from_arrays([*(b[c] for c in rest), *columns], names=[*rest, *(n for n, _ in new)])
+
+    out = docs.select(*rest).schema
+    for n, k in new:
+        out = out.add(n, k)
+    return in_arrow(docs.select(*rest), run, out)
+
+
+def renamed(docs: DataFrame) -> DataFrame:
+    """docs with names that clash with no operator's; the text keeps its own."""
+    return docs.toDF(*[c if c == "text" else f"_{i}_{c}" for i, c in enumerate(docs.columns)])

@@ -7,19 +7,16 @@ words in content lines decides whether the document stays.
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from helixtab.llm import _hashes as H
-from helixtab.llm._util import read
+from helixtab.llm._util import read, with_found
 
-FEATURES = ("bias", "few words", "many words", "upper share", "symbol share", "marks a word", "bars", "digit share", "shouts", "sentence end", "repeated")
+FEATURES = ("bias", "few words", "many words", "upper share", "symbol share", "marks a word", "bars", "digit share", "shouts", "sentence end", "repeated", "stutter")
 #: Where training starts and what it is drawn to: the scores (content minus boilerplate) of a plain reading of FEATURES.
-PRIOR = np.array([1.5, -0.3, 0.3, -3.0, -6.0, -1.0, -4.0, -1.5, -3.0, 0.5, -2.0])
+PRIOR = np.array([1.5, -0.3, 0.3, -3.0, -6.0, -1.0, -4.0, -1.5, -3.0, 0.5, -2.0, -5.0])
 PRIOR_STAY = 0.7
 
 UPPER, LETTER, DIGIT, SYMBOL, MARK, BAR, SHOUT, SPACE, HEAD = (1 << i for i in range(9))
@@ -32,8 +29,8 @@ for _c in range(256):
     )
 
 
-def line_features(data: np.ndarray, repeated: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(features, words) of the lines of UTF-8 data that ends with a line end."""
+def line_features(data: np.ndarray, repeated: np.ndarray, values: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(features, words) of the lines of UTF-8 data that ends with a line end; values: of its words."""
     ends = np.flatnonzero(data == 10)
     starts = np.concatenate(([0], ends[:-1] + 1))
     kind = CLASS[data]
@@ -41,7 +38,11 @@ def line_features(data: np.ndarray, repeated: np.ndarray) -> tuple[np.ndarray, n
     upper, letter, digit, symbol, mark, bar, shout, space, head = (count(1 << i) for i in range(9))
     first, last = H.word_bounds(data)
     words = np.bincount(np.searchsorted(ends, first, "right"), minlength=len(ends))
+    values = H.word_values(data) if values is None else values
     chars = np.maximum(1, head - space)
+    line_of = np.searchsorted(ends, first, "right")
+    again = np.concatenate(([False], (values[1:] == values[:-1]) & (line_of[1:] == line_of[:-1]))) if len(values) else np.zeros(0, bool)
+    stutter = np.bincount(line_of[again], minlength=len(ends)) / np.maximum(1, words)
     tail = np.zeros(len(ends), bool)
     if len(last):
         line = np.searchsorted(ends, last - 1, "right")
@@ -49,7 +50,7 @@ def line_features(data: np.ndarray, repeated: np.ndarray) -> tuple[np.ndarray, n
     w = np.maximum(1, words)
     x = np.stack([
         np.ones(len(ends)), words <= 3, words >= 12, upper / np.maximum(1, letter), symbol / chars, np.minimum(1, mark / w),
-        np.minimum(1, bar / w), digit / chars, np.minimum(1, shout / w), tail, repeated,
+        np.minimum(1, bar / w), digit / chars, np.minimum(1, shout / w), tail, repeated, stutter,
     ], axis=1).astype(float)
     return x, words
 
@@ -181,7 +182,7 @@ def judge(text: str, crf: Crf, least_share: float = 0.5) -> tuple:
     n = len(values)
     repeats = repeat_words(values)
     failed = n < 10 or 100 * repeats > 20 * n
-    x, words = line_features(data, again)
+    x, words = line_features(data, again, values)
     own = words > 0
     share = float(words[own][crf.labels(x[own]) == 1].sum() / n) if n else 0.0
     chars = int(((kind & (HEAD | SPACE)) == HEAD).sum())
@@ -194,16 +195,7 @@ def assess(docs: DataFrame, crf: Crf) -> DataFrame:
     docs: text and any other columns, which stay (a column with one of these names is replaced).
     A null or empty text has no words, fails and is not kept.
     """
-    names = [c.split()[0] for c in SCHEMA.split(", ")]
-    rest = [c for c in docs.columns if c not in names]
-
-    @F.pandas_udf(SCHEMA)
-    def found(text):
-        import pandas as pd
-
-        return pd.DataFrame([judge(t or "", crf) for t in text], columns=names)
-
-    return docs.select(*rest, found("text").alias("_found")).select(*rest, "_found.*")
+    return with_found(docs, SCHEMA, lambda text: judge(text or "", crf))
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

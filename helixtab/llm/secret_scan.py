@@ -12,11 +12,10 @@ import random
 import re
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from helixtab.llm._util import read
+from helixtab.llm._util import read, with_found
 
 #: The base patterns, their least lengths and the group that is measured.
 BASE = (
@@ -130,23 +129,15 @@ def scan(docs: DataFrame, model: Markov, with_text: bool = True) -> DataFrame:
     docs: text and any other columns, which stay (a column with one of these names is replaced).
     A null text is empty and stays null in redacted. Spans are code points, end exclusive.
     """
-    names = [c.split()[0] for c in SCHEMA.split(", ")]
-    kept = [c for c in docs.columns if c not in names]
-
-    @F.pandas_udf(SCHEMA)
-    def spans_of(text):
-        import pandas as pd
-
-        rows = []
-        for t in text:
-            own = t or ""
-            base = base_spans(own)
-            every = sorted(base + model.spans(own, base), key=lambda s: (s[0], KINDS[s[2]]))
-            n = [sum(1 for s in base if s[2] == k) for k in ("assign", "access", "hex")]
-            rows.append((*n, hashlib.sha256(_joined(base).encode()).hexdigest(), _joined(every), redact(own, every) if with_text and t is not None else None))
-        return pd.DataFrame(rows, columns=names)
-
-    return docs.select(*kept, spans_of("text").alias("_found")).select(*kept, "_found.*")
+
+    def found(text: str | None) -> tuple:
+        own = text or ""
+        base = base_spans(own)
+        every = sorted(base + model.spans(own, base), key=lambda s: (s[0], KINDS[s[2]]))
+        n = [sum(1 for s in base if s[2] == k) for k in ("assign", "access", "hex")]
+        return (*n, hashlib.sha256(_joined(base).encode()).hexdigest(), _joined(every), redact(own, every) if with_text and text is not None else None)
+
+    return with_found(docs, SCHEMA, found)
 
 
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
