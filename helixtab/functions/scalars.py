@@ -368,3 +368,35 @@ def pileup_bases(bases: pd.Series, ref: pd.Series) -> pd.Series:
         return out
 
     return pd.Series([alleles(t, r or "N") for t, r in zip(bases, ref, strict=True)])
+
+
+# ---------------------------------------------------------------- records, dates, files
+
+
+def identity_score(pairs: list[tuple[Column, Column]]) -> Column:
+    """struct(same, different): in how many of several id systems two records agree and differ; missing ids count for neither."""
+    known = [(a.isNotNull() & b.isNotNull() & (a != "") & (b != ""), a == b) for a, b in pairs]
+    add = lambda cs: sum((F.coalesce(c, F.lit(False)).cast("int") for c in cs), F.lit(0))
+    return F.struct(add(k & e for k, e in known).alias("same"), add(k & ~e for k, e in known).alias("different"))
+
+
+def same_record(pairs: list[tuple[Column, Column]], most_different: int = 0, least_same: int = 1) -> Column:
+    s = identity_score(pairs)
+    return (s["different"] <= most_different) & (s["same"] >= least_same)
+
+
+def caller_columns(caller: str, fields: list[str], format_fields: list[str] = ()) -> dict[str, str]:
+    """New names: CALLER_FIELD, and NORM_FIELD for a normal's format fields."""
+    return {f: f"{caller}_{f}" for f in fields} | {f"n_{f}": f"NORM_{f}" for f in format_fields}
+
+
+def day(c: Column, form: str = "yyyy-MM-dd") -> Column:
+    return F.try_to_timestamp(c, F.lit(form)).cast("date")
+
+
+def day_text(c: Column, form: str = "yyyy-MM-dd") -> Column:
+    return F.date_format(c, form)
+
+
+def days_between(a: Column, b: Column) -> Column:
+    return F.datediff(b, a)

@@ -231,3 +231,22 @@ def intragenic(df: DataFrame, group: list[str], position: str, value: str, ratio
 def gene_calls(df: DataFrame, gene: str = "gene", sample: str = "sample", fold: str = "fc", significant: str = "significant") -> DataFrame:
     """(gene, sample, call): 2 gained, -2 lost, 0 neither."""
     return df.select(gene, sample, F.when(F.col(significant) & (F.col(fold) > 0), 2).when(F.col(significant) & (F.col(fold) < 0), -2).otherwise(0).alias("call"))
+
+
+def sex_by_coverage(df: DataFrame, sample: str = "sample", chrom: str = "chrom", value: str = "cov", least: float = 0.2) -> DataFrame:
+    """(sample, y_share, sex): median coverage on Y over that elsewhere; Male from least on."""
+    y = X.without_chr(F.col(chrom)) == "Y"
+    share = df.groupBy(sample).agg(F.try_divide(F.median(F.when(y, F.col(value))), F.median(F.when(~y, F.col(value)))).alias("y_share"))
+    return share.withColumn("sex", F.when(F.col("y_share") >= least, "Male").otherwise("Female"))
+
+
+def best_normals_by_sex(ratios: DataFrame, tumor_sex: DataFrame, normal_sex: DataFrame, most_missing: int = 100) -> DataFrame:
+    """best_normals() among normals of the tumor's sex, for targets on X; (tumor, sex) and (normal, sex)."""
+    same = ratios.join(tumor_sex.select("tumor", F.col("sex").alias("_t")), "tumor").join(normal_sex.select("normal", F.col("sex").alias("_n")), "normal").where("_t = _n").drop("_t", "_n")
+    return best_normals(same, most_missing)
+
+
+def patient_pairs(samples: DataFrame) -> DataFrame:
+    """(patient, tumor, normal, sex): each tumor with the first normal of its patient, null if it has none; samples: sample, patient, class, sex."""
+    first = samples.where("class = 'Normal'").groupBy("patient").agg(F.min("sample").alias("normal"))
+    return samples.where("class = 'Tumor'").select("patient", F.col("sample").alias("tumor"), "sex").join(first, "patient", "left").select("patient", "tumor", "normal", "sex")

@@ -861,3 +861,58 @@ def patient_fill_out(t):
     text = lambda df: df.select(*[F.col(c).cast("string").alias(c) if c in ("normal", "sample", "tumor") else F.col(c) for c in df.columns])
     out = somatic.fill_out(text(called), text(counts), text(samples), text(pairs))
     return out.select("event", F.col("tumor").cast("long").alias("tumor"), "normal", "status", F.coalesce(F.col("alt_count").cast("long"), F.lit(0)).alias("alt_count"))
+
+
+# ---------------------------------------------------------------- records and samples
+
+
+@query("""
+WITH a AS (SELECT c_custkey, c_nationkey % 5 AS x, c_custkey % 4 AS y, CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE c_custkey % 2 END AS z FROM customer)
+SELECT c_custkey, ((x = 1)::INT + (y = 2)::INT + coalesce((z = 0)::INT, 0)) AS same, ((x <> 1)::INT + (y <> 2)::INT + coalesce((z <> 0)::INT, 0)) AS different FROM a""")
+def identity_scores(t):
+    k = F.col("c_custkey")
+    text = lambda c: c.cast("string")
+    pairs = [(text(F.col("c_nationkey") % 5), F.lit("1")), (text(k % 4), F.lit("2")), (F.when(k % 3 != 0, text(k % 2)), F.lit("0"))]
+    return t.customer.select("c_custkey", X.identity_score(pairs).alias("s")).select("c_custkey", "s.same", "s.different")
+
+
+@query("SELECT c_nationkey AS patient, c_custkey AS tumor, n AS normal, CASE c_custkey % 2 WHEN 0 THEN 'Male' ELSE 'Female' END AS sex FROM customer LEFT JOIN (SELECT c_nationkey AS k, min(c_custkey) AS n FROM customer WHERE c_custkey % 3 = 0 AND c_nationkey % 4 <> 0 GROUP BY 1) ON c_nationkey = k WHERE c_custkey % 3 = 1")
+def tumors_with_normals(t):
+    k = F.col("c_custkey")
+    kind = F.when((k % 3 == 0) & (F.col("c_nationkey") % 4 != 0), "Normal").when(k % 3 == 1, "Tumor").otherwise("Other")
+    return N.patient_pairs(t.customer.select(k.alias("sample"), F.col("c_nationkey").alias("patient"), kind.alias("class"), F.when(k % 2 == 0, "Male").otherwise("Female").alias("sex")))
+
+
+@query("""
+WITH m AS (SELECT l_suppkey AS sample, median(l_quantity) FILTER (l_returnflag = 'R') / median(l_quantity) FILTER (l_returnflag <> 'R') AS y FROM lineitem GROUP BY 1)
+SELECT sample, round(y, 9) AS y_share, CASE WHEN y >= 1 THEN 'Male' ELSE 'Female' END AS sex FROM m""")
+def sex_inference(t):
+    rows = t.lineitem.select(F.col("l_suppkey").alias("sample"), F.when(F.col("l_returnflag") == "R", "chrY").otherwise("chr1").alias("chrom"), F.col("l_quantity").alias("cov"))
+    return N.sex_by_coverage(rows, least=1).withColumn("y_share", F.round("y_share", 9))
+
+
+@query("SELECT o_orderkey, date_diff('day', o_orderdate::DATE, DATE '2000-01-01') AS days, strftime(o_orderdate, '%d.%m.%Y') AS text FROM orders")
+def order_ages(t):
+    d = X.day(F.date_format("o_orderdate", "yyyy-MM-dd"))
+    return t.orders.select("o_orderkey", X.days_between(d, F.lit("2000-01-01").cast("date")).cast("long").alias("days"), X.day_text(F.col("o_orderdate"), "dd.MM.yyyy").alias("text"))
+
+
+@query("""
+WITH w AS (SELECT user_id, time_bucket(INTERVAL '1 hour', ts) AS start, value FROM events)
+SELECT user_id, start, start + INTERVAL '1 hour' AS "end", count(*) AS n, round(sum(value), 4) AS total FROM w GROUP BY 1, 2""")
+def tumbling_windows(t):
+    from helixtab.streaming.events import tumbling
+
+    out = tumbling(t.events.withColumn("ts", F.col("ts").cast("timestamp")), "ts", "1 hour", ["user_id"], "value")
+    return out.select("user_id", F.col("start").cast("timestamp_ntz").alias("start"), F.col("end").cast("timestamp_ntz").alias("end"), "n", F.round("total", 4).alias("total"))
+
+
+@query("""
+WITH a AS (SELECT user_id, ts, coalesce((ts - lag(ts) OVER w >= INTERVAL '30 minutes')::INT, 1) AS x FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+b AS (SELECT *, sum(x) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS s FROM a)
+SELECT user_id, min(ts) AS start, max(ts) + INTERVAL '30 minutes' AS "end", count(*) AS n FROM b GROUP BY user_id, s""")
+def session_windows(t):
+    from helixtab.streaming.events import sessions
+
+    out = sessions(t.events.withColumn("ts", F.col("ts").cast("timestamp")), "ts", "30 minutes", ["user_id"])
+    return out.select("user_id", F.col("start").cast("timestamp_ntz").alias("start"), F.col("end").cast("timestamp_ntz").alias("end"), "n")

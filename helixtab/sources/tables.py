@@ -107,3 +107,8 @@ def path_part(path: Column, i: int) -> Column:
 def newer(listing: DataFrame, date: str, than: str, form: str = "yyyy-MM-dd") -> DataFrame:
     """Rows of a listing whose date is later."""
     return listing.where(F.to_date(F.col(date), form) > F.to_date(F.lit(than), form))
+
+
+def fingerprints(spark: SparkSession, pattern: str) -> DataFrame:
+    """(path, md5, modified, length) of files, read by Spark."""
+    return spark.read.format("binaryFile").load(pattern).select("path", F.md5("content").alias("md5"), F.col("modificationTime").alias("modified"), "length")
