@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from helixtab.llm import _hashes as H
-from helixtab.llm._util import stored
+from helixtab.llm._util import in_arrow, stored
 
 #: Longest region, in windows; place = variant << 42 | first window << 10 | windows.
 LONGEST = 1000
@@ -110,7 +110,7 @@ def candidates(docs: DataFrame, window: int, k: int, by_words: bool) -> DataFram
     """(key, doc, place, repeat): regions that repeat an earlier one whole (repeat = 1), and those
     that are the first of their kind under a key with others (repeat = 0), which may hold earlier windows.
     """
-    scanned = docs.mapInArrow(scan(window, k, by_words), SCANNED)
+    scanned = in_arrow(docs, scan(window, k, by_words), SCANNED)
     alike, under = Window.partitionBy("key", "whole"), Window.partitionBy("key")
     least = F.min(F.struct("doc", "place")).over(alike)
     rows = scanned.repartition("key").select(
@@ -135,7 +135,7 @@ def packed(docs: DataFrame) -> DataFrame:
             data = pa.array([press.compress(t.as_buffer()) for t in b["text"]], pa.binary())
             yield pa.RecordBatch.from_arrays([b["doc"], b["variant"], data], names=["doc", "variant", "data"])
 
-    return docs.mapInArrow(run, "doc long, variant int, data binary")
+    return in_arrow(docs, run, "doc long, variant int, data binary")
 
 
 def unpack(data: bytes) -> bytes:
@@ -196,8 +196,8 @@ def repeats(docs: DataFrame, window: int, k: int, by_words: bool, settle, size:
     hot = open_.groupBy("key").count().where(F.col("count") > HOT).select("key", F.lit(True).alias("hot"))
     regions = open_.join(hot, "key", "left").select("doc", (F.shiftright("place", 42)).cast("int").alias("variant"), F.struct("key", "place", F.coalesce("hot", F.lit(False)).alias("hot")).alias("r"))
     regions = regions.groupBy("doc", "variant").agg(F.collect_list("r").alias("regions"))
-    contexts = stored(packed(docs).join(regions, ["doc", "variant"]).mapInArrow(_contexts(window, by_words), "key long, doc long, place long, context binary"), "contexts")
-    cold = contexts.where("context is not null").repartition("key").sortWithinPartitions("key", "doc", "place").mapInArrow(by_key(settle, size), "doc long, place long")
+    contexts = stored(in_arrow(packed(docs).join(regions, ["doc", "variant"]), _contexts(window, by_words), "key long, doc long, place long, context binary"), "contexts")
+    cold = in_arrow(contexts.where("context is not null").repartition("key").sortWithinPartitions("key", "doc", "place"), by_key(settle, size), "doc long, place long")
     single = contexts.where("context is null").select("key", "doc", "place")
     least = single.groupBy("key").agg(F.min(F.struct("doc", "place")).alias("least"))
     later = F.col("doc") > F.col("least.doc") if by_words else F.struct("doc", "place") > F.col("least")
@@ -227,4 +227,4 @@ def cut(docs: DataFrame, found: DataFrame, finish, schema: str) -> DataFrame:
             columns = [pa.array([g[j] for g in got], pa.string() if s.endswith("string") else pa.int64()) for j, s in enumerate(schema.split(", "))]
             yield pa.RecordBatch.from_arrays([b["doc"], b["variant"], *columns], names=["doc", "variant", *names])
 
-    return rows.select("doc", "variant", "data", "places").mapInArrow(run, f"doc long, variant int, {schema}")
+    return in_arrow(rows.select("doc", "variant", "data", "places"), run, f"doc long, variant int, {schema}")

@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from helixtab.llm._util import read
+from helixtab.llm._util import in_arrow, read
 
 END = 1
 #: Tokens that a block has at least (but for a task's last one).
@@ -127,7 +127,7 @@ def pack(docs: DataFrame, size: int = 2048, vocabulary: str = "byte_bpe_50k", bl
         if held:
             yield packed(ids, held, first)[1]
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema)
+    return in_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, schema)
 
 
 def op7_cost_balanced_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from helixtab.llm._components import components
-from helixtab.llm._util import read, stored
+from helixtab.llm._util import in_arrow, read, stored
 
 #: Where more different fingerprints than this meet, they are not paired up but cut further.
 BUSY = 24
@@ -47,7 +47,7 @@ def fingerprints(docs: DataFrame, size: int = 3) -> DataFrame:
             fp = [simhash(t.as_buffer().to_pybytes(), size) for t in b["text"]]
             yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(fp, pa.int64())], names=["doc_id", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, "doc_id long, fp long")
+    return in_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")), run, "doc_id long, fp long")
 
 
 def _long(bits) -> int:

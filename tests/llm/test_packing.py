@@ -81,3 +81,18 @@ def test_odd_tables(spark):
     rows = K.pack(spark.createDataFrame([(None, None), (3, "a"), (3, "a")], kind)).collect()
     assert sorted((r.doc_id or 0, r.doc_tokens) for r in rows) == [(0, 1), (3, 2), (3, 2)] or sum(r.length for r in rows) == 5
     assert K.pack(spark.createDataFrame([], kind)).count() == 0
+
+
+def test_both_vocabulary_files_agree():
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    ids = K.tokenizer()
+    exact_tokenizer = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+
+    @settings(max_examples=400, deadline=None)
+    @given(st.text(st.characters(exclude_categories=("Cs",)), max_size=200))
+    def agree(text):
+        assert ids(text) == exact_tokenizer.encode(text, add_special_tokens=False).ids
+
+    agree()
