@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from helixtab.llm._util import SPACE, read, stored, to_rows, with_running, with_variant
+from helixtab.llm._util import read, stored, to_rows, with_running, with_variant
 
 #: Share of documents that a term of the lexicon is in, at least and at most.
 RAREST, COMMONEST = 1 / 2000, 1 / 20
@@ -22,9 +22,13 @@ SLOTS = sum(n for _, n in LEVELS)
 DIGITS = 4
 
 
+#: What parts terms, in lower case: ASCII but letters and digits.
+BETWEEN = r"[\x00-/:-`{-\x7f]+"
+
+
 def terms(text: Column) -> Column:
-    """Distinct words in lower case."""
-    return F.array_distinct(F.split(F.lower(text), SPACE))
+    """Distinct terms, in lower case; '' where the text begins or ends with none."""
+    return F.array_distinct(F.split(F.lower(text), BETWEEN))
 
 
 def lexicon(texts: DataFrame, n: int) -> DataFrame:
@@ -45,20 +49,24 @@ def lexicon(texts: DataFrame, n: int) -> DataFrame:
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Share of subsets with equal hashes, among those that are not empty in both, from the
-    coarsest level whose subsets mostly hold a term or none; 1 for equal fingerprints.
+    """Share of subsets with equal hashes, among those that are not empty in both, of the
+    coarsest level whose subsets mostly hold a term or none, and all finer ones; 1 for equal fingerprints.
     """
-    shares, first = [], 0
+    counts, first = [], 0
     for _, subsets in LEVELS:
         pairs = F.arrays_zip(F.slice(a["hashes"], first + 1, subsets).alias("x"), F.slice(b["hashes"], first + 1, subsets).alias("y"))
         some = F.filter(pairs, lambda p: (p["x"] >= 0) | (p["y"] >= 0))
         same = F.size(F.filter(some, lambda p: p["x"] == p["y"]))
-        shares.append(F.struct(F.size(some).alias("some"), F.when(F.size(some) > 0, same / F.size(some)).otherwise(0.0).alias("share"), F.lit(subsets).alias("subsets")))
+        counts.append(F.struct(F.size(some).alias("some"), same.alias("same"), (F.size(some) <= 0.75 * subsets).alias("fits")))
         first += subsets
-    levels = F.array(*shares)
-    fitting = F.filter(levels, lambda s: s["some"] <= 0.75 * s["subsets"])
-    best = F.coalesce(F.get(fitting, F.lit(0)), F.element_at(levels, -1))["share"]
-    return F.when((a["whole"] == b["whole"]) & (a["hashes"] == b["hashes"]), 1.0).otherwise(best)
+    every = F.aggregate(
+        F.array(*counts), F.struct(F.lit(0).alias("some"), F.lit(0).alias("same"), F.lit(False).alias("fits")),
+        lambda t, c: F.struct(
+            F.when(t["fits"] | c["fits"], t["some"] + c["some"]).otherwise(0).alias("some"), F.when(t["fits"] | c["fits"], t["same"] + c["same"]).otherwise(0).alias("same"), (t["fits"] | c["fits"]).alias("fits"),
+        ),
+        lambda t: F.when(t["some"] > 0, t["same"] / t["some"]).otherwise(0.0),
+    )
+    return F.when((a["whole"] == b["whole"]) & (a["hashes"] == b["hashes"]), 1.0).otherwise(every)
 
 
 def _shown(f: Column) -> Column:
