@@ -184,7 +184,7 @@ WHERE (a.sample, b.sample) IN (('click', 'view'), ('purchase', 'view'), ('error'
 def paired_self_join(t):
     calls = t.events.groupBy("user_id", F.date_trunc("hour", "ts").alias("site"), F.col("event_type").alias("sample")).agg(F.count("*").alias("n"), F.sum("event_id").alias("s"))
     pairs = t.spark.createDataFrame([("click", "view"), ("purchase", "view"), ("error", "click")], "tumor string, normal string")
-    return J.paired(calls, pairs, ["user_id", "site"])
+    return J.paired(calls, pairs, ["user_id", "site"]).withColumn("site", F.col("site").cast("timestamp_ntz"))
 
 
 @query("""
@@ -309,9 +309,9 @@ def integrity_violations(t):
 
 
 @query("""
-SELECT alias, list_sort(list(DISTINCT p_type)) AS symbols FROM (SELECT p_type, unnest(string_split(p_name, ' ')) AS alias FROM part) WHERE alias <> '' GROUP BY alias""")
+SELECT alias, array_to_string(list_sort(list(DISTINCT p_type)), ',') AS symbols FROM (SELECT p_type, unnest(string_split(p_name, ' ')) AS alias FROM part) WHERE alias <> '' GROUP BY alias""")
 def alias_table(t):
-    return J.aliases(t.part, "p_type", ["p_name"], " ")
+    return J.aliases(t.part, "p_type", ["p_name"], " ").withColumn("symbols", F.array_join("symbols", ","))
 
 
 @query("""
@@ -356,7 +356,7 @@ def groups_with_names(t):
     return A.groups_listed(t.supplier, ["s_nationkey"], "s_name", F.col("s_acctbal") > 5000)
 
 
-@query("SELECT o_orderpriority, sum(o_orderkey % 10)::BIGINT AS part, sum(o_orderkey % 100)::BIGINT AS whole, CASE WHEN sum(o_orderkey % 100) = 0 THEN 0 ELSE 100 * sum(o_orderkey % 10) / sum(o_orderkey % 100)::DOUBLE END AS percent FROM orders GROUP BY 1")
+@query("SELECT o_orderpriority, sum(o_orderkey % 10)::BIGINT AS part, sum(o_orderkey % 100)::BIGINT AS whole, CASE WHEN sum(o_orderkey % 100) = 0 THEN 0 ELSE 100 * (sum(o_orderkey % 10) / sum(o_orderkey % 100)::DOUBLE) END AS percent FROM orders GROUP BY 1")
 def trimmed_percent(t):
     rows = t.orders.select("o_orderpriority", (F.col("o_orderkey") % 10).alias("part"), (F.col("o_orderkey") % 100).alias("whole"))
     return A.percents(rows, ["o_orderpriority"], "part", "whole", "percent")
@@ -437,7 +437,7 @@ SPANS = "(SELECT o_custkey AS c, epoch(o_orderdate)::BIGINT // 86400 AS s, epoch
 
 
 def _spans(t):
-    day = F.floor(F.unix_timestamp("o_orderdate") / 86400)
+    day = F.unix_date(F.to_date("o_orderdate")).cast("long")
     return t.orders.select(F.col("o_custkey").alias("c"), day.alias("s"), (day + F.col("o_orderkey") % 60).alias("e"))
 
 
@@ -694,7 +694,8 @@ FROM (SELECT p_partkey, p_size, substr('CTGTG', 1, (p_partkey % 5 + 1)::INT) AS
 def stripped_events(t):
     k = F.col("p_partkey")
     rows = t.part.select("p_partkey", "p_size", F.lit("CTGTG").substr(F.lit(1), (k % 5 + 1).cast("int")).alias("r"), F.lit("CTGTGTG").substr(F.lit(1), (k % 7 + 1).cast("int")).alias("a"))
-    return rows.select("p_partkey", X.stripped_event(F.col("p_size"), F.col("r"), F.col("a")).alias("e")).select("p_partkey", "e.pos", "e.ref", "e.alt")
+    event = X.stripped_event(F.col("p_size"), F.col("r"), F.col("a"))
+    return rows.select("p_partkey", event.alias("e")).select("p_partkey", F.col("e.pos").cast("long").alias("pos"), "e.ref", "e.alt")
 
 
 @query("SELECT event_id, regexp_extract(props, '\"k\": *([0-9]+)', 1) AS k, regexp_matches(props, '\"x\"') AS has_x FROM events")
