@@ -325,3 +325,29 @@ def test_streaming(spark, tmp_path):
     for name, made in (("t", events.tumbling(stream, "ts", "1 hour", ["event_type"], "value", "400 days")), ("s", events.sessions(stream, "ts", "30 minutes", ["user_id"], "400 days")), ("u", events.unique(stream, "ts", ["event_id"], "400 days"))):
         events.to_parquet(made, f"file://{tmp_path}/{name}", f"file://{tmp_path}/check-{name}").awaitTermination()
     assert spark.read.schema(data.schema).parquet(f"file://{tmp_path}/u").count() == data.count()
+
+
+def test_copy_number_plan(spark):
+    import numpy as np
+
+    from helixtab.plans import copynumber as K
+
+    r = np.random.default_rng(8)
+    targets = [(f"t{i}", "1" if i < 80 else "Y", i * 1000, f"G{i // 10}") for i in range(100)]
+    cov = [(t[0], s, float(100 * (4 if s == "T1" and 20 <= i < 40 else 1) * 2 ** r.normal(0, 0.05))) for s in ("T1", "T2") for i, t in enumerate(targets)]
+    norm = [(t[0], s, float(100 * 2 ** r.normal(0, n))) for s, n in (("N1", 0.05), ("N2", 0.5)) for t in targets]
+    table = lambda rows: spark.createDataFrame(rows, "target string, sample string, cov double")
+    out = K.project(table(cov), table(norm), spark.createDataFrame(targets, "target string, chrom string, position long, gene string"))
+    assert {(x.tumor, round(x["mean"])) for x in out["segments"].collect()} == {("T1", 0), ("T1", 2), ("T2", 0)}
+    calls = {(x.gene, x["sample"]): x.call for x in out["calls"].collect()}
+    assert {k for k, v in calls.items() if v == 2} == {("G2", "T1"), ("G3", "T1")} and set(calls.values()) == {0, 2}
+    wide = {x.gene: (x.T1, x.T2, x.T3) for x in K.call_matrix(out["calls"], ["T1", "T2", "T3"]).collect()}
+    assert wide["G2"] == ("2", "0", "NA") and len(wide) == 8
+    counts = "Chrom string, Pos int, Ref string, Alt string, BASEQ_depth string"
+    t = spark.createDataFrame([("1", 1, "A", "C", "9"), ("1", 2, "N", "C", "9"), ("1", 3, "A", "CT", "9"), ("1", 4, "A", "C", "9")], counts)
+    n = spark.createDataFrame([("1", 1, "A", "C", "25"), ("1", 2, "N", "C", "99"), ("1", 4, "A", "C", "24")], counts)
+    assert rows(K.tumor_normal_counts(t, n)) == [("1", 1, "A", "C", "9", "25")]
+    exons = lambda *x: spark.createDataFrame([*x], "e_chrom string, e_start long, e_end long, gene string, exon string")
+    places = spark.createDataFrame([("a", "1", 1, 10, "x"), ("b", "1", 20, 30, "y"), ("c", "1", 40, 50, "z")], "target string, chrom string, start long, end long, name string")
+    named = K.gene_names(places, exons(("1", 5, 8, "G", "e")), exons(("1", 5, 8, "no", "e"), ("1", 21, 25, "H", "e"), ("1", 49, 90, "far", "e")))
+    assert sorted(rows(named, "target", "gene")) == [("a", "G"), ("b", "H"), ("c", "z")]
