@@ -15,28 +15,44 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from helixtab.llm import _hashes as H
 from helixtab.llm._components import components
 from helixtab.llm._util import in_arrow, read, stored
 
 #: Where more different fingerprints than this meet, they are not paired up but cut further.
 BUSY = 24
+#: Bytes of text from which its words are not held all at once.
+LONG = 1 << 20
+
+
+def _stretches(text: bytes, size: int):
+    """The words of a text, in stretches that overlap by size - 1 words if it is long."""
+    if len(text) <= LONG:
+        yield text.split()  # of bytes: ASCII white space
+        return
+    start, end = H.word_bounds(np.frombuffer(text, np.uint8))
+    step = LONG // 8
+    for at in range(0, max(1, len(start) - size + 1), step):
+        part = slice(at, at + step + size - 1)
+        yield [text[s:e] for s, e in zip(start[part].tolist(), end[part].tolist(), strict=True)]
 
 
 def simhash(text: bytes, size: int = 3, seed: int = 42) -> int:
     """Bit i is set if it is in over half of the XXH64 of shingles of size words, repeats included."""
-    found = text.lower().split()  # of bytes: A-Z, and ASCII white space
-    if not found:
-        return 0
-    joined = b" ".join(found)
-    ends = list(accumulate(map(len, found), lambda a, b: a + b + 1))
-    starts = [0, *(e + 1 for e in ends)]
     digest = xxhash.xxh64_intdigest
-    hashes = [digest(joined[a:b], seed) for a, b in zip(starts, ends[size - 1 :] or ends[-1:], strict=False)]
-    counts = np.zeros(64, np.int64)
-    for i in range(0, len(hashes), 4096):
-        part = np.array(hashes[i : i + 4096], np.uint64)
-        counts += np.unpackbits(part.view(np.uint8), bitorder="little").reshape(-1, 64).sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * counts > len(hashes), bitorder="little").view(np.int64)[0])
+    counts, n = np.zeros(64, np.int64), 0
+    for words in _stretches(text.lower(), size):  # of bytes: A-Z
+        if not words:
+            continue
+        joined = b" ".join(words)
+        ends = list(accumulate(map(len, words), lambda a, b: a + b + 1))
+        starts = [0, *(e + 1 for e in ends)]
+        hashes = [digest(joined[a:b], seed) for a, b in zip(starts, ends[size - 1 :] or ends[-1:], strict=False)]
+        n += len(hashes)
+        for i in range(0, len(hashes), 4096):
+            part = np.array(hashes[i : i + 4096], np.uint64)
+            counts += np.unpackbits(part.view(np.uint8), bitorder="little").reshape(-1, 64).sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * counts > n, bitorder="little").view(np.int64)[0])
 
 
 def fingerprints(docs: DataFrame, size: int = 3) -> DataFrame:

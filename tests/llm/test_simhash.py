@@ -55,6 +55,12 @@ def test_against_brute_force(spark, monkeypatch, distance, busy):
     assert len(got) == len(docs)
 
 
+def test_long_texts(monkeypatch):
+    monkeypatch.setattr(S, "LONG", 64)
+    for _, t in texts():
+        assert S.simhash((t or "").encode()) & (1 << 64) - 1 == slow_fp(t)
+
+
 @pytest.mark.parametrize("busy", [24, 1])
 def test_random_bits(spark, monkeypatch, busy):
     monkeypatch.setattr(S, "BUSY", busy)
