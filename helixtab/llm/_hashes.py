@@ -107,14 +107,24 @@ def regions(values: np.ndarray, ends: np.ndarray, window: int, k: int, longest:
 
     A window's key is the least hash of its k-grams: it depends on the window's content
     alone, so equal windows meet under one key. Returns arrays: first window (an index of
-    values), number of windows, key, hash of the whole run.
+    values), number of windows, key, hash of the whole run, and whether windows of the run may
+    equal each other: only if a k-gram that is some window's key is followed by itself there.
     ends: where each document ends.
     """
     empty = np.zeros(0, np.int64)
     if len(values) < window:
-        return empty, empty, empty.astype(np.uint64), empty.astype(np.uint64)
+        return empty, empty, empty.astype(np.uint64), empty.astype(np.uint64), empty.astype(bool)
     p = prefix(values)
-    key = sliding_min(mix(every(p, k)), window - k + 1)
+    w = window - k + 1
+    gram = mix(every(p, k))
+    key = sliding_min(gram, w)
+    # a k-gram is the key of a window that holds it if the largest key of those windows is its own hash
+    edge = np.zeros(w - 1, np.uint64)
+    highest = ~sliding_min(~np.concatenate((edge, key, edge)), w)
+    keys = np.flatnonzero(highest == gram)
+    twice = np.zeros(len(gram) + 1, np.int64)
+    twice[1:][keys[:-1][gram[keys[:-1]] == gram[keys[1:]]]] = 1
+    twice = np.cumsum(twice)
     n = len(key)
     whole = np.ones(n, bool)  # windows within one document
     for e in ends[ends < len(values)]:
@@ -130,4 +140,5 @@ def regions(values: np.ndarray, ends: np.ndarray, window: int, k: int, longest:
         nth = np.arange(len(at)) - np.repeat(np.cumsum(times) - times, times)
         left = np.repeat(size, times) - nth * longest
         first, size = at + nth * longest, np.minimum(left, longest)
-    return first, size, key[first], mix(stretch(p, first, first + size + window - 1))
+    inner = twice[first + size + w - 1] > twice[first]
+    return first, size, key[first], mix(stretch(p, first, first + size + window - 1)), inner

@@ -39,7 +39,8 @@ def scan(window: int, k: int, by_words: bool) -> Callable[[Iterator[pa.RecordBat
 
     Of equal regions in a batch of documents only the first goes on; the others, which
     repeat it, are known already (known = 1) and go to a key of their own document. So a
-    group of copies reaches a key as one row a batch.
+    group of copies reaches a key as one row a batch. known = 2: windows of the region may
+    equal each other.
     """
 
     def regions_of(docs: list[tuple[int, int, bytes]]) -> pa.RecordBatch | None:
@@ -53,11 +54,11 @@ def scan(window: int, k: int, by_words: bool) -> Callable[[Iterator[pa.RecordBat
             if held:
                 values = np.concatenate(held)
                 ends = np.cumsum([len(x) for x in held])
-                first, size, key, whole = H.regions(values, ends, window, k, LONGEST)
+                first, size, key, whole, inner = H.regions(values, ends, window, k, LONGEST)
                 own = np.searchsorted(ends, first, "right")
                 base = ends - [len(x) for x in held]
                 doc, variant, at = (np.array([w[j] for w in whose], np.int64) for j in range(3))
-                got.append((key, whole, doc[own], place(variant[own], first - base[own] + at[own], size)))
+                got.append((key, whole, doc[own], place(variant[own], first - base[own] + at[own], size), inner))
             held, whose, n = [], [], 0
 
         for doc, variant, text in docs:
@@ -71,9 +72,9 @@ def scan(window: int, k: int, by_words: bool) -> Callable[[Iterator[pa.RecordBat
         flush()
         if not got:
             return None
-        key, whole, doc, where = (np.concatenate(x) for x in zip(*got, strict=True))
+        key, whole, doc, where, inner = (np.concatenate(x) for x in zip(*got, strict=True))
         order = np.lexsort((where, doc, whole, key))
-        key, whole, doc, where = key[order], whole[order], doc[order], where[order]
+        key, whole, doc, where, inner = key[order], whole[order], doc[order], where[order], inner[order]
         known = np.zeros(len(key), bool)
         same = (key[1:] == key[:-1]) & (whole[1:] == whole[:-1])
         if by_words:  # a repeat within one document does not count
@@ -83,7 +84,7 @@ def scan(window: int, k: int, by_words: bool) -> Callable[[Iterator[pa.RecordBat
         else:
             known[1:] = same
         key = np.where(known, H.mix(doc.view(np.uint64)), key)
-        return pa.RecordBatch.from_arrays([pa.array(_signed(key)), pa.array(_signed(whole)), pa.array(doc), pa.array(where), pa.array(known.astype(np.int8))], names=["key", "whole", "doc", "place", "known"])
+        return pa.RecordBatch.from_arrays([pa.array(_signed(key)), pa.array(_signed(whole)), pa.array(doc), pa.array(where), pa.array(np.where(known, 1, 2 * inner).astype(np.int8))], names=["key", "whole", "doc", "place", "known"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         docs: list[tuple[int, int, bytes]] = []
@@ -108,7 +109,7 @@ SCANNED = "key long, whole long, doc long, place long, known byte"
 
 def candidates(docs: DataFrame, window: int, k: int, by_words: bool) -> DataFrame:
     """(key, doc, place, repeat): regions that repeat an earlier one whole (repeat = 1), and those
-    that are the first of their kind under a key with others (repeat = 0), which may hold earlier windows.
+    that are the first of their kind under a key with others, or may repeat themselves (repeat = 0).
     """
     scanned = in_arrow(docs, scan(window, k, by_words), SCANNED)
     alike, under = Window.partitionBy("key", "whole"), Window.partitionBy("key")
@@ -116,11 +117,11 @@ def candidates(docs: DataFrame, window: int, k: int, by_words: bool) -> DataFram
     rows = scanned.repartition("key").select(
         "*",
         least.alias("least"),
-        (F.min(F.when(F.col("known") == 0, F.col("whole"))).over(under) != F.max(F.when(F.col("known") == 0, F.col("whole"))).over(under)).alias("others"),
+        (F.min(F.when(F.col("known") != 1, F.col("whole"))).over(under) != F.max(F.when(F.col("known") != 1, F.col("whole"))).over(under)).alias("others"),
     )
     later = (F.col("doc") > F.col("least.doc")) if by_words else (F.struct("doc", "place") > F.col("least"))
     repeat = (F.col("known") == 1) | later
-    first = ~repeat & F.col("others") & (F.struct("doc", "place") == F.col("least"))
+    first = ~repeat & (F.col("others") | (F.col("known") == 2)) & (F.struct("doc", "place") == F.col("least"))
     if by_words:  # other places in the first document may cover other words
         first = ~repeat & F.col("others")
     return stored(rows.where(repeat | first).select("key", "whole", "doc", "place", repeat.cast("byte").alias("repeat")), "regions")

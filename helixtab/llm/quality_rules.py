@@ -20,7 +20,7 @@ PRIOR = np.array([1.5, -0.3, 0.3, -3.0, -6.0, -1.0, -4.0, -1.5, -3.0, 0.5, -2.0,
 PRIOR_STAY = 0.7
 
 UPPER, LETTER, DIGIT, SYMBOL, MARK, BAR, SHOUT, SPACE, HEAD = (1 << i for i in range(9))
-CLASS = np.zeros(256, np.int64)
+CLASS = np.zeros(256, np.int16)
 for _c in range(256):
     _ch = chr(_c)
     CLASS[_c] = (

@@ -10,8 +10,8 @@ from helixtab.llm.packing import op7_cost_balanced_packing
 from helixtab.llm.quality_rules import op10_quality_rules
 from helixtab.llm.secret_scan import op6_secret_scan
 from helixtab.llm.simhash_dedup import op2_simhash_dedup
-from helixtab.llm.substring_dedup import op4_substring_dedup
-from helixtab.llm.suffix_dedup import op5_suffix_array_dedup
+from helixtab.llm.substring_dedup import OP4_SQL, op4_substring_dedup
+from helixtab.llm.suffix_dedup import OP5_SQL, op5_suffix_array_dedup
 
 QUERIES = {
     "op1_document_fingerprints": op1_document_fingerprints,
@@ -26,4 +26,4 @@ QUERIES = {
     "op10_quality_rules": op10_quality_rules,
 }
 
-ORACLE_SQL = {"op3_license_scan": OP3_SQL, "op8_mix_sources": OP8_SQL}
+ORACLE_SQL = {"op3_license_scan": OP3_SQL, "op4_substring_dedup": OP4_SQL, "op5_suffix_array_dedup": OP5_SQL, "op8_mix_sources": OP8_SQL}

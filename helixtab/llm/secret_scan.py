@@ -66,9 +66,13 @@ class Markov:
         return float(self.ratio[a, b].sum()) / max(1, len(a))
 
     def spans(self, text: str, taken: list[Span]) -> list[Span]:
-        out = []
+        """Tokens above the threshold that touch no span of taken, which is in order of start."""
+        out, reach, i = [], 0, 0
         for m in TOKEN.finditer(text):
-            if not any(s < m.end() and e > m.start() for s, e, _ in taken) and self.score(m.group()) > self.threshold:
+            while i < len(taken) and taken[i][0] < m.end():
+                reach = max(reach, taken[i][1])
+                i += 1
+            if reach <= m.start() and self.score(m.group()) > self.threshold:
                 out.append((m.start(), m.end(), "markov"))
         return out
 

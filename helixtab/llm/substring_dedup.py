@@ -85,3 +85,15 @@ def dedup(docs: DataFrame, window: int = 50) -> DataFrame:
 
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup(read(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+#: Every window of every document side by side: for small tables.
+OP4_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, i, array_to_string(w[i:i + 49], ' ') AS x FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d)),
+f AS (SELECT x, min(doc_id) AS least FROM s GROUP BY x),
+g AS (SELECT DISTINCT doc_id, i + j AS k FROM (SELECT doc_id, i FROM s JOIN f USING (x) WHERE doc_id > least), range(50) AS r(j)),
+k AS (SELECT d.doc_id, u.k, w[u.k] AS word FROM d, (SELECT doc_id, unnest(range(1, len(w) + 1)) AS k FROM d) u WHERE u.doc_id = d.doc_id),
+o AS (SELECT k.doc_id, count(*) - count(g.k) AS n_kept, string_agg(word, ' ' ORDER BY k.k) FILTER (g.k IS NULL) AS kept FROM k LEFT JOIN g ON k.doc_id = g.doc_id AND k.k = g.k GROUP BY k.doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n_kept, 0))::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN o ON d.doc_id = o.doc_id
+"""

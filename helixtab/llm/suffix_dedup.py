@@ -18,7 +18,7 @@ from helixtab.llm._repeats import covered, cut, place, repeats
 from helixtab.llm._util import read, to_rows, with_variant
 
 #: Bytes of regions sorted at a time; bytes of the k-gram that routes a window.
-BATCH, GRAM = 2_000_000, 24
+BATCH, GRAM = 400_000, 24
 
 
 def extension(p: np.ndarray, a: np.ndarray, b: np.ndarray, most: int) -> np.ndarray:
@@ -132,3 +132,18 @@ def dedup(docs: DataFrame, window: int = 100) -> DataFrame:
 
 def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup(read(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+#: Every window of every document side by side: for small tables.
+OP5_SQL = r"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+s AS (SELECT doc_id, i, substr(h, 2 * i + 1, 200) AS x FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 99)) AS i FROM d)),
+f AS (SELECT doc_id, i, row_number() OVER (PARTITION BY x ORDER BY doc_id, i) > 1 AS again FROM s),
+g AS (SELECT doc_id, i, coalesce(lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 100 < i, true) AS fresh FROM f WHERE again),
+r AS (SELECT doc_id, min(i) AS a, max(i) + 100 AS b FROM (SELECT *, sum(fresh::INT) OVER (PARTITION BY doc_id ORDER BY i) AS n FROM g) GROUP BY doc_id, n),
+p AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS c FROM r),
+o AS (SELECT p.doc_id, sum(b - a)::BIGINT AS n_removed, count(*) AS n_spans, string_agg(substr(h, 2 * c + 1, 2 * (a - c)), '' ORDER BY a) || any_value(substr(h, 2 * e + 1)) AS kept
+  FROM p JOIN d ON p.doc_id = d.doc_id JOIN (SELECT doc_id, max(b) AS e FROM r GROUP BY doc_id) l ON l.doc_id = p.doc_id GROUP BY p.doc_id)
+SELECT d.doc_id, length(h)::BIGINT // 2 AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(kept, h))) AS kept_sha256
+FROM d LEFT JOIN o ON d.doc_id = o.doc_id
+"""

@@ -49,6 +49,7 @@ def corpus():
     prose = lambda n: " ".join(r.choice(words) for _ in range(n))
     common = [prose(70) for _ in range(4)]
     docs = [(0, None), (1, ""), (2, "one"), (3, "a " * 300), (4, "a " * 400), (5, "x" * 1500), (6, " \n\t ")]
+    docs += [(90 + i, prose(5) + " " + (prose(n) + "; ") * times + prose(5)) for i, (n, times) in enumerate(((1, 40), (3, 20), (4, 9), (7, 6), (9, 4), (12, 3), (16, 2)))]
     template = prose(200)
     for i in range(7, 90):
         kind = r.random()
@@ -119,3 +120,14 @@ def test_odd_tables(spark, docs):
     assert rows == [(3, n, 0), (3, n, 0), (3, n + 2, n), (4, 0, 0), (99, n, n)]
     none = spark.createDataFrame([], kind)
     assert substring_dedup.dedup(none).count() == suffix_dedup.dedup(none).count() == 0
+
+
+def test_sql(spark):
+    import duckdb
+
+    sf = "/root/testdata/sf0.001"
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{sf}/documents.parquet'")
+    for query, sql in ((substring_dedup.op4_substring_dedup, substring_dedup.OP4_SQL), (suffix_dedup.op5_suffix_array_dedup, suffix_dedup.OP5_SQL)):
+        got = sorted(map(tuple, query(spark, sf).collect()))
+        assert got == sorted(con.sql(sql).fetchall()) and any(r[2] for r in got)
