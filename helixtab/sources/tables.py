@@ -10,14 +10,17 @@ class BadHeader(ValueError):
     """A file lacks the columns it must have."""
 
 
-def comments(spark: SparkSession, path: str, mark: str = "#") -> list[str]:
-    """The lines at a file's start that begin with mark; a header has a bounded number of them."""
-    out = []
-    for row in spark.read.text(path).limit(10_000).collect():
-        if not row.value.startswith(mark):
-            break
-        out.append(row.value)
-    return out
+def comments(spark: SparkSession, path: str, mark: str = "#", most: int = 100_000) -> list[str]:
+    """The lines at a file's start that begin with mark; a header of more than most lines is an error."""
+    first = 1000
+    while True:
+        lines = [r.value for r in spark.read.text(path).limit(first).collect()]
+        n = next((i for i, v in enumerate(lines) if not v.startswith(mark)), None)
+        if n is not None or len(lines) < first:
+            return lines[:n]
+        if first >= most:
+            raise BadHeader(f"{path}: more than {most} lines of comments")
+        first *= 10
 
 
 def header_of(spark: SparkSession, path: str, mark: str = "#", header_mark: str = "") -> list[str]:
@@ -78,7 +81,7 @@ def config(spark: SparkSession, path: str) -> dict[str, dict[str, str]]:
     """Settings by section ('' before the first '>Section'), of lines 'k v', 'k = v' or 'k: v'; a settings file is small."""
     out: dict[str, dict[str, str]] = {"": {}}
     section = ""
-    for row in spark.read.text(path).limit(10_000).collect():
+    for row in spark.read.text(path).collect():
         line = row.value.strip()
         if not line or line.startswith("#"):
             continue
