@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -153,34 +153,35 @@ def pipeline(df: DataFrame, *predicates: Column) -> DataFrame:
 
 @dataclass(frozen=True)
 class SvLimits:
-    """Least support of a structural variant, and what is enough at a hotspot."""
+    """Support that a structural variant needs; a normal's supporting reads are a limit from above."""
 
     pairs: int = 5
     split_reads: int = 0
-    mapq: int = 20
+    mapq: int = 10
+    tumor_reads: int = 2
+    normal_reads: int = 2
     length: int = 500
-    ratio: float = 5
-    hot: dict = field(default_factory=lambda: {"pairs": 3, "split_reads": 0, "mapq": 10, "length": 0})
 
 
-def structural_variants(df: DataFrame, limits: SvLimits = SvLimits(), kind: str | None = None, compat: bool = True) -> DataFrame:
-    """Rows (sv_type, chrom, chrom2, pos, end, mapq, pairs, split_reads, n_pairs, hotspot) with enough support.
+SV_HOTSPOT = SvLimits(3, 0, 5, 1, 3)
 
-    Contigs other than 1 to 22, X and Y go; a variant in a hotspot is held to the lower limits.
-    Translocations have no length. compat: the type asked for as TRA matches none, as BND rows carry
-    another name; otherwise it does.
+
+def structural_variants(df: DataFrame, kind: str, limits: SvLimits = SvLimits(), hot: SvLimits = SV_HOTSPOT, compat: bool = True) -> DataFrame:
+    """Rows of one kind (DEL, DUP, INV, BND or TRA) with enough support, and svlen.
+
+    df: chrom, chrom2 (null: the same), pos, end, mapq, pairs, split_reads, t_reads, n_reads, label, n_label, hotspot. Contigs
+    other than numbers, X and Y go. At a hotspot the limits hot hold, or the call passed while the normal's genotype
+    is of low quality. Translocations (BND) have no length. compat: nothing of kind TRA passes, otherwise it means BND.
     """
-    number = lambda c: X.sex_to_number(X.without_chr(F.col(c))).try_cast("int")
-    rows = df.where(number("chrom").isNotNull() & number("chrom2").isNotNull())
-    if kind:
-        same = F.col("sv_type") == kind
-        rows = rows.where(same if compat or kind != "TRA" else same | (F.col("sv_type") == "BND"))
-    rows = rows.withColumn("svlen", F.col("end") - F.col("pos"))
-    limit = lambda name: F.when(F.col("hotspot"), limits.hot[name]).otherwise(getattr(limits, name))
-    longer = F.col("sv_type").isin("BND", "TRA") | (F.col("svlen") >= limit("length"))
-    return rows.where(
-        (F.col("pairs") >= limit("pairs")) & (F.col("split_reads") >= limit("split_reads")) & (F.col("mapq") >= limit("mapq")) & longer & (F.col("pairs") >= limits.ratio * F.col("n_pairs"))
-    )
+    number = lambda c: X.sex_to_number(X.without_chr(c)).try_cast("int")
+    rows = df.where(number(F.col("chrom")).isNotNull() & number(F.coalesce("chrom2", "chrom")).isNotNull()).withColumn("svlen", F.col("end") - F.col("pos"))
+    if kind == "TRA" and compat:
+        return rows.where(F.lit(False))
+    limit = lambda name: F.when(F.col("hotspot"), getattr(hot, name)).otherwise(getattr(limits, name))
+    supported = (F.col("mapq") >= limit("mapq")) & (F.col("pairs") >= limit("pairs")) & (F.col("split_reads") >= limit("split_reads")) & (F.col("t_reads") >= limit("tumor_reads")) & (F.col("n_reads") <= limit("normal_reads"))
+    passed = F.col("hotspot") & F.col("label").contains("PASS") & F.col("n_label").contains("LowQual")
+    long_enough = F.lit(True) if kind in ("BND", "TRA") else F.col("svlen") >= limit("length")
+    return rows.where(long_enough & (supported | F.coalesce(passed, F.lit(False))))
 
 
 def excluded(df: DataFrame, pattern: str, column: str, classes: DataFrame | None = None, key: str = "Sample") -> DataFrame:

@@ -145,16 +145,15 @@ def mean_sd_outliers(t):
 
 
 @query("""
-SELECT event_id FROM (SELECT event_id, event_id % 4 = 0 AS hotspot, value, user_id, event_id % 26 AS chrom,
-  ['DEL', 'DUP', 'INV', 'TRA'][(event_id % 4 + 1)::INT] AS kind, event_id % 9 AS pairs, event_id % 41 AS mapq, event_id % 1200 AS len, event_id % 2 AS n FROM events)
-WHERE chrom BETWEEN 1 AND 24 AND pairs >= CASE WHEN hotspot THEN 3 ELSE 5 END AND mapq >= CASE WHEN hotspot THEN 10 ELSE 20 END
-  AND (kind = 'TRA' OR len >= CASE WHEN hotspot THEN 0 ELSE 500 END) AND pairs >= 5 * n""")
+SELECT event_id FROM (SELECT event_id, event_id % 4 = 0 AS hot, event_id % 26 AS chrom, event_id % 9 AS pairs, event_id % 17 AS mapq, event_id % 1200 AS len, event_id % 5 AS t, event_id % 7 AS n, event_id % 3 AS f FROM events)
+WHERE chrom BETWEEN 1 AND 24 AND len >= 500 AND (pairs >= CASE WHEN hot THEN 3 ELSE 5 END AND mapq >= CASE WHEN hot THEN 5 ELSE 10 END
+  AND t >= CASE WHEN hot THEN 1 ELSE 2 END AND n <= CASE WHEN hot THEN 3 ELSE 2 END OR hot AND f = 0)""")
 def structural_filter(t):
     e = F.col("event_id")
     chrom = F.when(e % 26 == 0, "MT").when(e % 26 == 23, "X").when(e % 26 == 24, "chrY").when(e % 26 == 25, "GL000").otherwise((e % 26).cast("string"))
-    rows = t.events.select("event_id", chrom.alias("chrom"), F.lit("chr2").alias("chrom2"), F.lit(1000).alias("pos"), (1000 + e % 1200).alias("end"), F.get(F.array(*map(F.lit, ("DEL", "DUP", "INV", "TRA"))), (e % 4).cast("int")).alias("sv_type"),
-        (e % 9).alias("pairs"), F.lit(0).alias("split_reads"), (e % 41).alias("mapq"), (e % 2).alias("n_pairs"), (e % 4 == 0).alias("hotspot"))
-    return P.structural_variants(rows).select("event_id")
+    rows = t.events.select("event_id", chrom.alias("chrom"), F.lit("chr2").alias("chrom2"), F.lit(1000).alias("pos"), (1000 + e % 1200).alias("end"), (e % 9).alias("pairs"), F.lit(0).alias("split_reads"), (e % 17).alias("mapq"),
+        (e % 5).alias("t_reads"), (e % 7).alias("n_reads"), F.lit("PASS").alias("label"), F.when(e % 3 == 0, "LowQual").otherwise("PASS").alias("n_label"), (e % 4 == 0).alias("hotspot"))
+    return P.structural_variants(rows, "DEL").select("event_id")
 
 
 @query("SELECT c_custkey FROM customer WHERE NOT regexp_matches(c_name, '[13579]$') AND c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P')")

@@ -260,6 +260,12 @@ def test_structural(spark):
     hot = spark.createDataFrame([("2", 400, 600), ("1", 800, 1000)], "chrom string, start long, end long")
     assert [r.hotspot for r in structural.at_hotspots(sv, hot, ["id"]).orderBy("id").collect()] == [True, False, False]
     assert [r.hotspot for r in structural.at_hotspots(sv, hot, ["id"], compat=False).orderBy("id").collect()] == [True, True, False]
+    rows_of = lambda kind, **o: [r.id for r in P.structural_variants(calls, kind, **o).orderBy("id").collect()]
+    base = dict(chrom="1", chrom2=None, pos=1, end=900, mapq=10, pairs=5, split_reads=0, t_reads=2, n_reads=2, label="x", n_label="x", hotspot=False)
+    edges = [{}, {"mapq": 9}, {"end": 500}, {"n_reads": 3}, {"hotspot": True, "pairs": 3, "mapq": 5, "t_reads": 1, "n_reads": 3}, {"hotspot": True, "pairs": 0, "label": "PASS", "n_label": "LowQual"}, {"chrom2": "GL1"}, {"chrom": "chrX"}]
+    names = "chrom string, chrom2 string, pos int, end int, mapq int, pairs int, split_reads int, t_reads int, n_reads int, label string, n_label string, hotspot boolean"
+    calls = spark.createDataFrame([(i, *(base | x).values()) for i, x in enumerate(edges)], f"id int, {names}")
+    assert rows_of("DEL") == [0, 4, 5, 7] and rows_of("BND") == [0, 2, 4, 5, 7] and rows_of("TRA") == [] and rows_of("TRA", compat=False) == rows_of("BND")
     fusions = spark.createDataFrame([("chr1", 100, "chr2", 500, "old"), ("chr1", 100, "chr2", 500, "new"), ("chrX", 7, "chr3", 3, "x")], "chrom string, pos long, chrom2 string, end long, fusion string").coalesce(1)
     assert sorted(rows(structural.with_fusions(sv, fusions), "id", "fusion")) == [(1, "new"), (2, None), (3, "x")]
     targets = spark.createDataFrame([("a", "1", 1, 100), ("b", "1", 200, 300), ("c", "1", 400, 500), ("d", "1", 600, 700)], "target string, chrom string, start long, end long")
