@@ -832,13 +832,14 @@ def breakpoint_annotation(t):
 
 @query("""
 WITH d AS (SELECT user_id AS sample, event_type AS k, count(*) AS depth, count(*) FILTER (value > 10) AS alt FROM events GROUP BY 1, 2), f AS (SELECT *, alt / depth::DOUBLE AS fr, fr > 0.01 AND alt >= 3 AS seen FROM d),
-h AS (SELECT * FROM f WHERE sample % 2 = 0 AND k IN ('click', 'view') AND seen)
-SELECT 'NORMAL' AS kind, sample, sample AS normal, k AS key, alt FROM h
-UNION ALL SELECT CASE WHEN f.sample % 4 = 1 THEN 'MATCHED_TM' ELSE 'UNMATCHED_TM' END, f.sample, h.sample, k, f.alt FROM f JOIN h USING (k) WHERE f.sample % 2 = 1 AND (f.sample % 4 = 1 OR f.seen)""")
+h AS (SELECT * FROM f WHERE sample % 4 = 0 AND k IN ('click', 'view') AND seen)
+SELECT 'NORMAL' AS kind, sample::VARCHAR AS sample, sample::VARCHAR AS normal, k AS key, alt FROM h
+UNION ALL SELECT CASE WHEN f.sample % 4 = 1 THEN 'MATCHED_TM' ELSE 'TM' END, f.sample::VARCHAR, h.sample::VARCHAR, k, f.alt FROM f JOIN h USING (k) WHERE f.sample % 4 IN (1, 2) AND (f.sample % 4 = 1 OR f.seen)""")
 def hotspots_in_normals(t):
-    d = t.events.groupBy(F.col("user_id").alias("sample"), F.col("event_type").alias("key")).agg(F.count("*").alias("depth"), F.count_if(F.col("value") > 10).alias("alt")).withColumn("frequency", F.col("alt") / F.col("depth"))
+    d = t.events.groupBy(F.col("user_id").cast("string").alias("sample"), F.col("event_type").alias("key")).agg(F.count("*").alias("depth"), F.count_if(F.col("value") > 10).alias("alt")).withColumn("frequency", F.col("alt") / F.col("depth"))
     users = t.events.select("user_id").distinct()
-    pairs = users.where("user_id % 2 = 0").select(F.when(F.col("user_id") % 4 == 0, F.col("user_id") + 1).otherwise(F.lit(-1)).alias("tumor"), F.col("user_id").alias("normal"))
+    of = lambda r, normal: users.where(F.col("user_id") % 4 == r).select(F.col("user_id").cast("string").alias("tumor"), normal.alias("normal"))
+    pairs = of(1, (F.col("user_id") - 1).cast("string")).unionAll(of(2, F.lit("FROZENPOOL"))).unionAll(users.where("user_id % 4 = 0").select(F.lit("none").alias("tumor"), F.col("user_id").cast("string").alias("normal")))
     hot = t.spark.createDataFrame([("click",), ("view",)], "key string")
     return quality.hotspots_in_normals(d, hot, pairs).select("kind", "sample", "normal", "key", "alt")
 

@@ -248,11 +248,12 @@ def test_fingerprint(spark):
     groups = spark.createDataFrame([("T", "g1"), ("N", "g2")], "sample string, group string")
     pairs = spark.createDataFrame([("T", "N")], "tumor string, normal string")
     out = quality.fingerprint(g, groups, pairs)
-    assert {r["sample"]: r.heterozygous for r in out["heterozygous"].collect()} == {"T": 0.5, "N": 0.0}
-    assert {(r.reference, r.query): r.discordance for r in out["discordance"].collect()} == {("T", "N"): 0.5, ("N", "T"): 0.5}
-    assert out["unexpected_match"].count() == 0
+    assert {r["sample"]: round(r.heterozygous, 3) for r in out["heterozygous"].collect()} == {"T": 0.333, "N": 0.0}
+    assert {r["sample"]: round(r.minor, 4) for r in out["minor"].collect()} == {"T": 0.005, "N": round((1 / 101) / 3, 4)}
+    assert {(r.reference, r.query): (r.sites, r.discordance) for r in out["discordance"].collect()} == {("T", "N"): (1, 0.0), ("N", "T"): (3, 0.0), ("T", "T"): (1, 0.0), ("N", "N"): (3, 0.0)}
+    assert rows(out["unexpected_match"], "a", "b") == [("N", "T")] and out["unexpected_mismatch"].count() == 0
     repaired = quality.fingerprint(g, groups, pairs, compat=False)
-    assert {r.discordance for r in repaired["discordance"].collect()} == {0.0} and repaired["unexpected_match"].count() == 1
+    assert {r["sample"]: round(r.minor, 4) for r in repaired["minor"].collect()}["T"] == 0.01 and {r["sample"]: r.heterozygous for r in repaired["heterozygous"].collect()}["T"] == 0.5
 
 
 def test_structural(spark):
