@@ -25,11 +25,19 @@ def groups_listed(df: DataFrame, group: list[str], name: str, qualifying: Column
     return grouped.where((F.col("n") >= least) & (F.col("n_qualifying") >= least))
 
 
-def contamination(df: DataFrame, tumor: str = "TumorId", gene: str = "Gene1", kind: str = "SV_Type", qualifying: Column | None = None) -> DataFrame:
-    """(tumor, genes): tumors with a gene that has two deletions or more, two of them qualifying; genes joined by commas."""
+def contamination(df: DataFrame, tumor: str = "TumorId", gene: str = "Gene1", kind: str = "SV_Type", qualifying: Column | None = None, separator: str = ", ") -> DataFrame:
+    """(tumor, genes): tumors with a gene that has two deletions or more, two of them qualifying; genes sorted and joined. Rows without a gene don't count."""
     q = F.lit(True) if qualifying is None else qualifying
-    each = df.where(F.col(kind) == "DEL").groupBy(tumor, gene).agg(F.count("*").alias("n"), F.count_if(q).alias("q")).where("n >= 2 and q >= 2")
-    return each.groupBy(tumor).agg(F.array_join(F.array_sort(F.collect_set(gene)), ",").alias("genes"))
+    named = F.trim(F.coalesce(F.col(gene), F.lit(""))) != ""
+    each = df.where((F.col(kind) == "DEL") & named).groupBy(tumor, gene).agg(F.count("*").alias("n"), F.count_if(q).alias("q")).where("n >= 2 and q >= 2")
+    return each.groupBy(tumor).agg(F.array_join(F.array_sort(F.collect_set(gene)), separator).alias("genes"))
+
+
+def like_cdna(site1: str = "Site1Description", site2: str = "Site2Description", fusion: str = "Fusion", breakpoint: str = "BrkptType") -> Column:
+    """A precise deletion that isn't between exons and makes no fusion, in frame or out of frame."""
+    frame = F.col(fusion).contains("in frame") | F.col(fusion).contains("out of frame")
+    exons = F.col(site1).contains("Exon") & F.col(site2).contains("Exon")
+    return ~(F.coalesce(exons, F.lit(False)) | F.coalesce(frame, F.lit(False)) | F.coalesce(F.col(breakpoint) == "IMPRECISE", F.lit(False)))
 
 
 def percents(df: DataFrame, group: list[str], part: str, whole: str, name: str, digits: int | None = None) -> DataFrame:

@@ -209,20 +209,24 @@ def two_means(df: DataFrame, group: list[str], value: str) -> DataFrame:
     return best.select(*group, v.alias("cut"), F.expr("_s / _i").alias("low_mean"), F.expr("(_ts - _s) / (_n - _i)").alias("high_mean"), F.expr("try_divide(_tq - _ts * _ts / _n, within)").alias("ratio"))
 
 
-def intragenic(df: DataFrame, group: list[str], position: str, value: str, ratio: float = 3.7, single: float = 1.0, several: float = 0.5, share: float = 0.5, loss: bool = True) -> DataFrame:
-    """Genes of which a stretch of targets is lost (or gained): two well-parted clusters, and a run in the outer one.
+def intragenic(df: DataFrame, group: list[str], position: str, value: str, ratio: float = 3.7, single: float = 1.0, several: float = 0.5, share: float = 0.5, loss: bool = True, significant: str | None = None) -> DataFrame:
+    """Genes of which a stretch of targets is lost (or gained): two well-parted clusters, the outer one mostly in one run.
 
-    A run of one needs a difference of single, of two to five several and over share of the
-    cluster in the run, of more several and at least share.
+    An outer cluster of one target needs a difference of means of single, of two to five several and over
+    share of it in its longest run, of more several and at least share. Genes need three targets and three
+    different values; with significant (a boolean column) some but not all targets must be.
     """
-    parted = two_means(df, group, value).where(F.col("ratio") >= ratio)
-    rows = df.join(parted, group).withColumn("_outer", (F.col(value) <= F.col("cut")) if loss else (F.col(value) > F.col("cut")))
+    known = df.where(F.col(value).isNotNull())
+    mixed = F.lit(True) if significant is None else (F.count_if(significant) > 0) & (F.count_if(~F.col(significant)) > 0)
+    fit = known.groupBy(*group).agg((F.count("*") >= 3).alias("_many"), (F.count_distinct(value) > 2).alias("_unlike"), mixed.alias("_mixed")).where("_many and _unlike and _mixed").select(*group)
+    parted = two_means(known.join(fit, group), group, value).where(F.col("ratio") >= ratio)
+    rows = known.join(parted, group).withColumn("_outer", (F.col(value) <= F.col("cut")) if loss else (F.col(value) > F.col("cut")))
     sizes = rows.groupBy(*group).agg(F.count_if("_outer").alias("n_outer"), F.any_value("low_mean").alias("low_mean"), F.any_value("high_mean").alias("high_mean"), F.any_value("ratio").alias("ratio"))
     runs = longest_run(rows, group, [position], F.col("_outer"), "run")
     out = sizes.join(runs, group).withColumn("difference", F.col("high_mean") - F.col("low_mean")).withColumn("share", F.col("run") / F.col("n_outer"))
     rule = (
-        F.when(F.col("run") == 1, F.col("difference") >= single)
-        .when(F.col("run") <= 5, (F.col("difference") >= several) & (F.col("share") > share))
+        F.when(F.col("n_outer") == 1, F.col("difference") >= single)
+        .when(F.col("n_outer") < 6, (F.col("difference") >= several) & (F.col("share") > share))
         .otherwise((F.col("difference") >= several) & (F.col("share") >= share))
     )
     return out.where(rule)

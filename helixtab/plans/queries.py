@@ -343,7 +343,7 @@ def conditional_mean(t):
 
 
 @query("""
-SELECT l_suppkey, string_agg(p, ',' ORDER BY p) AS genes FROM (
+SELECT l_suppkey, string_agg(p, ', ' ORDER BY p) AS genes FROM (
   SELECT l_suppkey, l_partkey::VARCHAR AS p FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1, 2 HAVING count(*) >= 2 AND count(*) FILTER (l_quantity > 10) >= 2) GROUP BY 1""")
 def group_having_listagg(t):
     rows = t.lineitem.withColumn("gene", F.col("l_partkey").cast("string")).withColumn("kind", F.when(F.col("l_returnflag") == "R", "DEL").otherwise("DUP"))
@@ -917,3 +917,16 @@ def session_windows(t):
 
     out = sessions(t.events.withColumn("ts", F.col("ts").cast("timestamp")), "ts", "30 minutes", ["user_id"])
     return out.select("user_id", F.col("start").cast("timestamp_ntz").alias("start"), F.col("end").cast("timestamp_ntz").alias("end"), "n")
+
+
+@query("""
+WITH v AS (SELECT user_id, event_type, event_id, value AS x FROM events WHERE value IS NOT NULL), g AS (SELECT user_id, event_type FROM v GROUP BY 1, 2 HAVING count(*) >= 3 AND count(DISTINCT x) > 2),
+w AS (SELECT v.*, row_number() OVER o AS i, sum(x) OVER (o ROWS UNBOUNDED PRECEDING) AS s, sum(x * x) OVER (o ROWS UNBOUNDED PRECEDING) AS q, count(*) OVER p AS n, sum(x) OVER p AS ts, sum(x * x) OVER p AS tq
+  FROM v JOIN g USING (user_id, event_type) WINDOW o AS (PARTITION BY user_id, event_type ORDER BY x), p AS (PARTITION BY user_id, event_type)),
+b AS (SELECT *, (q - s * s / i) + (tq - q - (ts - s) * (ts - s) / (n - i)) AS within FROM w WHERE i < n),
+c AS (SELECT user_id, event_type, x AS cut, s / i AS low, (ts - s) / (n - i) AS high, (tq - ts * ts / n) / within AS ratio FROM b QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY round(within, 9), i) = 1),
+r AS (SELECT v.*, low, high, x <= cut AS outer_, sum((x > cut)::INT) OVER (PARTITION BY user_id, event_type ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS k FROM v JOIN c USING (user_id, event_type) WHERE ratio >= 3.7),
+z AS (SELECT user_id, event_type, max(m) AS run, sum(m)::BIGINT AS n_outer, any_value(high - low) AS d FROM (SELECT user_id, event_type, k, count(*) FILTER (outer_) AS m, any_value(low) AS low, any_value(high) AS high FROM r GROUP BY ALL) GROUP BY 1, 2)
+SELECT user_id, event_type, n_outer, run FROM z WHERE CASE WHEN n_outer = 1 THEN d >= 1 WHEN n_outer < 6 THEN d >= 0.5 AND run / n_outer::DOUBLE > 0.5 ELSE d >= 0.5 AND run / n_outer::DOUBLE >= 0.5 END""")
+def lost_stretches(t):
+    return N.intragenic(t.events, ["user_id", "event_type"], "event_id", "value").select("user_id", "event_type", "n_outer", "run")

@@ -358,3 +358,13 @@ def test_copy_number_plan(spark):
     places = spark.createDataFrame([("a", "1", 1, 10, "x"), ("b", "1", 20, 30, "y"), ("c", "1", 40, 50, "z")], "target string, chrom string, start long, end long, name string")
     named = K.gene_names(places, exons(("1", 5, 8, "G", "e")), exons(("1", 5, 8, "no", "e"), ("1", 21, 25, "H", "e"), ("1", 49, 90, "far", "e")))
     assert sorted(rows(named, "target", "gene")) == [("a", "G"), ("b", "H"), ("c", "z")]
+
+
+def test_contamination(spark):
+    from helixtab.operators import aggregates as A
+
+    names = "TumorId string, Gene1 string, SV_Type string, Site1Description string, Site2Description string, Fusion string, BrkptType string"
+    good, exon = ("Intron 1", "Exon 2", "-", "PRECISE"), ("Exon 1", "Exon 2", "-", "PRECISE")
+    data = [("t1", "A", "DEL", *good), ("t1", "A", "DEL", *good), ("t1", "B", "DEL", *good), ("t1", "B", "DEL", *exon), ("t1", "C", "DEL", *good), ("t1", "C", "DEL", *good), ("t2", " ", "DEL", *good), ("t2", " ", "DEL", *good), ("t3", "A", "INV", *good), ("t3", "A", "INV", *good)]
+    frame = [("t4", "A", "DEL", "Intron", "Intron", "Protein fusion: in frame", "PRECISE")] * 2 + [("t5", "A", "DEL", "Intron", "Intron", "-", "IMPRECISE")] * 2
+    assert rows(A.contamination(spark.createDataFrame(data + frame, names), qualifying=A.like_cdna())) == [("t1", "A, C")]
