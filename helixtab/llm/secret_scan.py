@@ -84,19 +84,20 @@ def random_samples(n: int = 3000, seed: int = 11) -> list[str]:
     return ["".join(r.choice(kinds[i % 4]) for _ in range(r.randint(20, 48))) for i in range(n)]
 
 
-def ordinary_samples(docs: DataFrame, labels: DataFrame, most_docs: int = 300) -> list[str]:
+def ordinary_samples(docs: DataFrame, labels: DataFrame, most_docs: int = 300, most_chars: int = 4000, most_words: int = 150) -> list[str]:
     """Identifiers from documents labelled good: words, and words joined as identifiers are.
 
-    A classifier's sample: at most most_docs labelled documents, the first by a hash of doc_id.
+    A classifier's sample: at most most_docs labelled documents, the first by a hash of doc_id, and
+    at most most_words words in the first most_chars characters of each. All texts are scanned whole.
     """
     good = labels.where("quality = 1").select(F.col("doc_id").alias("_id")).distinct().orderBy(F.xxhash64("_id"), "_id").limit(most_docs)
-    rows = docs.join(F.broadcast(good), F.col("doc_id") == F.col("_id")).select("doc_id", F.substring("text", 1, 4000).alias("text")).collect()
+    rows = docs.join(F.broadcast(good), F.col("doc_id") == F.col("_id")).select("doc_id", F.substring("text", 1, most_chars).alias("text")).collect()
     r, out = random.Random(5), []
     for row in sorted(rows, key=lambda x: (x.doc_id, x.text or "")):
         text = row.text or ""
         for s, e, _ in base_spans(text):
             text = text[:s] + " " * (e - s) + text[e:]
-        found = [w for w in re.findall(r"[A-Za-z]+", text)][:150]
+        found = [w for w in re.findall(r"[A-Za-z]+", text)][:most_words]
         out += [w for w in found if len(w) >= 8]
         for i in range(0, len(found) - 3, 3):
             part = found[i : i + 3]
