@@ -12,12 +12,11 @@ from helixtab.operators import intervals, joins
 def at_hotspots(sv: DataFrame, hotspots: DataFrame, key: list[str], compat: bool = True) -> DataFrame:
     """sv with hotspot: whether a breakpoint lies in a hotspot (chrom, start, end).
 
-    compat: the second breakpoint is only looked at on chromosomes other than the first's. It makes
-    no difference to whether some breakpoint hits, unless both lie on one chromosome.
+    compat: the second breakpoint is only looked at where the first's chromosome has no hotspot at all.
     """
     h = hotspots.select(F.col("chrom").alias("h_chrom"), F.col("start").alias("h_start"), F.col("end").alias("h_end"))
     one = intervals.point_join(sv.select(*key, "chrom", "pos"), h, "pos", ("h_start", "h_end"), (("chrom", "h_chrom"),)).select(*key)
-    second = sv.where("chrom != chrom2") if compat else sv
+    second = sv.join(h.select(F.col("h_chrom").alias("chrom")).distinct(), "chrom", "left_anti") if compat else sv
     two = intervals.point_join(second.select(*key, "chrom2", "end"), h, "end", ("h_start", "h_end"), (("chrom2", "h_chrom"),)).select(*key)
     return joins.flagged(sv, one.unionAll(two), key, "hotspot", True, False)
 

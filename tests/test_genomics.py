@@ -259,7 +259,8 @@ def test_fingerprint(spark):
 def test_structural(spark):
     sv = spark.createDataFrame([(1, "1", 100, "2", 500), (2, "1", 100, "1", 900), (3, "X", 7, "3", 3)], "id int, chrom string, pos long, chrom2 string, end long")
     hot = spark.createDataFrame([("2", 400, 600), ("1", 800, 1000)], "chrom string, start long, end long")
-    assert [r.hotspot for r in structural.at_hotspots(sv, hot, ["id"]).orderBy("id").collect()] == [True, False, False]
+    assert [r.hotspot for r in structural.at_hotspots(sv, hot, ["id"]).orderBy("id").collect()] == [False, False, False]
+    assert [r.hotspot for r in structural.at_hotspots(sv, hot.where("chrom = '2'"), ["id"]).orderBy("id").collect()] == [True, False, False]
     assert [r.hotspot for r in structural.at_hotspots(sv, hot, ["id"], compat=False).orderBy("id").collect()] == [True, True, False]
     rows_of = lambda kind, **o: [r.id for r in P.structural_variants(calls, kind, **o).orderBy("id").collect()]
     base = dict(chrom="1", chrom2=None, pos=1, end=900, mapq=10, pairs=5, split_reads=0, t_reads=2, n_reads=2, label="x", n_label="x", hotspot=False)
