@@ -63,3 +63,18 @@ def gene_names(targets: DataFrame, *sources: DataFrame, least: float = 0.5) -> D
         out = out.join(first.select("target", F.col("gene").alias(f"_gene{i}")), "target", "left")
         found.append(F.col(f"_gene{i}"))
     return out.withColumn("gene", F.coalesce(*found, F.col("name"))).drop(*[f"_gene{i}" for i in range(len(sources))])
+
+
+def gene_matrices(calls: DataFrame, samples: list[str], compat: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(states, alleles): genes by samples, of (sample, gene, start, end, wgd, mcn, lcn, state, call), a row for each sample and gene.
+
+    alleles joins wgd, mcn, lcn, state and call by ';'. compat: start and end stand where wgd and mcn
+    should, and a missing cell is a list of five NA as text; otherwise the right columns, and NA.
+    """
+    if joins.repeated(calls, ["sample", "gene"]).limit(1).count():
+        raise ValueError("a sample has a gene twice")
+    first = ("start", "end") if compat else ("wgd", "mcn")
+    text = F.concat_ws(";", *[F.col(c).cast("string") for c in (*first, "lcn", "state", "call")])
+    rows = calls.select("gene", "sample", F.col("state").cast("string").alias("state"), text.alias("alleles"))
+    states = tables.pivot(rows, ["gene"], "sample", samples, F.first("state"), "NA")
+    return states, tables.pivot(rows, ["gene"], "sample", samples, F.first("alleles"), str(["NA"] * 5) if compat else "NA")

@@ -369,3 +369,15 @@ def test_contamination(spark):
     data = [("t1", "A", "DEL", *good), ("t1", "A", "DEL", *good), ("t1", "B", "DEL", *good), ("t1", "B", "DEL", *exon), ("t1", "C", "DEL", *good), ("t1", "C", "DEL", *good), ("t2", " ", "DEL", *good), ("t2", " ", "DEL", *good), ("t3", "A", "INV", *good), ("t3", "A", "INV", *good)]
     frame = [("t4", "A", "DEL", "Intron", "Intron", "Protein fusion: in frame", "PRECISE")] * 2 + [("t5", "A", "DEL", "Intron", "Intron", "-", "IMPRECISE")] * 2
     assert rows(A.contamination(spark.createDataFrame(data + frame, names), qualifying=A.like_cdna())) == [("t1", "A, C")]
+
+
+def test_gene_matrices(spark):
+    from helixtab.plans import copynumber as K
+
+    calls = spark.createDataFrame([("a", "G", 1, 9, "no", 2, 1, 0, "DIPLOID"), ("b", "H", 3, 4, "yes", 3, 0, 2, "AMP")], "sample string, gene string, start int, end int, wgd string, mcn int, lcn int, state int, call string")
+    states, alleles = K.gene_matrices(calls, ["a", "b"])
+    assert sorted(rows(states)) == [("G", "0", "NA"), ("H", "NA", "2")]
+    assert sorted(rows(alleles))[0] == ("G", "1;9;1;0;DIPLOID", "['NA', 'NA', 'NA', 'NA', 'NA']")
+    assert sorted(rows(K.gene_matrices(calls, ["a", "b"], compat=False)[1])) == [("G", "no;2;1;0;DIPLOID", "NA"), ("H", "NA", "yes;3;0;2;AMP")]
+    with pytest.raises(ValueError):
+        K.gene_matrices(calls.unionAll(calls), ["a", "b"])
