@@ -848,7 +848,7 @@ def hotspots_in_normals(t):
 WITH s AS (SELECT DISTINCT user_id AS sample, user_id // 4 AS patient, CASE WHEN user_id % 4 = 0 THEN 'Normal' WHEN user_id % 4 = 1 THEN 'Pool' ELSE 'Tumor' END AS class FROM events),
 p AS (SELECT t.sample AS tumor, n.sample AS normal, n.class AS nc, t.patient FROM s t JOIN s n ON t.patient = n.patient WHERE t.class = 'Tumor' AND (t.sample % 4 = 2 AND n.class = 'Normal' OR t.sample % 4 = 3 AND n.class = 'Pool')),
 e AS (SELECT DISTINCT event_type AS event, tumor, normal, nc, patient FROM events JOIN p ON user_id = tumor WHERE value > 25),
-a AS (SELECT event, tumor, normal, nc, CASE WHEN nc = 'Normal' THEN 'SOMATIC' ELSE 'SOMATIC_VS_POOL' END AS status FROM e
+a AS (SELECT event, tumor, normal, nc, CASE WHEN nc = 'Normal' THEN 'SOMATIC' ELSE 'UNPAIRED' END AS status FROM e
   UNION ALL SELECT m.event, p.tumor, p.normal, p.nc, 'NONE' FROM p JOIN (SELECT DISTINCT event, patient FROM e) m USING (patient) WHERE NOT EXISTS (SELECT 1 FROM e WHERE e.event = m.event AND e.tumor = p.tumor))
 SELECT event, tumor, CASE WHEN nc = 'Normal' THEN normal::VARCHAR ELSE 'REF' END AS normal, status, (SELECT count(*) FROM events WHERE user_id = tumor AND event_type = event) AS alt_count FROM a""")
 def patient_fill_out(t):

@@ -105,24 +105,31 @@ def coding_annotation(maf: DataFrame, records: DataFrame, values: list[str]) ->
     return out.fillna("", values)
 
 
-def fill_out(events: DataFrame, counts: DataFrame, samples: DataFrame, pairs: DataFrame) -> DataFrame:
+def fill_out(events: DataFrame, counts: DataFrame, samples: DataFrame, pairs: DataFrame, compat: bool = True) -> DataFrame:
     """(event, tumor, normal, status, ref_count, alt_count, n_ref_count, n_alt_count) of every pair of a patient.
 
     events: (event, tumor, normal) as called; counts: (event, sample, counts) with counts as 'DP=;RD=;AD=;VF=';
-    samples: (sample, patient, class); pairs: (tumor, normal). Pairs with the event are SOMATIC, SOMATIC_VS_POOL or
-    UNPAIRED, the patient's other pairs NONE. A normal that isn't of class Normal has no counts and is named REF.
+    samples: (sample, patient, class); pairs: (tumor, normal). A called pair is SOMATIC if it is one of pairs, of one
+    patient, and its normal of class Normal; otherwise UNPAIRED (compat=False: SOMATIC_VS_POOL where only the class differs).
+    The patient's other pairs, of a sample without the event, are NONE. A normal of another class is REF, without counts.
     """
     s = samples.select("sample", "patient", F.col("class").alias("_class"))
     of = lambda c, name: s.select(F.col("sample").alias(c), F.col("patient").alias(f"{name}_patient"), F.col("_class").alias(f"{name}_class"))
+    known = pairs.select("tumor", "normal").distinct()
     called = events.select("event", "tumor", "normal").distinct().join(of("tumor", "t"), "tumor").join(of("normal", "n"), "normal", "left")
-    known = pairs.select("tumor", "normal", F.lit(True).alias("_pair")).distinct()
-    called = called.join(known, ["tumor", "normal"], "left")
-    status = F.when(F.col("_pair").isNull() | ~F.col("n_patient").eqNullSafe(F.col("t_patient")), "UNPAIRED").when(F.col("n_class") == "Normal", "SOMATIC").otherwise("SOMATIC_VS_POOL")
+    called = called.join(known.withColumn("_pair", F.lit(True)), ["tumor", "normal"], "left")
+    own_pair = F.col("_pair").isNotNull() & F.col("n_patient").eqNullSafe(F.col("t_patient"))
+    status = F.when(own_pair & (F.col("n_class") == "Normal"), "SOMATIC").when(own_pair & F.lit(not compat), "SOMATIC_VS_POOL").otherwise("UNPAIRED")
     own = called.select("event", "tumor", "normal", "n_class", status.alias("status"))
     mutated = called.select("event", F.col("t_patient").alias("patient")).distinct()
-    others = known.join(of("tumor", "t"), "tumor").join(of("normal", "n"), "normal", "left").join(mutated, F.col("t_patient") == F.col("patient"))
-    others = others.join(called.select("event", "tumor").distinct(), ["event", "tumor"], "left_anti").select("event", "tumor", "normal", "n_class", F.lit("NONE").alias("status"))
-    every = own.unionByName(others).withColumn("_n", F.when(F.col("n_class") == "Normal", F.col("normal")))
+    tumors = called.select("event", "tumor").distinct()
+    placed = known.join(of("tumor", "t"), "tumor", "left").join(of("normal", "n"), "normal", "left")
+    without = lambda side: placed.join(mutated, F.col(f"{side}_patient") == F.col("patient"))
+    by_tumor = without("t").join(tumors, ["event", "tumor"], "left_anti")
+    by_normal = without("n").join(tumors.withColumnRenamed("tumor", "normal"), ["event", "normal"], "left_anti")
+    columns = ["event", "tumor", "normal", "n_class"]
+    others = by_tumor.select(*columns).unionByName(by_normal.select(*columns)).distinct().join(called.select("event", "tumor", "normal"), ["event", "tumor", "normal"], "left_anti")
+    every = own.unionByName(others.withColumn("status", F.lit("NONE"))).withColumn("_n", F.when(F.col("n_class") == "Normal", F.col("normal")))
     c = counts.select("event", "sample", F.str_to_map("counts", F.lit(";"), F.lit("=")).alias("m"))
     t = c.select("event", F.col("sample").alias("tumor"), F.col("m")["RD"].try_cast("int").alias("ref_count"), F.col("m")["AD"].try_cast("int").alias("alt_count"))
     n = c.select("event", F.col("sample").alias("_n"), F.col("m")["RD"].try_cast("int").alias("n_ref_count"), F.col("m")["AD"].try_cast("int").alias("n_alt_count"))

@@ -381,3 +381,16 @@ def test_gene_matrices(spark):
     assert sorted(rows(K.gene_matrices(calls, ["a", "b"], compat=False)[1])) == [("G", "no;2;1;0;DIPLOID", "NA"), ("H", "NA", "yes;3;0;2;AMP")]
     with pytest.raises(ValueError):
         K.gene_matrices(calls.unionAll(calls), ["a", "b"])
+
+
+def test_fill_out(spark):
+    samples = spark.createDataFrame([("T1", "P", "Tumor"), ("T2", "P", "Tumor"), ("N1", "P", "Normal"), ("N2", "P", "Normal"), ("PL", "P", "PoolNormal"), ("X", "Q", "Tumor")], "sample string, patient string, class string")
+    pairs = spark.createDataFrame([("T1", "N1"), ("T1", "N2"), ("T2", "PL"), ("X", "N1")], "tumor string, normal string")
+    events = spark.createDataFrame([("e", "T1", "N1"), ("f", "T2", "PL")], "event string, tumor string, normal string")
+    counts = spark.createDataFrame([("e", s, f"DP={d};RD=1;AD={d - 1};VF=0") for s, d in (("T1", 9), ("T2", 3), ("N1", 2), ("N2", 1))], "event string, sample string, counts string")
+    out = {(r.event, r.tumor, r.normal): (r.status, r.alt_count, r.n_alt_count) for r in somatic.fill_out(events, counts, samples, pairs).collect()}
+    assert out == {
+        ("e", "T1", "N1"): ("SOMATIC", 8, 1), ("e", "T1", "N2"): ("NONE", 8, 0), ("e", "T2", "REF"): ("NONE", 2, None), ("e", "X", "N1"): ("NONE", None, 1),
+        ("f", "T2", "REF"): ("UNPAIRED", None, None), ("f", "T1", "N1"): ("NONE", None, None), ("f", "T1", "N2"): ("NONE", None, None), ("f", "X", "N1"): ("NONE", None, None),
+    }
+    assert somatic.fill_out(events, counts, samples, pairs, compat=False).where("status = 'SOMATIC_VS_POOL'").count() == 1
