@@ -15,7 +15,7 @@ from helixtab.operators.filters import usable_reads
 from helixtab.operators.intervals import point_join
 
 #: Least base quality; Phred offset; usual span of an alignment, for the join's bins.
-BASE_QUALITY, PHRED, SPAN = 20, 33, 1024
+BASE_QUALITY, PHRED, SPAN = 20, 33, 128
 
 
 def reference_length(cigar: Column) -> Column:
