@@ -23,6 +23,8 @@ from helixtab.llm._util import in_arrow, read, stored
 BUSY = 24
 #: Bytes of text from which its words are not held all at once.
 LONG = 1 << 20
+#: Columns of a row's hash.
+ROW = ("_row_a", "_row_b")
 
 
 def _stretches(text: bytes, size: int):
@@ -55,15 +57,16 @@ def simhash(text: bytes, size: int = 3, seed: int = 42) -> int:
     return int(np.packbits(2 * counts > n, bitorder="little").view(np.int64)[0])
 
 
-def fingerprints(docs: DataFrame, size: int = 3) -> DataFrame:
-    """(doc_id, fp) of each row."""
+def fingerprints(docs: DataFrame, size: int = 3, keys: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, fp) of each row, and its keys (longs)."""
 
     def run(batches):
         for b in batches:
             fp = [simhash(t.as_buffer().to_pybytes(), size) for t in b["text"]]
-            yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(fp, pa.int64())], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(fp, pa.int64()), *(b[k] for k in keys)], names=["doc_id", "fp", *keys])
 
-    return in_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")), run, "doc_id long, fp long")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), *keys)
+    return in_arrow(rows, run, ", ".join(f"{c} long" for c in ("doc_id", "fp", *keys)))
 
 
 def _long(bits) -> int:
@@ -139,6 +142,12 @@ def links(fps: DataFrame, distance: int = 2) -> DataFrame:
     return every.distinct()
 
 
+def _rooted(classes: DataFrame, distance: int) -> DataFrame:
+    """classes (one row for each fp) with root, the least fp of the component."""
+    reached = components(links(classes.select("fp"), distance)).select(F.col("a").alias("fp"), F.col("b").alias("root"))
+    return classes.join(reached, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
 def near_duplicates(docs: DataFrame, size: int = 3, distance: int = 2) -> DataFrame:
     """Each row's fingerprint and component.
 
@@ -150,21 +159,24 @@ def near_duplicates(docs: DataFrame, size: int = 3, distance: int = 2) -> DataFr
     """
     rows = stored(fingerprints(docs, size), "fingerprints")
     classes = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    reached = components(links(classes.select("fp"), distance)).select(F.col("a").alias("fp"), F.col("b").alias("root"))
-    rooted = classes.join(reached, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    rooted = _rooted(classes, distance)
     roots = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = rooted.join(roots, "root").select("fp", "component_id")
     return rows.join(named, "fp").select("doc_id", "fp", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def deduplicated(docs: DataFrame, size: int = 3, distance: int = 2) -> DataFrame:
-    """docs without near duplicates, same columns: the row of the least doc_id of each component stays.
+    """docs without near duplicates, same columns: of each component the row of the least doc_id stays (null is the largest).
 
-    Of rows that share that doc_id one stays; where every doc_id of a component is null, one row.
+    Rows are told apart by a 128-bit hash of all their columns, so unlike texts may share a
+    doc_id or have none. Of a component's rows of that doc_id the least hash stays, of equal rows one.
     """
-    groups = near_duplicates(docs, size, distance).select(F.col("doc_id").alias("_id"), F.col("fp").alias("_fp"), F.col("component_id").alias("_least"))
-    stay = groups.where("_id <=> _least").groupBy("_id", "_least").agg(F.min("_fp").alias("_fp")).select("_id")
-    return docs.join(stay, F.col("doc_id").cast("long").eqNullSafe(F.col("_id"))).drop("_id").dropDuplicates(["doc_id"]).select(*docs.columns)
+    values = [*docs.columns, *(F.col(c).isNull() for c in docs.columns)]  # a hash leaves nulls out
+    keyed = docs.select("*", *(F.xxhash64(F.lit(i), *values).alias(k) for i, k in enumerate(ROW)))
+    rows = stored(fingerprints(keyed, size, ROW), "fingerprints")
+    classes = rows.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", *ROW)).alias("least"))
+    stay = _rooted(classes, distance).groupBy("root").agg(F.min("least").alias("least")).select(*(f"least.{k}" for k in ROW))
+    return keyed.join(stay, list(ROW)).dropDuplicates(list(ROW)).select(*docs.columns)
 
 
 def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

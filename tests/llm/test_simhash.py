@@ -86,3 +86,15 @@ def test_odd_tables(spark):
     rows = S.near_duplicates(spark.createDataFrame([(None, "a", "x", 1), (7, "a", "x", 1), (7, "a", "x", 1), (5, None, None, None)], kind)).collect()
     assert sorted((r.doc_id or -1, r.component_id) for r in rows) == [(-1, 7), (5, 5), (7, 7), (7, 7)]
     assert S.near_duplicates(spark.createDataFrame([], kind)).count() == 0
+
+
+def test_one_row_of_each_component_stays(spark):
+    r = random.Random(4)
+    prose = [" ".join(r.choice("abcdefghij") * r.randint(2, 9) for _ in range(60)) for _ in range(6)]
+    a, b, c, d, e, f = prose
+    rows = [(None, a, "x"), (None, b, "x"), (None, b, "x"), (7, c, "x"), (7, d, "x"), (3, c, "x"), (None, c, "x"), (5, e, "y"), (5, e, "x"), (7, None, "x"), (7, "x", None), (None, f, None), (9, f, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = sorted(map(tuple, S.deduplicated(docs).collect()), key=str)
+    assert [t for i, t, _ in got if i is None] == sorted([a, b]) and sorted(str(t) for i, t, _ in got if i == 7) == sorted(["None", d, "x"])
+    assert {(i, t) for i, t, _ in got if i in (3, 5, 9)} == {(3, c), (5, e), (9, f)} and len(got) == 8
+    assert got == sorted(map(tuple, S.deduplicated(docs.repartition(5)).collect()), key=str)
