@@ -113,32 +113,50 @@ def gc_normalised(df: DataFrame, sample: str = "sample", span: float | None = No
     return df.groupBy(sample).applyInPandas(fit, f"{sample} string, target string, norm double")
 
 
-def _split(x: np.ndarray, rng: np.random.Generator, alpha: float, permutations: int, least: int) -> tuple[int, int] | None:
-    """The arc of greatest mean difference in a series, if permutations say so."""
-    n = len(x)
-    if n < 2 * least:
-        return None
+def _arc(x: np.ndarray, least: int) -> tuple[float, int, int]:
+    """(t, start, end) of the arc of greatest mean difference in a series, over all arcs of at least so many values inside and outside.
 
-    def best(v: np.ndarray) -> tuple[float, int, int]:
-        s = np.concatenate(([0.0], np.cumsum(v - v.mean())))
-        i, j = np.triu_indices(n + 1, least)
+    Sums are cut into blocks; a pair of blocks is looked at in full only if the spread of its sums,
+    over the least weight an arc between them has, can beat the best arc so far. So it is exact at any length.
+    """
+    n = len(x)
+    s = np.concatenate(([0.0], np.cumsum(x - x.mean())))
+    size = max(16, int((n + 1) ** 0.5))
+    at = np.arange(0, n + 1, size)
+    ends = np.append(at[1:], n + 1)
+    low, high = np.minimum.reduceat(s, at), np.maximum.reduceat(s, at)
+    p, q = np.triu_indices(len(at))
+    k_low, k_high = np.maximum(least, at[q] - ends[p] + 1), np.minimum(n - least, ends[q] - 1 - at[p])
+    on = k_low <= k_high
+    p, q, k_low, k_high = p[on], q[on], k_low[on], k_high[on]
+    weight = np.minimum(k_low * (n - k_low), k_high * (n - k_high)) / n
+    bound = np.maximum(high[q] - low[p], high[p] - low[q]) / np.sqrt(weight)
+    best = (0.0, 0, 0)
+    for m in np.argsort(-bound, kind="stable"):
+        if bound[m] <= best[0]:
+            break
+        i, j = np.arange(at[p[m]], ends[p[m]])[:, None], np.arange(at[q[m]], ends[q[m]])[None, :]
         k = j - i
-        on = (k <= n - least) | (k == n)
-        i, j, k = i[on & (k < n)], j[on & (k < n)], k[on & (k < n)]
-        if not len(i):
-            return 0.0, 0, 0
-        t = np.abs(s[j] - s[i]) / np.sqrt(k * (n - k) / n)
+        good = (k >= least) & (k <= n - least)
+        t = np.where(good, np.abs(s[j] - s[i]) / np.sqrt(np.where(good, k * (n - k) / n, 1.0)), -1.0)
         b = int(np.argmax(t))
-        return float(t[b]), int(i[b]), int(j[b])
-
-    if n > 400:  # a coarse look first keeps the search bounded; ends are then refined
-        step = -(-n // 200)
-        coarse = np.add.reduceat(x, np.arange(0, n, step)) / np.diff(np.append(np.arange(0, n, step), n))
-        found = _split(coarse, rng, alpha, permutations, 2)
-        return None if found is None else (min(n, found[0] * step), min(n, found[1] * step))
-    top, i, j = best(x)
-    beyond = sum(best(rng.permutation(x))[0] >= top for _ in range(permutations))
-    return (i, j) if (beyond + 1) / (permutations + 1) <= alpha else None
+        if t.flat[b] > best[0]:
+            best = float(t.flat[b]), int(i[b // t.shape[1], 0]), int(j[0, b % t.shape[1]])
+    return best
+
+
+def _split(x: np.ndarray, rng: np.random.Generator, alpha: float, permutations: int, least: int) -> tuple[int, int] | None:
+    """The arc of greatest mean difference in a series, if permutations say so."""
+    if len(x) < 2 * least:
+        return None
+    top, i, j = _arc(x, least)
+    beyond, turn = 0, 0
+    while (beyond + 1) / (permutations + 1) <= alpha:  # more can only add to it
+        if turn == permutations:
+            return (i, j)
+        beyond += _arc(rng.permutation(x), least)[0] >= top
+        turn += 1
+    return None
 
 
 def circular_segments(x: np.ndarray, alpha: float = 0.01, permutations: int = 199, least: int = 2, undo_sd: float = 2.0, seed: int = 0) -> list[tuple[int, int, float]]:

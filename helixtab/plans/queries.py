@@ -778,7 +778,7 @@ def loess_norm(t):
 @query()
 def cbs_segments(t):
     daily = t.events.groupBy("event_type", F.floor(F.unix_timestamp("ts") / 3600).alias("hour")).agg(F.avg("value").alias("value"))
-    return N.segments(daily, ["event_type"], "hour", "value", permutations=49)
+    return N.segments(daily, ["event_type"], "hour", "value")
 
 
 BASES = "translate(md5(l_orderkey::VARCHAR), '0123456789abcdef', 'ACGTACGTACGTACGT')"

@@ -296,6 +296,32 @@ def test_copy_number(spark):
     assert (hit.run, hit.n_outer) == (3, 3) and N.intragenic(genes.where("lr > -1"), ["gene"], "pos", "lr", ratio=50).count() == 0
 
 
+def test_segments_at_full_resolution():
+    import numpy as np
+
+    r = np.random.default_rng(1)
+    for n in (4, 7, 100, 401, 777):
+        x = r.normal(0, 1, n).cumsum() if n % 2 else r.normal(0, 1, n)
+        s = np.concatenate(([0.0], np.cumsum(x - x.mean())))
+        i, j = np.triu_indices(n + 1, 2)
+        i, j = i[j - i <= n - 2], j[j - i <= n - 2]
+        top = (np.abs(s[j] - s[i]) / np.sqrt((j - i) * (n - j + i) / n)).max()
+        assert abs(N._arc(x, 2)[0] - top) < 1e-9 * max(1, top)
+    x = r.normal(0, 0.1, 5000)
+    x[3001:3009] += 1
+    assert [(p, q) for p, q, _ in N.circular_segments(x)] == [(0, 3001), (3001, 3009), (3009, 5000)]
+
+
+def test_segments_query_can_cut(spark, tmp_path):
+    from datetime import datetime, timedelta
+
+    from helixtab.plans import queries as Q
+
+    rows = [(h, datetime(2024, 1, 1) + timedelta(hours=h), h % 24, "click", (9.0 if 80 <= h < 120 else 1.0) + h % 3 / 10, "{}") for h in range(200)]
+    spark.createDataFrame(rows, "event_id long, ts timestamp, user_id long, event_type string, value double, payload string").write.parquet(str(tmp_path / "events.parquet"))
+    assert [r.n for r in Q.QUERIES["cbs_segments"](spark, str(tmp_path)).orderBy("start").collect()] == [80, 40, 80]
+
+
 def test_quality_plan(spark):
     facts = spark.createDataFrame([("s1", "1.0", "?"), ("s2", "", "3")], "sample string, a string, b string")
     later = spark.createDataFrame([("s1", "9")], "sample string, a string")
