@@ -15,8 +15,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
 #: Stands for a null doc_id where ids are compared: after all others.
 NO_ID = (1 << 63) - 1
-#: Rows that a Python task gets at a time; each batch is in the memory of the JVM and of Python.
-BATCH_ROWS = 500
+#: Bytes that a Python task gets at a time (but for a row that is longer); each batch is in the memory of the JVM and of Python.
+BATCH_BYTES = 4 << 20
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -24,9 +24,14 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share; a local one where none is set, as in tests."""
+    """The folder that the driver and all executors share: spark.checkpoint.dir, or the session's checkpoint folder.
+
+    Where neither is set, a local master gets a temporary one; on a cluster that would not be shared, so it is an error.
+    """
     known = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not known:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="helixtab-"))
         known = spark.sparkContext.getCheckpointDir()
     return known.rstrip("/")
@@ -94,10 +99,10 @@ def to_rows(docs: DataFrame, found: DataFrame, repeated: bool) -> DataFrame:
 
 
 def in_arrow(df: DataFrame, run: Callable, schema) -> DataFrame:
-    """df.mapInArrow(run, schema) in batches of few rows, as texts may be long: this lowers the session's rows a batch to BATCH_ROWS."""
-    spark, key = df.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(key, "10000")) <= BATCH_ROWS:
-        spark.conf.set(key, str(BATCH_ROWS))
+    """df.mapInArrow(run, schema) in batches of few bytes, as texts may be long: this lowers the session's bytes a batch to BATCH_BYTES."""
+    spark, key = df.sparkSession, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key) != f"{BATCH_BYTES}b":
+        spark.conf.set(key, f"{BATCH_BYTES}b")
     return df.mapInArrow(run, schema)
 
 

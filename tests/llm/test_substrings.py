@@ -89,6 +89,25 @@ def test_bytes(spark, docs, window, hot, monkeypatch):
     assert got(suffix_dedup.dedup(df, window), "n_bytes", "n_removed", "n_spans", "kept_sha256") == by_bytes(docs, window)
 
 
+@pytest.mark.parametrize("hot", [2000, 2])
+def test_collisions(spark, docs, hot, monkeypatch):
+    """Routing hashes of three bits: nearly all keys and regions collide, results stay."""
+    monkeypatch.setattr(_repeats, "HOT", hot)
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert got(substring_dedup.dedup(df, 20, hash_bits=7), "n_words", "n_removed", "kept_sha256") == by_words(docs, 20)
+    assert got(suffix_dedup.dedup(df, 40, hash_bits=7), "n_bytes", "n_removed", "n_spans", "kept_sha256") == by_bytes(docs, 40)
+
+
+def test_long_texts(spark):
+    """Two texts of over 100 KB that share most, and a third as a hot word."""
+    r = random.Random(3)
+    body = " ".join("w%d" % r.randrange(3000) for _ in range(25_000))
+    docs = [(1, body), (2, "start " + body[:60_000] + " middle " + body[60_000:]), (3, "x " * 70_000)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert got(substring_dedup.dedup(df), "n_words", "n_removed", "kept_sha256") == by_words(docs, 50)
+    assert got(suffix_dedup.dedup(df), "n_bytes", "n_removed", "n_spans", "kept_sha256") == by_bytes(docs, 100)
+
+
 def test_pieces(spark, docs, monkeypatch):
     """A text longer than a piece."""
     monkeypatch.setattr(_repeats, "PIECE", 300)
