@@ -298,7 +298,8 @@ def cut(docs: DataFrame, window: int, k: int, by_words: bool, settle, size: int,
     found = candidates(docs, window, k, by_words, bits)
     claims = found.where("repeat = 1").select("doc", "place", "rep_doc", "rep")
     open_ = found.where("repeat = 0")
-    hot = open_.groupBy("key").count().where(F.col("count") > HOT).select("key", F.lit(True).alias("hot"))
+    # tables of their own, so that a join with them can split what a common key has
+    hot = stored(open_.groupBy("key").count().where(F.col("count") > HOT).select("key", F.lit(True).alias("hot")), "hot")
     regions = _placed(open_.join(hot, "key", "left").withColumn("hot", F.coalesce("hot", F.lit(False))), "key", "place", "hot")
     wanted = stored(_wanted(claims, window, by_words), "wanted")
     cuts = _extracted(texts, regions, wanted, window, by_words)
@@ -307,7 +308,7 @@ def cut(docs: DataFrame, window: int, k: int, by_words: bool, settle, size: int,
     places = in_arrow(cold, by_key(settle, size), "doc long, place long")
     single = cuts.where("kind = 1").select(F.col("key").alias("hash"), "doc", "place")
     if not single.isEmpty():
-        least = single.groupBy("hash").agg(F.min(F.struct("doc", "place")).alias("least"))
+        least = stored(single.groupBy("hash").agg(F.min(F.struct("doc", "place")).alias("least"), F.count("*").alias("n")).where("n > 1"), "least")
         later = F.col("doc") > F.col("least.doc") if by_words else F.struct("doc", "place") > F.col("least")
         more = stored(single.join(least, "hash").where(later).select("doc", "place", F.col("least.doc").alias("rep_doc"), F.col("least.place").alias("rep")), "claims")
         also = _wanted(more, window, by_words)

@@ -1,6 +1,7 @@
 import math
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from helixtab.llm import lm_scoring as M
@@ -36,28 +37,44 @@ def slow_losses(docs, good, text, order):
     return out
 
 
-@pytest.mark.parametrize("order", [2, 3, 5])
-def test_against_brute_force(spark, order):
-    docs = [(1, "the cat sat on the mat"), (2, "éa èb " * 30), (3, None), (4, ""), (5, "THE CAT!! " * 20), (6, "a"), (7, "the dog sat on the log")]
-    good = [True, False, False, True, False, False, True]
-    df = spark.createDataFrame([(i, t, g, "x") for (i, t), g in zip(docs, good, strict=True)], "doc_id long, text string, good boolean, score string")
-    models = M.Models(M.count(df, order).toArrow(), order)
-    rows = {r.doc_id: r for r in M.score(df, models).collect()}
-    for i, t in docs:
-        want = slow_losses(docs, good, t or "", order)
-        assert rows[i].n_tokens == len((t or "").encode())
-        assert rows[i].target_loss == pytest.approx(want[0], rel=1e-4) and rows[i].background_loss == pytest.approx(want[1], rel=1e-4)
-        assert rows[i].score == pytest.approx(want[0] - want[1], abs=1e-4)
-
-
-def test_pieces(spark, monkeypatch):
-    df = spark.createDataFrame([(1, "some words again and again " * 40, True), (2, "more", False)], "doc_id long, text string, good boolean")
-    models = M.Models(M.count(df).toArrow())
-    texts = [b"some words again and again " * 40, b"", b"x", b"other words here"]
-    whole = models.sums(texts)
-    for chunk in (1, 7, 100):
-        monkeypatch.setattr(M, "CHUNK", chunk)
-        assert models.sums(texts) == pytest.approx(whole, rel=1e-6)
+DOCS = [(1, "the cat sat on the mat"), (2, "éa èb " * 30), (3, None), (4, ""), (5, "THE CAT!! " * 20), (6, "a"), (7, "the dog sat on the log"), (None, "no id")]
+GOOD = [True, False, False, True, False, False, True, False]
+
+
+@pytest.mark.parametrize("order,block,counted,chunk", [(2, 1 << 25, 1 << 22, 1 << 17), (3, 40, 7, 5), (5, 1 << 25, 1 << 22, 1 << 17), (5, 100, 50, 64)])
+def test_against_brute_force(spark, order, block, counted, chunk, monkeypatch):
+    monkeypatch.setattr(M, "BLOCK", block)
+    monkeypatch.setattr(M, "COUNTED", counted)
+    monkeypatch.setattr(M, "CHUNK", chunk)
+    df = spark.createDataFrame([(i, t, "x", 1) for i, t in DOCS], "doc_id long, text string, score string, good int")
+    labels = spark.createDataFrame([(i, int(g)) for (i, _), g in zip(DOCS, GOOD, strict=True)], "doc_id long, quality int")
+    for rows in (M.scored(df, labels, order), M.score(df, M.train(df, labels, order))):
+        got = {r.doc_id: r for r in rows.collect()}
+        assert len(got) == len(DOCS)
+        for i, t in DOCS:
+            want = slow_losses(DOCS, GOOD, t or "", order)
+            assert got[i].n_tokens == len((t or "").encode())
+            assert got[i].target_loss == pytest.approx(want[0], rel=1e-6) and got[i].background_loss == pytest.approx(want[1], rel=1e-6)
+            assert got[i].score == pytest.approx(want[0] - want[1], abs=1e-6)
+
+
+def test_texts_that_were_not_counted(spark):
+    df = spark.createDataFrame(DOCS, "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (7, 1)], "doc_id long, quality int")
+    text = "a bird sat on zzz " * 9_000  # over 100 KB
+    row = M.score(spark.createDataFrame([(9, text)], "doc_id long, text string"), M.train(df, labels)).first()
+    want = slow_losses(DOCS, [i in (1, 7) for i, _ in DOCS], text, M.ORDER)
+    assert row.score == pytest.approx(want[0] - want[1], abs=1e-6)
+
+
+def test_index():
+    r = np.random.default_rng(1)
+    codes = np.unique(r.integers(0, 1 << 40, 50_000, dtype=np.uint64))
+    index = M.Index(codes)
+    asked = np.concatenate((codes, codes + np.uint64(1)))
+    at = index.find(asked)
+    known = np.isin(asked, codes)
+    assert (index.codes[at[known]] == asked[known]).all() and (at[~known] == len(codes)).all()
 
 
 def test_tells_bad_from_good(spark):
