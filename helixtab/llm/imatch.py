@@ -3,7 +3,9 @@
 Terms whose inverse document frequency lies in a band are kept; the distinct terms of a
 document are sorted (by their 64-bit hashes, which stand for them) and hashed within each of many random subsets of that lexicon. Subsets
 come at several rates, so that short and long documents both have some with a few terms:
-an edit changes those that hold a changed term and leaves the others.
+an edit changes those that hold a changed term and leaves the others. The first level deals out
+the whole lexicon, so every kept term counts. Texts with few terms, of which the band may keep none,
+have subsets of all their terms besides.
 """
 
 from __future__ import annotations
@@ -16,8 +18,12 @@ from helixtab.llm._util import read, stored, to_rows, with_running, with_variant
 #: Share of documents that a term of the lexicon is in, at least and at most.
 RAREST, COMMONEST = 1 / 2000, 1 / 20
 #: (parts that a level deals the lexicon into, parts of it that are subsets).
-LEVELS = ((16, 8), (64, 12), (256, 24), (1024, 24), (4096, 24))
+LEVELS = ((16, 16), (64, 12), (256, 24), (1024, 24), (4096, 24))
 SLOTS = sum(n for _, n in LEVELS)
+#: Subsets that deal out all terms of a text of so many different terms at most, or of one without a kept term.
+OWN, SHORT = 16, 64
+#: Rows of the lexicon up to which it is broadcast; a larger one is joined by shuffle.
+MOST_BROADCAST = 1_000_000
 #: Hexadecimal digits of a subset's hash; an empty subset has dashes.
 DIGITS = 4
 
@@ -50,14 +56,15 @@ def lexicon(texts: DataFrame, n: int) -> DataFrame:
 
 def likeness(a: Column, b: Column) -> Column:
     """Share of subsets with equal hashes, among those that are not empty in both, of the
-    coarsest level whose subsets mostly hold a term or none, and all finer ones; 1 for equal fingerprints.
+    coarsest level whose subsets mostly hold a term or none, and all finer ones, and those of all terms; 1 for equal fingerprints.
     """
     counts, first = [], 0
-    for _, subsets in LEVELS:
+    for _, subsets in (*LEVELS, (OWN, OWN)):
         pairs = F.arrays_zip(F.slice(a["hashes"], first + 1, subsets).alias("x"), F.slice(b["hashes"], first + 1, subsets).alias("y"))
         some = F.filter(pairs, lambda p: (p["x"] >= 0) | (p["y"] >= 0))
         same = F.size(F.filter(some, lambda p: p["x"] == p["y"]))
-        counts.append(F.struct(F.size(some).alias("some"), same.alias("same"), (F.size(some) <= 0.75 * subsets).alias("fits")))
+        fits = F.size(some) <= 0.75 * subsets if first < SLOTS else F.size(some) > 0
+        counts.append(F.struct(F.size(some).alias("some"), same.alias("same"), fits.alias("fits")))
         first += subsets
     every = F.aggregate(
         F.array(*counts), F.struct(F.lit(0).alias("some"), F.lit(0).alias("same"), F.lit(False).alias("fits")),
@@ -74,31 +81,44 @@ def _shown(f: Column) -> Column:
     return F.concat(F.lpad(F.lower(F.hex(f["whole"])), 16, "0"), F.array_join(digits, ""))
 
 
-def fingerprints(texts: DataFrame, words: DataFrame, sides: list[str]) -> DataFrame:
-    """(doc, variant, prints) for the texts in the columns sides; texts is partitioned by doc and variant.
+def fingerprints(texts: DataFrame, words: DataFrame) -> DataFrame:
+    """(doc, variant, kept_text, kept_edited) for texts (doc, variant, text, edited): for each of both the hashes of the lexicon's
+    subsets, -1 where one is empty; null if all are. A document without a kept term has no row.
 
-    prints has, for each side, whole (hash of the hashes) and hashes, -1 where a subset is
-    empty; null where no term of that text is in a subset. If none is in any, there is no row.
+    Terms that both have are looked up once. words: the lexicon; it is broadcast if it is small.
     """
-    each = texts.select("doc", "variant", F.posexplode(F.array(*sides)).alias("side", "text"))
-    found = each.select("doc", "variant", "side", F.explode(terms(F.col("text"))).alias("word")).select("doc", "variant", "side", F.xxhash64("word").alias("term"))
-    found = found.join(F.broadcast(words), "term").select("doc", "variant", "term", F.explode("slots").alias("slot"), "side")
-    hashed = F.xxhash64(F.sort_array(F.collect_list("term")))
-    slots = found.groupBy("doc", "variant", (F.col("side") * SLOTS + F.col("slot")).alias("slot")).agg(hashed.alias("h"))
-    got = slots.groupBy("doc", "variant").agg(F.map_from_entries(F.collect_list(F.struct("slot", "h"))).alias("by"))
-    size = 1 << 4 * DIGITS
+    a, b = terms(F.col("text")), terms(F.col("edited"))
+    each = texts.select("doc", "variant", F.posexplode(F.array(F.array_intersect(a, b), F.array_except(a, b), F.array_except(b, a))).alias("side", "words"))
+    found = each.select("doc", "variant", "side", F.explode("words").alias("word")).select("doc", "variant", "side", F.xxhash64("word").alias("term"))
+    small = words.count() <= MOST_BROADCAST
+    found = found.join(F.broadcast(words) if small else words.hint("merge"), "term").select("doc", "variant", "term", F.explode("slots").alias("slot"), "side")
 
-    def of(side: int) -> Column:
-        every = F.transform(F.sequence(F.lit(side * SLOTS), F.lit(side * SLOTS + SLOTS - 1)), lambda i: F.try_element_at(F.col("by"), i))
-        some = F.exists(every, lambda h: h.isNotNull())
-        return F.when(some, F.struct(F.xxhash64(every).alias("whole"), F.transform(every, lambda h: F.coalesce(F.pmod(h, F.lit(size)).cast("int"), F.lit(-1))).alias("hashes")))
+    def hashed(other: int) -> Column:
+        own = F.sort_array(F.collect_list(F.when(F.col("side") != other, F.col("term"))))
+        return F.when(F.size(own) > 0, F.pmod(F.xxhash64(own), F.lit(1 << 4 * DIGITS)).cast("int"))
 
-    return got.select("doc", "variant", *[of(i).alias(f"print_{c}") for i, c in enumerate(sides)])
+    slots = found.groupBy("doc", "variant", "slot").agg(hashed(2).alias("text"), hashed(1).alias("edited"))
+    got = slots.groupBy("doc", "variant").agg(F.map_from_entries(F.collect_list(F.struct("slot", F.struct("text", "edited")))).alias("by"))
 
+    def of(side: str) -> Column:
+        every = F.transform(F.sequence(F.lit(0), F.lit(SLOTS - 1)), lambda i: F.coalesce(F.try_element_at(F.col("by"), i)[side], F.lit(-1)))
+        return F.when(F.exists(every, lambda h: h >= 0), every)
 
-def _plain(text: Column) -> Column:
-    """The print of a text without kept terms: a hash of all its terms, and empty subsets."""
-    return F.struct(F.xxhash64(F.concat(F.lit("plain "), F.array_join(F.sort_array(terms(text)), " "))).alias("whole"), F.array_repeat(F.lit(-1), SLOTS).alias("hashes"))
+    return got.select("doc", "variant", *[of(c).alias(f"kept_{c}") for c in ("text", "edited")])
+
+
+def _print(kept: Column, text: Column) -> Column:
+    """(whole, hashes) of a text, from the hashes of its kept terms' subsets (null: no kept term)."""
+    own = F.sort_array(F.transform(F.filter(terms(text), lambda w: w != ""), lambda w: F.xxhash64(w)))
+
+    def dealt(own: Column) -> Column:
+        subset = lambda i: F.filter(own, lambda t: F.pmod(t, F.lit(OWN)) == i)
+        return F.transform(F.sequence(F.lit(0), F.lit(OWN - 1)), lambda i: F.when(F.exists(own, lambda t: F.pmod(t, F.lit(OWN)) == i), F.pmod(F.xxhash64(subset(i)), F.lit(1 << 4 * DIGITS)).cast("int")).otherwise(-1))
+
+    short = F.get(F.transform(F.array(own), lambda own: F.when(kept.isNull() | (F.size(own) <= SHORT), F.struct(F.xxhash64(own).alias("all"), dealt(own).alias("hashes")))), F.lit(0))
+    none = F.array_repeat(F.lit(-1), OWN)
+    of = F.get(F.transform(F.array(short), lambda s: F.struct(F.coalesce(s["all"], F.lit(0)).alias("all"), F.concat(F.coalesce(kept, F.array_repeat(F.lit(-1), SLOTS)), F.coalesce(s["hashes"], none)).alias("hashes"))), F.lit(0))
+    return F.get(F.transform(F.array(of), lambda x: F.struct(F.xxhash64(x["all"], x["hashes"]).alias("whole"), x["hashes"].alias("hashes"))), F.lit(0))
 
 
 def compare_edits(docs: DataFrame) -> DataFrame:
@@ -108,7 +128,8 @@ def compare_edits(docs: DataFrame) -> DataFrame:
     as much of the next document's start, in descending doc_id (a null doc_id is the largest);
     rows that repeat a doc_id and text are one document in that order, and get a row each;
     different texts under a doc_id follow each other in their order. A null text is empty. A
-    text without terms in the band is fingerprinted by all its terms. An empty table gives none.
+    text without terms in the band, or with few terms, is fingerprinted by all its terms too; a text without terms is like another.
+    A very long text has a row for each kept term and subset. An empty table gives none.
     Returns doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
     """
     rows, repeated = with_variant(docs)
@@ -122,12 +143,12 @@ def compare_edits(docs: DataFrame) -> DataFrame:
     order = ranked.select("doc", "variant", "rank").join(before, "rank").drop("rank")
     starts = rows.join(order, ["doc", "variant"]).select(F.col("to_doc").alias("doc"), F.col("to_variant").alias("variant"), "need", F.expr("left(text, need)").alias("start"))
     both = rows.join(starts, ["doc", "variant"]).withColumn("edited", F.concat(F.expr("left(text, length(text) - need)"), F.col("start")))
-    prints = fingerprints(both, lexicon(rows, n), ["text", "edited"])
+    prints = fingerprints(both, stored(lexicon(rows, n), "lexicon"))
     facts = both.select("doc", "variant", "text", "edited")
     out = stored(
         facts.join(prints, ["doc", "variant"], "left").select(
             "doc", "variant", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
-            F.coalesce("print_text", _plain(F.col("text"))).alias("p"), F.coalesce("print_edited", _plain(F.col("edited"))).alias("e"),
+            _print(F.col("kept_text"), F.col("text")).alias("p"), _print(F.col("kept_edited"), F.col("edited")).alias("e"),
         ), "prints",
     )
     following = out.select("doc", "variant", F.col("p").alias("q")).join(order, ["doc", "variant"]).select(F.col("to_doc").alias("doc"), F.col("to_variant").alias("variant"), "q")

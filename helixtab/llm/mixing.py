@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from helixtab.llm._util import WORD, read, with_running, words
+from helixtab.llm._util import WORD, read, renamed, with_running, words
 
 #: Weights of the sources in order, over and over; share of all words; passes over a source at most.
 WEIGHTS, SHARE_HALVES, PASSES = (5, 2, 1), 3, 2
@@ -77,26 +77,29 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, seed: str = "mix",
     rows = ranged.groupBy(*key).agg(F.sum(taken).alias("taken"), F.expr(f"count(*) div {PASSES}").cast("int").alias("alike"))
     return rows.withColumn("alike", F.explode(F.array_repeat(F.lit(0), F.col("alike")))).drop("before", "alike")
 
+
 def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, seed: str = "mix") -> DataFrame:
     """docs as the mix has them, same columns: a row for each time a document is taken.
 
     The document at the budget is cut to the words taken, joined by one space; n_chars, if there, follows. Rows
-    that share doc_id, source and text are taken together and given by one of them.
+    that share doc_id, source and text are taken together and given by one of them. A null text has no words and isn't taken;
+    a null doc_id or source is one like others. Columns of any name stay. An empty table gives none.
     """
-    keyed = docs.withColumn("_key", F.xxhash64(F.coalesce("text", F.lit(""))))
-    named = {c: F.col(c) for c in ("doc_id", "source")}
-    first = keyed.dropDuplicates(["doc_id", "source", "_key"])
-    takes = mix(docs, weights, seed, carry=F.xxhash64(F.coalesce("text", F.lit(""))))
-    takes = takes.groupBy("doc_id", "source", "carried").agg(F.sum("taken").alias("_taken"), F.any_value("size").alias("_size")).where("_taken > 0")
-    takes = takes.select(*[named[c].alias(f"_{c}") for c in named], F.col("carried").alias("_carried"), "_taken", "_size")
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_doc_id")) & F.col("source").eqNullSafe(F.col("_source")) & (F.col("_key") == F.col("_carried"))
-    parts = F.filter(F.array_append(F.array_repeat(F.col("_size"), F.expr("int(_taken div _size)")), F.expr("_taken % _size")), lambda n: n > 0)
-    rows = first.join(takes, same).withColumn("_part", F.explode(parts))
-    text = F.when(F.col("_part") == F.col("_size"), F.col("text")).otherwise(F.array_join(F.slice(words(F.col("text")), F.lit(1), F.col("_part").cast("int")), " "))
+    own = renamed(docs)
+    name = dict(zip(docs.columns, own.columns, strict=True))
+    doc_id, source, key = F.col(name["doc_id"]), F.col(name["source"]), F.xxhash64(F.coalesce("text", F.lit("")))
+    keyed = own.withColumn("key", key)
+    first = keyed.dropDuplicates([name["doc_id"], name["source"], "key"])
+    takes = mix(keyed.select(doc_id.alias("doc_id"), source.alias("source"), "text", "key"), weights, seed, carry=F.col("key"))
+    takes = takes.groupBy("doc_id", "source", "carried").agg(F.sum("taken").alias("taken"), F.any_value("size").alias("size")).where("taken > 0")
+    same = doc_id.cast("long").eqNullSafe(F.col("doc_id")) & source.eqNullSafe(F.col("source")) & (F.col("key") == F.col("carried"))
+    parts = F.filter(F.array_append(F.array_repeat(F.col("size"), F.expr("int(taken div size)")), F.expr("taken % size")), lambda n: n > 0)
+    rows = first.join(takes, same).withColumn("part", F.explode(parts))
+    text = F.when(F.col("part") == F.col("size"), F.col("text")).otherwise(F.array_join(F.slice(words(F.col("text")), F.lit(1), F.col("part").cast("int")), " "))
     out = rows.withColumn("text", text)
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+    if "n_chars" in name:
+        out = out.withColumn(name["n_chars"], F.length("text").cast(docs.schema["n_chars"].dataType))
+    return out.select(*own.columns).toDF(*docs.columns)
 
 
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

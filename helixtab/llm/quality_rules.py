@@ -8,14 +8,16 @@ words in content lines decides whether the document stays.
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from helixtab.llm import _hashes as H
-from helixtab.llm._util import read, with_found
+from helixtab.llm._util import in_arrow, read, with_found
 
 FEATURES = ("bias", "few words", "many words", "upper share", "symbol share", "marks a word", "bars", "digit share", "shouts", "sentence end", "repeated", "stutter")
-#: Where training starts and what it is drawn to: the scores (content minus boilerplate) of a plain reading of FEATURES.
+#: Where training starts, and what it is drawn to a little: the scores (content minus boilerplate) of a plain reading of FEATURES.
 PRIOR = np.array([1.5, -0.3, 0.3, -3.0, -6.0, -1.0, -4.0, -1.5, -3.0, 0.5, -2.0, -5.0])
 PRIOR_STAY = 0.7
 
@@ -90,7 +92,7 @@ class Crf:
     def __init__(self, theta: np.ndarray | None = None):
         self.theta = np.append(PRIOR, PRIOR_STAY) if theta is None else theta
 
-    def fit(self, chains: list[tuple[np.ndarray, np.ndarray]], steps: int = 150, rate: float = 0.5, pull: float = 0.02) -> Crf:
+    def fit(self, chains: list[tuple[np.ndarray, np.ndarray]], steps: int = 150, rate: float = 0.5, pull: float = 0.001) -> Crf:
         """Maximum likelihood with a normal prior around PRIOR, by gradient ascent; chains: (features, labels)."""
         if not chains:
             return self
@@ -129,27 +131,34 @@ class Crf:
         return viterbi(features @ self.theta[:-1], self.theta[-1])
 
 
-def train(docs: DataFrame, labels: DataFrame, most_docs: int = 1200, most_lines: int = 60) -> Crf:
-    """Fit on labelled documents, good (all lines content) and bad (all boilerplate), but for what
-    a line tells by itself: a line of a bad document that the prior calls plain prose is content.
+def train(docs: DataFrame, labels: DataFrame, most_docs: int = 1200, most_chains: int = 1500, stretch: int = 50) -> Crf:
+    """Fit on labelled documents: lines of a good one are content, of a bad one boilerplate.
 
-    A classifier's sample: at most most_docs labelled documents, the first by a hash of doc_id
-    (half of them bad, if there are so many), and their first most_lines lines.
+    A classifier's sample: at most most_docs labelled doc_ids, the first by a hash (half of them bad, if
+    there are so many), of whose lines with words, cut into stretches of stretch lines, most_chains are drawn by a hash.
+    Lines are read where the texts are; features of those stretches reach the driver.
     """
+    known = labels.where("doc_id is not null").groupBy(F.col("doc_id").alias("_id")).agg(F.max("quality").alias("_good"))
     chosen = None
     for quality in (0, 1):
-        part = labels.where(F.col("quality") == quality).select(F.col("doc_id").alias("_id"), F.col("quality").alias("_good")).distinct().orderBy(F.xxhash64("_id"), "_id").limit(most_docs // 2)
+        part = known.where(F.col("_good") == quality).orderBy(F.xxhash64("_id"), "_id").limit(most_docs // 2)
         chosen = part if chosen is None else chosen.unionAll(part)
-    rows = docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).where("text is not null").select("doc_id", "_good", F.substring_index("text", "\n", most_lines).alias("text")).collect()
+    rows = docs.select(F.col("doc_id").alias("_doc"), "text").join(F.broadcast(chosen), F.col("_doc") == F.col("_id")).where("text is not null").select(F.col("_doc").cast("string").alias("doc"), "text", "_good")
+
+    def read_lines(batches):
+        for b in batches:
+            out = []
+            for doc, text, good in zip(*(b[c].to_pylist() for c in ("doc", "text", "_good")), strict=True):
+                x, words = line_features(np.frombuffer((text + "\n").encode(), np.uint8), repeated_lines(text))
+                x = x[words > 0]
+                out += [(xxhash.xxh64_intdigest(f"{doc}:{at}") >> 1, good, x[at : at + stretch].tobytes()) for at in range(0, len(x), stretch)]
+            yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], k) for i, k in enumerate((pa.int64(), pa.int64(), pa.binary()))], names=["draw", "good", "features"])
+
+    drawn = in_arrow(rows, read_lines, "draw long, good long, features binary").orderBy("draw", "good", "features").limit(most_chains).collect()
     chains = []
-    for row in sorted(rows, key=lambda r: (r.doc_id, r.text)):
-        x, words = line_features(np.frombuffer((row.text + "\n").encode(), np.uint8), repeated_lines(row.text))
-        if row["_good"]:
-            y = np.where(x[:, FEATURES.index("repeated")] > 0, 0, 1)
-        else:
-            y = (x @ PRIOR > 1.0).astype(int)
-        if (words > 0).any():
-            chains.append((x[words > 0], y[words > 0]))
+    for r in drawn:
+        x = np.frombuffer(r.features).reshape(-1, len(FEATURES))
+        chains.append((x, np.full(len(x), r.good)))
     return Crf().fit(chains)
 
 
@@ -193,7 +202,8 @@ def assess(docs: DataFrame, crf: Crf) -> DataFrame:
     """docs with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, content_share, kept.
 
     docs: text and any other columns, which stay (a column with one of these names is replaced).
-    A null or empty text has no words, fails and is not kept.
+    A null or empty text has no words, fails and is not kept. Each row is judged by itself, whole, however long and
+    whether or not another is like it. An empty table gives none.
     """
     return with_found(docs, SCHEMA, lambda text: judge(text or "", crf))
 

@@ -2,7 +2,9 @@
 
 Two first-order character models, one of random strings and one of ordinary identifiers, are
 trained from labelled samples; a long token whose log-likelihood ratio per character passes
-the threshold that the samples give is a secret too.
+the threshold that the samples give is a secret too. Samples are the strings of labelled documents:
+what the base patterns find there is random, the words and identifiers of good ones are ordinary. As few
+documents hold secrets, strings drawn as generators of keys draw them are random samples too.
 """
 
 from __future__ import annotations
@@ -12,10 +14,11 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from helixtab.llm._util import read, with_found
+from helixtab.llm._util import in_arrow, read, stored, with_found
 
 #: The base patterns, their least lengths and the group that is measured.
 BASE = (
@@ -40,29 +43,27 @@ def base_spans(text: str) -> list[Span]:
     return sorted(out, key=lambda s: (s[0], KINDS[s[2]]))
 
 
-class Markov:
-    """Log ratio of each pair of characters, random against ordinary, and the threshold per character."""
+CODE = {c: i + 1 for i, c in enumerate(ALPHABET)}
+SIZE = len(ALPHABET) + 1
+#: Width of a bin of scores, and how many there are on each side of zero.
+BIN, BINS = 0.01, 1000
 
-    def __init__(self, random_strings: list[str], ordinary: list[str]):
-        self.code = {c: i + 1 for i, c in enumerate(ALPHABET)}
-        self.ratio = self._logs(random_strings) - self._logs(ordinary)
-        low = [self.score(s) for s in random_strings]
-        high = [self.score(s) for s in ordinary]
-        # between the classes: all but a thousandth of the ordinary strings stay below
-        self.threshold = max(float(np.quantile(high, 0.999)), float(np.quantile(low, 0.01)) / 2) if high and low else 0.5
 
-    def _pairs(self, s: str):
-        codes = [0, *(self.code[c] for c in s if c in self.code)]
-        return codes[:-1], codes[1:]
+def pairs(s: str) -> tuple[list[int], list[int]]:
+    """The characters of s that are in ALPHABET, each after the one before it (0: the start)."""
+    codes = [0, *(CODE[c] for c in s if c in CODE)]
+    return codes[:-1], codes[1:]
+
+
+class Markov:
+    """Log ratio of each pair of characters, random against ordinary, and the threshold per character."""
 
-    def _logs(self, strings: list[str]) -> np.ndarray:
-        counts = np.full((len(ALPHABET) + 1, len(ALPHABET) + 1), 0.5)
-        for s in strings:
-            np.add.at(counts, self._pairs(s), 1)
-        return np.log(counts / counts.sum(axis=1, keepdims=True))
+    def __init__(self, random_pairs: np.ndarray, ordinary_pairs: np.ndarray, threshold: float = float("inf")):
+        logs = [np.log((c + 0.5) / (c + 0.5).sum(axis=1, keepdims=True)) for c in (random_pairs, ordinary_pairs)]
+        self.ratio, self.threshold = logs[0] - logs[1], threshold
 
     def score(self, s: str) -> float:
-        a, b = self._pairs(s)
+        a, b = pairs(s)
         return float(self.ratio[a, b].sum()) / max(1, len(a))
 
     def spans(self, text: str, taken: list[Span]) -> list[Span]:
@@ -77,38 +78,81 @@ class Markov:
         return out
 
 
-def random_samples(n: int = 3000, seed: int = 11) -> list[str]:
+def generated(n: int = 3000, seed: int = 11) -> list[str]:
     """Strings as generators of keys make them: hex, base 32, base 62 and base 64."""
     r = random.Random(seed)
     kinds = ("0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", ALPHABET[:62], ALPHABET[:64])
     return ["".join(r.choice(kinds[i % 4]) for _ in range(r.randint(20, 48))) for i in range(n)]
 
 
-def ordinary_samples(docs: DataFrame, labels: DataFrame, most_docs: int = 300, most_chars: int = 4000, most_words: int = 150) -> list[str]:
-    """Identifiers from documents labelled good: words, and words joined as identifiers are.
-
-    A classifier's sample: at most most_docs labelled documents, the first by a hash of doc_id, and
-    at most most_words words in the first most_chars characters of each. All texts are scanned whole.
+def samples(text: str, good: bool) -> list[tuple[int, str]]:
+    """(1, random string) for what the base patterns find; of a good document (0, ordinary string) too:
+    its long words, and each three words in a row joined as identifiers are.
+    """
+    base = base_spans(text)
+    out = []
+    for start, end, kind in base:
+        value = text[start:end]
+        m = BASE[0][1].fullmatch(value) if kind == "assign" else None
+        out.append((1, m[2] if m else value))
+    if good:
+        for start, end, _ in base:
+            text = text[:start] + " " * (end - start) + text[end:]
+        words = re.findall("[A-Za-z]+", text)
+        out += [(0, w) for w in words if len(w) >= 8]
+        for i in range(0, len(words) - 2, 3):
+            part = words[i : i + 3]
+            out.append((0, ("_".join(part).lower(), "-".join(part), "".join(x.title() for x in part), "_".join(part).upper() + str(i))[i // 3 % 4]))
+    return out
+
+
+def train(docs: DataFrame, labels: DataFrame, most_docs: int = 3000) -> Markov:
+    """The models of labelled documents, whole.
+
+    A classifier's sample: at most most_docs labelled doc_ids, the first by a hash. Pairs are counted and scores put into bins where the
+    texts are, so the driver gets tables of fixed size. Where ordinary samples lack, no token passes.
     """
-    good = labels.where("quality = 1").select(F.col("doc_id").alias("_id")).distinct().orderBy(F.xxhash64("_id"), "_id").limit(most_docs)
-    rows = docs.join(F.broadcast(good), F.col("doc_id") == F.col("_id")).select("doc_id", F.substring("text", 1, most_chars).alias("text")).collect()
-    r, out = random.Random(5), []
-    for row in sorted(rows, key=lambda x: (x.doc_id, x.text or "")):
-        text = row.text or ""
-        for s, e, _ in base_spans(text):
-            text = text[:s] + " " * (e - s) + text[e:]
-        found = [w for w in re.findall(r"[A-Za-z]+", text)][:most_words]
-        out += [w for w in found if len(w) >= 8]
-        for i in range(0, len(found) - 3, 3):
-            part = found[i : i + 3]
-            style = r.randrange(4)
-            out.append(("_".join(part).lower(), "-".join(part), "".join(x.title() for x in part), "_".join(part).upper() + str(r.randrange(1000)))[style])
-    #: identifiers that a program has, where no document is labelled
-    return out or ["get_user_name_by_id", "ConnectionPoolFactory", "MAX_RETRY_COUNT_DEFAULT", "parse-command-line-options", "HttpRequestHandlerFactory", "test_input_is_not_empty"] * 20
-
-
-def train(docs: DataFrame, labels: DataFrame) -> Markov:
-    return Markov(random_samples(), ordinary_samples(docs, labels))
+    chosen = labels.where("doc_id is not null and quality is not null").groupBy(F.col("doc_id").alias("_id")).agg(F.max("quality").alias("_good")).orderBy(F.xxhash64("_id"), "_id").limit(most_docs)
+    rows = docs.select(F.col("doc_id").alias("_doc"), "text").join(F.broadcast(chosen), F.col("_doc") == F.col("_id")).where("text is not null").select("text", (F.col("_good") == 1).alias("good"))
+    rows = stored(rows, "samples")
+
+    def count(batches):
+        total = np.zeros((2, SIZE, SIZE), np.int64)
+        for b in batches:
+            for text, good in zip(b["text"].to_pylist(), b["good"].to_pylist(), strict=True):
+                for kind, s in samples(text, good):
+                    np.add.at(total[kind], pairs(s), 1)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total.ravel()[at])], names=["at", "n"])
+
+    def table(run, size: int) -> np.ndarray:
+        out = np.zeros(size)
+        for r in in_arrow(rows, run, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).collect():
+            out[r["at"]] = r["n"]
+        return out
+
+    counted, drawn = table(count, 2 * SIZE * SIZE).reshape(2, SIZE, SIZE), generated()
+    for x in drawn:
+        np.add.at(counted[1], pairs(x), 1)
+    model = Markov(counted[1], counted[0])
+
+    def binned(batches):
+        total = np.zeros((2, 2 * BINS + 1), np.int64)
+        for b in batches:
+            for text, good in zip(b["text"].to_pylist(), b["good"].to_pylist(), strict=True):
+                for kind, s in samples(text, good):
+                    total[kind, min(max(round(model.score(s) / BIN), -BINS), BINS) + BINS] += 1
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total.ravel()[at])], names=["at", "n"])
+
+    ordinary, random_ = table(binned, 2 * (2 * BINS + 1)).reshape(2, 2 * BINS + 1)
+    for x in drawn:
+        random_[min(max(round(model.score(x) / BIN), -BINS), BINS) + BINS] += 1
+    if ordinary.sum():
+        quantile = lambda n, q: (int(np.searchsorted(np.cumsum(n), q * n.sum())) - BINS) * BIN
+        # between the classes: all but a thousandth of the ordinary strings stay below
+        model.threshold = max(quantile(ordinary, 0.999), quantile(random_, 0.01) / 2)
+    return model
 
 
 SCHEMA = "n_assign long, n_access long, n_hex long, base_sha256 string, spans string, redacted string"
@@ -132,7 +176,8 @@ def scan(docs: DataFrame, model: Markov, with_text: bool = True) -> DataFrame:
     """docs with n_assign, n_access, n_hex, base_sha256, spans and redacted (its text with spans masked).
 
     docs: text and any other columns, which stay (a column with one of these names is replaced).
-    A null text is empty and stays null in redacted. Spans are code points, end exclusive.
+    A null text is empty and stays null in redacted. Spans are code points, end exclusive. Each row is scanned by itself, whole,
+    however long and whether or not another is like it. An empty table gives none.
     """
 
     def found(text: str | None) -> tuple:

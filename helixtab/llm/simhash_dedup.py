@@ -107,7 +107,9 @@ def links(fps: DataFrame, distance: int = 2) -> DataFrame:
         return [_long(set(rest) - set(gone)) for gone in combinations(rest, min(k, len(rest)))]
 
     branches: list[tuple[list[int], list[int]]] = [([], list(range(64)))]  # bits that are equal, the others
-    rows = fps.select("fp", F.lit(0).alias("branch"))
+    # each is taken 64-fold, so they are dealt out first, by a number that adaptive execution keeps
+    n = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = fps.select("fp", F.lit(0).alias("branch")).repartition(n, "fp")
     for depth in range(2):
         cross, equal = [], []  # (branch, mask, bit, other half), (branch, mask, equal bits, other half)
         for i, (same, rest) in enumerate(branches):

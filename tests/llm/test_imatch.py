@@ -1,5 +1,9 @@
 import hashlib
 import random
+import re
+import struct
+
+import xxhash
 
 from helixtab.llm import imatch as I  # noqa: E741
 
@@ -32,11 +36,79 @@ def test_fingerprints(spark):
     by = {r.doc_id: r for r in rows}
     assert by[5].fingerprint == by[6].fingerprint == by[0].fingerprint and by[6].near_next == 1.0
     assert all(0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1 for r in rows)
-    assert all(len(r.fingerprint) == 16 + I.SLOTS * I.DIGITS for r in rows)
+    assert all(len(r.fingerprint) == 16 + (I.SLOTS + I.OWN) * I.DIGITS for r in rows)
     texts = dict(docs)
     assert len({r.fingerprint for r in rows if texts[r.doc_id] and texts[r.doc_id].strip()}) == len({t for t in texts.values() if t and t.strip()})
 
 
+def xx(*values):
+    """XXH64 of values one after the other, as a signed long."""
+    h = 42
+    for v in values:
+        h = xxhash.xxh64_intdigest(v.encode() if isinstance(v, str) else struct.pack("<q" if kind_of(v) == "long" else "<i", int(v)), h)
+    return h - (1 << 64) if h >> 63 else h
+
+
+def kind_of(v):
+    return "long" if isinstance(v, Long) else "int"
+
+
+class Long(int):
+    pass
+
+
+def slow_print(text, kept):
+    words = {w for w in re.split(r"[\x00-/:-`{-\x7f]+", text.lower()) if w}
+    every = sorted(xx(w) for w in words)
+    mine = [t for t in every if t in kept]
+    subset = lambda terms: xx(*map(Long, terms)) % (1 << 16) if terms else -1
+    hashes = []
+    for seed, (parts, subsets) in enumerate(I.LEVELS):
+        dealt = {}
+        for t in mine:
+            dealt.setdefault(xx(Long(t), seed) % parts, []).append(t)
+        hashes += [subset(dealt.get(i, [])) for i in range(subsets)]
+    short = not mine or len(every) <= I.SHORT
+    hashes += [subset([t for t in every if t % I.OWN == i]) if short else -1 for i in range(I.OWN)]
+    whole = xx(Long(xx(*map(Long, every)) if short else 0), *hashes)
+    return whole, hashes
+
+
+def slow_likeness(a, b):
+    if a == b:
+        return 1.0
+    some = same = first = 0
+    fits = False
+    for _, subsets in (*I.LEVELS, (I.OWN, I.OWN)):
+        pairs = [(x, y) for x, y in zip(a[1][first : first + subsets], b[1][first : first + subsets], strict=True) if x >= 0 or y >= 0]
+        fits = fits or (len(pairs) <= 0.75 * subsets if first < I.SLOTS else bool(pairs))
+        if fits:
+            some, same = some + len(pairs), same + sum(x == y for x, y in pairs)
+        first += subsets
+    return same / some if some else 0.0
+
+
+def test_prints_against_brute_force(spark):
+    r = random.Random(4)
+    words = ["w%d" % i for i in range(900)]
+    docs = [(i, " ".join(r.choice(words) for _ in range(r.choice((2, 30, 90, 400))))) for i in range(60)] + [(60, "x " * 60_000), (61, "")]
+    docs = sorted(docs, reverse=True)
+    texts = [t for _, t in docs]
+    edited = [t[: len(t) - len(t) // 3] + texts[(i + 1) % len(texts)][: len(t) // 3] for i, t in enumerate(texts)]
+    df = {}
+    for t in texts:
+        for w in set(t.split()):
+            df[w] = df.get(w, 0) + 1
+    kept = {xx(w) for w, n in df.items() if n >= len(docs) * I.RAREST and n <= max(1.0, len(docs) * I.COMMONEST)}
+    prints, edits_ = [slow_print(t, kept) for t in texts], [slow_print(t, kept) for t in edited]
+    shown = lambda f: f"{f[0] % (1 << 64):016x}" + "".join("----" if h < 0 else f"{h:04x}" for h in f[1])
+    got = {x.doc_id: x for x in I.compare_edits(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    for i, (d, _) in enumerate(docs):
+        assert got[d].fingerprint == shown(prints[i]) and got[d].edited_fingerprint == shown(edits_[i])
+        assert abs(got[d].near_edited - slow_likeness(prints[i], edits_[i])) < 1e-9
+        assert abs(got[d].near_next - slow_likeness(prints[i], prints[(i + 1) % len(docs)])) < 1e-9
+
+
 def test_tells_edits_from_others(spark):
     rows = I.op1_document_fingerprints(spark, SF).where("n_chars > 300").collect()
     ahead = [r for r in rows if r.near_edited > r.near_next or r.near_next == 1]

@@ -71,3 +71,13 @@ def test_sql(spark):
     want = sorted(con.sql(M.OP8_SQL).fetchall())
     got = sorted(tuple(r) for r in M.op8_mix_sources(spark, SF).collect())
     assert got == want
+
+
+def test_clashing_names(spark):
+    kind = "doc_id long, source string, text string, n_chars long, _key long, key string, taken int, part int, size int, carried int"
+    docs = spark.createDataFrame([(i, "ab"[i % 2], "some words here " * (i + 1), 16 * i, i, "k%d" % i, i, i, i, i) for i in range(9)] + [(None, None, "no id", None, 77, None, 7, 7, 7, 7)], kind)
+    rows = M.mixed(docs).collect()
+    assert rows and rows[0].__fields__ == docs.columns
+    for r in rows:
+        assert r._key == r.taken == r.part == r.size == r.carried or r._key == 77
+        assert r.doc_id is None or r._key == r.doc_id

@@ -2,8 +2,11 @@ import hashlib
 import random
 import re
 
+import numpy as np
+
 from helixtab.llm import secret_scan as S
 
+SF = "/root/testdata/sf0.01"
 SECRET = "k3Jx9QmZ7tRw2LpV5nYb8HsD4gFc"
 
 
@@ -54,7 +57,11 @@ def model():
     r = random.Random(1)
     syllables = "the and ing tion er re on at en es or ti st ar nd to nt is of it al as ha ng co se me de".split()
     words = ["".join(r.choice(syllables) for _ in range(r.randint(3, 9))) for _ in range(2000)]
-    return S.Markov(S.random_samples(), words + ["_".join(words[i : i + 3]) for i in range(0, 900, 3)])
+    counts = np.zeros((2, S.SIZE, S.SIZE))
+    for kind, strings in ((1, S.generated()), (0, words + ["_".join(words[i : i + 3]) for i in range(0, 900, 3)])):
+        for x in strings:
+            np.add.at(counts[kind], S.pairs(x), 1)
+    return S.Markov(counts[1], counts[0], 0.3)
 
 
 def test_base_spans():
@@ -64,14 +71,18 @@ def test_base_spans():
         assert S.base_spans(t) == slow_base(t), t
 
 
-def test_held_out_accuracy():
-    m = model()
-    r = random.Random(77)
-    fresh = S.random_samples(500, seed=99)
-    assert sum(m.score(s) > m.threshold for s in fresh) > 480
-    syllables = "the and ing tion er re on at en es or ti st ar nd to nt".split()
-    plain = ["".join(r.choice(syllables) for _ in range(9)) for _ in range(500)]
-    assert sum(m.score(s) > m.threshold for s in plain) < 5
+def test_held_out_accuracy(spark):
+    """Trained on documents of even doc_id; strings of the others' base spans, and their long words and identifiers."""
+    docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
+    m = S.train(docs, labels.where("doc_id % 2 = 0"))
+    rows = docs.where("doc_id % 2 = 1").join(labels.select("doc_id", "quality"), "doc_id", "left").select("text", "quality").collect()
+    strings = [x for r in rows for x in S.samples(r.text or "", r.quality == 1)]
+    secrets = [x for kind, x in strings if kind and S.TOKEN.fullmatch(x)] + S.generated(500, seed=99)
+    plain = [x for kind, x in strings if not kind and S.TOKEN.fullmatch(x)]
+    assert len(secrets) > 505 and len(plain) > 100
+    caught, wrong = sum(m.score(x) > m.threshold for x in secrets), sum(m.score(x) > m.threshold for x in plain)
+    print(f"random strings found {caught} of {len(secrets)}, ordinary ones taken {wrong} of {len(plain)}")
+    assert caught > 0.9 * len(secrets) and wrong < 0.01 * len(plain)
 
 
 def test_scan(spark):
@@ -94,8 +105,16 @@ def test_redact_overlaps():
     assert S.redact("abcdefghij", [(1, 5, "assign"), (3, 4, "hex"), (4, 7, "hex"), (8, 9, "hex")]) == "a[REDACTED]h[REDACTED]j"
 
 
-def test_samples(spark):
-    docs = spark.createDataFrame([(1, "plain words standing together in documents"), (2, None)], "doc_id long, text string")
-    labels = spark.createDataFrame([(1, 1), (2, 1), (None, 1)], "doc_id long, quality int")
-    assert "standing" in S.ordinary_samples(docs, labels)
-    assert S.ordinary_samples(docs, labels.where("false"))
+def test_training_is_a_count(spark):
+    docs = spark.createDataFrame([(1, "plain words standing together in documents " * 3000 + "token=AbCd1234"), (2, None), (3, "secret=zzzzzz9"), (None, "token=AAAAAAA")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 1), (3, 0), (None, 1), (4, None)], "doc_id long, quality int")
+    counts = np.zeros((2, S.SIZE, S.SIZE))
+    for text, good in ((docs.where("doc_id = 1").first().text, True), ("secret=zzzzzz9", False)):
+        for kind, x in S.samples(text, good):
+            np.add.at(counts[kind], S.pairs(x), 1)
+    for x in S.generated():
+        np.add.at(counts[1], S.pairs(x), 1)
+    want = S.Markov(counts[1], counts[0])
+    got = S.train(docs, labels)
+    assert np.allclose(got.ratio, want.ratio) and np.isfinite(got.threshold)
+    assert S.train(docs, labels.where("false")).threshold == float("inf")
