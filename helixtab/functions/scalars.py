@@ -345,7 +345,10 @@ def read_offset(cigar: Column, start: Column, position: Column) -> Column:
 
 @F.pandas_udf(ArrayType(StructType().add("allele", StringType()).add("strand", StringType())))
 def pileup_bases(bases: pd.Series, ref: pd.Series) -> pd.Series:
-    """Alleles of an mpileup base string: ref's letter for . and ,; +SEQ and -SEQ for indels; * for a gap."""
+    """Alleles of an mpileup base string: ref's letter for . and ,; +SEQ and -SEQ for indels; '-' on the forward strand for a gap (*).
+
+    Reading stops at a character that a base string can't have.
+    """
     import re
 
     token = re.compile(r"\^.|\$|[+-](\d+)|[.,ACGTNacgtn*]")
@@ -355,8 +358,7 @@ def pileup_bases(bases: pd.Series, ref: pd.Series) -> pd.Series:
         while text and at < len(text):
             m = token.match(text, at)
             if m is None:
-                at += 1
-                continue
+                break
             at = m.end()
             if m[1]:
                 seq = text[at : at + int(m[1])]
@@ -364,7 +366,7 @@ def pileup_bases(bases: pd.Series, ref: pd.Series) -> pd.Series:
                 out.append({"allele": m[0][0] + seq.upper(), "strand": "+" if seq[:1].isupper() else "-"})
             elif m[0][0] not in "^$":
                 c = m[0]
-                out.append({"allele": own.upper() if c in ".," else c.upper(), "strand": "-" if c == "," or c.islower() else "+"})
+                out.append({"allele": own.upper() if c in ".," else "-" if c == "*" else c.upper(), "strand": "-" if c == "," or c.islower() else "+"})
         return out
 
     return pd.Series([alleles(t, r or "N") for t, r in zip(bases, ref, strict=True)])

@@ -159,8 +159,27 @@ def _split(x: np.ndarray, rng: np.random.Generator, alpha: float, permutations:
     return None
 
 
+def smoothed(x: np.ndarray, region: int = 10, far: float = 4.0, near: float = 2.0, trim: float = 0.025) -> np.ndarray:
+    """x with single outliers drawn in: a value further than far sds beyond all values within region places is put near sds from their median.
+
+    The sd is that of the differences of neighbours, the trimmed share of the largest left out.
+    """
+    if len(x) < 3:
+        return x
+    steps = np.sort(np.abs(np.diff(x)))
+    steps = steps[: max(1, int(np.ceil(len(steps) * (1 - 2 * trim))))]
+    sd = float(np.sqrt(np.mean(steps**2) / 2))
+    padded = np.concatenate((np.full(region, np.nan), x, np.full(region, np.nan)))
+    windows = np.lib.stride_tricks.sliding_window_view(padded, 2 * region + 1)
+    others = np.delete(windows, region, axis=1)
+    high, low, middle = np.nanmax(others, axis=1), np.nanmin(others, axis=1), np.nanmedian(windows, axis=1)
+    return np.where(x > high + far * sd, middle + near * sd, np.where(x < low - far * sd, middle - near * sd, x))
+
+
 def circular_segments(x: np.ndarray, alpha: float = 0.01, permutations: int = 199, least: int = 2, undo_sd: float = 2.0, seed: int = 0) -> list[tuple[int, int, float]]:
     """(start, end, mean) of circular binary segmentation with splits undone whose means are near (in sds of the noise)."""
+    if (permutations + 1) * alpha < 1:
+        raise ValueError("too few permutations: none could show a split at this alpha")
     rng = np.random.default_rng(seed)
     todo, cuts = [(0, len(x))], {0, len(x)}
     while todo:
@@ -183,13 +202,14 @@ def circular_segments(x: np.ndarray, alpha: float = 0.01, permutations: int = 19
     return [(p, q, float(np.mean(x[p:q]))) for p, q in zip(edges, edges[1:], strict=False)]
 
 
-def segments(df: DataFrame, group: list[str], position: str, value: str, **options) -> DataFrame:
-    """group, start, end, n, mean: segments of each series in order of position; missing values are left out."""
+def segments(df: DataFrame, group: list[str], position: str, value: str, smooth: bool = False, **options) -> DataFrame:
+    """group, start, end, n, mean: segments of each series in order of position; missing values are left out; smooth: see smoothed()."""
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema if f.name in group)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.dropna(subset=[value]).sort_values([position])
         at, x = pdf[position].to_numpy(float), pdf[value].to_numpy(float)
+        x = smoothed(x) if smooth else x
         found = circular_segments(x, **options) if len(x) else []
         return pd.DataFrame([(*pdf[group].iloc[0], at[p], at[q - 1], q - p, m) for p, q, m in found], columns=[*group, "start", "end", "n", "mean"])
 

@@ -116,17 +116,18 @@ def depth(df: DataFrame, group: list[str], start: str, end: str, unit: Column |
 def fetch(df: DataFrame, reference: DataFrame, chrom: str, start: str, end: str, name: str, chunk: int) -> DataFrame:
     """df with the reference sequence of start to end (1-based, closed), from a table (ref_chrom, chunk_no, seq) of chunks.
 
-    An equi-join on (chromosome, chunk); a span over two chunks is put together in order.
+    An equi-join on (chromosome, chunk), once for each different span; a span over two chunks is put together in order.
+    Every row stays, equal ones too; name is null where the reference has none of its span.
     """
-    key = [c for c in df.columns]
+    span = [chrom, start, end]
     first = F.floor((F.col(start) - 1) / chunk)
-    spread = df.withColumn("_row", F.struct(*key)).withColumn("_chunk", F.explode(F.sequence(first, F.floor((F.col(end) - 1) / chunk))))
+    spread = df.select(*span).distinct().withColumn("_chunk", F.explode(F.sequence(first, F.floor((F.col(end) - 1) / chunk))))
     at = F.greatest(F.col(start) - F.col("_chunk") * chunk, F.lit(1))
     length = F.least(F.col(end) - F.col("_chunk") * chunk, F.lit(chunk)) - at + 1
     joined = spread.join(reference, (F.col(chrom) == F.col("ref_chrom")) & (F.col("_chunk") == F.col("chunk_no")))
-    pieces = joined.select("_row", "_chunk", F.col("seq").substr(at.cast("int"), length.cast("int")).alias("_part"))
-    whole = pieces.groupBy("_row").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_chunk", "_part"))), lambda x: x["_part"]), "").alias(name))
-    return whole.select("_row.*", name)
+    pieces = joined.select(*span, "_chunk", F.col("seq").substr(at.cast("int"), length.cast("int")).alias("_part"))
+    whole = pieces.groupBy(*span).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_chunk", "_part"))), lambda x: x["_part"]), "").alias(name))
+    return df.join(whole, span, "left").select(*df.columns, name)
 
 
 def gc_share(seq: Column) -> Column:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -97,8 +100,14 @@ def discordance(genotypes: DataFrame, sample: str, site: str, genotype: str, hom
 
 
 def by_ends(left: DataFrame, right: DataFrame, combined: str, name: str) -> DataFrame:
-    """Rows whose combined name starts or ends with a name of right; right must be small (a list of samples)."""
-    return left.join(right, F.col(combined).startswith(F.col(name)) | F.col(combined).endswith(F.col(name)))
+    """Rows whose combined name starts or ends with a name of right: equi-joins on prefixes and suffixes of the lengths that names have.
+
+    right is read once for its lengths, of which there are few; a name that is both start and end gives one row.
+    """
+    lengths = [r[0] for r in right.where(F.length(name) > 0).select(F.length(name)).distinct().collect()]
+    parts = F.array_distinct(F.flatten(F.array(*[F.array(F.left(combined, F.lit(n)), F.right(combined, F.lit(n))) for n in lengths]))) if lengths else F.array().cast("array<string>")
+    keyed = left.withColumn("_part", F.explode(parts))
+    return keyed.join(right, F.col("_part") == F.col(name)).drop("_part")
 
 
 def violations(checks: dict[str, DataFrame]) -> DataFrame:
@@ -126,10 +135,15 @@ def aliases(genes: DataFrame, symbol: str, others: list[str], separator: str = r
 
 
 def census(df: DataFrame, genes: DataFrame, sites: list[tuple[str, str]], symbol: str, columns: list[str], separator: str = "<=>") -> DataFrame:
-    """df with a text of what genes says of each of its genes: 'label:column values', in the order of sites."""
+    """df with a text of what genes says of each of its genes: 'label:column values', in the order of sites.
+
+    Every row stays, equal ones too; the text is null where genes knows none of a row's.
+    """
+    own = list(dict.fromkeys(c for c, _ in sites))
     labelled = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(label).alias("label"), F.col(c).alias("gene")) for i, (c, label) in enumerate(sites)])
-    row = df.withColumn("_row", F.struct(*df.columns)).withColumn("_site", F.explode(labelled))
+    row = df.select(*own).distinct().select(F.struct(*own).alias("_row"), F.explode(labelled).alias("_site"))
     text = F.concat_ws(separator, *[F.concat(F.col("_site.label"), F.lit(":"), F.coalesce(F.nullif(F.col(c).cast("string"), F.lit("")), F.lit(" "))) for c in columns])
     hits = row.join(genes, F.col("_site.gene") == F.col(symbol)).select("_row", F.struct(F.col("_site.i").alias("i"), text.alias("text")).alias("hit"))
     found = hits.groupBy("_row").agg(F.array_join(F.transform(F.array_sort(F.collect_list("hit")), lambda h: h["text"]), separator).alias("census"))
-    return df.withColumn("_row", F.struct(*df.columns)).join(found, "_row", "left").drop("_row")
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col("_row")[c]) for c in own])
+    return df.join(found, same, "left").drop("_row")

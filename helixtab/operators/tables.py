@@ -26,10 +26,11 @@ def union_with_source(frames: dict[str, DataFrame], name: str = "Sample") -> Dat
     return reduce(DataFrame.unionByName, [f.withColumn(name, F.lit(k)) for k, f in frames.items()])
 
 
-def upsert(store: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
-    """store with the rows of new in place of those with their key; of new's rows with one key any may win if they tie."""
+def upsert(store: DataFrame, new: DataFrame, key: list[str], order: list[Column] = ()) -> DataFrame:
+    """store with the rows of new in place of those with their key; of rows with one key the first in order wins, then the one of the least hash."""
     tagged = store.withColumn("_turn", F.lit(0)).unionByName(new.withColumn("_turn", F.lit(1)), allowMissingColumns=True)
-    by = Window.partitionBy(*key).orderBy(F.desc("_turn"))
+    hashed = F.xxhash64(*[c for c in tagged.columns if c != "_turn"])
+    by = Window.partitionBy(*key).orderBy(F.desc("_turn"), *order, hashed)
     return tagged.withColumn("_nth", F.row_number().over(by)).where("_nth = 1").drop("_nth", "_turn")
 
 
@@ -93,7 +94,7 @@ def karyotype_sorted(df: DataFrame, chrom: str, *then: str) -> DataFrame:
 
 def sampled(df: DataFrame, n: int, seed: int, *key: str) -> DataFrame:
     """n rows, the same ones each time: the first by a hash of their key."""
-    return df.withColumn("_h", F.xxhash64(*key, F.lit(seed))).orderBy("_h", *key).limit(n).drop("_h")
+    return df.withColumn("_h", F.md5(F.concat_ws(":", *[F.col(k).cast("string") for k in key], F.lit(str(seed))))).orderBy("_h", *key).limit(n).drop("_h")
 
 
 def split_by(df: DataFrame, key: str, path: str) -> None:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from helixtab.functions import scalars as X
@@ -211,11 +211,12 @@ def two_probe_lookup(t):
     return J.two_probe(t.lineitem.select(*LINE), t.part.where("p_size > 25"), F.col("l_partkey"), F.col("l_suppkey"), "p_partkey", ["p_name"])
 
 
-BANDS = "(SELECT p_partkey, p_type, p_size * 3.0 AS lo, p_size * 3.0 + p_partkey % 7 AS hi FROM part WHERE p_partkey % 20 = 0)"
+BANDS = "(SELECT p_partkey, p_type, p_size * 3::DOUBLE + (p_partkey % 60) / 20::DOUBLE AS lo, p_size * 3::DOUBLE + (p_partkey % 60) / 20::DOUBLE + (p_partkey % 7) / 20::DOUBLE AS hi FROM part)"
 
 
 def _bands(t):
-    return t.part.where("p_partkey % 20 = 0").select("p_partkey", "p_type", (F.col("p_size") * 3.0).alias("lo"), (F.col("p_size") * 3.0 + F.col("p_partkey") % 7).alias("hi"))
+    lo = F.col("p_size") * 3.0 + F.col("p_partkey") % 60 / 20.0
+    return t.part.select("p_partkey", "p_type", lo.alias("lo"), (lo + F.col("p_partkey") % 7 / 20.0).alias("hi"))
 
 
 @query(f"SELECT event_id, p_partkey FROM events JOIN {BANDS} ON value BETWEEN lo AND hi")
@@ -628,7 +629,7 @@ def karyotype_sort_topk(t):
     return T.karyotype_sorted(rows, "chrom", "p_partkey").limit(100).select("p_partkey", F.col("chrom").cast("int").alias("number"))
 
 
-@query()
+@query("SELECT o_orderkey FROM orders ORDER BY md5(o_orderkey || ':7'), o_orderkey LIMIT 500")
 def hashed_sample(t):
     """A sample of 500 rows."""
     return T.sampled(t.orders, 500, 7, "o_orderkey").select("o_orderkey")
@@ -775,23 +776,31 @@ def loess_norm(t):
     return N.gc_normalised(rows, span=0.5)
 
 
-@query()
+@query("""
+WITH h AS (SELECT event_type, epoch(date_trunc('hour', ts))::BIGINT // 3600 AS hour, round(avg(value), 6) AS v FROM events GROUP BY 1, 2),
+r AS (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY hour) - 1 AS i, count(*) OVER (PARTITION BY event_type) AS n FROM h)
+SELECT event_type, 3 * i // n AS third, min(hour) AS start, max(hour) AS "end", count(*) AS n, round(avg(v + CASE WHEN 3 * i // n = 1 THEN 1000 ELSE 0 END), 3) AS mean FROM r GROUP BY 1, 2""")
 def cbs_segments(t):
-    daily = t.events.groupBy("event_type", F.floor(F.unix_timestamp("ts") / 3600).alias("hour")).agg(F.avg("value").alias("value"))
-    return N.segments(daily, ["event_type"], "hour", "value")
+    """Hourly means with a step planted over the middle third of each series: three segments, cut where it is."""
+    hourly = t.events.groupBy("event_type", F.floor(F.unix_timestamp(F.col("ts").cast("timestamp")) / 3600).alias("hour")).agg(F.round(F.avg("value"), 6).alias("value"))
+    own = Window.partitionBy("event_type")
+    placed = hourly.withColumn("third", F.floor(3 * (F.row_number().over(own.orderBy("hour")) - 1) / F.count("*").over(own)))
+    found = N.segments(placed.withColumn("value", F.col("value") + F.when(F.col("third") == 1, 1000).otherwise(0)), ["event_type"], "hour", "value")
+    nth = F.row_number().over(own.orderBy("start")) - 1
+    return found.select("event_type", nth.alias("third"), F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"), "n", F.round("mean", 3).alias("mean"))
 
 
 BASES = "translate(md5(l_orderkey::VARCHAR), '0123456789abcdef', 'ACGTACGTACGTACGT')"
 
 
 @query(f"""
-WITH r AS (SELECT l_suppkey % 3 AS sample, l_orderkey || '/' || l_linenumber || '/' || l_partkey AS name, (l_orderkey % 4 = 1) AS rev, l_partkey AS s, {BASES} AS q FROM lineitem WHERE l_linenumber <= 2),
+WITH r AS (SELECT l_suppkey % 3 AS sample, l_orderkey || '/' || l_linenumber || '/' || l_partkey AS name, (l_orderkey % 4 = 1) AS rev, l_partkey AS s, {BASES} AS q FROM lineitem),
 v AS (SELECT p_partkey AS variant_id, p_partkey AS pos, 'A' AS ref, 'C' AS alt FROM part),
 o AS (SELECT variant_id, sample, name, rev, substr(q, (pos - s + 1)::INT, 1) AS b FROM v JOIN r ON pos BETWEEN s AND s + 31)
 SELECT variant_id, sample, count(*) AS dp, count(*) FILTER (b = 'A') AS rd, count(*) FILTER (b = 'C') AS ad, count(*) FILTER (NOT rev) AS dpp, count(*) FILTER (b = 'C') / count(*)::DOUBLE AS vf FROM o GROUP BY 1, 2""")
 def pileup_base_counts(t):
     bases = F.translate(F.md5(F.col("l_orderkey").cast("string")), "0123456789abcdef", "ACGTACGTACGTACGT")
-    reads = t.lineitem.where("l_linenumber <= 2").select((F.col("l_suppkey") % 3).alias("sample"), F.concat_ws("/", *[F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey")]).alias("read_name"), F.when(F.col("l_orderkey") % 4 == 1, 16).otherwise(0).alias("flag"),
+    reads = t.lineitem.select((F.col("l_suppkey") % 3).alias("sample"), F.concat_ws("/", *[F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey")]).alias("read_name"), F.when(F.col("l_orderkey") % 4 == 1, 16).otherwise(0).alias("flag"),
         F.lit("1").alias("chrom"), F.col("l_partkey").alias("pos0"), F.lit(60).alias("mapq"), F.lit("32M").alias("cigar"), bases.alias("query"), F.lit("I" * 32).alias("quals"))
     variants = t.part.select(F.col("p_partkey").alias("variant_id"), F.lit("1").alias("chrom"), F.col("p_partkey").alias("pos0"), F.lit("A").alias("ref"), F.lit("C").alias("alt"))
     return C.base_counts(reads, variants).select("variant_id", "sample", "dp", "rd", "ad", "dpp", "vf")
