@@ -3,6 +3,9 @@
 A fingerprint of 64 bits is cut into so few segments that, at the distance allowed, one of
 them differs by at most one bit. Each segment is indexed once per wildcard bit; links are
 found by equality joins on those variants and verified on the whole fingerprint.
+
+Texts of five-word similarity 0.8 differ by far more bits than segments can allow for, so where that similarity
+counts (deduplicated) texts are linked by bands of least shingle hashes too, see similar().
 """
 
 from __future__ import annotations
@@ -17,7 +20,7 @@ from pyspark.sql import functions as F
 
 from helixtab.llm import _hashes as H
 from helixtab.llm._components import components
-from helixtab.llm._util import in_arrow, read, stored
+from helixtab.llm._util import in_arrow, read, renamed, stored
 
 #: Where more different fingerprints than this meet, they are not paired up but cut further.
 BUSY = 24
@@ -144,12 +147,80 @@ def links(fps: DataFrame, distance: int = 2) -> DataFrame:
     return every.distinct()
 
 
-def _rooted(classes: DataFrame, distance: int) -> DataFrame:
-    """classes (one row for each fp) with root, the least fp of the component."""
-    reached = components(links(classes.select("fp"), distance)).select(F.col("a").alias("fp"), F.col("b").alias("root"))
+def _rooted(classes: DataFrame, distance: int, more: DataFrame | None = None) -> DataFrame:
+    """classes (one row for each fp) with root, the least fp of the component; more: further links."""
+    known = links(classes.select("fp"), distance)
+    reached = components(known if more is None else known.unionAll(more)).select(F.col("a").alias("fp"), F.col("b").alias("root"))
     return classes.join(reached, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
 
 
+#: Least hashes of a text's shingles, and how many of them make a band: a pair of similarity 0.8 shares one of 21 with probability 0.998.
+MINIMA, BAND = 128, 6
+_FACTORS = H.mix(np.arange(1, MINIMA + 1, dtype=np.uint64) * np.uint64(H.BASE)) | np.uint64(1)
+
+
+def minima(text: bytes, size: int) -> np.ndarray | None:
+    """The least of a text's shingle hashes under each of MINIMA orders; None without words. A text of fewer words is one shingle."""
+    values = H.word_values(np.frombuffer(text.lower(), np.uint8))
+    if not len(values):
+        return None
+    hashes = np.unique(H.mix(H.every(H.prefix(values), min(size, len(values)))))
+    out = np.full(MINIMA, (1 << 64) - 1, np.uint64)
+    for at in range(0, len(hashes), 1024):
+        np.minimum(out, (hashes[at : at + 1024, None] * _FACTORS).min(axis=0), out=out)
+    return out
+
+
+def _banded(docs: DataFrame, size: int, words: int, keys: tuple[str, ...]) -> DataFrame:
+    """(doc_id, fp, text_key, minima, bands) of each row, and its keys; minima: 16 bits of each."""
+
+    def run(batches):
+        for b in batches:
+            texts = [t.as_buffer().to_pybytes() for t in b["text"]]
+            fp = [simhash(t, size) for t in texts]
+            least = [minima(t, words) for t in texts]
+            text_key = np.array([xxhash.xxh64_intdigest(t, 7) for t in texts], np.uint64).view(np.int64)
+            short = [None if m is None else (m >> np.uint64(48)).astype(np.uint16).tobytes() for m in least]
+            bands = [[] if m is None else [xxhash.xxh64_intdigest(m[i : i + BAND].tobytes(), i) - (1 << 63) for i in range(0, MINIMA - BAND + 1, BAND)] for m in least]
+            yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(fp, pa.int64()), pa.array(text_key), pa.array(short, pa.binary()), pa.array(bands, pa.list_(pa.int64())), *(b[k] for k in keys)], names=["doc_id", "fp", "text_key", "minima", "bands", *keys])
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), *keys)
+    return in_arrow(rows, run, "doc_id long, fp long, text_key long, minima binary, bands array<long>" + "".join(f", {k} long" for k in keys))
+
+
+def similar(texts: DataFrame, similarity: float = 0.8) -> DataFrame:
+    """(a, b): fp of texts (fp, text_key, minima, bands, each once) that are alike enough, as stars.
+
+    Texts meet under equal bands. The least text of a band is its centre; those that are like it are linked to it and
+    leave the band, the others elect a centre again, until none is left. So no group's pairs are all made, and no two
+    texts that share a band and are alike stay apart. Likeness is the share of equal minima; a standard
+    error less than similarity is enough.
+    """
+    least = similarity - (similarity * (1 - similarity) / MINIMA) ** 0.5
+    members = stored(texts.select("fp", "text_key", F.explode("bands").alias("band")), "bands")
+    print_of = texts.select("fp", "text_key", "minima")
+    found = None
+
+    def share(batches):
+        for b in batches:
+            x, y = (np.frombuffer(b"".join(b[c].to_pylist()), np.uint16).reshape(-1, MINIMA) for c in ("x", "y"))
+            good = pa.array((x == y).mean(axis=1) >= least)
+            yield pa.RecordBatch.from_arrays([b[c].filter(good) for c in ("fp", "text_key", "c_fp", "c_key")], names=["fp", "text_key", "c_fp", "c_key"])
+
+    while True:
+        centre = members.groupBy("band").agg(F.min(F.struct("fp", "text_key")).alias("c"), F.count("*").alias("n")).where("n > 1").select("band", F.col("c.fp").alias("c_fp"), F.col("c.text_key").alias("c_key"))
+        met = stored(members.join(stored(centre, "centres"), "band").where("fp != c_fp or text_key != c_key"), "met")
+        if met.isEmpty():
+            return texts.select(F.col("fp").alias("a"), F.col("fp").alias("b")).limit(0) if found is None else found
+        asked = met.select("fp", "text_key", "c_fp", "c_key").distinct()
+        x = asked.join(print_of.withColumnRenamed("minima", "x"), ["fp", "text_key"])
+        both = x.join(print_of.select(F.col("fp").alias("c_fp"), F.col("text_key").alias("c_key"), F.col("minima").alias("y")), ["c_fp", "c_key"])
+        like = stored(in_arrow(both.select("fp", "text_key", "c_fp", "c_key", "x", "y"), share, "fp long, text_key long, c_fp long, c_key long"), "alike")
+        new = like.where("fp != c_fp").select(F.col("fp").alias("a"), F.col("c_fp").alias("b"))
+        found = new if found is None else found.unionAll(new)
+        members = met.join(like, ["fp", "text_key", "c_fp", "c_key"], "left_anti").select("fp", "text_key", "band")
+
+
 def near_duplicates(docs: DataFrame, size: int = 3, distance: int = 2) -> DataFrame:
     """Each row's fingerprint and component.
 
@@ -167,18 +238,24 @@ def near_duplicates(docs: DataFrame, size: int = 3, distance: int = 2) -> DataFr
     return rows.join(named, "fp").select("doc_id", "fp", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def deduplicated(docs: DataFrame, size: int = 3, distance: int = 2) -> DataFrame:
+def deduplicated(docs: DataFrame, words: int = 5, similarity: float = 0.8, size: int = 3, distance: int = 2) -> DataFrame:
     """docs without near duplicates, same columns: of each component the row of the least doc_id stays (null is the largest).
 
-    Rows are told apart by a 128-bit hash of all their columns, so unlike texts may share a
-    doc_id or have none. Of a component's rows of that doc_id the least hash stays, of equal rows one.
+    Linked are texts whose sets of shingles of so many words have that similarity or more (see similar), and those whose
+    SimHash over shingles of size words differs by distance bits or fewer. Rows are told apart by a
+    128-bit hash of all their columns, so unlike texts may share a doc_id or have none. Of a component's rows
+    of that doc_id the least hash stays, of equal rows one. A null or empty text is like others without words. Columns of any name
+    stay. An empty table gives none.
     """
-    values = [*docs.columns, *(F.col(c).isNull() for c in docs.columns)]  # a hash leaves nulls out
-    keyed = docs.select("*", *(F.xxhash64(F.lit(i), *values).alias(k) for i, k in enumerate(ROW)))
-    rows = stored(fingerprints(keyed, size, ROW), "fingerprints")
+    own = renamed(docs)
+    values = [*own.columns, *(F.col(c).isNull() for c in own.columns)]  # a hash leaves nulls out
+    keyed = own.select("*", *(F.xxhash64(F.lit(i), *values).alias(k) for i, k in enumerate(ROW)))
+    doc_id = own.columns[docs.columns.index("doc_id")]
+    rows = stored(_banded(keyed.withColumnRenamed(doc_id, "doc_id"), size, words, ROW), "fingerprints")
+    texts = stored(rows.where("minima is not null").select("fp", "text_key", "minima", "bands").dropDuplicates(["fp", "text_key"]), "texts")
     classes = rows.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", *ROW)).alias("least"))
-    stay = _rooted(classes, distance).groupBy("root").agg(F.min("least").alias("least")).select(*(f"least.{k}" for k in ROW))
-    return keyed.join(stay, list(ROW)).dropDuplicates(list(ROW)).select(*docs.columns)
+    stay = _rooted(classes, distance, similar(texts, similarity)).groupBy("root").agg(F.min("least").alias("least")).select(*(f"least.{k}" for k in ROW))
+    return keyed.join(stay, list(ROW)).dropDuplicates(list(ROW)).select(*own.columns).toDF(*docs.columns)
 
 
 def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -98,3 +98,70 @@ def test_one_row_of_each_component_stays(spark):
     assert [t for i, t, _ in got if i is None] == sorted([a, b]) and sorted(str(t) for i, t, _ in got if i == 7) == sorted(["None", d, "x"])
     assert {(i, t) for i, t, _ in got if i in (3, 5, 9)} == {(3, c), (5, e), (9, f)} and len(got) == 8
     assert got == sorted(map(tuple, S.deduplicated(docs.repartition(5)).collect()), key=str)
+
+
+def shingles(text, size=5):
+    w = text.encode().lower().split()
+    return {tuple(w[i : i + size]) for i in range(max(1, len(w) - size + 1))} if w else set()
+
+
+def grouped(fps, distance, pairs):
+    """Sets of ids linked by fingerprint or in pairs."""
+    ids = list(fps)
+    above = {i: i for i in ids}
+
+    def root(i):
+        while above[i] != i:
+            i = above[i]
+        return i
+
+    near = [(a, b) for n, a in enumerate(ids) for b in ids[n + 1 :] if ((fps[a] ^ fps[b]) & ((1 << 64) - 1)).bit_count() <= distance]
+    for a, b in [*near, *pairs]:
+        above[root(a)] = root(b)
+    out = {}
+    for i in ids:
+        out.setdefault(root(i), set()).add(i)
+    return list(out.values())
+
+
+def test_recall_by_similarity(spark):
+    """Pairs of texts by the similarity of their five-word shingles, and unlike ones with a common passage."""
+    r = random.Random(8)
+    words = ["w%d" % i for i in range(4000)]
+    docs, share = [], {}
+    for k in (2, 4, 6, 8, 9, 30, 60):
+        for i in range(50):
+            a = [r.choice(words) for _ in range(400)]
+            b = list(a)
+            for at in r.sample(range(5, 395, 6), k):
+                b[at] = "zz%d" % r.randrange(10**9)
+            x, y = shingles(" ".join(a)), shingles(" ".join(b))
+            share[len(docs) + 1] = len(x & y) / len(x | y)
+            docs += [(len(docs), " ".join(a)), (len(docs) + 1, " ".join(b))]
+    kept = {x.doc_id for x in S.deduplicated(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert all(i in kept for i in range(0, len(docs), 2))
+    for low, high in ((0.94, 1), (0.89, 0.94), (0.84, 0.89), (0.8, 0.84), (0.75, 0.8), (0, 0.6)):
+        own = [i not in kept for i, x in share.items() if low <= x < high]
+        print(f"similarity {low} to {high}: {sum(own)} of {len(own)} found")
+        assert sum(own) >= 0.9 * len(own) if low >= 0.8 else high > 0.6 or not any(own)
+
+
+def test_centres_leave_no_two_alike(spark):
+    """A hot group: many near copies of one text, and copies with other ends that share only bands."""
+    r = random.Random(9)
+    base = ["w%d" % r.randrange(3000) for _ in range(300)]
+    docs = []
+    for i in range(120):
+        t = list(base)
+        t[r.randrange(300)] = "x%d" % i
+        docs.append((i, " ".join(t if i % 3 else t[:150] + ["y%d_%d" % (i % 2, j) for j in range(100)])))
+    kept = S.deduplicated(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    sets = [shingles(x.text) for x in kept]
+    assert all(len(a & b) / len(a | b) < 0.8 for n, a in enumerate(sets) for b in sets[n + 1 :]) and len(kept) == 3
+
+
+def test_clashing_columns_in_dedup(spark):
+    kind = "doc_id long, text string, _id long, _row_a long, fp long, minima string, bands int, a int"
+    docs = spark.createDataFrame([(1, "a b c", 5, 1, 1, "m", 1, 1), (2, "a b c", 6, 2, 2, "m", 2, 2), (None, None, 7, 3, 3, "m", 3, 3)], kind)
+    assert sorted((x.doc_id or 0, x._id, x.a) for x in S.deduplicated(docs).collect()) == [(0, 7, 3), (1, 5, 1)]
+    assert S.deduplicated(docs.where("false")).count() == 0
