@@ -112,7 +112,7 @@ def links(fps: DataFrame, distance: int = 2) -> DataFrame:
     branches: list[tuple[list[int], list[int]]] = [([], list(range(64)))]  # bits that are equal, the others
     # each is taken 64-fold, so they are dealt out first, by a number that adaptive execution keeps
     n = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = fps.select("fp", F.lit(0).alias("branch")).repartition(n, "fp")
+    rows = fps.select("fp", F.lit(0).alias("branch")).repartition(n, F.xxhash64("fp"))
     for depth in range(2):
         cross, equal = [], []  # (branch, mask, bit, other half), (branch, mask, equal bits, other half)
         for i, (same, rest) in enumerate(branches):
@@ -156,6 +156,8 @@ def _rooted(classes: DataFrame, distance: int, more: DataFrame | None = None) ->
 
 #: Least hashes of a text's shingles, and how many of them make a band: a pair of similarity 0.8 shares one of 21 with probability 0.998.
 MINIMA, BAND = 128, 6
+#: Centres of a band at a time.
+CENTRES = 16
 _FACTORS = H.mix(np.arange(1, MINIMA + 1, dtype=np.uint64) * np.uint64(H.BASE)) | np.uint64(1)
 
 
@@ -191,10 +193,10 @@ def _banded(docs: DataFrame, size: int, words: int, keys: tuple[str, ...]) -> Da
 def similar(texts: DataFrame, similarity: float = 0.8) -> DataFrame:
     """(a, b): fp of texts (fp, text_key, minima, bands, each once) that are alike enough, as stars.
 
-    Texts meet under equal bands. The least text of a band is its centre; those that are like it are linked to it and
-    leave the band, the others elect a centre again, until none is left. So no group's pairs are all made, and no two
-    texts that share a band and are alike stay apart. Likeness is the share of equal minima; a standard
-    error less than similarity is enough.
+    Texts meet under equal bands. Where few do, pairs are compared. Where many do, the least texts of some classes of hashes
+    are centres: those that are like one are linked to it and leave the band with the centres, the others meet
+    again, until none is left. So no group's pairs are all made, and no two texts that share a band and are alike
+    both stay without a link. Likeness is the share of equal minima; a standard error less than similarity is enough.
     """
     least = similarity - (similarity * (1 - similarity) / MINIMA) ** 0.5
     members = stored(texts.select("fp", "text_key", F.explode("bands").alias("band")), "bands")
@@ -207,18 +209,27 @@ def similar(texts: DataFrame, similarity: float = 0.8) -> DataFrame:
             good = pa.array((x == y).mean(axis=1) >= least)
             yield pa.RecordBatch.from_arrays([b[c].filter(good) for c in ("fp", "text_key", "c_fp", "c_key")], names=["fp", "text_key", "c_fp", "c_key"])
 
+    name = F.struct("fp", "text_key")
+    other = F.struct("c_fp", "c_key")
     while True:
-        centre = members.groupBy("band").agg(F.min(F.struct("fp", "text_key")).alias("c"), F.count("*").alias("n")).where("n > 1").select("band", F.col("c.fp").alias("c_fp"), F.col("c.text_key").alias("c_key"))
-        met = stored(members.join(stored(centre, "centres"), "band").where("fp != c_fp or text_key != c_key"), "met")
+        sizes = stored(members.groupBy("band").agg(F.count("*").alias("n")).where("n > 1"), "sizes")
+        met = stored(members.join(sizes, "band"), "met")
         if met.isEmpty():
             return texts.select(F.col("fp").alias("a"), F.col("fp").alias("b")).limit(0) if found is None else found
-        asked = met.select("fp", "text_key", "c_fp", "c_key").distinct()
-        x = asked.join(print_of.withColumnRenamed("minima", "x"), ["fp", "text_key"])
-        both = x.join(print_of.select(F.col("fp").alias("c_fp"), F.col("text_key").alias("c_key"), F.col("minima").alias("y")), ["c_fp", "c_key"])
+        few, many = met.where(F.col("n") <= BUSY), met.where(F.col("n") > BUSY)
+        centres = stored(many.groupBy("band", F.pmod("text_key", F.lit(CENTRES))).agg(F.min(name).alias("c")).select("band", F.col("c.fp").alias("c_fp"), F.col("c.text_key").alias("c_key")), "centres")
+        own = few.select("band", F.col("fp").alias("c_fp"), F.col("text_key").alias("c_key"))
+        pairs = few.select("fp", "text_key", "band").join(own, "band").where(name > other)
+        starred = many.select("fp", "text_key", "band").join(centres, "band").where(name != other)
+        asked = stored(pairs.unionAll(starred).select("fp", "text_key", "c_fp", "c_key").distinct(), "asked")
+        known = print_of.join(asked.select("fp", "text_key").unionAll(asked.select("c_fp", "c_key")).distinct(), ["fp", "text_key"], "left_semi")
+        x = asked.join(known.withColumnRenamed("minima", "x"), ["fp", "text_key"])
+        both = x.join(known.select(F.col("fp").alias("c_fp"), F.col("text_key").alias("c_key"), F.col("minima").alias("y")), ["c_fp", "c_key"])
         like = stored(in_arrow(both.select("fp", "text_key", "c_fp", "c_key", "x", "y"), share, "fp long, text_key long, c_fp long, c_key long"), "alike")
         new = like.where("fp != c_fp").select(F.col("fp").alias("a"), F.col("c_fp").alias("b"))
         found = new if found is None else found.unionAll(new)
-        members = met.join(like, ["fp", "text_key", "c_fp", "c_key"], "left_anti").select("fp", "text_key", "band")
+        gone = starred.join(like, ["fp", "text_key", "c_fp", "c_key"], "left_semi").select("fp", "text_key", "band").unionAll(centres.select(F.col("c_fp").alias("fp"), F.col("c_key").alias("text_key"), "band"))
+        members = stored(many.select("fp", "text_key", "band").join(gone.distinct(), ["fp", "text_key", "band"], "left_anti"), "bands")
 
 
 def near_duplicates(docs: DataFrame, size: int = 3, distance: int = 2) -> DataFrame:

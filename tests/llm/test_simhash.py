@@ -146,8 +146,11 @@ def test_recall_by_similarity(spark):
         assert sum(own) >= 0.9 * len(own) if low >= 0.8 else high > 0.6 or not any(own)
 
 
-def test_centres_leave_no_two_alike(spark):
+@pytest.mark.parametrize("busy,centres", [(24, 16), (2, 2)])
+def test_centres_leave_no_two_alike(spark, monkeypatch, busy, centres):
     """A hot group: many near copies of one text, and copies with other ends that share only bands."""
+    monkeypatch.setattr(S, "BUSY", busy)
+    monkeypatch.setattr(S, "CENTRES", centres)
     r = random.Random(9)
     base = ["w%d" % r.randrange(3000) for _ in range(300)]
     docs = []
