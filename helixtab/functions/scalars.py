@@ -319,16 +319,23 @@ def clamped(position: Column, by: int, length: Column) -> Column:
     return F.greatest(F.lit(1), F.least(position + by, length))
 
 
-def read_offset(cigar: Column, start: Column, position: Column) -> Column:
-    """struct(offset, state): where a reference position lies in an alignment's read.
-
-    cigar: text such as 5S90M2D5M; start: first reference position aligned. state is 'base',
-    'deletion' (offset of the base before) or null if not covered. One pass over the operations.
-    """
-    ops = F.transform(
+def cigar_operations(cigar: Column) -> Column:
+    """array of struct(n, op): the operations of a text such as 5S90M2D5M."""
+    return F.transform(
         F.regexp_extract_all(cigar, F.lit(r"(\d+[MIDNSHP=X])"), F.lit(1)),
         lambda x: F.struct(F.regexp_extract(x, r"^(\d+)", 1).cast("int").alias("n"), F.substring(x, -1, 1).alias("op")),
     )
+
+
+def read_offset(ops: Column, start: Column, position: Column) -> Column:
+    """struct(offset, state): where a reference position lies in an alignment's read.
+
+    ops: see cigar_operations(); start: first reference position aligned. state is 'base',
+    'deletion' (offset of the base before) or null if not covered. One pass over the operations,
+    none where a read is aligned by a single one, as most are.
+    """
+    first, inside = F.get(ops, F.lit(0)), position - start
+    single = (F.size(ops) == 1) & first["op"].isin("M", "=", "X") & (inside >= 0) & (inside < first["n"])
     zero = F.struct(start.cast("long").alias("ref"), F.lit(0).alias("read"), F.lit(None).cast("int").alias("offset"), F.lit(None).cast("string").alias("state"))
 
     def step(acc, o):
@@ -340,7 +347,8 @@ def read_offset(cigar: Column, start: Column, position: Column) -> Column:
             (acc["ref"] + F.when(on_ref, o["n"]).otherwise(0)).alias("ref"), (acc["read"] + F.when(on_read, o["n"]).otherwise(0)).alias("read"), offset.alias("offset"), state.alias("state")
         )
 
-    return F.aggregate(ops, zero, step, lambda acc: F.struct(acc["offset"].alias("offset"), acc["state"].alias("state")))
+    walked = F.aggregate(ops, zero, step, lambda acc: F.struct(acc["offset"].alias("offset"), acc["state"].alias("state")))
+    return F.when(single, F.struct(inside.cast("int").alias("offset"), F.lit("base").alias("state"))).otherwise(walked)
 
 
 @F.pandas_udf(ArrayType(StructType().add("allele", StringType()).add("strand", StringType())))

@@ -7,6 +7,8 @@ Everything but the walk along a cigar is joins and grouped sums; that walk is a
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,23 +28,31 @@ def reference_length(cigar: Column) -> Column:
 def observations(alignments: DataFrame, variants: DataFrame, mapq: int = 20, base_quality: int = BASE_QUALITY, **switches: bool) -> DataFrame:
     """A row for each read that covers a variant's position: what it shows (ref, alt, other or U for a gap)."""
     reads = usable_reads(alignments, mapq, **switches).withColumn("start0", F.col("pos0")).withColumn("end0", F.col("pos0") + reference_length(F.col("cigar")) - 1).drop("pos0")
+    reads = reads.withColumn("_ops", X.cigar_operations(F.col("cigar")))  # once a read, before the join
     own = variants.select("variant_id", F.col("chrom").alias("v_chrom"), "pos0", "ref", "alt")
     met = point_join(own, reads, "pos0", ("start0", "end0"), (("v_chrom", "chrom"),), SPAN)
-    met = met.withColumn("at", X.read_offset(F.col("cigar"), F.col("start0"), F.col("pos0")))
-    base = F.when(F.col("at.state") == "base", F.col("query").substr(F.col("at.offset") + 1, F.lit(1)))
-    quality = F.ascii(F.col("quals").substr(F.col("at.offset") + 1, F.lit(1))) - PHRED
-    met = met.withColumn("base", F.upper(base)).withColumn("quality", quality)
     indel = F.length("ref") != F.length("alt")
-    snp = (
-        F.when(F.col("at.state") == "deletion", "U").when(F.col("quality") < base_quality, None)
-        .when(F.col("base") == F.upper(F.substring("ref", 1, 1)), "ref").when(F.col("base") == F.upper(F.substring("alt", 1, 1)), "alt").otherwise("other")
-    )
-    return met.withColumn("next_op", _operation_after(F.col("cigar"), F.col("start0"), F.col("pos0"))).withColumn("shows", F.when(indel, _indel()).otherwise(snp)).where("shows is not null")
+
+    def shows(at: Column) -> Column:
+        base = F.upper(F.col("query").substr(at["offset"] + 1, F.lit(1)))
+        quality = F.ascii(F.col("quals").substr(at["offset"] + 1, F.lit(1))) - PHRED
+        snp = (
+            F.when(at["state"] == "deletion", "U").when((at["state"] == "base") & (quality < base_quality), None)
+            .when((at["state"] == "base") & (base == F.upper(F.substring("ref", 1, 1))), "ref").when((at["state"] == "base") & (base == F.upper(F.substring("alt", 1, 1))), "alt").otherwise("other")
+        )
+        return F.when(indel, _once(_operation_after(F.col("_ops"), F.col("start0"), F.col("pos0")), lambda op: _indel(at, op))).otherwise(snp)
+
+    # walks along the cigar are bound to a variable, and what is shown is generated, so that each is worked out once a pair
+    shown = F.filter(F.transform(F.array(X.read_offset(F.col("_ops"), F.col("start0"), F.col("pos0"))), shows), lambda x: x.isNotNull())
+    return met.withColumn("shows", F.explode(shown)).drop("_ops")
+
+
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def _operation_after(cigar: Column, start: Column, position: Column) -> Column:
+def _operation_after(ops: Column, start: Column, position: Column) -> Column:
     """struct(op, n, read): the insertion or deletion right after a reference position, with where its bases start in the read."""
-    ops = F.transform(F.regexp_extract_all(cigar, F.lit(r"(\d+[MIDNSHP=X])"), F.lit(1)), lambda x: F.struct(F.regexp_extract(x, r"^(\d+)", 1).cast("int").alias("n"), F.substring(x, -1, 1).alias("op")))
     zero = F.struct(start.cast("long").alias("ref"), F.lit(0).alias("read"), F.lit(None).cast("string").alias("op"), F.lit(0).alias("n"), F.lit(0).alias("at"), F.lit(False).alias("ends"))
 
     def step(a, o):
@@ -58,13 +68,12 @@ def _operation_after(cigar: Column, start: Column, position: Column) -> Column:
     return F.aggregate(ops, zero, step, lambda a: F.struct(a["op"].alias("op"), a["n"].alias("n"), a["at"].alias("at"), a["ends"].alias("goes_on")))
 
 
-def _indel() -> Column:
+def _indel(at: Column, op: Column) -> Column:
     """A read that ends at the position doesn't count; the same operation of the same length (and bases) right after it is the alternative."""
-    op = F.col("next_op")
     inserted = F.upper(F.col("query").substr(op["at"] + 1, op["n"]))
     n_ref, n_alt = F.length("ref"), F.length("alt")
     same = F.when(n_alt > n_ref, (op["op"] == "I") & (op["n"] == n_alt - n_ref) & (inserted == F.upper(F.col("alt").substr(n_ref + 1, n_alt)))).otherwise((op["op"] == "D") & (op["n"] == n_ref - n_alt))
-    return F.when(~op["goes_on"], None).when(F.coalesce(same, F.lit(False)), "alt").when(op["op"].isNull() & (F.col("at.state") == "base"), "ref").otherwise("other")
+    return F.when(~op["goes_on"], None).when(F.coalesce(same, F.lit(False)), "alt").when(op["op"].isNull() & (at["state"] == "base"), "ref").otherwise("other")
 
 
 def base_counts(alignments: DataFrame, variants: DataFrame, samples: list[str] | None = None, **options) -> DataFrame:

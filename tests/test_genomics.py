@@ -120,7 +120,7 @@ def test_scalars(spark):
     assert one(X.clean_name(lit("Mutation CDS (x)"))) == "mutation_cds_x_" and one(X.local_number(lit("1,234"))) == 1234.0 and one(X.leading_int(lit("12x"))) == 12 and one(X.leading_int(lit("x"))) == 0
     assert one(X.metric_value(lit("?"))) is None and one(X.metric_value(lit(""))) == 0.0 and one(X.two_decimals(lit(0.125))) == "0.12"
     assert abs(one(X.normal_p_value(lit(1.959964))) - 0.05) < 1e-6
-    assert [tuple(one(X.read_offset(lit("5S10M2D5M"), lit(100), lit(p)))) for p in (100, 109, 110, 112, 99, 117)] == [(5, "base"), (14, "base"), (14, "deletion"), (15, "base"), (None, None), (None, None)]
+    assert [tuple(one(X.read_offset(X.cigar_operations(lit("5S10M2D5M")), lit(100), lit(p)))) for p in (100, 109, 110, 112, 99, 117)] == [(5, "base"), (14, "base"), (14, "deletion"), (15, "base"), (None, None), (None, None)]
     alleles = one(X.pileup_bases(lit("^].,+2AG-1tA*$c"), lit("G")))
     assert [(a.allele, a.strand) for a in alleles] == [("G", "+"), ("G", "-"), ("+AG", "+"), ("-T", "-"), ("A", "+"), ("-", "+"), ("C", "-")]
     assert tuple(one(X.strands(lit("3to5")))) == (0, 1) and one(X.info_map(lit("a=1;b;a=2"))) == {"a": "2", "b": ""}
