@@ -15,7 +15,7 @@ from itertools import accumulate, combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from helixtab.llm import _hashes as H
@@ -193,13 +193,15 @@ def _banded(docs: DataFrame, size: int, words: int, keys: tuple[str, ...]) -> Da
 def similar(texts: DataFrame, similarity: float = 0.8) -> DataFrame:
     """(a, b): fp of texts (fp, text_key, minima, bands, each once) that are alike enough, as stars.
 
-    Texts meet under equal bands. Where few do, pairs are compared. Where many do, the least texts of some classes of hashes
-    are centres: those that are like one are linked to it and leave the band with the centres, the others meet
-    again, until none is left. So no group's pairs are all made, and no two texts that share a band and are alike
-    both stay without a link. Likeness is the share of equal minima; a standard error less than similarity is enough.
+    Texts meet under equal bands. Where few do, pairs are compared. Where many do, of some classes of hashes the texts that meet
+    most others are centres: those that are like one are linked to it and leave the band with the centres. The others meet
+    again only where they share a further band too (alike ones share several), and so on, so unlike texts with a passage in
+    common part quickly. No group's pairs are all made. A text that is like one that left, but unlike its centre and all others it meets, isn't linked
+    there. Likeness is the share of equal minima; a standard error less than similarity is enough.
     """
     least = similarity - (similarity * (1 - similarity) / MINIMA) ** 0.5
-    members = stored(texts.select("fp", "text_key", F.explode("bands").alias("band")), "bands")
+    band = F.xxhash64("used").alias("band")  # used: the bands that texts under this key share
+    members = stored(texts.select("fp", "text_key", F.explode("bands").alias("used")).select("fp", "text_key", F.array("used").alias("used")).select("*", band), "bands")
     print_of = texts.select("fp", "text_key", "minima")
     found = None
 
@@ -217,19 +219,26 @@ def similar(texts: DataFrame, similarity: float = 0.8) -> DataFrame:
         if met.isEmpty():
             return texts.select(F.col("fp").alias("a"), F.col("fp").alias("b")).limit(0) if found is None else found
         few, many = met.where(F.col("n") <= BUSY), met.where(F.col("n") > BUSY)
-        centres = stored(many.groupBy("band", F.pmod("text_key", F.lit(CENTRES))).agg(F.min(name).alias("c")).select("band", F.col("c.fp").alias("c_fp"), F.col("c.text_key").alias("c_key")), "centres")
+        weighed = many.withColumn("weight", F.sum("n").over(Window.partitionBy("fp", "text_key")))  # a text has few bands
+        centres = weighed.groupBy("band", F.pmod("text_key", F.lit(CENTRES))).agg(F.max(F.struct("weight", "fp", "text_key")).alias("c"))
+        centres = centres.groupBy("band").agg(F.collect_list(F.struct(F.col("c.fp").alias("c_fp"), F.col("c.text_key").alias("c_key"))).alias("centres"))
+        led = stored(many.select("fp", "text_key", "band", "used").join(stored(centres, "centres"), "band"), "led")
         own = few.select("band", F.col("fp").alias("c_fp"), F.col("text_key").alias("c_key"))
-        pairs = few.select("fp", "text_key", "band").join(own, "band").where(name > other)
-        starred = many.select("fp", "text_key", "band").join(centres, "band").where(name != other)
-        asked = stored(pairs.unionAll(starred).select("fp", "text_key", "c_fp", "c_key").distinct(), "asked")
+        pairs = few.select("fp", "text_key", "band").join(own, "band").where(name > other).select("fp", "text_key", "c_fp", "c_key")
+        # of all bands of a text at once, so that a centre of several of them is asked for once
+        starred = led.groupBy("fp", "text_key").agg(F.collect_set("centres").alias("c")).select("fp", "text_key", F.explode(F.array_distinct(F.flatten("c"))).alias("c")).select("fp", "text_key", "c.*").where(name != other)
+        asked = stored(pairs.unionAll(starred).distinct(), "asked")
         known = print_of.join(asked.select("fp", "text_key").unionAll(asked.select("c_fp", "c_key")).distinct(), ["fp", "text_key"], "left_semi")
         x = asked.join(known.withColumnRenamed("minima", "x"), ["fp", "text_key"])
         both = x.join(known.select(F.col("fp").alias("c_fp"), F.col("text_key").alias("c_key"), F.col("minima").alias("y")), ["c_fp", "c_key"])
         like = stored(in_arrow(both.select("fp", "text_key", "c_fp", "c_key", "x", "y"), share, "fp long, text_key long, c_fp long, c_key long"), "alike")
         new = like.where("fp != c_fp").select(F.col("fp").alias("a"), F.col("c_fp").alias("b"))
         found = new if found is None else found.unionAll(new)
-        gone = starred.join(like, ["fp", "text_key", "c_fp", "c_key"], "left_semi").select("fp", "text_key", "band").unionAll(centres.select(F.col("c_fp").alias("fp"), F.col("c_key").alias("text_key"), "band"))
-        members = stored(many.select("fp", "text_key", "band").join(gone.distinct(), ["fp", "text_key", "band"], "left_anti"), "bands")
+        near = like.groupBy("fp", "text_key").agg(F.collect_list(other).alias("near"))
+        gone = F.arrays_overlap("centres", "near") | F.array_contains("centres", F.struct(F.col("fp").alias("c_fp"), F.col("text_key").alias("c_key")))
+        left = led.join(near, ["fp", "text_key"], "left").where(~F.coalesce(gone, F.lit(False))).select("fp", "text_key", "used").join(texts.select("fp", "text_key", "bands"), ["fp", "text_key"])
+        further = left.select("fp", "text_key", "used", F.explode(F.array_except("bands", "used")).alias("more"))
+        members = stored(further.select("fp", "text_key", F.array_sort(F.array_append("used", F.col("more"))).alias("used")).distinct().select("*", band), "bands")
 
 
 def near_duplicates(docs: DataFrame, size: int = 3, distance: int = 2) -> DataFrame:
