@@ -37,12 +37,21 @@ def shared_dir(spark: SparkSession) -> str:
     return known.rstrip("/")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write df to the shared folder and read it again: cuts the lineage, survives lost executors."""
+def stored(df: DataFrame, name: str, rows: int = 0) -> DataFrame:
+    """Write df to the shared folder and read it again: cuts the lineage, survives lost executors. rows: at most so many in a file (where rows are large)."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/helixtab/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    df.write.option("compression", "zstd").option("maxRecordsPerFile", rows).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.helixtab_path = path
+    return out
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Delete tables that stored() gave, once nothing reads them any more."""
+    for df in tables:
+        folder = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.helixtab_path)
+        folder.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def words(text: Column) -> Column:

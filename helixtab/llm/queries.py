@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from helixtab.llm.fm_index import OP11_SQL, op11_fm_decontamination
 from helixtab.llm.imatch import op1_document_fingerprints
 from helixtab.llm.license_scan import OP3_SQL, op3_license_scan
 from helixtab.llm.lm_scoring import op9_lm_scoring
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_mix_sources": op8_mix_sources,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_quality_rules": op10_quality_rules,
+    "op11_fm_decontamination": op11_fm_decontamination,
 }
 
-ORACLE_SQL = {"op3_license_scan": OP3_SQL, "op4_substring_dedup": OP4_SQL, "op5_suffix_array_dedup": OP5_SQL, "op8_mix_sources": OP8_SQL}
+ORACLE_SQL = {"op3_license_scan": OP3_SQL, "op4_substring_dedup": OP4_SQL, "op5_suffix_array_dedup": OP5_SQL, "op8_mix_sources": OP8_SQL, "op11_fm_decontamination": OP11_SQL}
