@@ -46,9 +46,16 @@ def equal(a: np.ndarray, a_start: np.ndarray, a_end: np.ndarray, b: np.ndarray,
 
 
 def hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, salt: int = 0) -> np.ndarray:
-    """64 bits for each word; salt 0 is the fast way, others are for sets of words in which that has a collision."""
+    """64 bits for each word, given in order; salt 0 is the fast way, others are for sets of words in which that has a collision."""
     if not salt:
-        return H.mix(H.stretch(H.prefix(H.BYTE_VALUE[data]), start, end))
+        out = np.empty(len(start), np.uint64)
+        at = 0
+        while at < len(start):  # a quarter of a million bytes or a word at a time
+            upto = max(at + 1, int(np.searchsorted(end, start[at] + (1 << 18))))
+            first = start[at]
+            out[at:upto] = H.mix(H.stretch(H.prefix(H.BYTE_VALUE[data[first : end[upto - 1]]]), start[at:upto] - first, end[at:upto] - first))
+            at = upto
+        return out
     return np.array([xxhash.xxh64_intdigest(data[s:e].tobytes(), salt) for s, e in zip(start.tolist(), end.tolist(), strict=True)], np.uint64)
 
 

@@ -8,6 +8,7 @@ from helixtab.llm.license_scan import OP3_SQL, op3_license_scan
 from helixtab.llm.lm_scoring import op9_lm_scoring
 from helixtab.llm.mixing import OP8_SQL, op8_mix_sources
 from helixtab.llm.packing import op7_cost_balanced_packing
+from helixtab.llm.phrases import OP12_SQL, op12_phrase_mining
 from helixtab.llm.quality_rules import op10_quality_rules
 from helixtab.llm.secret_scan import op6_secret_scan
 from helixtab.llm.simhash_dedup import op2_simhash_dedup
@@ -26,6 +27,7 @@ QUERIES = {
     "op9_lm_scoring": op9_lm_scoring,
     "op10_quality_rules": op10_quality_rules,
     "op11_fm_decontamination": op11_fm_decontamination,
+    "op12_phrase_mining": op12_phrase_mining,
 }
 
-ORACLE_SQL = {"op3_license_scan": OP3_SQL, "op4_substring_dedup": OP4_SQL, "op5_suffix_array_dedup": OP5_SQL, "op8_mix_sources": OP8_SQL, "op11_fm_decontamination": OP11_SQL}
+ORACLE_SQL = {"op3_license_scan": OP3_SQL, "op4_substring_dedup": OP4_SQL, "op5_suffix_array_dedup": OP5_SQL, "op8_mix_sources": OP8_SQL, "op11_fm_decontamination": OP11_SQL, "op12_phrase_mining": OP12_SQL}
