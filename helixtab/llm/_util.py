@@ -141,3 +141,38 @@ def with_found(docs: DataFrame, schema: str, found: Callable[[str | None], tuple
 def renamed(docs: DataFrame) -> DataFrame:
     """docs with names that clash with no operator's; the text keeps its own."""
     return docs.toDF(*[c if c == "text" else f"_{i}_{c}" for i, c in enumerate(docs.columns)])
+
+
+def dealt(items: DataFrame, most: int, cut: Callable | None = None):
+    """The rows of items (item, text) in lists of (item, bytes of text), each of most bytes or so: what a pass over documents may be given whole.
+
+    cut: gives pieces (memoryviews) of a long text; without it a text of more bytes is a list of its own. Null texts are left out.
+    """
+
+    def run(batches):
+        ids, texts, cost = [], [], 0
+
+        def out():
+            return pa.RecordBatch.from_arrays([pa.array([ids], pa.list_(kind)), pa.array([texts], pa.list_(pa.binary()))], names=["items", "texts"])
+
+        for b in batches:
+            kind = b.schema.field("item").type
+            for item, text in zip(b["item"].to_pylist(), b["text"], strict=True):
+                view = memoryview(text.as_buffer())
+                for piece in cut(view) if cut else (view,):
+                    if ids and cost + len(piece) > most:
+                        yield out()
+                        ids, texts, cost = [], [], 0
+                    ids.append(item), texts.append(bytes(piece))
+                    cost += len(piece) + 1
+        if ids:
+            yield out()
+
+    rows = items.select("item", "text").where("text is not null")
+    size = rows.agg(F.sum(F.octet_length("text") + 1)).first()[0] or 0
+    kind = items.schema["item"].dataType.simpleString()
+    blocks = stored(in_arrow(rows.repartition(1 + 2 * size // most), run, f"items array<{kind}>, texts array<binary>").withColumn("block", F.monotonically_increasing_id()), "items", 4)
+    for (block,) in sorted(blocks.select("block").collect()):
+        b = blocks.where(F.col("block") == block).first()
+        yield list(zip(b["items"], map(bytes, b.texts), strict=True))
+    dropped(blocks)

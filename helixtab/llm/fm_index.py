@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from helixtab.llm import _words as W
-from helixtab.llm._util import dropped, in_arrow, read, renamed, stored
+from helixtab.llm._util import dealt, dropped, in_arrow, read, renamed, stored
 
 #: Words in a window.
 SIZE = 10
@@ -280,31 +280,6 @@ class Windows:
         return text, start - begin[text], end - begin[text], names
 
 
-def blocks(items: DataFrame, size: int = SIZE, most: int = ITEMS):
-    """The windows of the items (item_id, text), in blocks of items with most bytes; a text beyond that is cut like a document's."""
-
-    def run(batches):
-        names, texts, cost = [], [], 0
-        for b in batches:
-            for name, text in zip(b["item"].to_pylist(), b["text"], strict=True):
-                view = memoryview(text.as_buffer())
-                for at, end, _, _ in cuts(view, size, most):
-                    if names and cost + end - at > most:
-                        yield pa.RecordBatch.from_arrays([pa.array([names]), pa.array([texts], pa.list_(pa.binary()))], names=["names", "texts"])
-                        names, texts, cost = [], [], 0
-                    names.append(name), texts.append(bytes(view[at:end]))
-                    cost += end - at
-        if names:
-            yield pa.RecordBatch.from_arrays([pa.array([names]), pa.array([texts], pa.list_(pa.binary()))], names=["names", "texts"])
-
-    rows = items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item"), "text").where("text is not null")
-    size_of = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    table = stored(in_arrow(rows.repartition(1 + 2 * size_of // most), run, "names array<string>, texts array<binary>").withColumn("block", F.monotonically_increasing_id()), "items")
-    for (block,) in sorted(table.select("block").collect()):
-        b = table.where(F.col("block") == block).first()
-        yield Windows(list(zip(b.names, map(bytes, b.texts), strict=True)), size)
-
-
 def search(index: DataFrame, items: DataFrame, size: int = SIZE, most: int = ITEMS) -> DataFrame:
     """(row, start, end, items) of the texts of index with hits, stored: spans by place, and the item ids; a row's spans of unlike blocks or pieces may overlap.
 
@@ -325,7 +300,9 @@ def search(index: DataFrame, items: DataFrame, size: int = SIZE, most: int = ITE
         return run
 
     found = None
-    for windows in blocks(items, size, most):
+    rows = items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item"), "text")
+    for block in dealt(rows, most, lambda text: (text[at:end] for at, end, _, _ in cuts(text, size, most))):
+        windows = Windows(block, size)
         part = stored(in_arrow(index, pass_of(windows), "row long, start array<long>, end array<long>, items array<string>"), "hits")
         found = part if found is None else found.unionAll(part)
     return found if found is not None else index.sparkSession.createDataFrame([], "row long, start array<long>, end array<long>, items array<string>")

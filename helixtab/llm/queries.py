@@ -10,6 +10,7 @@ from helixtab.llm.mixing import OP8_SQL, op8_mix_sources
 from helixtab.llm.packing import op7_cost_balanced_packing
 from helixtab.llm.phrases import OP12_SQL, op12_phrase_mining
 from helixtab.llm.quality_rules import op10_quality_rules
+from helixtab.llm.ranked_search import OP13_SQL, op13_ranked_search
 from helixtab.llm.secret_scan import op6_secret_scan
 from helixtab.llm.simhash_dedup import op2_simhash_dedup
 from helixtab.llm.substring_dedup import OP4_SQL, op4_substring_dedup
@@ -28,6 +29,7 @@ QUERIES = {
     "op10_quality_rules": op10_quality_rules,
     "op11_fm_decontamination": op11_fm_decontamination,
     "op12_phrase_mining": op12_phrase_mining,
+    "op13_ranked_search": op13_ranked_search,
 }
 
-ORACLE_SQL = {"op3_license_scan": OP3_SQL, "op4_substring_dedup": OP4_SQL, "op5_suffix_array_dedup": OP5_SQL, "op8_mix_sources": OP8_SQL, "op11_fm_decontamination": OP11_SQL, "op12_phrase_mining": OP12_SQL}
+ORACLE_SQL = {"op3_license_scan": OP3_SQL, "op4_substring_dedup": OP4_SQL, "op5_suffix_array_dedup": OP5_SQL, "op8_mix_sources": OP8_SQL, "op11_fm_decontamination": OP11_SQL, "op12_phrase_mining": OP12_SQL, "op13_ranked_search": OP13_SQL}
