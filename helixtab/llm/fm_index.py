@@ -351,9 +351,10 @@ def cleaned(docs: DataFrame, found: DataFrame) -> DataFrame:
     def run(batches):
         for b in batches:
             texts = [cut(t, s) if s else t for t, s in zip(b["text"].to_pylist(), b["_spans"].to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if c == "text" else b[c] for c in own.columns], names=own.columns)
+            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if c == "text" else b[c] for c in names], names=names)
 
     own = renamed(docs)
+    names = own.columns
     doc_id = own.columns[docs.columns.index("doc_id")]
     spans = found.where(F.size("spans") > 0).select(F.col("doc_id").alias("_doc"), F.col("spans").alias("_spans"))
     rows = own.join(spans, F.col(doc_id) == F.col("_doc"), "left").drop("_doc")
