@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from helixtab.llm import _hashes as H
+from helixtab.llm import _words as W
 from helixtab.llm._util import in_arrow, read, with_found
 
 FEATURES = ("bias", "few words", "many words", "upper share", "symbol share", "marks a word", "bars", "digit share", "shouts", "sentence end", "repeated", "stutter")
@@ -166,20 +167,25 @@ BASE = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repea
 SCHEMA = f"{BASE}, content_share double, kept boolean"
 
 
-def repeat_words(values: np.ndarray, window: int = 5) -> int:
-    """Words in windows of words that are found twice or more, the first included."""
+def repeat_words(values: np.ndarray, data: np.ndarray, window: int = 5) -> int:
+    """Words in windows of words that are found twice or more, the first included; values: hashes of the words of data.
+
+    If no hash of a window comes twice, no window does. Else words and then windows are numbered by what they are, so hashes that collide don't count.
+    """
     if len(values) <= window:
         return 0
-    h = H.mix(H.every(H.prefix(values), window))
-    order = np.argsort(h)
-    same = h[order][1:] == h[order][:-1]
-    if not same.any():
+    h = np.sort(H.mix(H.every(H.prefix(values), window)))
+    if not (h[1:] == h[:-1]).any():
         return 0
-    twice = np.zeros(len(h), bool)
-    twice[order[1:][same]] = twice[order[:-1][same]] = True
+    number = W.Dictionary(data, *H.word_bounds(data)).ids
+    n = len(values) - window + 1
+    name = number[:n]
+    for k in range(1, window):
+        name = np.unique(name * len(number) + number[k : k + n], return_inverse=True)[1]
+    twice = np.bincount(name)[name] > 1
     edge = np.zeros(len(values) + 1, np.int64)
-    edge[: len(h)] += twice
-    edge[window : window + len(h)] -= twice
+    edge[:n] += twice
+    edge[window : window + n] -= twice
     return int((np.cumsum(edge)[:-1] > 0).sum())
 
 
@@ -189,7 +195,7 @@ def judge(text: str, crf: Crf, least_share: float = 0.5) -> tuple:
     values = H.word_values(data)
     again = repeated_lines(text)
     n = len(values)
-    repeats = repeat_words(values)
+    repeats = repeat_words(values, data)
     failed = n < 10 or 100 * repeats > 20 * n
     x, words = line_features(data, again, values)
     own = words > 0

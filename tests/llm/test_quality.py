@@ -84,3 +84,11 @@ def test_held_out_accuracy(spark):
     bad = [r.kept for r in out if r.quality == 0]
     assert sum(good) / len(good) > 0.99
     assert sum(bad) / max(1, len(bad)) < 0.15
+
+
+def test_windows_of_equal_hashes():
+    """Two unlike words of one polynomial hash: windows that differ only there aren't repeats."""
+    a, b = ("".join("ab"[(i.bit_count() + f) % 2] for i in range(1024)) for f in (0, 1))
+    rest = " ".join("w%d" % i for i in range(40))
+    for text in (f"one two {a} three four {rest} one two {b} three four", f"one two {a} three four {rest} one two {a} three four", f"{a} " * 7 + f"{b} " * 7):
+        assert Q.judge(text, Q.Crf())[:6] == slow_base(text)
