@@ -7,6 +7,7 @@ stretches have equal hashes wherever they lie. Tokens are random 64-bit values.
 from __future__ import annotations
 
 import numpy as np
+import xxhash
 
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
@@ -73,9 +74,12 @@ def word_bounds(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def word_values(data: np.ndarray) -> np.ndarray:
-    """A 64-bit value for each word."""
+    """A 64-bit value for each word; long words, of which unlike ones can be made whose polynomial hashes agree, have XXH64."""
     start, end = word_bounds(data)
-    return mix(stretch(prefix(BYTE_VALUE[data]), start, end))
+    out = mix(stretch(prefix(BYTE_VALUE[data]), start, end))
+    for i in np.flatnonzero(end - start > 255).tolist():
+        out[i] = xxhash.xxh64_intdigest(data[start[i] : end[i]].tobytes())
+    return out
 
 
 def byte_values(data: np.ndarray) -> np.ndarray:

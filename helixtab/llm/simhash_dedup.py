@@ -10,6 +10,7 @@ counts (deduplicated) texts are linked by bands of least shingle hashes too, see
 
 from __future__ import annotations
 
+import uuid
 from itertools import accumulate, combinations
 
 import numpy as np
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 
 from helixtab.llm import _hashes as H
 from helixtab.llm._components import components
-from helixtab.llm._util import in_arrow, read, renamed, stored
+from helixtab.llm._util import dropped, in_arrow, read, renamed, shared_dir, stored
 
 #: Where more different fingerprints than this meet, they are not paired up but cut further.
 BUSY = 24
@@ -158,49 +159,78 @@ def _rooted(classes: DataFrame, distance: int, more: DataFrame | None = None) ->
 MINIMA, BAND = 128, 6
 #: Centres of a band at a time.
 CENTRES = 16
+#: Standard errors below the similarity asked up to which the share of equal minima lets a pair be compared whole: fewer than 1 of 10,000 pairs that are alike stay under it.
+SLACK = 4
 _FACTORS = H.mix(np.arange(1, MINIMA + 1, dtype=np.uint64) * np.uint64(H.BASE)) | np.uint64(1)
 
 
-def minima(text: bytes, size: int) -> np.ndarray | None:
-    """The least of a text's shingle hashes under each of MINIMA orders; None without words. A text of fewer words is one shingle."""
+def shingle_hashes(text: bytes, size: int) -> np.ndarray:
+    """The different hashes of a text's shingles, sorted; a text of fewer words is one shingle, one without words none."""
     values = H.word_values(np.frombuffer(text.lower(), np.uint8))
-    if not len(values):
+    return np.unique(H.mix(H.every(H.prefix(values), min(size, len(values))))) if len(values) else values
+
+
+def minima(hashes: np.ndarray) -> np.ndarray | None:
+    """The least of a text's shingle hashes under each of MINIMA orders; None without any."""
+    if not len(hashes):
         return None
-    hashes = np.unique(H.mix(H.every(H.prefix(values), min(size, len(values)))))
     out = np.full(MINIMA, (1 << 64) - 1, np.uint64)
     for at in range(0, len(hashes), 1024):
         np.minimum(out, (hashes[at : at + 1024, None] * _FACTORS).min(axis=0), out=out)
     return out
 
 
+def alike(x: np.ndarray, y: np.ndarray, similarity: float) -> bool:
+    """Whether the sets x and y (sorted) have that share of their union in common, or more."""
+    most = min(len(x), len(y))
+    if most < similarity * max(len(x), len(y)):
+        return False
+    both = np.sort(np.concatenate((x, y)), kind="stable")
+    common = int((both[1:] == both[:-1]).sum())
+    return common >= similarity * (len(x) + len(y) - common) - 1e-9
+
+
 def _banded(docs: DataFrame, size: int, words: int, keys: tuple[str, ...]) -> DataFrame:
-    """(doc_id, fp, text_key, minima, bands) of each row, and its keys; minima: 16 bits of each."""
+    """(doc_id, fp, text_key, minima, bands, shingles) of each row, and its keys; minima: 16 bits of each; shingles: the upper 32 bits of each hash, sorted."""
 
     def run(batches):
         for b in batches:
             texts = [t.as_buffer().to_pybytes() for t in b["text"]]
             fp = [simhash(t, size) for t in texts]
-            least = [minima(t, words) for t in texts]
+            sets = [shingle_hashes(t, words) for t in texts]
+            least = [minima(x) for x in sets]
             text_key = np.array([xxhash.xxh64_intdigest(t, 7) for t in texts], np.uint64).view(np.int64)
             short = [None if m is None else (m >> np.uint64(48)).astype(np.uint16).tobytes() for m in least]
             bands = [[] if m is None else [xxhash.xxh64_intdigest(m[i : i + BAND].tobytes(), i) - (1 << 63) for i in range(0, MINIMA - BAND + 1, BAND)] for m in least]
-            yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(fp, pa.int64()), pa.array(text_key), pa.array(short, pa.binary()), pa.array(bands, pa.list_(pa.int64())), *(b[k] for k in keys)], names=["doc_id", "fp", "text_key", "minima", "bands", *keys])
+            whole = [(x >> np.uint64(32)).astype(np.uint32).tobytes() for x in sets]
+            yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(fp, pa.int64()), pa.array(text_key), pa.array(short, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(whole, pa.binary()), *(b[k] for k in keys)], names=["doc_id", "fp", "text_key", "minima", "bands", "shingles", *keys])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), *keys)
-    return in_arrow(rows, run, "doc_id long, fp long, text_key long, minima binary, bands array<long>" + "".join(f", {k} long" for k in keys))
+    return in_arrow(rows, run, "doc_id long, fp long, text_key long, minima binary, bands array<long>, shingles binary" + "".join(f", {k} long" for k in keys))
+
+
+def _by_text(rows: DataFrame) -> DataFrame:
+    """(fp, text_key, shingles), each text once, in a table dealt out by fp and text_key: what is joined with it moves, not the sets."""
+    spark = rows.sparkSession
+    n, name = int(spark.conf.get("spark.sql.shuffle.partitions")), f"helixtab_sets_{uuid.uuid4().hex}"
+    own = rows.select("fp", "text_key", "shingles").repartition(n, "fp", "text_key").dropDuplicates(["fp", "text_key"])
+    own.write.format("parquet").option("path", f"{shared_dir(spark)}/helixtab/{name}").bucketBy(n, "fp", "text_key").saveAsTable(name)
+    return spark.table(name)
 
 
 def similar(texts: DataFrame, similarity: float = 0.8) -> DataFrame:
-    """(a, b): fp of texts (fp, text_key, minima, bands, each once) that are alike enough, as stars.
+    """(a, b): fp of texts (fp, text_key, minima, bands, shingles; rows that repeat a text count once) whose shingle sets are alike enough, as stars.
 
     Texts meet under equal bands. Where few do, pairs are compared. Where many do, of some classes of hashes the texts that meet
     most others are centres: those that are like one are linked to it and leave the band with the centres. The others meet
     again only where they share a further band too (alike ones share several), and so on, so unlike texts with a passage in
     common part quickly. No group's pairs are all made. A text that is like one that left, but unlike its centre and all others it meets, isn't linked
-    there. Likeness is the share of equal minima; a standard error less than similarity is enough.
+    there. The share of equal minima rules pairs out that are far from alike; all others are compared by their whole sets of shingles, so no link is made below similarity.
     """
-    least = similarity - (similarity * (1 - similarity) / MINIMA) ** 0.5
+    least = similarity - SLACK * (similarity * (1 - similarity) / MINIMA) ** 0.5
     band = F.xxhash64("used").alias("band")  # used: the bands that texts under this key share
+    sets = _by_text(texts)
+    texts = stored(texts.select("fp", "text_key", "minima", "bands").dropDuplicates(["fp", "text_key"]), "texts")
     members = stored(texts.select("fp", "text_key", F.explode("bands").alias("used")).select("fp", "text_key", F.array("used").alias("used")).select("*", band), "bands")
     print_of = texts.select("fp", "text_key", "minima")
     found = None
@@ -209,13 +239,21 @@ def similar(texts: DataFrame, similarity: float = 0.8) -> DataFrame:
         for b in batches:
             x, y = (np.frombuffer(b"".join(b[c].to_pylist()), np.uint16).reshape(-1, MINIMA) for c in ("x", "y"))
             good = pa.array((x == y).mean(axis=1) >= least)
-            yield pa.RecordBatch.from_arrays([b[c].filter(good) for c in ("fp", "text_key", "c_fp", "c_key")], names=["fp", "text_key", "c_fp", "c_key"])
+            yield pa.RecordBatch.from_arrays([b[c].filter(good) for c in pair], names=pair)
+
+    def verified(batches):
+        for b in batches:
+            good = pa.array([alike(*(np.frombuffer(s.as_buffer(), np.uint32) for s in two), similarity) for two in zip(b["x"], b["y"], strict=True)], pa.bool_())
+            yield pa.RecordBatch.from_arrays([b[c].filter(good) for c in pair], names=pair)
 
+    pair = ["fp", "text_key", "c_fp", "c_key"]
+    kinds = ", ".join(f"{c} long" for c in pair)
     name = F.struct("fp", "text_key")
     other = F.struct("c_fp", "c_key")
     while True:
         sizes = stored(members.groupBy("band").agg(F.count("*").alias("n")).where("n > 1"), "sizes")
         met = stored(members.join(sizes, "band"), "met")
+        dropped(members, sizes)
         if met.isEmpty():
             return texts.select(F.col("fp").alias("a"), F.col("fp").alias("b")).limit(0) if found is None else found
         few, many = met.where(F.col("n") <= BUSY), met.where(F.col("n") > BUSY)
@@ -224,14 +262,18 @@ def similar(texts: DataFrame, similarity: float = 0.8) -> DataFrame:
         centres = centres.groupBy("band").agg(F.collect_list(F.struct(F.col("c.fp").alias("c_fp"), F.col("c.text_key").alias("c_key"))).alias("centres"))
         led = stored(many.select("fp", "text_key", "band", "used").join(stored(centres, "centres"), "band"), "led")
         own = few.select("band", F.col("fp").alias("c_fp"), F.col("text_key").alias("c_key"))
-        pairs = few.select("fp", "text_key", "band").join(own, "band").where(name > other).select("fp", "text_key", "c_fp", "c_key")
+        pairs = few.select("fp", "text_key", "band").join(own, "band").where(name > other).select(*pair)
         # of all bands of a text at once, so that a centre of several of them is asked for once
         starred = led.groupBy("fp", "text_key").agg(F.collect_set("centres").alias("c")).select("fp", "text_key", F.explode(F.array_distinct(F.flatten("c"))).alias("c")).select("fp", "text_key", "c.*").where(name != other)
         asked = stored(pairs.unionAll(starred).distinct(), "asked")
         known = print_of.join(asked.select("fp", "text_key").unionAll(asked.select("c_fp", "c_key")).distinct(), ["fp", "text_key"], "left_semi")
         x = asked.join(known.withColumnRenamed("minima", "x"), ["fp", "text_key"])
         both = x.join(known.select(F.col("fp").alias("c_fp"), F.col("text_key").alias("c_key"), F.col("minima").alias("y")), ["c_fp", "c_key"])
-        like = stored(in_arrow(both.select("fp", "text_key", "c_fp", "c_key", "x", "y"), share, "fp long, text_key long, c_fp long, c_key long"), "alike")
+        close = stored(in_arrow(both.select(*pair, "x", "y"), share, kinds), "close")
+        dropped(met, asked)
+        x = close.join(sets.withColumnRenamed("shingles", "x"), ["fp", "text_key"])
+        both = x.join(sets.select(F.col("fp").alias("c_fp"), F.col("text_key").alias("c_key"), F.col("shingles").alias("y")), ["c_fp", "c_key"])
+        like = stored(in_arrow(both.select(*pair, "x", "y"), verified, kinds), "alike")
         new = like.where("fp != c_fp").select(F.col("fp").alias("a"), F.col("c_fp").alias("b"))
         found = new if found is None else found.unionAll(new)
         near = like.groupBy("fp", "text_key").agg(F.collect_list(other).alias("near"))
@@ -239,6 +281,7 @@ def similar(texts: DataFrame, similarity: float = 0.8) -> DataFrame:
         left = led.join(near, ["fp", "text_key"], "left").where(~F.coalesce(gone, F.lit(False))).select("fp", "text_key", "used").join(texts.select("fp", "text_key", "bands"), ["fp", "text_key"])
         further = left.select("fp", "text_key", "used", F.explode(F.array_except("bands", "used")).alias("more"))
         members = stored(further.select("fp", "text_key", F.array_sort(F.array_append("used", F.col("more"))).alias("used")).distinct().select("*", band), "bands")
+        dropped(led, close)
 
 
 def near_duplicates(docs: DataFrame, size: int = 3, distance: int = 2) -> DataFrame:
@@ -272,7 +315,7 @@ def deduplicated(docs: DataFrame, words: int = 5, similarity: float = 0.8, size:
     keyed = own.select("*", *(F.xxhash64(F.lit(i), *values).alias(k) for i, k in enumerate(ROW)))
     doc_id = own.columns[docs.columns.index("doc_id")]
     rows = stored(_banded(keyed.withColumnRenamed(doc_id, "doc_id"), size, words, ROW), "fingerprints")
-    texts = stored(rows.where("minima is not null").select("fp", "text_key", "minima", "bands").dropDuplicates(["fp", "text_key"]), "texts")
+    texts = rows.where("minima is not null").select("fp", "text_key", "minima", "bands", "shingles")
     classes = rows.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", *ROW)).alias("least"))
     stay = _rooted(classes, distance, similar(texts, similarity)).groupBy("root").agg(F.min("least").alias("least")).select(*(f"least.{k}" for k in ROW))
     return keyed.join(stay, list(ROW)).dropDuplicates(list(ROW)).select(*own.columns).toDF(*docs.columns)

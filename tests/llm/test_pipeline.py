@@ -53,7 +53,7 @@ def test_dedup_stage(stages):
     kept = {r["doc_id"] for r in after}
     assert len(kept) == len(after)
     share = {(a, b): len(sets[a] & sets[b]) / len(sets[a] | sets[b]) for a in sets for b in sets if a < b and sets[a] & sets[b]}
-    for least, one in ((0.88, lambda n: n <= 1), (0.66, lambda n: n >= 1)):
+    for least, one in ((0.88, lambda n: n <= 1), (0.8, lambda n: n >= 1)):
         groups = test_simhash.grouped(fps, 2, [p for p, x in share.items() if x >= least])
         assert all(one(len(kept & g)) for g in groups)
 

@@ -146,6 +146,30 @@ def test_recall_by_similarity(spark):
         assert sum(own) >= 0.9 * len(own) if low >= 0.8 else high > 0.6 or not any(own)
 
 
+@pytest.mark.parametrize("block", [45, 60])
+def test_components_at_the_similarity(spark, block):
+    """300 relatives of one text, each with a twin: only what reaches 0.8 exactly is linked, though many pairs come near it in large bands."""
+    r = random.Random(11)
+    word = lambda: "w%d" % r.randrange(10**6)
+    base = [word() for _ in range(400)]
+    docs = []
+    for _ in range(300):
+        t = list(base)
+        at = r.randrange(400 - block)
+        t[at : at + block] = [word() for _ in range(block)]
+        twin = list(t)
+        at = r.randrange(380)
+        twin[at : at + 20] = [word() for _ in range(20)]
+        docs += [(len(docs), " ".join(t)), (len(docs) + 1, " ".join(twin))]
+    sets = {i: shingles(t) for i, t in docs}
+    pairs = [(a, b) for a in sets for b in sets if a < b and (n := len(sets[a] & sets[b])) >= 0.8 * (len(sets[a]) + len(sets[b]) - n)]
+    want = grouped({i: slow_fp(t) for i, t in docs}, 2, pairs)
+    kept = {x.doc_id for x in S.deduplicated(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    least = {min(g) for g in want}
+    assert least <= kept  # nothing goes without a chain of links
+    assert len(kept - least) <= 0.02 * len(want), (len(kept), len(want))
+
+
 @pytest.mark.parametrize("busy,centres", [(24, 16), (2, 2)])
 def test_centres_leave_no_two_alike(spark, monkeypatch, busy, centres):
     """A hot group: many near copies of one text, and copies with other ends that share only bands."""
