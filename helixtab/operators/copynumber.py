@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from helixtab.functions import scalars as X
+from helixtab.operators.scans import SUM, ranged, scan
 from helixtab.operators.windows import adjust, gap_clusters, longest_run
 
 
@@ -235,16 +236,24 @@ def null_cluster(df: DataFrame, group: list[str], value: str, gap: float = 0.08,
 def two_means(df: DataFrame, group: list[str], value: str) -> DataFrame:
     """group, cut, low_mean, high_mean, ratio: the split of sorted values that leaves least within, exactly, by prefix sums.
 
-    ratio: total over remaining sum of squares.
+    ratio: total over remaining sum of squares. Equal values are counted first and different ones scanned in ranges, so a group may have any number
+    of rows: within is concave while a value's rows move over, so a split after a value's first row or its last one is best.
     """
-    by = Window.partitionBy(*group)
-    order = by.orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
     v = F.col(value)
-    rows = df.where(v.isNotNull()).select(*group, value).withColumn("_i", F.row_number().over(by.orderBy(value)))
-    rows = rows.withColumn("_s", F.sum(v).over(order)).withColumn("_q", F.sum(v * v).over(order)).withColumn("_n", F.count("*").over(by)).withColumn("_ts", F.sum(v).over(by)).withColumn("_tq", F.sum(v * v).over(by))
+    counts = df.where(v.isNotNull()).groupBy(*group, value).agg(F.count("*").alias("_m"))
+    levels = ranged(counts, group, [value])
+    sums = scan(levels, group, [value], {"_i0": (SUM, F.col("_m")), "_s0": (SUM, v * F.col("_m")), "_q0": (SUM, v * v * F.col("_m"))}, before=True)
+    total = levels.groupBy(*group).agg(F.sum("_m").alias("_n"), F.sum(v * F.col("_m")).alias("_ts"), F.sum(v * v * F.col("_m")).alias("_tq"))
+    same = F.lit(True)
+    for c in group:
+        same = same & F.col(c).eqNullSafe(F.col(f"_t_{c}"))
+    rows = sums.join(total.select(*(F.col(c).alias(f"_t_{c}") for c in group), "_n", "_ts", "_tq"), same)
+    rows = rows.withColumn("_k", F.explode(F.array_distinct(F.array(F.lit(1).cast("long"), "_m"))))
+    rows = rows.withColumn("_i", F.col("_i0") + F.col("_k")).withColumn("_s", F.col("_s0") + v * F.col("_k")).withColumn("_q", F.col("_q0") + v * v * F.col("_k"))
     rows = rows.where("_i < _n").withColumn("within", F.expr("(_q - _s * _s / _i) + (_tq - _q - (_ts - _s) * (_ts - _s) / (_n - _i))"))
-    best = rows.withColumn("_nth", F.row_number().over(by.orderBy(F.round("within", 9), "_i"))).where("_nth = 1")
-    return best.select(*group, v.alias("cut"), F.expr("_s / _i").alias("low_mean"), F.expr("(_ts - _s) / (_n - _i)").alias("high_mean"), F.expr("try_divide(_tq - _ts * _ts / _n, within)").alias("ratio"))
+    kept = F.struct(v.alias("cut"), "_s", "_i", "_ts", "_tq", "_n", "within")
+    best = rows.groupBy(*group).agg(F.min_by(kept, F.struct(F.round("within", 9), "_i")).alias("_b")).select(*group, "_b.*")
+    return best.select(*group, "cut", F.expr("_s / _i").alias("low_mean"), F.expr("(_ts - _s) / (_n - _i)").alias("high_mean"), F.expr("try_divide(_tq - _ts * _ts / _n, within)").alias("ratio"))
 
 
 def intragenic(df: DataFrame, group: list[str], position: str, value: str, ratio: float = 3.7, single: float = 1.0, several: float = 0.5, share: float = 0.5, loss: bool = True, significant: str | None = None) -> DataFrame:

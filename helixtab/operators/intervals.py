@@ -34,6 +34,48 @@ def overlap_join(left: DataFrame, right: DataFrame, left_span: tuple[str, str],
     return a.join(b, keys & meet).drop("_bin", "_bin_b", "_a_first", "_b_first")
 
 
+#: Bits of position that each level of nested bins leaves out, from bins of 16 kb up, each 8 times the one before; ROOT holds everything.
+LEVELS, ROOT = (14, 17, 20, 23, 26), 62
+
+
+def _own_bin(start: str, end: str) -> Column:
+    """struct(level, bin): the smallest of the nested bins that holds an interval."""
+    root = F.struct(F.lit(ROOT).alias("level"), F.lit(0).cast("long").alias("bin"))
+    found = root
+    for level in reversed(LEVELS):
+        a, b = (F.shiftright(F.col(c).cast("long"), level) for c in (start, end))
+        found = F.when(a == b, F.struct(F.lit(level).alias("level"), a.alias("bin"))).otherwise(found)
+    return found
+
+
+def _bins_above(start: str, own: str, least: int) -> Column:
+    """The nested bins around an interval's own one, with it (least 0) or without (1)."""
+    above = [F.struct(F.lit(level).alias("level"), F.shiftright(F.col(start).cast("long"), level).alias("bin")) for level in LEVELS]
+    root = F.struct(F.lit(ROOT).alias("level"), F.lit(0).cast("long").alias("bin"))
+    return F.filter(F.array(*above, root), lambda b: b["level"] >= F.col(f"{own}.level") + least)
+
+
+def nested_join(left: DataFrame, right: DataFrame, left_span: tuple[str, str], right_span: tuple[str, str], on: tuple[tuple[str, str], ...] = ()) -> DataFrame:
+    """overlap_join() for whole numbers of any length: each interval has one bin, the smallest that holds it, and asks the at most six around it.
+
+    Bins nest, so of two intervals that overlap one's bin is around the other's or the same: pairs meet once, there, and no interval is put in a bin for each stretch that it crosses.
+    Columns of both sides must differ. Rows with a null or reversed interval match nothing.
+    """
+
+    def own(df: DataFrame, span: tuple[str, str], name: str) -> DataFrame:
+        valid = F.col(span[0]).isNotNull() & F.col(span[1]).isNotNull() & (F.col(span[0]) <= F.col(span[1]))
+        return df.where(valid).withColumn(name, _own_bin(*span))
+
+    a, b = own(left, left_span, "_bin_a"), own(right, right_span, "_bin_b")
+    meet = (F.col(left_span[0]) <= F.col(right_span[1])) & (F.col(right_span[0]) <= F.col(left_span[1]))
+    for x, y in on:
+        meet = meet & (F.col(x) == F.col(y))
+    up = a.withColumn("_asked", F.explode(_bins_above(left_span[0], "_bin_a", 0))).join(b, (F.col("_asked.level") == F.col("_bin_b.level")) & (F.col("_asked.bin") == F.col("_bin_b.bin")) & meet)
+    down = b.withColumn("_asked", F.explode(_bins_above(right_span[0], "_bin_b", 1))).join(a, (F.col("_asked.level") == F.col("_bin_a.level")) & (F.col("_asked.bin") == F.col("_bin_a.bin")) & meet)
+    columns = [*left.columns, *right.columns]
+    return up.select(*columns).unionAll(down.select(*columns))
+
+
 def point_join(points: DataFrame, intervals: DataFrame, position: str, span: tuple[str, str], on: tuple[tuple[str, str], ...] = (), width: float = BIN) -> DataFrame:
     """Pairs of a point and a closed interval that holds it."""
     return overlap_join(points.withColumn("_position", F.col(position)), intervals, (position, "_position"), span, on, width).drop("_position")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from helixtab.operators.scans import LAST, LEAST, SUM, ranged, scan
+
 
 def _by(group: list[str], order: list[Column | str]):
     return Window.partitionBy(*group).orderBy(*order)
@@ -17,23 +19,26 @@ def counter_per_run(df: DataFrame, group: list[str], order: list[Column | str],
     return runs.withColumn(name, F.row_number().over(_by([*group, "_run"], order))).drop("_run")
 
 
-def longest_run(df: DataFrame, group: list[str], order: list[Column | str], holds: Column, name: str = "longest") -> DataFrame:
-    """Length of the longest stretch of rows for which a condition holds, 0 if never."""
-    by = _by(group, order).rowsBetween(Window.unboundedPreceding, 0)
-    on = F.coalesce(holds, F.lit(False))
-    runs = df.withColumn("_on", on).withColumn("_break", F.sum((~F.col("_on")).cast("int")).over(by))
+def longest_run(df: DataFrame, group: list[str], order: list[str], holds: Column, name: str = "longest") -> DataFrame:
+    """Length of the longest stretch of rows for which a condition holds, 0 if never. A group may have any number of rows."""
+    rows = ranged(df.select(*dict.fromkeys([*group, *order]), F.coalesce(holds, F.lit(False)).alias("_on")), group, order)
+    runs = scan(rows, group, order, {"_break": (SUM, (~F.col("_on")).cast("long"))})
     each = runs.groupBy(*group, "_break").agg(F.count_if("_on").alias("_n"))
     return each.groupBy(*group).agg(F.max("_n").alias(name))
 
 
 def gap_clusters(df: DataFrame, group: list[str], value: str, gap: float = 0.08, least: int = 1, name: str = "cluster") -> DataFrame:
-    """Different values per group in order, numbered by clusters that gaps above gap part; a cluster of fewer than least values is 0."""
-    levels = df.where(F.col(value).isNotNull()).select(*group, value).distinct()
-    by = _by(group, [value])
-    new = (F.col(value) - F.lag(value).over(by) > gap).cast("int")
-    numbered = levels.withColumn("_new", F.coalesce(new, F.lit(1))).withColumn(name, F.sum("_new").over(by.rowsBetween(Window.unboundedPreceding, 0)))
-    size = F.count("*").over(Window.partitionBy(*group, name))
-    return numbered.withColumn("_size", size).withColumn(name, F.when(F.col("_size") < least, 0).otherwise(F.col(name))).drop("_new", "_size")
+    """Different values per group in order, numbered by clusters that gaps above gap part; a cluster of fewer than least values is 0. A group may have any number of values."""
+    levels = ranged(df.where(F.col(value).isNotNull()).select(*group, value).distinct(), group, [value])
+    after = scan(levels, group, [value], {"_before": (LAST, F.col(value))}, before=True)
+    new = F.coalesce((F.col(value) - F.col("_before") > gap).cast("int"), F.lit(1))
+    numbered = scan(after, group, [value], {name: (SUM, new)}).select(*group, value, name)
+    size = numbered.groupBy(*group, name).agg(F.count("*").alias("_size")).where(F.col("_size") < least)
+    small = size.select(*(F.col(c).alias(f"_s_{c}") for c in (*group, name)))
+    same = F.lit(True)
+    for c in (*group, name):
+        same = same & F.col(c).eqNullSafe(F.col(f"_s_{c}"))
+    return numbered.join(small, same, "left").select(*group, value, F.when(F.col(f"_s_{name}").isNotNull(), 0).otherwise(F.col(name)).alias(name))
 
 
 def dense(df: DataFrame, group: list[str], position: str, within: float, least: int = 3, order: list[str] = (), name: str = "dense") -> DataFrame:
@@ -49,14 +54,24 @@ def dense(df: DataFrame, group: list[str], position: str, within: float, least:
 
 
 def adjust(df: DataFrame, group: list[str], p: str, name: str = "p_adjusted") -> DataFrame:
-    """Benjamini-Hochberg: least of p * n / rank over this and larger p-values; missing ones don't count."""
-    own = Window.partitionBy(*group)
-    n = F.count(p).over(own)
-    known = F.when(F.col(p).isNotNull(), F.rank().over(own.orderBy(F.col(p).asc_nulls_last())))
-    last = F.count(p).over(own.orderBy(F.col(p).asc_nulls_last()).rangeBetween(Window.unboundedPreceding, 0))
-    raw = df.withColumn("_raw", F.when(known.isNotNull(), F.col(p) * n / last))
-    down = own.orderBy(F.col(p).desc_nulls_last()).rangeBetween(Window.unboundedPreceding, 0)
-    return raw.withColumn(name, F.when(F.col(p).isNotNull(), F.least(F.lit(1.0), F.min("_raw").over(down)))).drop("_raw")
+    """Benjamini-Hochberg: least of p * n / rank over this and larger p-values; missing ones don't count.
+
+    Different p-values are counted first and scanned in ranges, so a group may have any number of rows.
+    """
+    own = [f"_g{i}" for i in range(len(group))]
+    keys = [F.col(c).alias(k) for c, k in zip(group, own, strict=True)]
+    counts = df.where(F.col(p).isNotNull()).groupBy(*keys, F.col(p).alias("_p")).agg(F.count("*").alias("_m"))
+    levels = ranged(counts, own, ["_p"])
+    total = levels.groupBy(*own).agg(F.sum("_m").alias("_n")).select(*(F.col(k).alias(f"{k}t") for k in own), "_n")
+    same = F.lit(True)
+    for k in own:
+        same = same & F.col(k).eqNullSafe(F.col(f"{k}t"))
+    ranks = scan(levels, own, ["_p"], {"_last": (SUM, F.col("_m"))}).join(total, same).withColumn("_raw", F.col("_p") * F.col("_n") / F.col("_last"))
+    found = scan(ranks.select(*own, "_p", "_range", "_raw"), own, ["_p"], {"_least": (LEAST, F.col("_raw"))}, reverse=True).select(*own, "_p", "_least")
+    met = F.col(p) == F.col("_p")
+    for c, k in zip(group, own, strict=True):
+        met = met & F.col(c).eqNullSafe(F.col(k))
+    return df.join(found, met, "left").withColumn(name, F.when(F.col(p).isNotNull(), F.least(F.lit(1.0), F.col("_least")))).select(*df.columns, name)
 
 
 def least_of(df: DataFrame, group: list[str], order: list[Column | str]) -> DataFrame:

@@ -7,10 +7,12 @@ import json
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from helixtab.operators import intervals as I  # noqa: E741
 from helixtab.operators import sequencing as Q
 from helixtab.plans.file_queries import CHUNK, SEQUENCES, _fasta, _path, _text
 from helixtab.plans.queries import LINE, query
 from helixtab.sources import bam, variants
+from helixtab.streaming import events, ingest
 
 LETTERS = "translate(md5({0}), '0123456789abcdef', 'ACGTACGTACGTACGT')"
 #: A read of each row of lineitem: 1 to 50 bases, every third one with a gap of 3 after 5 bases, every fifth one clipped by 2.
@@ -224,3 +226,32 @@ SELECT n.library, pairs, singles, duplicate_pairs, duplicate_singles, optical_pa
 def duplicate_metrics(t):
     out = Q.duplicate_metrics(Q.marked_fragments(Q.fragments(_fragment_reads(t), "library"), "library"), "library")
     return out.withColumn("share", F.round("share", 6)).withColumn("library_size", F.round("library_size", -1))
+
+
+# ---------------------------------------------------------------- intervals and ingest
+
+LONG = "(SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_suppkey % 25 AS c, (l_orderkey * 7919 % 100000000)::BIGINT AS a, (l_orderkey * 7919 % 100000000 + CASE l_partkey % 50 WHEN 0 THEN l_quantity * 2000000 WHEN 1 THEN l_quantity * 20000 ELSE l_quantity END)::BIGINT AS b FROM lineitem)"
+SHORT = "(SELECT p_partkey, p_partkey % 25 AS k, (p_partkey * 104729 % 100000000)::BIGINT AS s, (p_partkey * 104729 % 100000000 + CASE p_size % 10 WHEN 0 THEN p_size * 100000 ELSE p_size END)::BIGINT AS e FROM part)"
+
+
+@query(f"SELECT p_partkey, count(*) AS n, sum(b - a)::BIGINT AS bases, min(a) AS first FROM {LONG} JOIN {SHORT} ON c = k AND a <= e AND s <= b GROUP BY 1")
+def nested_intervals(t):
+    """Lengths from 1 to 10^8 in one join; no interval is in more than six bins."""
+    start = (F.col("l_orderkey") * 7919 % 100000000).cast("long")
+    length = F.when(F.col("l_partkey") % 50 == 0, F.col("l_quantity") * 2000000).when(F.col("l_partkey") % 50 == 1, F.col("l_quantity") * 20000).otherwise(F.col("l_quantity"))
+    long = t.lineitem.select((F.col("l_suppkey") % 25).alias("c"), start.alias("a"), (start + length).cast("long").alias("b"))
+    at = (F.col("p_partkey") * 104729 % 100000000).cast("long")
+    short = t.part.select("p_partkey", (F.col("p_partkey") % 25).alias("k"), at.alias("s"), (at + F.when(F.col("p_size") % 10 == 0, F.col("p_size") * 100000).otherwise(F.col("p_size"))).cast("long").alias("e"))
+    met = I.nested_join(long, short, ("a", "b"), ("s", "e"), (("c", "k"),))
+    return met.groupBy("p_partkey").agg(F.count("*").alias("n"), F.sum(F.col("b") - F.col("a")).alias("bases"), F.min("a").alias("first"))
+
+
+@query("SELECT user_id, event_id, event_type, value FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1")
+def ingested_events(t):
+    """The events as a stream of files, put into a keyed table batch by batch."""
+    source, target = _path(t), _path(t)
+    t.events.select("user_id", "event_id", "event_type", "value").repartition(4, "event_id").write.parquet(source)
+    stream = events.files(t.spark, source, t.spark.read.parquet(source).schema, per_trigger=2)
+    store = ingest.Store(t.spark, target, ["user_id"], ["event_id"], 16)
+    ingest.upserted(stream, store, f"{target}-checkpoint").awaitTermination()
+    return store.rows()
