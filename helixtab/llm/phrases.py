@@ -20,8 +20,8 @@ from helixtab.llm._util import dropped, in_arrow, read, stored
 
 #: Words in a phrase at most; occurrences at least; share (in hundredths) of a phrase's occurrences that a longer one may hold; phrases of a language.
 LONGEST, LEAST, HELD, TOP = 5, 100, 100, 2000
-#: Bytes of text in a block. Names up to which they are broadcast, counted before; more are joined by shuffle.
-BLOCK, MOST_BROADCAST = 16 << 20, 500_000
+#: Bytes of text in a block. Names up to which all go with every task (12 MB of pairs), counted before; more are joined by shuffle.
+BLOCK, MOST_BROADCAST = 6 << 20, 500_000
 CUT = np.zeros(256, bool)
 CUT[list(b".,;:!?\n\v\f\r")] = True
 IN_WORD = ~CUT
@@ -55,14 +55,24 @@ class Level:
     def __init__(self, place: np.ndarray, number: np.ndarray, own: np.ndarray, ids: np.ndarray):
         self.place, self.number, self.own, self.ids = place, number, own, ids
 
-    def packed(self) -> bytes:
+    def packed(self, **more: np.ndarray) -> bytes:
         step = np.diff(self.place, prepend=0).astype(np.int32)
-        return zstandard.ZstdCompressor(level=1).compress(W.to_bytes(step=step, number=self.number.astype(np.int32), own=self.own, ids=self.ids))
+        return zstandard.ZstdCompressor(level=1).compress(W.to_bytes(step=step, number=self.number.astype(np.int32), own=self.own, ids=self.ids, **more))
 
     @staticmethod
-    def unpacked(blob) -> Level:
+    def unpacked(blob) -> tuple[Level, dict[str, np.ndarray]]:
+        """The level, and what else was packed with it."""
         parts = W.from_bytes(zstandard.ZstdDecompressor().decompress(blob))
-        return Level(np.cumsum(parts["step"], dtype=np.int64), parts["number"].astype(np.int64), parts["own"], parts["ids"])
+        return Level(np.cumsum(parts["step"], dtype=np.int64), parts["number"].astype(np.int64), parts["own"], parts["ids"]), parts
+
+    def of_words(self, word: np.ndarray, ids: np.ndarray) -> Level:
+        """The first level: words by number (as this has them) have ids, others none."""
+        order = np.argsort(ids)
+        number = np.full(int(self.number.max(initial=0)) + 1, -1)
+        number[word[order]] = np.arange(len(ids))
+        number = number[self.number]
+        on = number >= 0
+        return Level(self.place[on], number[on], self.own[on], ids[order])
 
     def pairs(self) -> tuple[np.ndarray, np.ndarray]:
         """Which starts have a neighbour, and the pair of each as one number."""
@@ -105,12 +115,12 @@ def tokenised(docs: DataFrame, block: int, longest: int) -> DataFrame:
             code = np.array([names.index(lang) for _, _, lang in pieces])[piece]
             pair, number = np.unique(words.ids * len(names) + code, return_inverse=True)
             n = np.bincount(number[own], minlength=len(pair))
-            cut = np.concatenate(([0], np.cumsum(CUT[data])))
-            place = np.arange(len(start)) + (np.cumsum(np.diff(cut[start], prepend=0) > 0) if len(start) else 0)  # words apart by a cut aren't neighbours
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([nth]), pa.array([Level(place, number, own, np.zeros(0, np.int64)).packed()], pa.binary()), *(pa.nulls(1, t) for t in (pa.string(), pa.string(), pa.int64(), pa.int64()))], names=names_of
-            )
-            known, lang = words.packed(), pa.DictionaryArray.from_arrays(pa.array(pair % len(names), pa.int32()), pa.array(names, pa.string())).cast(pa.string())
+            cut = np.searchsorted(np.flatnonzero(CUT[data]), start)
+            place = np.arange(len(start)) + np.cumsum(np.diff(cut, prepend=0) > 0)  # words apart by a cut aren't neighbours
+            known = words.packed()
+            blob = Level(place, number, own, np.zeros(0, np.int64)).packed(word=pair // len(names), lang_of=pair % len(names), langs=np.array(names), words=known["words"], word_end=known["word_end"])
+            yield pa.RecordBatch.from_arrays([pa.array([nth]), pa.array([blob], pa.binary()), *(pa.nulls(1, t) for t in (pa.string(), pa.string(), pa.int64(), pa.int64()))], names=names_of)
+            lang = pa.DictionaryArray.from_arrays(pa.array(pair % len(names), pa.int32()), pa.array(names, pa.string())).cast(pa.string())
             word = pa.StringArray.from_buffers(len(words), pa.py_buffer(np.concatenate(([0], known["word_end"])).astype(np.int32)), pa.py_buffer(known["words"])).take(pa.array(pair // len(names)))
             columns = [pa.array(np.full(len(pair), nth)), pa.nulls(len(pair), pa.binary()), lang, word, pa.array(np.arange(len(pair))), pa.array(n)]
             rows = pa.RecordBatch.from_arrays(columns, names=names_of)
@@ -133,59 +143,115 @@ def tokenised(docs: DataFrame, block: int, longest: int) -> DataFrame:
     return stored(in_arrow(rows, run, "block long, data binary, lang string, word string, number long, n long"), "words")
 
 
-def _renamed(blocks: DataFrame, asked: DataFrame, level: int, last: bool) -> DataFrame:
-    """The next level of each block, and its pairs (left, right, n); asked: (block, a, b, id), what a block needs to name its words or pairs. Stored."""
+class Lexicon:
+    """Words with ids, few enough to be with every task."""
+
+    def __init__(self, lang: list[str], word: list[bytes], ids: np.ndarray):
+        data = np.frombuffer(b"".join(word), np.uint8)
+        end = np.cumsum([len(w) for w in word], dtype=np.int64)
+        known = W.Dictionary(data, end - np.array([len(w) for w in word], np.int64), end)
+        self.known, self.langs = known.packed(), sorted(set(lang))
+        code = {n: i for i, n in enumerate(self.langs)}
+        key = known.ids * len(self.langs) + np.array([code[n] for n in lang], np.int64)
+        order = np.argsort(key)
+        self.key, self.ids = key[order], ids[order]
+
+    def of(self, parts: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """(number, id) of the words of a block that have one."""
+        end = parts["word_end"].astype(np.int64)
+        word = W.find(self.known, parts["words"], np.append(0, end[:-1])[: len(end)], end)[parts["word"]]
+        code = {n: i for i, n in enumerate(self.langs)}
+        lang = np.array([code.get(n, -1) for n in parts["langs"].tolist()])[parts["lang_of"]]
+        key = word * len(self.langs) + lang
+        at = np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)
+        on = np.flatnonzero((word >= 0) & (lang >= 0) & (self.key[at] == key))
+        return on, self.ids[at[on]]
+
+
+class Pairs:
+    """Pairs with ids, few enough to be with every task."""
+
+    def __init__(self, left: np.ndarray, right: np.ndarray, ids: np.ndarray):
+        self.left, self.right, self.ids = left, right, ids
+
+    def of(self, level: Level) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Those whose parts a block has."""
+        if not len(level.ids):
+            return self.left[:0], self.right[:0], self.ids[:0]
+        has = lambda x: level.ids[np.minimum(np.searchsorted(level.ids, x), len(level.ids) - 1)] == x
+        on = has(self.left) & has(self.right)
+        return self.left[on], self.right[on], self.ids[on]
 
-    def run(blobs: pa.Table, known: pa.Table) -> pa.Table:
+
+_KINDS = pa.schema([("block", pa.int64()), ("data", pa.binary()), ("left", pa.int64()), ("right", pa.int64()), ("n", pa.int64())])
+_ROWS = "block long, data binary, left long, right long, n long"
+
+
+def _counted(block: int, level: Level, last: bool):
+    """A row with a block's next level, unless it is the last, and a row for each of its pairs."""
+    left, right, n = level.counted()
+    if not len(n):
+        return
+    if not last:
+        yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([level.packed()], pa.binary()), *(pa.nulls(1, pa.int64()) for _ in range(3))], schema=_KINDS)
+    for at in range(0, len(n), 200_000):
+        part = slice(at, at + 200_000)
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(n[part]), block)), pa.nulls(len(n[part]), pa.binary()), pa.array(left[part]), pa.array(right[part]), pa.array(n[part])], schema=_KINDS)
+
+
+def _renamed(rows: DataFrame, names: DataFrame, level: int, last: bool, most: int) -> DataFrame:
+    """The next level of each block, and its pairs (left, right, n), stored; rows: of the level before, names: their ids.
+
+    Up to so many names go with every task. More are joined with the blocks that ask for them.
+    """
+    blocks = rows.where("data is not null").select("block", "data")
+    few = names.limit(most + 1).toArrow()
+    if few.num_rows <= most:
+        if level == 1:
+            known = Lexicon(few["lang"].to_pylist(), [w.encode() for w in few["word"].to_pylist()], few["id"].to_numpy())
+        else:
+            known = Pairs(*(few[c].to_numpy() for c in ("left", "right", "id")))
+
+        def run(batches):
+            for b in batches if few_of else ():
+                for block, blob in zip(b["block"].to_pylist(), b["data"], strict=True):
+                    now, parts = Level.unpacked(blob.as_buffer())
+                    yield from _counted(block, now.of_words(*known.of(parts)) if level == 1 else now.named(*known.of(now)), last)
+
+        few_of = few.num_rows
+        del few
+        return stored(in_arrow(blocks, run, _ROWS), f"pairs{level + 1}")
+
+    def cogrouped(blobs: pa.Table, asked: pa.Table) -> pa.Table:
         out = []
         for blob in blobs["data"]:
-            now = Level.unpacked(blob.as_buffer())
-            a, b, ids = (known[c].to_numpy() for c in ("a", "b", "id"))
-            if level == 1:  # a: the number of a word in the block
-                order = np.argsort(ids)
-                number = np.full(int(now.number.max(initial=0)) + 1, -1)
-                number[a[order]] = np.arange(len(ids))
-                number = number[now.number]
-                on = number >= 0
-                now = Level(now.place[on], number[on], now.own[on], ids[order])
-            else:
-                now = now.named(a, b, ids)
-            left, right, n = now.counted()
-            if not len(n):
-                continue
-            block = blobs["block"][0].as_py()
-            if not last:
-                out.append(pa.RecordBatch.from_arrays([pa.array([block]), pa.array([now.packed()], pa.binary()), *(pa.nulls(1, pa.int64()) for _ in range(3))], schema=kinds))
-            out.append(pa.RecordBatch.from_arrays([pa.array(np.full(len(n), block)), pa.nulls(len(n), pa.binary()), pa.array(left), pa.array(right), pa.array(n)], schema=kinds))
-        return pa.Table.from_batches(out, kinds)
-
-    kinds = pa.schema([("block", pa.int64()), ("data", pa.binary()), ("left", pa.int64()), ("right", pa.int64()), ("n", pa.int64())])
-    rows = blocks.groupBy("block").cogroup(asked.withColumnRenamed("block", "asker").groupBy("asker")).applyInArrow(run, "block long, data binary, left long, right long, n long")
-    return stored(rows, f"pairs{level + 1}")
-
-
-def _small(names: DataFrame, most: int) -> DataFrame:
-    return F.broadcast(names) if len(names.limit(most + 1).select("id").take(most + 1)) <= most else names.hint("merge")
+            now, _ = Level.unpacked(blob.as_buffer())
+            a, b, ids = (asked[c].to_numpy() for c in ("a", "b", "id"))
+            out += _counted(blobs["block"][0].as_py(), now.of_words(a, ids) if level == 1 else now.named(a, b, ids), last)
+        return pa.Table.from_batches(out, _KINDS)
+
+    if level == 1:
+        asked = rows.where("word is not null").join(names.hint("merge"), ["lang", "word"]).select(F.col("block").alias("asker"), F.col("number").alias("a"), F.lit(0).cast("long").alias("b"), "id")
+    else:
+        asked = rows.where("data is null").join(names.hint("merge"), ["left", "right"]).select(F.col("block").alias("asker"), F.col("left").alias("a"), F.col("right").alias("b"), "id")
+    return stored(blocks.groupBy("block").cogroup(asked.groupBy("asker")).applyInArrow(cogrouped, _ROWS), f"pairs{level + 1}")
 
 
 def named(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, block: int = BLOCK, broadcast: int = MOST_BROADCAST) -> tuple[DataFrame, list[DataFrame]]:
     """(totals, names): totals: lang, n (all words); names[0]: id, lang, word, a; names[k - 1]: id, left, right (parents: ids of names[k - 2]), a. All k-grams of least occurrences have an id."""
-    words = tokenised(docs, block, longest)
-    found = words.where("word is not null")
-    counted = stored(found.groupBy("lang", "word").agg(F.sum("n").alias("a")), "lexicon")
+    rows = tokenised(docs, block, longest)
+    counted = stored(rows.where("word is not null").groupBy("lang", "word").agg(F.sum("n").alias("a")), "lexicon")
     totals = stored(counted.groupBy("lang").agg(F.sum("a").alias("n")), "totals")
     names = [stored(counted.where(F.col("a") >= least).withColumn("id", F.monotonically_increasing_id()), "names1")]
     dropped(counted)
-    asked = found.join(_small(names[0].select("lang", "word", "id"), broadcast), ["lang", "word"]).select("block", F.col("number").alias("a"), F.lit(0).cast("long").alias("b"), "id")
-    blocks = words.where("data is not null").select("block", "data")
     for level in range(1, longest):
-        pairs = _renamed(blocks, asked, level, level == longest - 1)
-        dropped(words)
-        words, blocks = pairs, pairs.where("data is not null").select("block", "data")
-        mine = pairs.where("data is null").select("block", "left", "right", "n")
-        names.append(stored(mine.groupBy("left", "right").agg(F.sum("n").alias("a")).where(F.col("a") >= least).withColumn("id", F.monotonically_increasing_id()), f"names{level + 1}"))
-        asked = mine.join(_small(names[-1].select("left", "right", "id"), broadcast), ["left", "right"]).select("block", F.col("left").alias("a"), F.col("right").alias("b"), "id")
-    dropped(words)
+        own = ("lang", "word") if level == 1 else ("left", "right")
+        after = _renamed(rows, names[-1].select(*own, "id"), level, level == longest - 1, broadcast)
+        dropped(rows)
+        rows = after
+        found = rows.where("data is null").groupBy("left", "right").agg(F.sum("n").alias("a")).where(F.col("a") >= least)
+        names.append(stored(found.withColumn("id", F.monotonically_increasing_id()), f"names{level + 1}"))
+    dropped(rows)
     return totals, names
 
 
