@@ -50,33 +50,29 @@ def best_normals(ratios: DataFrame, most_missing: int = 100, order: str = "norma
     return noise.withColumn("_nth", F.row_number().over(by)).where("_nth = 1 and noise is not null").drop("_nth")
 
 
-def _local_fit(x: np.ndarray, y: np.ndarray, at: np.ndarray, span: float) -> np.ndarray:
-    """Local quadratic regression with tricube weights (Cleveland), evaluated directly at each place."""
-    k = max(4, min(len(x), int(np.floor(span * len(x) + 1e-5))))
-    out = np.empty(len(at))
-    for i, p in enumerate(at):
+def _local_fit(x: np.ndarray, n: np.ndarray, total: np.ndarray, span: float) -> np.ndarray:
+    """Local quadratic regression with tricube weights (Cleveland), evaluated directly at each level x, of which there are n values with that total."""
+    rows = int(n.sum())
+    k = max(4, min(rows, int(np.floor(span * rows + 1e-5))))
+    out = np.empty(len(x))
+    for i, p in enumerate(x):
         d = np.abs(x - p)
-        h = max(np.partition(d, k - 1)[k - 1], 1e-12)
+        near = np.argsort(d, kind="stable")
+        h = max(d[near[np.searchsorted(np.cumsum(n[near]), min(k, rows))]], 1e-12)
         w = np.clip(1 - (d / h) ** 3, 0, None) ** 3
         on = w > 0
-        q = np.sqrt(w[on])
+        q = np.sqrt(w[on] * n[on])
         a = np.vander(x[on] - p, 3, increasing=True) * q[:, None]
-        out[i] = np.linalg.lstsq(a, y[on] * q, rcond=None)[0][0]
+        out[i] = np.linalg.lstsq(a, total[on] / n[on] * q, rcond=None)[0][0]
     return out
 
 
-def _fit(x: np.ndarray, y: np.ndarray, span: float, points: int = 200) -> np.ndarray:
-    """The fit at every x, interpolated between points places."""
-    grid = np.unique(np.quantile(x, np.linspace(0, 1, points)))
-    return np.interp(x, grid, _local_fit(x, y, grid, span))
-
-
-def _best_span(x: np.ndarray, y: np.ndarray, low: float = 0.3, high: float = 0.75) -> float:
+def _best_span(x: np.ndarray, n: np.ndarray, total: np.ndarray, low: float = 0.3, high: float = 0.75) -> float:
     """The span that leaves the least variance after a second fit, by golden section."""
 
     def left(span: float) -> float:
-        r = y - _fit(x, y, span, 60)
-        return float(np.var(_fit(x, r, span, 60)))
+        again = _local_fit(x, n, total - n * _local_fit(x, n, total, span), span)
+        return float(np.average((again - np.average(again, weights=n)) ** 2, weights=n))
 
     g = (5**0.5 - 1) / 2
     a, b = high - g * (high - low), low + g * (high - low)
@@ -93,25 +89,42 @@ def _best_span(x: np.ndarray, y: np.ndarray, low: float = 0.3, high: float = 0.7
     return (low + high) / 2
 
 
-def gc_normalised(df: DataFrame, sample: str = "sample", span: float | None = None) -> DataFrame:
-    """(sample, target, tiling, gc, cov): coverage without its trend over gc, relative to the sample's median.
+def gc_normalised(df: DataFrame, sample: str = "sample", span: float | None = None, digits: int = 3) -> DataFrame:
+    """(sample, target, norm) of (sample, target, chrom, tiling, gc, cov): coverage without its trend over gc, relative to the sample's median.
 
-    On square roots, tiling and other targets apart; span is chosen on tiling targets if not given.
+    On square roots, tiling and other targets apart; span is chosen on tiling targets off Y if not given. gc is rounded to digits, and targets
+    are counted and summed per level before the regression, so what meets in a task is the levels of a sample (1001 for tiling and others each, with
+    three digits), however many targets it has.
     """
+    y = F.sqrt(F.col("cov").cast("double"))
+    rows = df.select(sample, "target", F.coalesce("tiling", F.lit(False)).alias("_tiling"), F.round(F.col("gc").cast("double"), digits).alias("_level"), y.alias("_y"), (~F.coalesce(F.col("chrom").isin("Y", "chrY"), F.lit(False))).alias("_basis"))
+    levels = rows.groupBy(sample, "_tiling", "_level").agg(F.count("*").alias("n"), F.sum("_y").alias("total"), F.count_if("_basis").alias("n_basis"), F.sum(F.when(F.col("_basis"), F.col("_y")).otherwise(0.0)).alias("total_basis"))
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        y, x = np.sqrt(pdf["cov"].to_numpy(float)), pdf["gc"].to_numpy(float)
-        tiling = pdf["tiling"].to_numpy(bool)
-        basis = tiling & ~pdf["chrom"].isin(["Y", "chrY"]).to_numpy() if tiling.sum() >= 10 else np.ones(len(y), bool)
-        use = span or (_best_span(x[basis], y[basis]) if basis.sum() >= 10 else 0.5)
-        out = y.copy()
+        pdf = pdf.sort_values(["_tiling", "_level"])
+        tiling = pdf["_tiling"].to_numpy(bool)
+        x, n, total = (pdf[c].to_numpy(float) for c in ("_level", "n", "total"))
+        n_basis, total_basis = pdf["n_basis"].to_numpy(float) * tiling, pdf["total_basis"].to_numpy(float) * tiling
+        if n[tiling].sum() < 10:  # all targets, levels of tiling and other ones together
+            x_all, at = np.unique(x, return_inverse=True)
+            x_basis, n_basis, total_basis = x_all, np.bincount(at, n), np.bincount(at, total)
+        else:
+            x_basis = x
+        on = n_basis > 0
+        use = span or (_best_span(x_basis[on], n_basis[on], total_basis[on]) if n_basis.sum() >= 10 else 0.5)
+        out = np.full(len(x), np.nan)
         for part in (tiling, ~tiling):
-            if part.sum() >= 5:
-                out[part] = y[part] - _fit(x[part], y[part], use) + np.median(y[part])
-        middle = np.median(y[y > 0]) if (y > 0).any() else 1.0
-        return pdf.assign(norm=np.clip(out / middle, 0, None) ** 2)[[sample, "target", "norm"]]
-
-    return df.groupBy(sample).applyInPandas(fit, f"{sample} string, target string, norm double")
+            if n[part].sum() >= 5:
+                out[part] = _local_fit(x[part], n[part], total[part], use)
+        return pdf.assign(_fit=out)[[sample, "_tiling", "_level", "_fit"]]
+
+    kind = df.schema[sample].dataType.simpleString()
+    fits = levels.groupBy(sample).applyInPandas(fit, f"{sample} {kind}, _tiling boolean, _level double, _fit double")
+    middle = rows.groupBy(sample).agg(F.coalesce(F.median(F.when(F.col("_y") > 0, F.col("_y"))), F.lit(1.0)).alias("_middle"))
+    centre = rows.groupBy(sample, "_tiling").agg(F.median("_y").alias("_centre"))
+    out = rows.join(fits, [sample, "_tiling", "_level"]).join(centre, [sample, "_tiling"]).join(middle, sample)
+    flat = F.when(F.isnan("_fit"), F.col("_y")).otherwise(F.col("_y") - F.col("_fit") + F.col("_centre"))
+    return out.select(sample, "target", F.pow(F.greatest(flat / F.col("_middle"), F.lit(0.0)), 2).alias("norm"))
 
 
 def _arc(x: np.ndarray, least: int) -> tuple[float, int, int]:

@@ -18,13 +18,17 @@ from helixtab.session import shared_folder
 SUM, LEAST, LAST = "sum", "least", "last"
 
 
+def kept(df: DataFrame, name: str = "rows") -> DataFrame:
+    """df, written to the shared folder (this runs a job): values that are worked out again may differ in their last digits, and wouldn't meet in a join."""
+    path = f"{shared_folder(df.sparkSession)}/helixtab/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def ranged(df: DataFrame, group: list[str], order: list[str]) -> DataFrame:
     """df with _range, the number of the range that a row lies in; written to the shared folder (this runs a job), so that it stays the same."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/helixtab/ranges-{uuid.uuid4().hex}"
-    rows = df.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *group, *order).withColumn("_range", F.spark_partition_id())
-    rows.write.parquet(path)
-    return spark.read.schema(rows.schema).parquet(path)
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return kept(df.repartitionByRange(n, *group, *order).withColumn("_range", F.spark_partition_id()), "ranges")
 
 
 def scan(rows: DataFrame, group: list[str], order: list[str], values: dict[str, tuple[str, Column]], reverse: bool = False, before: bool = False) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from helixtab.operators.scans import LAST, LEAST, SUM, ranged, scan
+from helixtab.operators.scans import LAST, LEAST, SUM, kept, ranged, scan
 
 
 def _by(group: list[str], order: list[Column | str]):
@@ -56,8 +56,9 @@ def dense(df: DataFrame, group: list[str], position: str, within: float, least:
 def adjust(df: DataFrame, group: list[str], p: str, name: str = "p_adjusted") -> DataFrame:
     """Benjamini-Hochberg: least of p * n / rank over this and larger p-values; missing ones don't count.
 
-    Different p-values are counted first and scanned in ranges, so a group may have any number of rows.
+    Different p-values are counted first and scanned in ranges, so a group may have any number of rows. df is written once, so that p-values meet their own.
     """
+    df = kept(df)
     own = [f"_g{i}" for i in range(len(group))]
     keys = [F.col(c).alias(k) for c, k in zip(group, own, strict=True)]
     counts = df.where(F.col(p).isNotNull()).groupBy(*keys, F.col(p).alias("_p")).agg(F.count("*").alias("_m"))

@@ -756,11 +756,23 @@ def kmeans1d_split(t):
     return out.select("event_type", "cut", *[F.round(c, 6).alias(c) for c in ("low_mean", "high_mean", "ratio")])
 
 
-@query()
+@query("""
+WITH r AS (SELECT event_type, event_id, (floor(value * 10) - 100) / 100 AS lr FROM events),
+v AS (SELECT DISTINCT event_type, lr FROM r WHERE lr IS NOT NULL), w AS (SELECT *, coalesce(lr - lag(lr) OVER (PARTITION BY event_type ORDER BY lr) > 0.08, true) AS new FROM v),
+c AS (SELECT event_type, lr, sum(new::INT) OVER (PARTITION BY event_type ORDER BY lr) AS c FROM w), k AS (SELECT event_type, c FROM c GROUP BY ALL HAVING count(*) >= 3),
+s AS (SELECT event_type, c, count(*) AS n, avg(lr) AS mean, stddev_samp(lr) AS sd FROM r JOIN c USING (event_type, lr) JOIN k USING (event_type, c) GROUP BY ALL),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY n DESC, abs(mean), c) = 1),
+z AS (SELECT event_type, lr, count(*) AS m, abs(lr - any_value(mean)) / any_value(sd) AS z FROM r JOIN b USING (event_type) WHERE lr IS NOT NULL GROUP BY event_type, lr),
+p AS (SELECT event_type, lr, m, CASE WHEN z = 0 THEN 1.0 ELSE greatest(0.0, 1 - 2 / sqrt(2 * pi()) * list_sum(list_transform(range(0, 1500), lambda i: exp((2 * i + 1) * ln(z) - z * z / 2 - (i + 1) * ln(2) - lgamma(i + 1.5) + ln(pi()) / 2)))) END AS p FROM z),
+q AS (SELECT *, p * sum(m) OVER (PARTITION BY event_type) / sum(m) OVER (PARTITION BY event_type ORDER BY p) AS raw FROM p),
+a AS (SELECT event_type, lr, p, least(1.0, min(raw) OVER (PARTITION BY event_type ORDER BY p DESC)) AS adjusted FROM q),
+f AS (SELECT *, CASE WHEN lr > 0 THEN pow(2, lr) ELSE -pow(2, -lr) END AS fc FROM a)
+SELECT event_id, round(p, 8) AS p, round(adjusted, 8) AS p_adjusted, round(fc, 6) AS fc, abs(fc) >= 2 AND adjusted < 0.05 AS significant FROM r JOIN b USING (event_type) LEFT JOIN f USING (event_type, lr)""")
 def significant_levels(t):
-    rows = t.events.select("event_type", "event_id", F.round(F.col("value") / 10 - 1, 2).alias("lr"))
+    """Levels far from the null cluster, with p-values adjusted for all levels of a type."""
+    rows = t.events.select("event_type", "event_id", ((F.floor(F.col("value") * 10) - 100) / 100).alias("lr"))
     null = N.null_cluster(rows, ["event_type"], "lr", 0.08, 3)
-    return N.significance(rows.join(null, "event_type"), ["event_type"], "lr", "null_mean", "null_sd").select("event_id", "significant")
+    return N.significance(rows.join(null, "event_type"), ["event_type"], "lr", "null_mean", "null_sd").select("event_id", F.round("p", 8).alias("p"), F.round("p_adjusted", 8).alias("p_adjusted"), F.round("fc", 6).alias("fc"), "significant")
 
 
 @query("SELECT p_partkey AS gene, p_brand AS sample, CASE WHEN p_size > 20 AND p_retailprice > 1000 THEN 2 WHEN p_size > 20 AND p_retailprice < 1000 THEN -2 ELSE 0 END AS call FROM part")
@@ -769,11 +781,22 @@ def ternary_calls(t):
     return N.gene_calls(rows)
 
 
-@query()
+@query("""
+WITH r AS (SELECT l_returnflag AS sample, l_partkey AS target, sqrt(sum(l_quantity)) AS y, l_partkey % 2 = 0 AS tiling, (l_partkey % 100) / 100 AS x FROM lineitem GROUP BY ALL),
+l AS (SELECT sample, tiling, x, count(*) AS n, sum(y) AS s FROM r GROUP BY ALL), k AS (SELECT sample, tiling, greatest(4, floor(0.5 * sum(n) + 1e-5)) AS k FROM l GROUP BY ALL),
+d AS (SELECT a.sample, a.tiling, a.x AS p, b.x - a.x AS u, round(abs(b.x - a.x), 12) AS d, b.n, b.s FROM l a JOIN l b USING (sample, tiling)),
+c AS (SELECT *, sum(n) OVER (PARTITION BY sample, tiling, p ORDER BY d) AS upto FROM d),
+h AS (SELECT sample, tiling, p, min(d) AS h FROM c JOIN k USING (sample, tiling) WHERE upto >= k GROUP BY ALL),
+w AS (SELECT sample, tiling, p, u, s / n AS m, n * pow(1 - pow(d / h, 3), 3) AS w FROM d JOIN h USING (sample, tiling, p) WHERE d < h),
+m AS (SELECT sample, tiling, p, sum(w) AS a, sum(w * u) AS b, sum(w * u * u) AS c, sum(w * u * u * u) AS d, sum(w * u * u * u * u) AS e, sum(w * m) AS y0, sum(w * m * u) AS y1, sum(w * m * u * u) AS y2 FROM w GROUP BY ALL),
+f AS (SELECT sample, tiling, p AS x, (y0 * (c * e - d * d) - b * (y1 * e - d * y2) + c * (y1 * d - c * y2)) / (a * (c * e - d * d) - b * (b * e - d * c) + c * (b * d - c * c)) AS f FROM m),
+g AS (SELECT sample, tiling, median(y) AS centre FROM r GROUP BY ALL), o AS (SELECT sample, median(y) AS middle FROM r WHERE y > 0 GROUP BY 1)
+SELECT sample, '' || target AS target, round(pow(greatest((y - f + centre) / middle, 0), 2), 6) AS norm FROM r JOIN f USING (sample, tiling, x) JOIN g USING (sample, tiling) JOIN o USING (sample)""")
 def loess_norm(t):
+    """Local quadratic regression over gc, here with a span of a half."""
     rows = t.lineitem.groupBy(F.col("l_returnflag").alias("sample"), F.col("l_partkey").cast("string").alias("target")).agg(F.sum("l_quantity").alias("cov"), (F.min("l_partkey") % 100 / 100).alias("gc"))
     rows = rows.withColumn("tiling", F.col("target").cast("int") % 2 == 0).withColumn("chrom", F.lit("1"))
-    return N.gc_normalised(rows, span=0.5)
+    return N.gc_normalised(rows, span=0.5).withColumn("norm", F.round("norm", 6))
 
 
 @query("""
