@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from helixtab.operators.scans import SUM, ranged, scan
+
 from helixtab.functions import scalars as X
 
 
@@ -150,3 +152,8 @@ def counterparts(df: DataFrame, a: str, b: str, separator: str = "<br>") -> Data
     """(sample, others): for each sample of either column those it is paired with, sorted."""
     both = df.select(F.col(a).alias("sample"), F.col(b).alias("other")).unionAll(df.select(F.col(b).alias("sample"), F.col(a).alias("other")))
     return both.groupBy("sample").agg(F.array_join(F.array_sort(F.collect_set("other")), separator).alias("others"))
+
+
+def positioned(df: DataFrame, order: list[str], name: str = "place") -> DataFrame:
+    """df with each row's place, from 1, in the order of columns (smallest first, nulls before): a sorted table of any size, numbered range by range."""
+    return scan(ranged(df, [], order), [], order, {name: (SUM, F.lit(1).cast("long"))}).select(*df.columns, name)

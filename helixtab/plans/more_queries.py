@@ -11,7 +11,7 @@ from helixtab.operators import joins as J
 from helixtab.operators import tables as T
 from helixtab.operators import windows as W
 from helixtab.plans import copynumber, quality
-from helixtab.plans.queries import LINE, query
+from helixtab.plans.queries import LINE, ORACLE_SQL, query
 
 
 def _text(c):
@@ -169,3 +169,34 @@ def emptiness(t):
     """Whether tables have rows, looked at one row each."""
     of = lambda df, name: df.limit(1).agg((F.count("*") == 0).alias("empty")).select("empty", F.lit(name).alias("name"))
     return of(t.part.where("p_size < 0"), "none").unionAll(of(t.part, "some"))
+
+
+@query("SELECT p_partkey, row_number() OVER (ORDER BY -p_retailprice, p_partkey) AS place FROM part")
+def places_by_change(t):
+    """The place of every row, largest change first."""
+    return T.positioned(t.part.select("p_partkey", (-F.col("p_retailprice")).alias("_change")), ["_change", "p_partkey"]).select("p_partkey", "place")
+
+
+@query("SELECT p_partkey, row_number() OVER (ORDER BY p_partkey % 2, p_size, p_partkey) AS place FROM part")
+def places_tiling_last(t):
+    """The place of every row: genes by position, then tiling probes."""
+    return T.positioned(t.part.select("p_partkey", (F.col("p_partkey") % 2).alias("_tiling"), "p_size"), ["_tiling", "p_size", "p_partkey"]).select("p_partkey", "place")
+
+
+@query("SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, coalesce(p_brand, 'none') AS impact, coalesce(p_size, 0) AS score FROM lineitem LEFT JOIN (SELECT p_partkey, p_brand, p_size FROM part WHERE p_partkey % 3 <> 0) ON p_partkey = l_partkey")
+def impact_lookup(t):
+    """Predicted impact from a cached table; what the table lacks has a value of its own."""
+    known = t.part.where("p_partkey % 3 <> 0").select(F.col("p_partkey").alias("l_partkey"), F.col("p_brand").alias("impact"), F.col("p_size").alias("score"))
+    return J.annotate(t.lineitem.select(*LINE), known, ["l_partkey"], fill={"impact": "none", "score": 0}).select(*LINE, "impact", "score")
+
+
+#: The same of gains, with the limits of another class of samples.
+_GAINS = {"x <= cut AS outer_": "x > cut AS outer_", "sum((x > cut)::INT)": "sum((x <= cut)::INT)", "ratio >= 3.7": "ratio >= 3.5", "d >= 1 ": "d >= 0.25 ", "d >= 0.5": "d >= 0.2"}
+GAINED = ORACLE_SQL["lost_stretches"]
+for _of_losses, _of_gains in _GAINS.items():
+    GAINED = GAINED.replace(_of_losses, _of_gains)
+
+
+@query(GAINED)
+def gained_stretches(t):
+    return N.intragenic(t.events, ["user_id", "event_type"], "event_id", "value", ratio=3.5, single=0.25, several=0.2, loss=False).select("user_id", "event_type", "n_outer", "run")

@@ -143,6 +143,12 @@ def composition_bias(t):
     return out.withColumn("coverage", F.round("coverage", 6)).withColumn("error", F.round("error", 6))
 
 
+@query(f"SELECT '' || k AS chrom, p AS pos0, (len(regexp_replace(substr(seq, (p + 1)::INT, 25), '[^GC]', '', 'g')) * 100 // 25)::INT AS gc FROM {SEQUENCES}, generate_series(0, 1255) AS r(p)")
+def local_composition(t):
+    """Rolling windows of 25 bases, over the chunks' borders too."""
+    return Q.composition_windows(_fasta(t), 25)
+
+
 @query(f"""
 WITH b AS (SELECT sample, flag & 16 <> 0 AS rev, flag & 128 = 0 AS fst, substr(seq, p::INT, 3) AS ctx, substr(letters, (p - s + o + 1)::INT, 1) AS base FROM (SELECT sample, flag, chrom, letters, s, o, unnest(generate_series(greatest(s, 1), e)) AS p FROM {BLOCKS}) x JOIN {SEQUENCES} q ON '' || q.k = x.chrom),
 c AS (SELECT *, substr(ctx, 2, 1) = 'C' AS on_c FROM b WHERE regexp_matches(ctx, '^[ACGT][CG][ACGT]$')),
