@@ -209,13 +209,16 @@ def _banded(docs: DataFrame, size: int, words: int, keys: tuple[str, ...]) -> Da
     return in_arrow(rows, run, "doc_id long, fp long, text_key long, minima binary, bands array<long>, shingles binary" + "".join(f", {k} long" for k in keys))
 
 
-def _by_text(rows: DataFrame) -> DataFrame:
-    """(fp, text_key, shingles), each text once, in a table dealt out by fp and text_key: what is joined with it moves, not the sets."""
+def _by_text(rows: DataFrame) -> tuple[str, DataFrame]:
+    """The name of a table and it: (fp, text_key, minima, shingles), each text once, dealt out by fp and text_key: what is joined with it moves, not the sets."""
     spark = rows.sparkSession
     n, name = int(spark.conf.get("spark.sql.shuffle.partitions")), f"helixtab_sets_{uuid.uuid4().hex}"
-    own = rows.select("fp", "text_key", "shingles").repartition(n, "fp", "text_key").dropDuplicates(["fp", "text_key"])
-    own.write.format("parquet").option("path", f"{shared_dir(spark)}/helixtab/{name}").bucketBy(n, "fp", "text_key").saveAsTable(name)
-    return spark.table(name)
+    own = rows.select("fp", "text_key", "minima", "shingles").repartition(n, "fp", "text_key").dropDuplicates(["fp", "text_key"])
+    path = f"{shared_dir(spark)}/helixtab/{name}"
+    own.write.format("parquet").option("path", path).bucketBy(n, "fp", "text_key").saveAsTable(name)
+    out = spark.table(name)
+    out.helixtab_path = path
+    return name, out
 
 
 def similar(texts: DataFrame, similarity: float = 0.8) -> DataFrame:
@@ -229,21 +232,17 @@ def similar(texts: DataFrame, similarity: float = 0.8) -> DataFrame:
     """
     least = similarity - SLACK * (similarity * (1 - similarity) / MINIMA) ** 0.5
     band = F.xxhash64("used").alias("band")  # used: the bands that texts under this key share
-    sets = _by_text(texts)
-    texts = stored(texts.select("fp", "text_key", "minima", "bands").dropDuplicates(["fp", "text_key"]), "texts")
+    spark, (name_of, sets) = texts.sparkSession, _by_text(texts)
+    texts = stored(texts.select("fp", "text_key", "bands").dropDuplicates(["fp", "text_key"]), "texts")
     members = stored(texts.select("fp", "text_key", F.explode("bands").alias("used")).select("fp", "text_key", F.array("used").alias("used")).select("*", band), "bands")
-    print_of = texts.select("fp", "text_key", "minima")
     found = None
 
-    def share(batches):
-        for b in batches:
-            x, y = (np.frombuffer(b"".join(b[c].to_pylist()), np.uint16).reshape(-1, MINIMA) for c in ("x", "y"))
-            good = pa.array((x == y).mean(axis=1) >= least)
-            yield pa.RecordBatch.from_arrays([b[c].filter(good) for c in pair], names=pair)
-
     def verified(batches):
         for b in batches:
-            good = pa.array([alike(*(np.frombuffer(s.as_buffer(), np.uint32) for s in two), similarity) for two in zip(b["x"], b["y"], strict=True)], pa.bool_())
+            x, y = (np.frombuffer(b"".join(b[c].to_pylist()), np.uint16).reshape(-1, MINIMA) for c in ("x", "y"))
+            close = ((x == y).mean(axis=1) >= least).tolist()
+            sets = (tuple(np.frombuffer(s.as_buffer(), np.uint32) for s in two) for two in zip(b["x_set"], b["y_set"], strict=True))
+            good = pa.array([c and alike(*two, similarity) for c, two in zip(close, sets, strict=True)], pa.bool_())
             yield pa.RecordBatch.from_arrays([b[c].filter(good) for c in pair], names=pair)
 
     pair = ["fp", "text_key", "c_fp", "c_key"]
@@ -255,7 +254,10 @@ def similar(texts: DataFrame, similarity: float = 0.8) -> DataFrame:
         met = stored(members.join(sizes, "band"), "met")
         dropped(members, sizes)
         if met.isEmpty():
-            return texts.select(F.col("fp").alias("a"), F.col("fp").alias("b")).limit(0) if found is None else found
+            dropped(met, texts)
+            spark.sql(f"DROP TABLE {name_of}")
+            dropped(sets)
+            return spark.createDataFrame([], "a long, b long") if found is None else found
         few, many = met.where(F.col("n") <= BUSY), met.where(F.col("n") > BUSY)
         weighed = many.withColumn("weight", F.sum("n").over(Window.partitionBy("fp", "text_key")))  # a text has few bands
         centres = weighed.groupBy("band", F.pmod("text_key", F.lit(CENTRES))).agg(F.max(F.struct("weight", "fp", "text_key")).alias("c"))
@@ -266,14 +268,10 @@ def similar(texts: DataFrame, similarity: float = 0.8) -> DataFrame:
         # of all bands of a text at once, so that a centre of several of them is asked for once
         starred = led.groupBy("fp", "text_key").agg(F.collect_set("centres").alias("c")).select("fp", "text_key", F.explode(F.array_distinct(F.flatten("c"))).alias("c")).select("fp", "text_key", "c.*").where(name != other)
         asked = stored(pairs.unionAll(starred).distinct(), "asked")
-        known = print_of.join(asked.select("fp", "text_key").unionAll(asked.select("c_fp", "c_key")).distinct(), ["fp", "text_key"], "left_semi")
-        x = asked.join(known.withColumnRenamed("minima", "x"), ["fp", "text_key"])
-        both = x.join(known.select(F.col("fp").alias("c_fp"), F.col("text_key").alias("c_key"), F.col("minima").alias("y")), ["c_fp", "c_key"])
-        close = stored(in_arrow(both.select(*pair, "x", "y"), share, kinds), "close")
+        x = asked.join(sets.withColumnsRenamed({"minima": "x", "shingles": "x_set"}), ["fp", "text_key"])
+        both = x.join(sets.select(F.col("fp").alias("c_fp"), F.col("text_key").alias("c_key"), F.col("minima").alias("y"), F.col("shingles").alias("y_set")), ["c_fp", "c_key"])
+        like = stored(in_arrow(both.select(*pair, "x", "y", "x_set", "y_set"), verified, kinds), "alike")
         dropped(met, asked)
-        x = close.join(sets.withColumnRenamed("shingles", "x"), ["fp", "text_key"])
-        both = x.join(sets.select(F.col("fp").alias("c_fp"), F.col("text_key").alias("c_key"), F.col("shingles").alias("y")), ["c_fp", "c_key"])
-        like = stored(in_arrow(both.select(*pair, "x", "y"), verified, kinds), "alike")
         new = like.where("fp != c_fp").select(F.col("fp").alias("a"), F.col("c_fp").alias("b"))
         found = new if found is None else found.unionAll(new)
         near = like.groupBy("fp", "text_key").agg(F.collect_list(other).alias("near"))
@@ -281,7 +279,7 @@ def similar(texts: DataFrame, similarity: float = 0.8) -> DataFrame:
         left = led.join(near, ["fp", "text_key"], "left").where(~F.coalesce(gone, F.lit(False))).select("fp", "text_key", "used").join(texts.select("fp", "text_key", "bands"), ["fp", "text_key"])
         further = left.select("fp", "text_key", "used", F.explode(F.array_except("bands", "used")).alias("more"))
         members = stored(further.select("fp", "text_key", F.array_sort(F.array_append("used", F.col("more"))).alias("used")).distinct().select("*", band), "bands")
-        dropped(led, close)
+        dropped(led)
 
 
 def near_duplicates(docs: DataFrame, size: int = 3, distance: int = 2) -> DataFrame:
@@ -318,6 +316,8 @@ def deduplicated(docs: DataFrame, words: int = 5, similarity: float = 0.8, size:
     texts = rows.where("minima is not null").select("fp", "text_key", "minima", "bands", "shingles")
     classes = rows.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", *ROW)).alias("least"))
     stay = _rooted(classes, distance, similar(texts, similarity)).groupBy("root").agg(F.min("least").alias("least")).select(*(f"least.{k}" for k in ROW))
+    stay = stored(stay, "stay")
+    dropped(rows)
     return keyed.join(stay, list(ROW)).dropDuplicates(list(ROW)).select(*own.columns).toDF(*docs.columns)
 
 
