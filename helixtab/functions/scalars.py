@@ -203,6 +203,20 @@ def padded_event(pos: Column, ref: Column, alt: Column) -> Column:
     )
 
 
+def tabled_event(pos: Column, ref: Column, alt: Column, gt: Column) -> Column:
+    """struct(start, end, ref, allele1, allele2): an event as a mutation table has it, one shared base left out of insertions and deletions and '-' for nothing.
+
+    The end is that of the reference allele as it was called; an insertion after one base ends on the next. allele1 is the reference unless the genotype's first allele isn't.
+    """
+    rest = lambda c: F.when(F.length(c) > 1, c.substr(F.lit(2), F.length(c))).otherwise("-")
+    deletion, insertion = F.length(ref) > F.length(alt), F.length(ref) < F.length(alt)
+    own, other = (F.when(deletion | insertion, rest(c)).otherwise(c) for c in (ref, alt))
+    end = pos + F.length(ref) - 1 + F.when(insertion & (F.length(ref) == 1), 1).otherwise(0)
+    first = F.when(F.get(F.split(gt, "/"), F.lit(0)) == "0", own).otherwise(other)
+    start = pos + F.when(deletion, 1).otherwise(0)
+    return F.struct(start.cast("long").alias("start"), end.cast("long").alias("end"), own.alias("ref"), first.alias("allele1"), other.alias("allele2"))
+
+
 def anchored_event(pos: Column, ref: Column, alt: Column, base_before: Column) -> Column:
     """struct(pos, ref, alt) with the base before put back where an allele is '-'; pos as in a mutation table."""
     insertion, deletion = ref == "-", alt == "-"

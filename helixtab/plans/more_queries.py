@@ -190,6 +190,18 @@ def impact_lookup(t):
     return J.annotate(t.lineitem.select(*LINE), known, ["l_partkey"], fill={"impact": "none", "score": 0}).select(*LINE, "impact", "score")
 
 
+@query("""
+WITH e AS (SELECT p_partkey, p_partkey::BIGINT AS pos, substr('ACGTA', 1, p_size % 3 + 1) AS ref, substr('ACTTG', 1, p_partkey % 4 + 1) AS alt, CASE p_size % 2 WHEN 0 THEN '0/1' ELSE '1/1' END AS gt FROM part),
+f AS (SELECT *, len(ref) > len(alt) AS del, len(ref) < len(alt) AS ins FROM e),
+g AS (SELECT *, CASE WHEN del OR ins THEN CASE WHEN len(ref) > 1 THEN substr(ref, 2) ELSE '-' END ELSE ref END AS r, CASE WHEN del OR ins THEN CASE WHEN len(alt) > 1 THEN substr(alt, 2) ELSE '-' END ELSE alt END AS a FROM f)
+SELECT p_partkey, CASE WHEN del THEN pos + 1 ELSE pos END AS start, pos + len(ref) - 1 + CASE WHEN ins AND len(ref) = 1 THEN 1 ELSE 0 END AS "end", r AS ref, CASE WHEN gt = '0/1' THEN r ELSE a END AS allele1, a AS allele2 FROM g""")
+def tabled_events(t):
+    """Called alleles as a mutation table has them, the first allele by the genotype."""
+    k, size = F.col("p_partkey"), F.col("p_size")
+    ref, alt = F.lit("ACGTA").substr(F.lit(1), (size % 3 + 1).cast("int")), F.lit("ACTTG").substr(F.lit(1), (k % 4 + 1).cast("int"))
+    return t.part.select("p_partkey", X.tabled_event(k, ref, alt, F.when(size % 2 == 0, "0/1").otherwise("1/1")).alias("e")).select("p_partkey", "e.*")
+
+
 #: The same of gains, with the limits of another class of samples.
 _GAINS = {"x <= cut AS outer_": "x > cut AS outer_", "sum((x > cut)::INT)": "sum((x <= cut)::INT)", "ratio >= 3.7": "ratio >= 3.5", "d >= 1 ": "d >= 0.25 ", "d >= 0.5": "d >= 0.2"}
 GAINED = ORACLE_SQL["lost_stretches"]
