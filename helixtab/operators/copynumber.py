@@ -44,9 +44,9 @@ def log_ratios(tumors: DataFrame, normals: DataFrame, least_share: float = 0.1)
 
 
 def best_normals(ratios: DataFrame, most_missing: int = 100, order: str = "normal") -> DataFrame:
-    """(tumor, normal, noise): for each tumor the normal of least summed squares, the first on ties."""
+    """(tumor, normal, noise): for each tumor the normal of least summed squares, the first on ties. Sums that are equal to nine digits are ties: their last digits depend on the order of rows."""
     noise = ratios.groupBy("tumor", order).agg(F.when(F.count_if(F.col("lr").isNull()) <= most_missing, F.sum(F.col("lr") * F.col("lr"))).alias("noise"))
-    by = Window.partitionBy("tumor").orderBy(F.col("noise").asc_nulls_last(), order)
+    by = Window.partitionBy("tumor").orderBy(F.round("noise", 9).asc_nulls_last(), order)
     return noise.withColumn("_nth", F.row_number().over(by)).where("_nth = 1 and noise is not null").drop("_nth")
 
 
