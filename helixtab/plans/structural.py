@@ -21,13 +21,21 @@ def at_hotspots(sv: DataFrame, hotspots: DataFrame, key: list[str], compat: bool
     return joins.flagged(sv, one.unionAll(two), key, "hotspot", True, False)
 
 
-def annotated(sv: DataFrame, repeats: DataFrame, key: list[str], name: str = "repeats", separator: str = "<=>") -> DataFrame:
-    """sv with the names of regions (chrom with chr, start, end, name) that hold either breakpoint, first's then second's, in order of start."""
+def annotated(sv: DataFrame, repeats: DataFrame, key: list[str], name: str = "repeats", separator: str = "<=>", width: float = intervals.BIN) -> DataFrame:
+    """sv with the names of regions (chrom with chr, start, end, name) that hold either breakpoint, first's then second's, in order of start.
+
+    The names at a place are listed once, however many breakpoints lie there. width: see overlap_join().
+    """
     r = repeats.select(X.without_chr(F.col("chrom")).alias("r_chrom"), F.col("start").alias("r_start"), F.col("end").alias("r_end"), F.col("name").alias("r_name"))
-    ends = sv.select(*key, F.explode(F.array(F.struct(F.lit(1).alias("side"), F.col("chrom").alias("c"), F.col("pos").alias("p")), F.struct(F.lit(2).alias("side"), F.col("chrom2").alias("c"), F.col("end").alias("p")))).alias("b")).select(*key, "b.side", X.without_chr(F.col("b.c")).alias("c"), "b.p")
-    hits = intervals.point_join(ends, r, "p", ("r_start", "r_end"), (("c", "r_chrom"),))
-    text = intervals.all_matches(hits, key, F.struct("side", "r_start", "r_name"), "r_name", name, separator)
-    return sv.join(text, key, "left").fillna("", [name])
+    side = lambda c, p: F.struct(X.without_chr(F.col(c)).alias("c"), F.col(p).alias("p"))
+    places = sv.select(F.explode(F.array(side("chrom", "pos"), side("chrom2", "end"))).alias("_at")).distinct().select("_at", "_at.c", "_at.p")
+    hits = intervals.point_join(places, r, "p", ("r_start", "r_end"), (("c", "r_chrom"),), width, deal=True)
+    names = hits.groupBy("_at").agg(F.array_compact(F.transform(F.array_sort(F.collect_list(F.struct("r_start", "r_name"))), lambda x: x["r_name"])).alias("_names"))
+    own = sv
+    for i, at in enumerate((side("chrom", "pos"), side("chrom2", "end"))):
+        own = intervals.per_position(own.withColumn("_at", at), "_at", names.withColumnRenamed("_names", f"_names{i}"), "left").drop("_at")
+    both = F.concat(*(F.coalesce(f"_names{i}", F.array().cast("array<string>")) for i in (0, 1)))
+    return own.withColumn(name, F.array_join(both, separator)).select(*sv.columns, name)
 
 
 def with_fusions(sv: DataFrame, fusions: DataFrame) -> DataFrame:
