@@ -335,7 +335,8 @@ def segment_means(t):
     probes = t.part.select(F.col("p_partkey").alias("probe"), (F.col("p_size") * 2).alias("at"))
     lo = F.col("c_nationkey") * 4
     found = t.customer.select(lo.alias("lo"), (lo + 9).alias("hi"), F.col("c_acctbal").alias("mean"))
-    return I.point_join(probes, found, "at", ("lo", "hi"), width=10).groupBy("probe").agg(F.round(F.avg("mean"), 6).alias("mean"), F.count("*").alias("n"))
+    totals = I.holder_totals(probes, found, "at", ("lo", "hi"), "mean", width=10).groupBy("probe").agg(F.sum("total").alias("total"), F.sum("counted").alias("counted"), F.sum("n").alias("n"))
+    return totals.select("probe", F.round(F.try_divide("total", "counted"), 6).alias("mean"), "n")
 
 
 @query("SELECT event_id, (user_id % 9 IN (0, 1) OR user_id % 7 IN (0, 1)) AND value BETWEEN 10 AND 20 AS hotspot FROM events WHERE value IS NOT NULL")
