@@ -206,13 +206,14 @@ def fragment_models(alignments: DataFrame, group: str, deviations: float = 10.0,
     above the limit or a second orientation isn't the first one's mirror. Of each pair the first read counts. Alignments: group, flag, insert_size.
     """
     first = _pairs(alignments).where(F.col("flag").bitwiseAND(64) != 0)
-    counts = first.groupBy(group, "model").agg(F.count("*").alias("n"))
+    lengths = first.groupBy(group, "model", "length").agg(F.count("*").alias("n"))  # all that follows is counted from these
+    counts = lengths.groupBy(group, "model").agg(F.sum("n").alias("n"))
     by = Window.partitionBy(group)
     ranked = counts.withColumn("nth", F.row_number().over(by.orderBy(F.desc("n"), "model"))).withColumn("pairs", F.sum("n").over(by))
     top = ranked.where("nth <= 2").groupBy(group).agg(F.first("pairs").alias("pairs"), F.max(F.when(F.col("nth") == 1, F.col("model"))).alias("model_1"), F.max(F.when(F.col("nth") == 2, F.col("model"))).alias("model_2"), F.sum("n").alias("_n"))
-    own = first.join(top, group).where((F.col("model") == F.col("model_1")) | (F.col("model") == F.col("model_2")))
-    middle = own.groupBy(group).agg(F.percentile("length", 0.5).alias("median"))
-    spread = own.join(middle, group).groupBy(group).agg(F.first("median").alias("median"), F.percentile(F.abs(F.col("length") - F.col("median")), 0.5).alias("mad"))
+    own = lengths.join(top, group).where((F.col("model") == F.col("model_1")) | (F.col("model") == F.col("model_2")))
+    middle = own.groupBy(group).agg(F.percentile("length", 0.5, F.col("n")).alias("median"))
+    spread = own.join(middle, group).groupBy(group).agg(F.first("median").alias("median"), F.percentile(F.abs(F.col("length") - F.col("median")), 0.5, F.col("n")).alias("mad"))
     mirror = F.translate(F.col("model_1"), "12", "21")
     share = 1 - F.col("_n") / F.col("pairs")
     return top.join(spread, group).select(
@@ -222,10 +223,10 @@ def fragment_models(alignments: DataFrame, group: str, deviations: float = 10.0,
 
 
 def resolved(alignments: DataFrame, models: DataFrame, group: str) -> DataFrame:
-    """alignments of pairs with proper: whether the pair has one of its group's models and a length within bounds; never in an ambiguous group."""
+    """alignments of pairs with proper: whether the pair has one of its group's models and a length within bounds; never in an ambiguous group. models has one row for each group and goes to every task: by group, a few tasks would hold all rows."""
     bounds = models.select(group, "model_1", "model_2", "low", "high", "ambiguous")
     fits = F.col("length").between(F.col("low"), F.col("high")) & ((F.col("model") == F.col("model_1")) | F.coalesce(F.col("model") == F.col("model_2"), F.lit(False)))
-    return _pairs(alignments).join(bounds, group).withColumn("proper", fits & ~F.col("ambiguous")).select(*alignments.columns, "proper")
+    return _pairs(alignments).join(F.broadcast(bounds), group).withColumn("proper", fits & ~F.col("ambiguous")).select(*alignments.columns, "proper")
 
 
 # ---------------------------------------------------------------- duplicates
