@@ -6,11 +6,15 @@ joins and grouped sums; no window holds more than a tile of a target, a chunk of
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from helixtab.functions import scalars as X
 from helixtab.operators import intervals as I  # noqa: E741
+from helixtab.operators.scans import kept
 
 #: Fixed values of the usual report: depths that are reported, bases around a bait that are near it, window of composition, unknown bases in one.
 LEVELS, NEAR, GC_WINDOW, MOST_UNKNOWN = (1, 2, 10, 20, 30, 40, 50, 100), 250, 100, 4
@@ -269,27 +273,29 @@ def marked_fragments(found: DataFrame, library: str, distance: int = 100, name:
     """fragments() with duplicate and optical.
 
     Of pairs with equal ends the one of the largest weight (then the least name) is no duplicate; a single read is also one if a pair has its
-    end. Optical: a duplicate pair that lies on the tile of another of its set of better rank, within distance on both axes; name takes tile, x and y from the read's name. Candidates meet by
-    neighbouring squares of the tile, never as all pairs of a set.
+    end. Optical: a duplicate pair that lies on the tile of another of its set of better rank, within distance on both axes; name takes tile, x and y from the read's name. Places of a tile meet by
+    neighbouring squares, each once for all its pairs, and only the best pair of a place counts for others.
     """
     ends = [library, "chrom_a", "end_a", "reverse_a", "chrom_b", "end_b", "reverse_b"]
+    found = kept(found, "fragments")  # pairs, their places and single reads each read it
     best = Window.partitionBy(*ends).orderBy(F.desc("weight"), "read_name")
-    pairs = found.where("paired").withColumn("rank", F.row_number().over(best))
     part = lambda i: F.regexp_extract("read_name", name, i).try_cast("long")
-    key = F.xxhash64(*ends)
-    placed = pairs.select(library, "read_name", "rank", key.alias("set"), *ends[1:], part(1).alias("tile"), part(2).alias("x"), part(3).alias("y"))
-    repeated = placed.groupBy("set").agg(F.count("*").alias("_n")).where("_n > 1")
-    placed = placed.join(repeated, "set").where("tile is not null")
+    pairs = found.where("paired").withColumn("rank", F.row_number().over(best)).select("*", part(1).alias("tile"), part(2).alias("x"), part(3).alias("y"))
+    # of the pairs at a place of a tile the best is enough; the keys begin with the ends, by which pairs lie together already
+    place = [*ends, "tile", "x", "y"]
+    places = pairs.where("tile is not null and x is not null and y is not null").groupBy(*place).agg(F.min("rank").alias("least"), F.max("rank").alias("most"))
     cell = lambda c: F.floor(F.col(c) / (distance + 1))
-    near = placed.where("rank > 1").withColumn("cx", F.explode(F.array(*(cell("x") + d for d in (-1, 0, 1))))).withColumn("cy", F.explode(F.array(*(cell("y") + d for d in (-1, 0, 1)))))
-    other = placed.select(*(F.col(c).alias(f"o_{c}") for c in (*ends, "rank", "x", "y")), F.col("set"), F.col("tile"), cell("x").alias("cx"), cell("y").alias("cy"))
-    close = (F.abs(F.col("x") - F.col("o_x")) <= distance) & (F.abs(F.col("y") - F.col("o_y")) <= distance) & (F.col("o_rank") < F.col("rank"))
-    for c in ends:
-        close = close & (F.col(c) == F.col(f"o_{c}"))
-    optical = near.join(other, ["set", "tile", "cx", "cy"]).where(close).select(library, "read_name").distinct().withColumn("_optical", F.lit(True))
-    pairs = pairs.join(optical, [library, "read_name"], "left").withColumn("duplicate", F.col("rank") > 1).withColumn("optical", F.coalesce("_optical", F.lit(False))).drop("_optical", "rank")
+    spread = F.explode(F.array(*(F.struct((cell("x") + i).alias("cx"), (cell("y") + j).alias("cy"), F.lit(i == j == 0).alias("own")) for i in (-1, 0, 1) for j in (-1, 0, 1))))
+    # a square and those around it have at most 9 * (distance + 1) ** 2 places, so they are looked at in one list
+    at = F.struct("x", "y", "least")
+    squares = places.select(*ends, "tile", at.alias("_at"), "most", spread.alias("_c")).groupBy(*ends, "tile", "_c.cx", "_c.cy").agg(F.collect_list("_at").alias("_near"), F.collect_list(F.when(F.col("_c.own") & (F.col("most") > 1), F.struct("_at.x", "_at.y"))).alias("_own"))
+    close = lambda o: (F.abs(o["x"] - F.col("_p.x")) <= distance) & (F.abs(o["y"] - F.col("_p.y")) <= distance)
+    asked = squares.select(*ends, "tile", "_near", F.explode("_own").alias("_p"))
+    around = asked.select(*(F.col(c).alias(f"n_{c}") for c in (*ends, "tile")), F.col("_p.x").alias("n_x"), F.col("_p.y").alias("n_y"), F.array_min(F.transform(F.filter("_near", close), lambda o: o["least"])).alias("_around"))
+    pairs = pairs.join(around, reduce(and_, [F.col(c) == F.col(f"n_{c}") for c in place]), "left")
+    pairs = pairs.withColumn("duplicate", F.col("rank") > 1).withColumn("optical", F.coalesce(F.col("_around") < F.col("rank"), F.lit(False)))
     one = [library, "chrom_a", "end_a", "reverse_a"]
-    at = lambda s: pairs.select(library, *(F.col(f"{c}_{s}").alias(f"{c}_a") for c in ("chrom", "end", "reverse")))
+    at = lambda s: found.where("paired").select(library, *(F.col(f"{c}_{s}").alias(f"{c}_a") for c in ("chrom", "end", "reverse")))
     taken = at("a").unionAll(at("b")).distinct().withColumn("_taken", F.lit(True))
     single = found.where("not paired").join(taken, one, "left")
     nth = F.row_number().over(Window.partitionBy(*one).orderBy(F.desc("weight"), "read_name"))
