@@ -2,19 +2,18 @@
 
 Alignments: sample, read_name, flag, chrom, pos0 (0-based), mapq, cigar, query, quals (text, Phred + 33).
 Variants: variant_id, chrom, pos0, ref, alt (in the form that keeps a common first base).
-Everything but the walk along a cigar is joins and grouped sums; that walk is a column expression.
+Everything but the walk along a cigar is joins and grouped sums; that walk is a column expression, once a read.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from helixtab.functions import scalars as X
 from helixtab.operators.filters import usable_reads
 from helixtab.operators.intervals import point_join
+from helixtab.operators.scans import kept
 
 #: Least base quality; Phred offset; usual span of an alignment, for the join's bins.
 BASE_QUALITY, PHRED, SPAN = 20, 33, 128
@@ -26,54 +25,76 @@ def reference_length(cigar: Column) -> Column:
 
 
 def observations(alignments: DataFrame, variants: DataFrame, mapq: int = 20, base_quality: int = BASE_QUALITY, **switches: bool) -> DataFrame:
-    """A row for each read that covers a variant's position: what it shows (ref, alt, other or U for a gap)."""
-    reads = usable_reads(alignments, mapq, **switches).withColumn("start0", F.col("pos0")).withColumn("end0", F.col("pos0") + reference_length(F.col("cigar")) - 1).drop("pos0")
-    reads = reads.withColumn("_ops", X.cigar_operations(F.col("cigar")))  # once a read, before the join
-    own = variants.select("variant_id", F.col("chrom").alias("v_chrom"), "pos0", "ref", "alt")
-    met = point_join(own, reads, "pos0", ("start0", "end0"), (("v_chrom", "chrom"),), SPAN)
-    indel = F.length("ref") != F.length("alt")
-
-    def shows(at: Column) -> Column:
-        base = F.upper(F.col("query").substr(at["offset"] + 1, F.lit(1)))
-        quality = F.ascii(F.col("quals").substr(at["offset"] + 1, F.lit(1))) - PHRED
-        snp = (
-            F.when(at["state"] == "deletion", "U").when((at["state"] == "base") & (quality < base_quality), None)
-            .when((at["state"] == "base") & (base == F.upper(F.substring("ref", 1, 1))), "ref").when((at["state"] == "base") & (base == F.upper(F.substring("alt", 1, 1))), "alt").otherwise("other")
-        )
-        return F.when(indel, _once(_operation_after(F.col("_ops"), F.col("start0"), F.col("pos0")), lambda op: _indel(at, op))).otherwise(snp)
-
-    # walks along the cigar are bound to a variable, and what is shown is generated, so that each is worked out once a pair
-    shown = F.filter(F.transform(F.array(X.read_offset(F.col("_ops"), F.col("start0"), F.col("pos0"))), shows), lambda x: x.isNotNull())
-    return met.withColumn("shows", F.explode(shown)).drop("_ops")
-
-
-def _once(value: Column, use: Callable[[Column], Column]) -> Column:
-    return F.get(F.transform(F.array(value), use), F.lit(0))
+    """A row for each read that covers a variant's position: what it shows (ref, alt, other or U for a gap), sample, read_name, flag and shared.
 
-
-def _operation_after(ops: Column, start: Column, position: Column) -> Column:
-    """struct(op, n, read): the insertion or deletion right after a reference position, with where its bases start in the read."""
-    zero = F.struct(start.cast("long").alias("ref"), F.lit(0).alias("read"), F.lit(None).cast("string").alias("op"), F.lit(0).alias("n"), F.lit(0).alias("at"), F.lit(False).alias("ends"))
+    Cigars are walked once a read, to blocks with what follows them, so a pair of a block and a site is two letters and no walk. shared: whether
+    another read of the fragment may cover the same place.
+    """
+    reads = usable_reads(alignments, mapq, **switches)
+    own = ["sample", "read_name", "flag", "chrom"]
+    reads = _marked_shared(reads.select(*own, "pos0", "cigar", "query", "quals"))
+    blocks = reads.withColumn("_b", F.explode(reference_blocks(X.cigar_operations(F.col("cigar")), F.col("pos0"), F.col("query"))))
+    part = lambda c: F.when(F.col("_b.op").isin("M", "=", "X"), F.col(c).substr(F.col("_b.offset") + 1, F.col("_b.n")))
+    name = F.when(F.col("shared"), F.col("read_name")).alias("read_name")  # of others it isn't asked
+    blocks = blocks.select("sample", name, "flag", "chrom", "shared", F.col("_b.start").alias("b_start"), F.col("_b.end").alias("b_end"), F.col("_b.op").alias("op"), F.col("_b.next").alias("next"), part("query").alias("query"), part("quals").alias("quals"))
+    sites = variants.select("variant_id", F.col("chrom").alias("v_chrom"), "pos0", "ref", "alt")
+    # the hint keeps few sites from being sent to reads that lie in few tasks; reads are dealt out by bins
+    met = point_join(sites.hint("shuffle_hash"), blocks, "pos0", ("b_start", "b_end"), (("v_chrom", "chrom"),), SPAN)
+
+    at = (F.col("pos0") - F.col("b_start") + 1).cast("int")
+    on_base, gap = F.col("op").isin("M", "=", "X"), F.col("op") == "D"
+    base, quality = F.upper(F.col("query").substr(at, F.lit(1))), F.ascii(F.col("quals").substr(at, F.lit(1))) - PHRED
+    snp = F.when(gap, "U").when(on_base & (quality < base_quality), None).when(on_base & (base == F.upper(F.substring("ref", 1, 1))), "ref").when(on_base & (base == F.upper(F.substring("alt", 1, 1))), "alt").otherwise("other")
+    # a read that ends at the position doesn't count; the same operation of the same length (and bases) right after it is the alternative
+    last, after, n_ref, n_alt = F.col("pos0") == F.col("b_end"), F.col("next"), F.length("ref"), F.length("alt")
+    same = F.when(n_alt > n_ref, (after["op"] == "I") & (after["n"] == n_alt - n_ref) & (after["bases"] == F.upper(F.col("alt").substr(n_ref + 1, n_alt)))).otherwise((after["op"] == "D") & (after["n"] == n_ref - n_alt))
+    indel = F.when(last & ~after["goes_on"], None).when(last & F.coalesce(same, F.lit(False)), "alt").when((~last | after["op"].isNull()) & on_base, "ref").otherwise("other")
+    shown = F.when(n_ref != n_alt, indel).otherwise(snp)
+    return met.withColumn("shows", shown).where("shows is not null").select("variant_id", "sample", "read_name", "flag", "shared", "shows")
+
+
+def reference_blocks(ops: Column, start: Column, query: Column) -> Column:
+    """array of struct(start, end, offset, n, op, next): the stretches of reference that a read's operations take up, offset in the read.
+
+    next: struct(goes_on, op, n, bases): whether the alignment goes on after the block, with the insertion or deletion that comes first there.
+    """
+    nothing = F.struct(F.lit(False).alias("goes_on"), F.lit(None).cast("string").alias("op"), F.lit(None).cast("int").alias("n"), F.lit(None).cast("string").alias("bases"))
+    block = lambda start, offset, n, op: F.struct(start.alias("start"), (start + n - 1).alias("end"), offset.alias("offset"), n.alias("n"), op.alias("op"), nothing.alias("next"))
+    long, none = start.cast("long"), F.lit(None)
+    kind = "struct<start: bigint, end: bigint, offset: int, n: int, op: string, next: struct<goes_on: boolean, op: string, n: int, bases: string>>"
+    zero = F.struct(long.alias("ref"), F.lit(0).alias("read"), none.cast(kind).alias("open"), F.array().cast(f"array<{kind}>").alias("done"))
 
     def step(a, o):
-        on_ref, on_read = o["op"].isin("M", "=", "X", "D", "N"), o["op"].isin("M", "=", "X", "I", "S")
-        here = (a["ref"] == position + 1) & o["op"].isin("I", "D") & a["op"].isNull()
-        more = (a["ref"] == position + 1) & on_ref | a["ends"]
-        inside = on_ref & (a["ref"] <= position) & (position + 1 < a["ref"] + o["n"])
+        on_ref, on_read, gap = o["op"].isin("M", "=", "X", "D", "N"), o["op"].isin("M", "=", "X", "I", "S"), o["op"].isin("I", "D")
+        was = a["open"]
+        first = gap & was["next"]["op"].isNull()
+        here = F.struct(
+            (was["next"]["goes_on"] | on_ref | gap).alias("goes_on"), F.when(first, o["op"]).otherwise(was["next"]["op"]).alias("op"), F.when(first, o["n"]).otherwise(was["next"]["n"]).alias("n"),
+            F.when(first, F.when(o["op"] == "I", F.upper(query.substr(a["read"] + 1, o["n"])))).otherwise(was["next"]["bases"]).alias("bases"),
+        )
+        known = F.when(was.isNotNull(), F.struct(*(was[c].alias(c) for c in ("start", "end", "offset", "n", "op")), here.alias("next")))
+        new = on_ref & (o["n"] > 0)
         return F.struct(
             (a["ref"] + F.when(on_ref, o["n"]).otherwise(0)).alias("ref"), (a["read"] + F.when(on_read, o["n"]).otherwise(0)).alias("read"),
-            F.when(here, o["op"]).otherwise(a["op"]).alias("op"), F.when(here, o["n"]).otherwise(a["n"]).alias("n"), F.when(here, a["read"]).otherwise(a["at"]).alias("at"), (more | inside | here).alias("ends"),
+            F.when(new, block(a["ref"], a["read"], o["n"], o["op"])).otherwise(known).cast(kind).alias("open"), F.when(new & was.isNotNull(), F.concat(a["done"], F.array(known.cast(kind)))).otherwise(a["done"]).alias("done"),
         )
 
-    return F.aggregate(ops, zero, step, lambda a: F.struct(a["op"].alias("op"), a["n"].alias("n"), a["at"].alias("at"), a["ends"].alias("goes_on")))
+    walked = F.aggregate(ops, zero, step, lambda a: F.when(a["open"].isNull(), a["done"]).otherwise(F.concat(a["done"], F.array(a["open"]))))
+    only = F.get(ops, F.lit(0))
+    return F.when((F.size(ops) == 1) & only["op"].isin("M", "=", "X") & (only["n"] > 0), F.array(block(long, F.lit(0), only["n"], only["op"]).cast(kind))).otherwise(walked)
 
 
-def _indel(at: Column, op: Column) -> Column:
-    """A read that ends at the position doesn't count; the same operation of the same length (and bases) right after it is the alternative."""
-    inserted = F.upper(F.col("query").substr(op["at"] + 1, op["n"]))
-    n_ref, n_alt = F.length("ref"), F.length("alt")
-    same = F.when(n_alt > n_ref, (op["op"] == "I") & (op["n"] == n_alt - n_ref) & (inserted == F.upper(F.col("alt").substr(n_ref + 1, n_alt)))).otherwise((op["op"] == "D") & (op["n"] == n_ref - n_alt))
-    return F.when(~op["goes_on"], None).when(F.coalesce(same, F.lit(False)), "alt").when(op["op"].isNull() & (at["state"] == "base"), "ref").otherwise("other")
+def _marked_shared(reads: DataFrame) -> DataFrame:
+    """reads with shared: false where no other read of the sample, name and chromosome can cover the same place.
+
+    Fragments are told apart by a hash; where two have the same, their reads count as shared, which only makes them go the longer way. The list of hashes of
+    fragments that have such reads is written (this runs a job), so that Spark knows its size.
+    """
+    keyed = reads.withColumn("_fragment", F.xxhash64("sample", "read_name", "chrom"))
+    end = F.col("pos0") + reference_length(F.col("cigar"))
+    several = keyed.select("_fragment", F.col("pos0").alias("_s"), end.alias("_e")).groupBy("_fragment").agg(F.count("*").alias("n"), F.sum(F.col("_e") - F.col("_s")).alias("covered"), (F.max("_e") - F.min("_s")).alias("spanned"))
+    shared = kept(several.where("n > 2 or n = 2 and not coalesce(covered <= spanned, false)").select("_fragment", F.lit(True).alias("shared")), "fragments")
+    return keyed.join(shared, "_fragment", "left").withColumn("shared", F.coalesce("shared", F.lit(False))).drop("_fragment")
 
 
 def base_counts(alignments: DataFrame, variants: DataFrame, samples: list[str] | None = None, **options) -> DataFrame:
@@ -88,15 +109,17 @@ def base_counts(alignments: DataFrame, variants: DataFrame, samples: list[str] |
     count = lambda c: F.count_if(c)
     by = ["variant_id", "sample"]
     ref, alt = F.col("shows") == "ref", F.col("shows") == "alt"
-    per_fragment = seen.groupBy(*by, "read_name").agg(
-        *[count(c).alias(n) for n, c in {"dp": F.lit(True), "rd": ref, "ad": alt, "dpp": forward, "rdp": ref & forward, "adp": alt & forward}.items()],
-        (F.greatest(count(forward), count(~forward)) > 1).alias("many"),
-    )
+    each = [count(c).alias(n) for n, c in {"dp": F.lit(True), "rd": ref, "ad": alt, "dpp": forward, "rdp": ref & forward, "adp": alt & forward}.items()]
+    sums = lambda: [F.sum(c).alias(c) for c in ("dp", "rd", "ad", "dpp", "rdp", "adp")]
+    # reads that are alone in their fragment at a site are summed where they meet it; only the others are grouped by name
+    alone = seen.where("not shared").groupBy(*by).agg(*each).select("*", F.col("dp").alias("dpf"), F.col("rd").cast("double").alias("rdf"), F.col("ad").cast("double").alias("adf"))
+    per_fragment = seen.where("shared").groupBy(*by, "read_name").agg(*each, (F.greatest(count(forward), count(~forward)) > 1).alias("many"))
     half = F.when(F.col("many"), 0.0).when((F.col("rd") > 0) & (F.col("ad") > 0), 0.5)
-    counts = per_fragment.groupBy(*by).agg(
-        *[F.sum(c).alias(c) for c in ("dp", "rd", "ad", "dpp", "rdp", "adp")], F.count("*").alias("dpf"),
+    together = per_fragment.groupBy(*by).agg(
+        *sums(), F.count("*").alias("dpf"),
         F.sum(F.coalesce(half, F.when(F.col("rd") > 0, 1.0).otherwise(0.0))).alias("rdf"), F.sum(F.coalesce(half, F.when(F.col("ad") > 0, 1.0).otherwise(0.0))).alias("adf"),
     )
+    counts = alone.unionByName(together).groupBy(*by).agg(*sums(), *(F.sum(c).alias(c) for c in ("dpf", "rdf", "adf")))
     counts = counts.withColumn("vf", F.when(F.col("dp") > 0, F.col("ad") / F.col("dp")).otherwise(0.0))
     same = variants.select(F.col("variant_id").alias("id"), "chrom", "pos0", "ref", "alt").join(distinct, ["chrom", "pos0", "ref", "alt"])
     every = same if samples is None else same.withColumn("sample", F.explode(F.array(*map(F.lit, samples))))
