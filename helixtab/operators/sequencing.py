@@ -1,6 +1,6 @@
 """What a sequencing run's report computes from alignments: capture, bias by composition, strand errors, fragments, duplicates.
 
-Alignments: chrom, pos0 (0-based start), flag, cigar, query and whatever columns they are grouped by. All of it is column functions,
+Alignments: chrom, pos0 (0-based start), flag, cigar, query and whatever columns they are grouped by. All of it is column functions (but for letters and their contexts, counted in Arrow batches),
 joins and grouped sums; no window holds more than a tile of a target, a chunk of reference or a histogram.
 """
 
@@ -9,6 +9,9 @@ from __future__ import annotations
 from functools import reduce
 from operator import and_
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -155,6 +158,57 @@ def composition_bias(alignments: DataFrame, windows: DataFrame, group: str, size
 # ---------------------------------------------------------------- strand errors
 
 
+#: Letters that have a context, by number; other letters are 4.
+_LETTERS = "ACGT"
+_NUMBERS = np.full(256, 4, np.int64)
+_NUMBERS[list(_LETTERS.encode())] = range(4)
+
+
+def _bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of texts (null: empty), one for each character, and where each begins and the last ends."""
+    texts = pc.fill_null(texts, "").cast(pa.string())
+    if pc.sum(pc.binary_length(texts)).as_py() != pc.sum(pc.utf8_length(texts)).as_py():
+        texts = pc.replace_substring_regex(texts, "[^\\x00-\\x7F]", "N")
+    bounds = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+    return np.frombuffer(texts.buffers()[2] or b"", np.uint8), bounds
+
+
+def _parts(batches, column: str, most: int = 1 << 20):
+    """Batches cut so that the texts of a column have so many bytes in each, or are one."""
+    for b in batches:
+        total = np.cumsum(pc.fill_null(pc.binary_length(b[column]), 0).to_numpy(zero_copy_only=False))
+        cuts = [0, *(np.flatnonzero(np.diff(total // most)) + 1).tolist(), b.num_rows]
+        yield from (b.slice(x, y - x) for x, y in zip(cuts, cuts[1:], strict=False) if y > x)
+
+
+def _context_counts(batches, own: list[str]):
+    """(own, context, base, n) of rows (own, _seq, _query, _offset): base i of the query from _offset on stands below letter i + 1 of _seq, whose context it counts for."""
+    for b in _parts(batches, "_seq"):
+        keys = pa.Table.from_batches([b.select(own)]).append_column("_row", pa.array(np.arange(b.num_rows)))
+        groups = keys.group_by(own).aggregate([("_row", "list")])
+        group = np.empty(b.num_rows, np.int64)
+        rows = groups["_row_list"].combine_chunks()
+        group[rows.flatten().to_numpy()] = np.repeat(np.arange(len(rows)), rows.value_lengths().to_numpy())
+        (seq, s), (query, q), offset = _bytes(b["_seq"]), _bytes(b["_query"]), b["_offset"].to_numpy().astype(np.int64)
+        n = np.clip(np.minimum(np.diff(s) - 2, np.diff(q) - offset), 0, None)
+        if not n.sum():
+            continue
+        nth = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+        at = np.repeat(s[:-1], n) + nth
+        letters = [_NUMBERS[seq[at + i]] for i in range(3)] + [_NUMBERS[query[np.repeat(q[:-1] + offset, n) + nth]]]
+        good = (np.maximum.reduce(letters) < 4) & ((letters[1] == 1) | (letters[1] == 2))
+        code = np.repeat(group, n)
+        for x in letters:
+            code = code * 4 + x
+        count = np.bincount(code[good], minlength=256 * len(groups))
+        found = np.flatnonzero(count)
+        text = [np.array(list(_LETTERS))[found >> 2 * i & 3] for i in (3, 2, 1, 0)]
+        context = pa.array(["".join(x) for x in zip(*text[:3], strict=True)], pa.string())
+        part = groups.select(own).take(pa.array(found >> 8)).combine_chunks()
+        values = [part[c].combine_chunks() if isinstance(part[c], pa.ChunkedArray) else part[c] for c in own]
+        yield pa.RecordBatch.from_arrays([*values, context, pa.array(text[3].tolist(), pa.string()), pa.array(count[found])], names=[*own, "context", "base", "n"])
+
+
 def strand_context_errors(alignments: DataFrame, reference: DataFrame, group: str, chunk: int) -> DataFrame:
     """(group, context, bases, ref_marked, alt_marked, ref_other, alt_other, rate, quality): errors C>A (or G>T) by the bases on both sides of a C.
 
@@ -168,12 +222,10 @@ def strand_context_errors(alignments: DataFrame, reference: DataFrame, group: st
     blocks = blocks.select(group, "chrom", "flag", "query", first.alias("_start"), F.col("_b.end").alias("_end"), (F.col("_b.offset") + first - F.col("_b.start")).cast("int").alias("_offset")).where("_start <= _end")
     blocks = blocks.withColumn("_from", F.col("_start")).withColumn("_to", F.col("_end") + 2)  # 1-based, with a base on each side
     seen = I.fetch(blocks, reference, "chrom", "_from", "_to", "_seq", chunk)
-    pair = F.transform(
-        F.sequence(F.lit(0), (F.col("_end") - F.col("_start")).cast("int")),
-        lambda i: F.struct(F.upper(F.col("_seq").substr(i + 1, F.lit(3))).alias("context"), F.upper(F.col("query").substr(F.col("_offset") + i + 1, F.lit(1))).alias("base")),
-    )
-    bases = seen.where("_seq is not null").select(group, (F.col("flag").bitwiseAND(16) != 0).alias("_reverse"), (F.col("flag").bitwiseAND(128) == 0).alias("_first"), F.explode(pair).alias("_p"))
-    counts = bases.where(F.col("_p.context").rlike("^[ACGT][CG][ACGT]$")).groupBy(group, "_reverse", "_first", "_p.context", "_p.base").agg(F.count("*").alias("n"))
+    seen = seen.where("_seq is not null").select(group, (F.col("flag").bitwiseAND(16) != 0).alias("_reverse"), (F.col("flag").bitwiseAND(128) == 0).alias("_first"), F.upper("_seq").alias("_seq"), F.upper("query").alias("_query"), "_offset")
+    own = [group, "_reverse", "_first"]
+    kind = seen.select(*own).schema.add("context", "string").add("base", "string").add("n", "long")
+    counts = seen.mapInArrow(lambda batches: _context_counts(batches, own), kind).groupBy(*own, "context", "base").agg(F.sum("n").alias("n"))
     on_c = F.substring("context", 2, 1) == "C"
     turned = counts.select(
         group, F.when(on_c, F.col("context")).otherwise(X.reverse_complement(F.col("context"))).alias("context"), F.when(on_c, F.col("base")).otherwise(X.complement(F.col("base"))).alias("_base"),
