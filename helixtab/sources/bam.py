@@ -16,6 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
@@ -191,12 +192,13 @@ def decoded(data: bytes, start: np.ndarray, offsets: np.ndarray, references: lis
         text[(end - 1)[none]] = ord("*")
         out["quals"] = _strings(text, end)
     if "tags" in wanted:
-        bounds = zip((at_qual + letters).tolist(), (start + 4 + size).tolist(), strict=True)
-        out["tags"] = pa.array([tag_map(data[a:b]) for a, b in bounds], pa.map_(pa.string(), pa.string()))
+        text, end = _gathered(raw, (at_qual + letters).astype(np.int64), (start + 4 + size - at_qual - letters).astype(np.int64))
+        own = _strings(text, end).view(pa.binary()).dictionary_encode()  # alike ones are taken apart once
+        out["tags"] = pa.array([tag_map(x) for x in own.dictionary.to_pylist()], pa.map_(pa.string(), pa.string())).take(own.indices)
     if "read_name" in wanted:
         out["read_name"] = _strings(*_gathered(raw, start + 36, (name - 1).astype(np.int64)))
     if "mate_chrom" in wanted:
-        out["mate_chrom"] = pa.compute.if_else(pa.array((mate == ref) & (mate >= 0)), "=", named(mate))
+        out["mate_chrom"] = pc.if_else(pa.array((mate == ref) & (mate >= 0)), "=", named(mate))
     out |= {"chrom": named(ref), "offset": pa.array(offsets)}
     for k, v in {"flag": flag, "pos0": pos, "mapq": mapq, "mate_pos0": mate_pos, "insert_size": fixed[:, 8]}.items():
         out[k] = pa.array(v)
@@ -292,25 +294,95 @@ class Written(WriterCommitMessage):
     paths: list
 
 
-def packed(row: dict, numbers: dict[str, int]) -> tuple[bytes, int, int, int]:
-    """(record, number of its reference, start, end) of a row."""
-    ref = numbers.get(row["chrom"], -1)
-    mate = ref if row["mate_chrom"] == "=" else numbers.get(row["mate_chrom"], -1)
-    ops = [(int(n), OPERATIONS.index(o)) for n, o in re.findall(r"(\d+)([MIDNSHP=X])", row["cigar"] or "")]
-    end = row["pos0"] + max(1, sum(n for n, o in ops if OPERATIONS[o] in ON_REFERENCE))
-    name = row["read_name"].encode() + b"\0"
-    query = "" if row["query"] in (None, "*") else row["query"]
-    number = [max(0, BASES.find(c)) if c in BASES else 15 for c in query.upper()] + [0] * (len(query) % 2)
-    letters = bytes(a << 4 | b for a, b in zip(number[::2], number[1::2], strict=True))
-    quals = bytes([255]) * len(query) if row["quals"] in (None, "*") else bytes(ord(c) - 33 for c in row["quals"])
-    tags = b""
-    for k, v in dict(row["tags"] or {}).items():
-        whole = re.fullmatch(r"-?[1-9]\d{0,8}|0", v)
-        tags += k.encode() + (b"i" + struct.pack("<i", int(v)) if whole else b"Z" + v.encode() + b"\0")
-    place = bgzf.bin_of(max(0, row["pos0"]), max(1, end))
-    head = struct.pack("<iiBBHHHiiii", ref, row["pos0"], len(name), row["mapq"], place, len(ops), row["flag"], len(query), mate, row["mate_pos0"], row["insert_size"])
-    body = head + name + b"".join(struct.pack("<I", n << 4 | o) for n, o in ops) + letters + quals + tags
-    return struct.pack("<i", len(body)) + body, ref, row["pos0"], end
+def _spread(out: np.ndarray, at: np.ndarray, size: np.ndarray, data: np.ndarray) -> None:
+    """Put stretches of data, which lie end to end, at places of out."""
+    end = np.cumsum(size)
+    out[np.repeat(at - (end - size), size) + np.arange(len(data))] = data
+
+
+def _letters(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of texts, one for each character, end to end, and how many each has; null and '*' have none."""
+    texts = pc.if_else(pc.fill_null(pc.equal(texts, "*"), True), "", texts).cast(pa.string())
+    if pc.sum(pc.binary_length(texts)).as_py() != pc.sum(pc.utf8_length(texts)).as_py():
+        texts = pc.replace_substring_regex(texts, "[^\\x00-\\x7F]", "N")
+    return _whole(texts)
+
+
+def _whole(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    texts = texts.cast(pa.binary())
+    bounds = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+    return np.frombuffer(texts.buffers()[2] or b"", np.uint8)[bounds[0] : bounds[-1]], np.diff(bounds)
+
+
+def _packed_tag(name: str, value: str) -> bytes:
+    whole = re.fullmatch(r"-?[1-9]\d{0,8}|0", value)
+    return name.encode() + (b"i" + struct.pack("<i", int(value)) if whole else b"Z" + value.encode() + b"\0")
+
+
+_HEAD = np.dtype([(n, k) for n, k in zip(("size", "ref", "pos", "name", "mapq", "bin", "ops", "flag", "letters", "mate", "mate_pos", "insert"), ("<i4", "<i4", "<i4", "u1", "u1", "<u2", "<u2", "<u2", "<i4", "<i4", "<i4", "<i4"), strict=True)])
+_CODES = np.full(256, 15, np.uint8)
+for _i, _c in enumerate(BASES):
+    _CODES[[ord(_c), ord(_c.lower())]] = _i
+
+
+def packed(b: pa.RecordBatch, names: pa.Array, tag_bytes: dict[tuple[str, str], bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(records end to end, their sizes, numbers of their references, starts, ends, bins) of rows."""
+    n = b.num_rows
+    if b["read_name"].null_count:
+        raise ValueError("an alignment has no name")
+    number = lambda c: pc.fill_null(pc.index_in(b[c], names), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+    value = lambda c: b[c].to_numpy(zero_copy_only=False).astype(np.int64)
+    ref, pos = number("chrom"), value("pos0")
+    mate = np.where(pc.fill_null(pc.equal(b["mate_chrom"], "="), False).to_numpy(zero_copy_only=False), ref, number("mate_chrom"))
+    cigars = pc.fill_null(b["cigar"], "").dictionary_encode()
+    found = [[(int(k), OPERATIONS.index(o)) for k, o in re.findall(r"(\d+)([MIDNSHP=X])", c)] for c in cigars.dictionary.to_pylist()]
+    which = cigars.indices.to_numpy()
+    length = np.array([max(1, sum(k for k, o in ops if OPERATIONS[o] in ON_REFERENCE)) for ops in found], np.int64)[which]
+    cigar, cigar_size = _whole(pa.array([b"".join(struct.pack("<I", k << 4 | o) for k, o in ops) for ops in found], pa.binary()).take(cigars.indices))
+    name, name_size = _whole(pc.binary_join_element_wise(b["read_name"].cast(pa.binary()), pa.scalar(b"\0", pa.binary()), pa.scalar(b"", pa.binary())))
+    query, letters = _letters(b["query"])
+    half = (letters + 1) // 2
+    codes = np.zeros(2 * int(half.sum()), np.uint8)
+    _spread(codes, 2 * (np.cumsum(half) - half), letters, _CODES[query])
+    given, given_size = _letters(b["quals"])
+    none = pc.fill_null(pc.equal(b["quals"], "*"), True).to_numpy(zero_copy_only=False)
+    qual_size = np.where(none, letters, given_size)
+    quals = np.full(int(qual_size.sum()), 255, np.uint8)
+    _spread(quals, np.cumsum(qual_size) - qual_size, given_size, given - np.uint8(33))
+    pairs, tags = b["tags"], []
+    bounds = np.concatenate(([0], np.cumsum(pc.fill_null(pc.list_value_length(pairs.cast(pa.list_(pa.struct([("key", pa.string()), ("value", pa.string())])))), 0).to_numpy(zero_copy_only=False)))).astype(np.int64)
+    flat = pairs.cast(pa.list_(pa.struct([("key", pa.string()), ("value", pa.string())]))).flatten()
+    if len(tag_bytes) > 1 << 18:
+        tag_bytes.clear()
+    for pair in zip(flat.field("key").to_pylist(), flat.field("value").to_pylist(), strict=True):
+        if pair not in tag_bytes:
+            tag_bytes[pair] = _packed_tag(*pair)
+        tags.append(tag_bytes[pair])
+    tag_ends = np.concatenate(([0], np.cumsum([len(x) for x in tags]))).astype(np.int64)
+    tag_size = np.diff(tag_ends[bounds])
+    size = 36 + name_size + cigar_size + half + qual_size + tag_size
+    start = np.cumsum(size) - size
+    start0, end = np.maximum(pos, 0), np.maximum(pos + length, 1)
+    places = bgzf.bins_of(start0, end)
+    head = np.zeros(n, _HEAD)
+    fixed = {"size": size - 4, "ref": ref, "pos": pos, "name": name_size, "mapq": value("mapq"), "bin": places, "ops": cigar_size // 4, "flag": value("flag"), "letters": letters, "mate": mate, "mate_pos": value("mate_pos0"), "insert": value("insert_size")}
+    for k, v in fixed.items():
+        kind = _HEAD[k]
+        if len(v) and (v.min() < np.iinfo(kind).min or v.max() > np.iinfo(kind).max):
+            raise ValueError(f"{k} is out of the format's range")
+        head[k] = v
+    out = np.empty(int(size.sum()), np.uint8)
+    out[(start[:, None] + np.arange(36)).ravel()] = head.view(np.uint8)
+    at = start + 36
+    for data, own in ((name, name_size), (cigar, cigar_size), ((codes[::2] << 4 | codes[1::2]), half), (quals, qual_size), (np.frombuffer(b"".join(tags), np.uint8), tag_size)):
+        _spread(out, at, own, data)
+        at = at + own
+    return out, size, ref, start0, end, places
+
+
+def _cut(batch: pa.RecordBatch, rows: int = 4096):
+    """Rows of a batch, few at a time, so that what is laid out at once is small."""
+    return (batch.slice(i, rows) for i in range(0, batch.num_rows, rows))
 
 
 class AlignmentWriter(DataSourceArrowWriter):
@@ -331,19 +403,16 @@ class AlignmentWriter(DataSourceArrowWriter):
         for n, k in self.references:
             out.write(struct.pack("<i", len(n) + 1) + n.encode() + b"\0" + struct.pack("<i", k))
         out.flush()
-        numbers = {n: i for i, (n, _) in enumerate(self.references)}
-        index, before, ordered = bgzf.Index(len(self.references)), (-1, -1), True
+        names, tag_bytes = pa.array([n for n, _ in self.references], pa.string()), {}
+        index, before, ordered = bgzf.Index(len(self.references)), -1, True
         for batch in iterator:
-            for row in batch.to_pylist():
-                record, ref, start, end = packed(row, numbers)
-                if out.held and len(out.held) + len(record) > bgzf.TEXT:
-                    out.flush()
-                first = out.tell()
-                out.write(record)
-                place = (ref if ref >= 0 else len(numbers), start)
-                ordered, before = ordered and before <= place, place
-                if ref >= 0 and ordered:
-                    index.add(ref, max(0, start), max(1, end), first, out.tell())
+            for b in _cut(batch):
+                data, size, ref, start, end, places = packed(b, names, tag_bytes)
+                order = np.concatenate(([before], (np.where(ref >= 0, ref, len(names)) << 40) + b["pos0"].to_numpy()))
+                ordered, before = ordered and bool((np.diff(order) >= 0).all()), int(order[-1])
+                first, last = out.write_all(data.tobytes(), np.cumsum(size))
+                if ordered:
+                    index.add_all(ref, start, end, places, first, last)
         out.close()
         if ordered:
             fs, at = bgzf.located(f"{path}.bai")
