@@ -302,13 +302,14 @@ def _spread(out: np.ndarray, at: np.ndarray, size: np.ndarray, data: np.ndarray)
 
 def _letters(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of texts, one for each character, end to end, and how many each has; null and '*' have none."""
-    texts = pc.if_else(pc.fill_null(pc.equal(texts, "*"), True), "", texts).cast(pa.string())
+    texts = pc.if_else(pc.fill_null(pc.equal(texts, "*"), True), pa.array([""] * len(texts)), texts.cast(pa.string()))
     if pc.sum(pc.binary_length(texts)).as_py() != pc.sum(pc.utf8_length(texts)).as_py():
         texts = pc.replace_substring_regex(texts, "[^\\x00-\\x7F]", "N")
-    return _whole(texts)
+    return whole(texts)
 
 
-def _whole(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def whole(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of texts, end to end, and how many each has."""
     texts = texts.cast(pa.binary())
     bounds = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
     return np.frombuffer(texts.buffers()[2] or b"", np.uint8)[bounds[0] : bounds[-1]], np.diff(bounds)
@@ -338,8 +339,8 @@ def packed(b: pa.RecordBatch, names: pa.Array, tag_bytes: dict[tuple[str, str],
     found = [[(int(k), OPERATIONS.index(o)) for k, o in re.findall(r"(\d+)([MIDNSHP=X])", c)] for c in cigars.dictionary.to_pylist()]
     which = cigars.indices.to_numpy()
     length = np.array([max(1, sum(k for k, o in ops if OPERATIONS[o] in ON_REFERENCE)) for ops in found], np.int64)[which]
-    cigar, cigar_size = _whole(pa.array([b"".join(struct.pack("<I", k << 4 | o) for k, o in ops) for ops in found], pa.binary()).take(cigars.indices))
-    name, name_size = _whole(pc.binary_join_element_wise(b["read_name"].cast(pa.binary()), pa.scalar(b"\0", pa.binary()), pa.scalar(b"", pa.binary())))
+    cigar, cigar_size = whole(pa.array([b"".join(struct.pack("<I", k << 4 | o) for k, o in ops) for ops in found], pa.binary()).take(cigars.indices))
+    name, name_size = whole(pc.binary_join_element_wise(b["read_name"].cast(pa.binary()), pa.scalar(b"\0", pa.binary()), pa.scalar(b"", pa.binary())))
     query, letters = _letters(b["query"])
     half = (letters + 1) // 2
     codes = np.zeros(2 * int(half.sum()), np.uint8)
@@ -380,9 +381,9 @@ def packed(b: pa.RecordBatch, names: pa.Array, tag_bytes: dict[tuple[str, str],
     return out, size, ref, start0, end, places
 
 
-def _cut(batch: pa.RecordBatch, rows: int = 4096):
+def cut(batch: pa.RecordBatch, rows: int = 4096):
     """Rows of a batch, few at a time, so that what is laid out at once is small."""
-    return (batch.slice(i, rows) for i in range(0, batch.num_rows, rows))
+    return (batch.take(pa.array(np.arange(i, min(i + rows, batch.num_rows)))) for i in range(0, batch.num_rows, rows))
 
 
 class AlignmentWriter(DataSourceArrowWriter):
@@ -406,7 +407,7 @@ class AlignmentWriter(DataSourceArrowWriter):
         names, tag_bytes = pa.array([n for n, _ in self.references], pa.string()), {}
         index, before, ordered = bgzf.Index(len(self.references)), -1, True
         for batch in iterator:
-            for b in _cut(batch):
+            for b in cut(batch):
                 data, size, ref, start, end, places = packed(b, names, tag_bytes)
                 order = np.concatenate(([before], (np.where(ref >= 0, ref, len(names)) << 40) + b["pos0"].to_numpy()))
                 ordered, before = ordered and bool((np.diff(order) >= 0).all()), int(order[-1])

@@ -13,6 +13,7 @@ import re
 import struct
 import uuid
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.csv as csv
@@ -23,7 +24,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from helixtab.sources import bgzf, lines
-from helixtab.sources.bam import Written
+from helixtab.sources.bam import Written, cut, whole
 from helixtab.sources.regions import Region
 
 #: Fixed values of the formats: leading columns, types by the header's names, the index's head.
@@ -145,6 +146,18 @@ class VcfReader(TextReader):
                 yield pa.RecordBatch.from_arrays([get(f) for f in kinds], schema=kinds)
 
 
+def texts(values: pa.Array) -> pa.Array:
+    """Values as texts: lists by commas, '.' for null."""
+    kind = values.type
+    if pa.types.is_list(kind):
+        size = pc.fill_null(pc.list_value_length(values), 0).to_numpy(zero_copy_only=False)
+        parts = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(size))), pa.int32()), texts(values.flatten()))
+        return pc.if_else(pc.is_valid(values), pc.binary_join(parts, ","), pa.array(["."] * len(values)))
+    if pa.types.is_string(kind) or pa.types.is_integer(kind):
+        return pc.fill_null(values.cast(pa.string()), ".")
+    return pa.array(["." if v is None else str(v) for v in values.to_pylist()], pa.string())  # numbers in the shortest form
+
+
 class VcfWriter(DataSourceArrowWriter):
     """A file of gzip blocks for each task, with an index if its rows are grouped by CHROM and ordered by POS. INFO_x columns that aren't null go to INFO."""
 
@@ -165,23 +178,24 @@ class VcfWriter(DataSourceArrowWriter):
             out.write((line + "\n").encode())
         out.flush()
         names: dict[str, int] = {}
-        index, before, ordered = bgzf.Index(0), (-1, 0), True
+        index, before, ordered = bgzf.Index(0), -1, True
         for batch in iterator:
-            for row in batch.to_pylist():
-                text = lambda v: "." if v is None else ",".join(map(text, v)) if isinstance(v, list) else str(v)
-                info = [n[5:] if row[n] is True else f"{n[5:]}={text(row[n])}" for n in self.info if row[n] is not None and row[n] is not False]
-                row["INFO"] = ";".join(info + ([row["INFO"]] if row.get("INFO") not in (None, ".", "") else [])) or "."
-                record = ("\t".join(text(row.get(c)) for c in columns) + "\n").encode()
-                if out.held and len(out.held) + len(record) > bgzf.TEXT:
-                    out.flush()
-                first, start = out.tell(), row["POS"] - 1
-                out.write(record)
-                number = names.setdefault(row["CHROM"], len(names))
-                if number == len(index.bins):
+            for b in cut(batch):
+                if b["POS"].null_count:
+                    raise ValueError("a variant has no place")
+                data, size = whole(self._lines(b, columns))
+                chrom = texts(b["CHROM"]).dictionary_encode()
+                number = np.array([names.setdefault(n, len(names)) for n in chrom.dictionary.to_pylist()], np.int64)[chrom.indices.to_numpy()]
+                for _ in range(len(names) - len(index.bins)):
                     index.bins.append({}), index.linear.append([])
-                ordered, before = ordered and before <= (number, start), (number, start)
+                place = b["POS"].to_numpy().astype(np.int64) - 1
+                order = np.concatenate(([before], (number << 40) + place + 1))
+                ordered, before = ordered and bool((np.diff(order) >= 0).all()), int(order[-1])
+                first, last = out.write_all(data.tobytes(), np.cumsum(size))
                 if ordered:
-                    index.add(number, max(0, start), max(0, start) + max(1, len(row["REF"] or "")), first, out.tell())
+                    start, length = np.maximum(place, 0), pc.utf8_length(pc.fill_null(b["REF"], "")).to_numpy()
+                    end = start + np.maximum(length, 1)
+                    index.add_all(number, start, end, bgzf.bins_of(start, end), first, last)
         out.close()
         if ordered:
             listed = b"".join(n.encode() + b"\0" for n in names)
@@ -190,6 +204,22 @@ class VcfWriter(DataSourceArrowWriter):
             packed.close()
         return Written([path, f"{path}.tbi"] if ordered else [path])
 
+    def _lines(self, b: pa.RecordBatch, columns: list[str]) -> pa.Array:
+        info, none = [], pa.nulls(b.num_rows, pa.string())
+        for n in self.info:
+            if pa.types.is_boolean(b[n].type):
+                info.append(pc.if_else(pc.fill_null(b[n], False), pa.array([n[5:]] * b.num_rows), none))
+            else:
+                info.append(pc.if_else(pc.is_valid(b[n]), pc.binary_join_element_wise(f"{n[5:]}=", texts(b[n]), ""), none))
+        if "INFO" in b.schema.names:
+            info.append(pc.if_else(pc.is_in(b["INFO"], pa.array([None, ".", ""], pa.string())), none, b["INFO"].cast(pa.string())))
+        nothing = pa.array(["."] * b.num_rows, pa.string())
+        fields = [pc.fill_null(pc.binary_join_element_wise(x, ";", ""), "") for x in info]
+        joined = pc.utf8_slice_codeunits(pc.binary_join_element_wise(*fields, ""), 0, -1) if fields else nothing
+        own = {"INFO": pc.if_else(pc.equal(joined, ""), nothing, joined)}
+        cells = [own[c] if c in own else texts(b[c]) if c in b.schema.names else nothing for c in columns]
+        return pc.binary_join_element_wise(pc.binary_join_element_wise(*cells, "\t"), "\n", "")
+
     def commit(self, messages):
         for path in self.old:
             fs, at = bgzf.located(path)
