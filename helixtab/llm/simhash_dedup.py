@@ -5,23 +5,27 @@ them differs by at most one bit. Each segment is indexed once per wildcard bit;
 found by equality joins on those variants and verified on the whole fingerprint.
 
 Texts of five-word similarity 0.8 differ by far more bits than segments can allow for, so where that similarity
-counts (deduplicated) texts are linked by bands of least shingle hashes too, see similar().
+counts (deduplicated) texts are linked by bands of least shingle hashes too, see similar(), and the pairs of different
+components that bands leave are found by prefixes of their shingle sets, see missed().
 """
 
 from __future__ import annotations
 
+import math
 import uuid
+from collections.abc import Callable
+from functools import reduce
 from itertools import accumulate, combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from helixtab.llm import _hashes as H
 from helixtab.llm._components import components
-from helixtab.llm._util import dropped, in_arrow, read, renamed, shared_dir, stored
+from helixtab.llm._util import dropped, in_arrow, read, renamed, shared_dir, stored, tidy
 
 #: Where more different fingerprints than this meet, they are not paired up but cut further.
 BUSY = 24
@@ -191,7 +195,7 @@ def alike(x: np.ndarray, y: np.ndarray, similarity: float) -> bool:
 
 
 def _banded(docs: DataFrame, size: int, words: int, keys: tuple[str, ...]) -> DataFrame:
-    """(doc_id, fp, text_key, minima, bands, shingles) of each row, and its keys; minima: 16 bits of each; shingles: the upper 32 bits of each hash, sorted."""
+    """(doc_id, fp, text_key, minima, bands, shingles, low) of each row, and its keys; minima: 16 bits of each; shingles: the upper 32 bits of each hash, sorted; low: the next 16."""
 
     def run(batches):
         for b in batches:
@@ -203,17 +207,18 @@ def _banded(docs: DataFrame, size: int, words: int, keys: tuple[str, ...]) -> Da
             short = [None if m is None else (m >> np.uint64(48)).astype(np.uint16).tobytes() for m in least]
             bands = [[] if m is None else [xxhash.xxh64_intdigest(m[i : i + BAND].tobytes(), i) - (1 << 63) for i in range(0, MINIMA - BAND + 1, BAND)] for m in least]
             whole = [(x >> np.uint64(32)).astype(np.uint32).tobytes() for x in sets]
-            yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(fp, pa.int64()), pa.array(text_key), pa.array(short, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(whole, pa.binary()), *(b[k] for k in keys)], names=["doc_id", "fp", "text_key", "minima", "bands", "shingles", *keys])
+            low = [(x >> np.uint64(16)).astype(np.uint16).tobytes() for x in sets]
+            yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(fp, pa.int64()), pa.array(text_key), pa.array(short, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(whole, pa.binary()), pa.array(low, pa.binary()), *(b[k] for k in keys)], names=["doc_id", "fp", "text_key", "minima", "bands", "shingles", "low", *keys])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), *keys)
-    return in_arrow(rows, run, "doc_id long, fp long, text_key long, minima binary, bands array<long>, shingles binary" + "".join(f", {k} long" for k in keys))
+    return in_arrow(rows, run, "doc_id long, fp long, text_key long, minima binary, bands array<long>, shingles binary, low binary" + "".join(f", {k} long" for k in keys))
 
 
 def _by_text(rows: DataFrame) -> tuple[str, DataFrame]:
-    """The name of a table and it: (fp, text_key, minima, shingles), each text once, dealt out by fp and text_key: what is joined with it moves, not the sets."""
+    """The name of a table and it: (fp, text_key, minima, shingles, low), each text once, dealt out by fp and text_key: what is joined with it moves, not the sets."""
     spark = rows.sparkSession
     n, name = int(spark.conf.get("spark.sql.shuffle.partitions")), f"helixtab_sets_{uuid.uuid4().hex}"
-    own = rows.select("fp", "text_key", "minima", "shingles").repartition(n, "fp", "text_key").dropDuplicates(["fp", "text_key"])
+    own = rows.select("fp", "text_key", "minima", "shingles", "low").repartition(n, "fp", "text_key").dropDuplicates(["fp", "text_key"])
     path = f"{shared_dir(spark)}/helixtab/{name}"
     own.write.format("parquet").option("path", path).bucketBy(n, "fp", "text_key").saveAsTable(name)
     out = spark.table(name)
@@ -221,32 +226,47 @@ def _by_text(rows: DataFrame) -> tuple[str, DataFrame]:
     return name, out
 
 
-def similar(texts: DataFrame, similarity: float = 0.8) -> DataFrame:
-    """(a, b): fp of texts (fp, text_key, minima, bands, shingles; rows that repeat a text count once) whose shingle sets are alike enough, as stars.
+#: A pair of texts.
+PAIR = ("fp", "text_key", "c_fp", "c_key")
+
+
+def _verified(asked: DataFrame, sets: DataFrame, similarity: float, least: float | None = None) -> DataFrame:
+    """The pairs asked whose sets of shingles are alike; least: share of equal minima under which they aren't compared."""
+    minima = [] if least is None else ["minima"]
+
+    def run(batches):
+        for b in batches:
+            close = [True] * b.num_rows
+            if least is not None:
+                x, y = (np.frombuffer(b"".join(b[c].to_pylist()), np.uint16).reshape(-1, MINIMA) for c in ("x_minima", "y_minima"))
+                close = ((x == y).mean(axis=1) >= least).tolist()
+            two = (tuple(np.frombuffer(s.as_buffer(), np.uint32) for s in both) for both in zip(b["x_shingles"], b["y_shingles"], strict=True))
+            good = pa.array([c and alike(*both, similarity) for c, both in zip(close, two, strict=True)], pa.bool_())
+            yield pa.RecordBatch.from_arrays([b[c].filter(good) for c in PAIR], names=PAIR)
+
+    brought = [*minima, "shingles"]
+    x = asked.join(sets.select("fp", "text_key", *(F.col(c).alias(f"x_{c}") for c in brought)), ["fp", "text_key"])
+    both = x.join(sets.select(F.col("fp").alias("c_fp"), F.col("text_key").alias("c_key"), *(F.col(c).alias(f"y_{c}") for c in brought)), ["c_fp", "c_key"])
+    return in_arrow(both.select(*PAIR, *(f"{side}_{c}" for side in "xy" for c in brought)), run, ", ".join(f"{c} long" for c in PAIR))
+
+
+def similar(texts: DataFrame, sets: DataFrame, similarity: float = 0.8) -> DataFrame:
+    """(a, b): fp of texts (fp, text_key, bands; rows that repeat a text count once; sets: see _by_text) whose shingle sets are alike enough, as stars.
 
     Texts meet under equal bands. Where few do, pairs are compared. Where many do, of some classes of hashes the texts that meet
     most others are centres: those that are like one are linked to it and leave the band with the centres. The others meet
     again only where they share a further band too (alike ones share several), and so on, so unlike texts with a passage in
     common part quickly. No group's pairs are all made. A text that is like one that left, but unlike its centre and all others it meets, isn't linked
     there. The share of equal minima rules pairs out that are far from alike; all others are compared by their whole sets of shingles, so no link is made below similarity.
+    Links that are left out here, missed() finds.
     """
     least = similarity - SLACK * (similarity * (1 - similarity) / MINIMA) ** 0.5
     band = F.xxhash64("used").alias("band")  # used: the bands that texts under this key share
-    spark, (name_of, sets) = texts.sparkSession, _by_text(texts)
+    spark = texts.sparkSession
     texts = stored(texts.select("fp", "text_key", "bands").dropDuplicates(["fp", "text_key"]), "texts")
     members = stored(texts.select("fp", "text_key", F.explode("bands").alias("used")).select("fp", "text_key", F.array("used").alias("used")).select("*", band), "bands")
     found = None
 
-    def verified(batches):
-        for b in batches:
-            x, y = (np.frombuffer(b"".join(b[c].to_pylist()), np.uint16).reshape(-1, MINIMA) for c in ("x", "y"))
-            close = ((x == y).mean(axis=1) >= least).tolist()
-            sets = (tuple(np.frombuffer(s.as_buffer(), np.uint32) for s in two) for two in zip(b["x_set"], b["y_set"], strict=True))
-            good = pa.array([c and alike(*two, similarity) for c, two in zip(close, sets, strict=True)], pa.bool_())
-            yield pa.RecordBatch.from_arrays([b[c].filter(good) for c in pair], names=pair)
-
-    pair = ["fp", "text_key", "c_fp", "c_key"]
-    kinds = ", ".join(f"{c} long" for c in pair)
     name = F.struct("fp", "text_key")
     other = F.struct("c_fp", "c_key")
     while True:
@@ -255,8 +275,6 @@ def similar(texts: DataFrame, similarity: float = 0.8) -> DataFrame:
         dropped(members, sizes)
         if met.isEmpty():
             dropped(met, texts)
-            spark.sql(f"DROP TABLE {name_of}")
-            dropped(sets)
             return spark.createDataFrame([], "a long, b long") if found is None else found
         few, many = met.where(F.col("n") <= BUSY), met.where(F.col("n") > BUSY)
         weighed = many.withColumn("weight", F.sum("n").over(Window.partitionBy("fp", "text_key")))  # a text has few bands
@@ -264,13 +282,11 @@ def similar(texts: DataFrame, similarity: float = 0.8) -> DataFrame:
         centres = centres.groupBy("band").agg(F.collect_list(F.struct(F.col("c.fp").alias("c_fp"), F.col("c.text_key").alias("c_key"))).alias("centres"))
         led = stored(many.select("fp", "text_key", "band", "used").join(stored(centres, "centres"), "band"), "led")
         own = few.select("band", F.col("fp").alias("c_fp"), F.col("text_key").alias("c_key"))
-        pairs = few.select("fp", "text_key", "band").join(own, "band").where(name > other).select(*pair)
+        pairs = few.select("fp", "text_key", "band").join(own, "band").where(name > other).select(*PAIR)
         # of all bands of a text at once, so that a centre of several of them is asked for once
         starred = led.groupBy("fp", "text_key").agg(F.collect_set("centres").alias("c")).select("fp", "text_key", F.explode(F.array_distinct(F.flatten("c"))).alias("c")).select("fp", "text_key", "c.*").where(name != other)
         asked = stored(pairs.unionAll(starred).distinct(), "asked")
-        x = asked.join(sets.withColumnsRenamed({"minima": "x", "shingles": "x_set"}), ["fp", "text_key"])
-        both = x.join(sets.select(F.col("fp").alias("c_fp"), F.col("text_key").alias("c_key"), F.col("minima").alias("y"), F.col("shingles").alias("y_set")), ["c_fp", "c_key"])
-        like = stored(in_arrow(both.select(*pair, "x", "y", "x_set", "y_set"), verified, kinds), "alike")
+        like = stored(_verified(asked, sets, similarity, least), "alike")
         dropped(met, asked)
         new = like.where("fp != c_fp").select(F.col("fp").alias("a"), F.col("c_fp").alias("b"))
         found = new if found is None else found.unionAll(new)
@@ -282,6 +298,99 @@ def similar(texts: DataFrame, similarity: float = 0.8) -> DataFrame:
         dropped(led)
 
 
+def _first(n: int, similarity: float) -> int:
+    """Of n shingles, put in any order that holds for all texts, so many hold one of the first of every text that is alike."""
+    return n - math.ceil(similarity * n - 1e-6) + 1
+
+
+#: Parts, by token, in which tokens of all texts are shuffled one after the other: less lies on disks at once.
+SLICES = 4
+
+
+def _ordered(sets: DataFrame, most: Callable[[int], int]) -> DataFrame:
+    """(fp, text_key, root, n, tokens) of sets with root: each text's number of shingles and 48 bits of their hashes in order, the first most(n) of them."""
+
+    def run(batches):
+        for b in batches:
+            sizes, tokens = [], [np.zeros(0, np.int64)]
+            for high, low in zip(b["shingles"], b["low"], strict=True):
+                high, low = np.frombuffer(high.as_buffer(), np.uint32), np.frombuffer(low.as_buffer(), np.uint16)
+                sizes.append(len(high))
+                n = most(len(high))
+                tokens.append(high[:n].astype(np.int64) << 16 | low[:n])
+            ends = pa.array(np.cumsum([0, *map(len, tokens[1:])]), pa.int32())
+            columns = [pa.array(sizes, pa.int64()), pa.ListArray.from_arrays(ends, pa.array(np.concatenate(tokens)))]
+            yield pa.RecordBatch.from_arrays([*(b[k] for k in ("fp", "text_key", "root")), *columns], names=["fp", "text_key", "root", "n", "tokens"])
+
+    return in_arrow(sets.select("fp", "text_key", "root", "shingles", "low"), run, "fp long, text_key long, root long, n long, tokens array<long>")
+
+
+def missed(texts: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): the roots of any two texts that are alike and have different ones.
+
+    texts: fp, text_key, root, each text once; sets: see _by_text. In whatever order all shingles are put, one of the first of a text is
+    among the first of each that is like it. The order is by hash, but shingles that many texts have come last, so texts with a passage in common
+    meet only if such passages are most of what they hold. Where all texts that meet have one root, nothing is compared. No group is capped.
+    """
+    places = ["fp", "text_key", "root", "n"]
+    first = stored(_ordered(sets.join(texts, ["fp", "text_key"]), lambda n: _first(n, similarity)), "prefixes")
+
+    def sliced(run: Callable[[Column], DataFrame], name: str) -> DataFrame:
+        """The union of what run gives for each part of the tokens."""
+        parts = [stored(run(F.pmod("token", F.lit(SLICES)) == i), f"{name}{i}") for i in range(SLICES)]
+        out = stored(reduce(DataFrame.unionAll, parts), name)
+        dropped(*parts)
+        return out
+
+    def crossing(rows: DataFrame) -> DataFrame:
+        """Tokens in texts of different roots, and in how many."""
+        each = rows.select("root", F.explode("tokens").alias("token"))
+        counts = [F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("rows")]
+        return sliced(lambda own: each.where(own).groupBy("token").agg(*counts).where("low < high").select("token", "rows"), "crossing")
+
+    def having(rows: DataFrame, tokens: DataFrame) -> DataFrame:
+        """(text_key, token): which of those tokens are in which rows."""
+        each = rows.select("text_key", F.explode("tokens").alias("token"))
+        return sliced(lambda own: each.where(own).join(tokens.where(own), "token", "left_semi"), "having")
+
+    def holding(tokens: DataFrame) -> DataFrame:
+        """The texts with one of those tokens among the first, with all that they have."""
+        had = having(first, tokens)
+        them = texts.join(had.select("text_key").distinct(), "text_key", "left_semi")
+        out = stored(_ordered(sets.join(them, ["fp", "text_key"]), lambda n: n), "whole")
+        dropped(had)
+        return out
+
+    met = crossing(first)
+    busy = met.where(F.col("rows") > BUSY).select("token")
+    if not busy.isEmpty():
+        whole = holding(busy)
+        counted = crossing(whole)
+        dropped(met, whole)
+        common = stored(counted.where(F.col("rows") > BUSY).select("token"), "common")
+        whole = holding(common)
+        had = having(whole, common)
+        last = had.groupBy("text_key").agg(F.collect_set("token").alias("last"))
+        order = F.concat(F.array_except("tokens", "last"), F.array_intersect("tokens", "last"))
+        size = F.expr(f"int(n - ceil({similarity!r}D * n - 1e-6D) + 1)")  # see _first
+        late = stored(whole.join(last, "text_key").select(*places, F.slice(order, F.lit(1), size).alias("tokens")), "late")
+        dropped(counted, common, whole, had)
+        before, first = first, stored(first.join(late.select("fp", "text_key"), ["fp", "text_key"], "left_anti").unionByName(late), "prefixes")
+        dropped(before, late)
+        met = crossing(first)
+    every = first.select(*places, F.posexplode("tokens").alias("at", "token"))
+    each = sliced(lambda own: every.where(own).join(met.where(own).select("token"), "token"), "meeting")
+    dropped(met, first)
+    other = each.select("token", *(F.col(c).alias(f"c_{c}") for c in (*places, "at"))).withColumnRenamed("c_text_key", "c_key")
+    most = F.lit(1) + F.least(F.expr("n - at - 1"), F.expr("c_n - c_at - 1"))  # in common, if this is the first token that is
+    could = most >= F.lit(similarity) * (F.col("n") + F.col("c_n") - most) - 1e-6
+    pairs = each.join(other, "token").where(F.expr("root < c_root")).where(could)
+    asked = stored(pairs.select(*PAIR, "root", "c_root").distinct(), "asked")
+    found = stored(_verified(asked.select(*PAIR), sets, similarity).join(asked, list(PAIR)).select(F.col("root").alias("a"), F.col("c_root").alias("b")).distinct(), "missed")
+    dropped(each, asked)
+    return found
+
+
 def near_duplicates(docs: DataFrame, size: int = 3, distance: int = 2) -> DataFrame:
     """Each row's fingerprint and component.
 
@@ -312,12 +421,21 @@ def deduplicated(docs: DataFrame, words: int = 5, similarity: float = 0.8, size:
     values = [*own.columns, *(F.col(c).isNull() for c in own.columns)]  # a hash leaves nulls out
     keyed = own.select("*", *(F.xxhash64(F.lit(i), *values).alias(k) for i, k in enumerate(ROW)))
     doc_id = own.columns[docs.columns.index("doc_id")]
-    rows = stored(_banded(keyed.withColumnRenamed(doc_id, "doc_id"), size, words, ROW), "fingerprints")
-    texts = rows.where("minima is not null").select("fp", "text_key", "minima", "bands", "shingles")
-    classes = rows.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", *ROW)).alias("least"))
-    stay = _rooted(classes, distance, similar(texts, similarity)).groupBy("root").agg(F.min("least").alias("least")).select(*(f"least.{k}" for k in ROW))
-    stay = stored(stay, "stay")
-    dropped(rows)
+    spark = docs.sparkSession
+    with tidy(spark):
+        banded = _banded(keyed.withColumnRenamed(doc_id, "doc_id"), size, words, ROW)
+        rows = stored(banded.drop("minima", "shingles", "low"), "fingerprints")
+        name, sets = _by_text(banded.where("minima is not null"))  # read again: together they would lie on disks twice
+        classes = rows.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", *ROW)).alias("least"))
+        rooted = stored(_rooted(classes, distance, similar(rows.where("size(bands) > 0"), sets, similarity)), "rooted")
+        texts = stored(rows.where("size(bands) > 0").select("fp", "text_key").distinct().join(rooted.select("fp", "root"), "fp"), "known")
+        dropped(rows)
+        more = components(missed(texts, sets, similarity))
+        spark.sql(f"DROP TABLE {name}")
+        dropped(sets, texts)
+        rooted = rooted.join(more.select(F.col("a").alias("root"), F.col("b").alias("first")), "root", "left").withColumn("root", F.coalesce("first", "root"))
+        stay = rooted.groupBy("root").agg(F.min("least").alias("least")).select(*(f"least.{k}" for k in ROW))
+        stay = stored(stay, "stay")
     return keyed.join(stay, list(ROW)).dropDuplicates(list(ROW)).select(*own.columns).toDF(*docs.columns)
 
 

@@ -187,6 +187,58 @@ def test_centres_leave_no_two_alike(spark, monkeypatch, busy, centres):
     assert all(len(a & b) / len(a | b) < 0.8 for n, a in enumerate(sets) for b in sets[n + 1 :]) and len(kept) == 3
 
 
+def left(docs, similarity):
+    """By brute force: the ids that stay."""
+    sets = {i: shingles(t) for i, t in docs}
+    enough = lambda x, y: 10 * len(x & y) >= round(10 * similarity) * len(x | y)
+    pairs = [(a, b) for a in sets for b in sets if a < b and sets[a] and enough(sets[a], sets[b])]
+    return {min(g) for g in grouped({i: slow_fp(t) for i, t in docs}, 2, pairs)}
+
+
+@pytest.mark.parametrize("similarity,busy", [(0.5, 24), (0.8, 2)])
+def test_no_link_is_left_out(spark, monkeypatch, similarity, busy):
+    """Pairs at, near and under the similarity, of few words and many, half of them with long passages that many texts have: exactly the components stay."""
+    monkeypatch.setattr(S, "BUSY", busy)
+    r = random.Random(21)
+    word = lambda: "w%d" % r.randrange(10**6)
+    passages = [[word() for _ in range(n)] for n in (40, 60, 150)]
+    docs = []
+    for i in range(260):
+        a = [word() for _ in range(r.choice((6, 14, 40, 120)))]
+        b = list(a)
+        if i % 4 == 0:
+            b += [word() for _ in range(round((len(a) - 4) * (1 / similarity - 1)) + r.randint(-1, 1))]
+        else:
+            for at in r.sample(range(len(a)), round(len(a) * (1 - similarity) / r.choice((4, 6, 9)))):
+                b[at] = word()
+        if i % 2:
+            common = r.choice(passages)
+            a, b = [*common, *a], [*common, *b] if i % 3 else [*b, *common]
+        docs += [(len(docs), " ".join(a)), (len(docs) + 1, " ".join(b)), *([(len(docs) + 2, " ".join(b).upper())] if i % 5 == 0 else [])]
+    kept = {x.doc_id for x in S.deduplicated(spark.createDataFrame(docs, "doc_id long, text string"), similarity=similarity).collect()}
+    assert kept == left(docs, similarity)
+
+
+def test_no_link_is_left_out_of_a_crowd(spark, monkeypatch):
+    """Relatives of one text with a twin each: bands with one centre lose links, which are found after."""
+    monkeypatch.setattr(S, "CENTRES", 1)
+    monkeypatch.setattr(S, "BUSY", 4)
+    r = random.Random(12)
+    word = lambda: "w%d" % r.randrange(10**6)
+    base = [word() for _ in range(200)]
+    docs = []
+    for _ in range(150):
+        t = list(base)
+        at = r.randrange(200 - 22)
+        t[at : at + 22] = [word() for _ in range(22)]
+        twin = list(t)
+        at = r.randrange(190)
+        twin[at : at + 10] = [word() for _ in range(10)]
+        docs += [(len(docs), " ".join(t)), (len(docs) + 1, " ".join(twin))]
+    kept = {x.doc_id for x in S.deduplicated(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert kept == left(docs, 0.8)
+
+
 def test_clashing_columns_in_dedup(spark):
     kind = "doc_id long, text string, _id long, _row_a long, fp long, minima string, bands int, a int"
     docs = spark.createDataFrame([(1, "a b c", 5, 1, 1, "m", 1, 1), (2, "a b c", 6, 2, 2, "m", 2, 2), (None, None, 7, 3, 3, "m", 3, 3)], kind)
