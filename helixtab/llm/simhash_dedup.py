@@ -307,22 +307,31 @@ def _first(n: int, similarity: float) -> int:
 SLICES = 4
 
 
-def _ordered(sets: DataFrame, most: Callable[[int], int]) -> DataFrame:
-    """(fp, text_key, root, n, tokens) of sets with root: each text's number of shingles and 48 bits of their hashes in order, the first most(n) of them."""
+def _ordered(sets: DataFrame, similarity: float | None = None, part: int | None = None) -> DataFrame:
+    """(fp, text_key, root, n, tokens) of sets with root: each text's number of shingles and 48 bits of their hashes in order, those of the part (of
+    SLICES, by token); with similarity only the first (see _first). Where sets has last, an array, the tokens in it come after all others.
+    """
+    late, parts = "last" in sets.columns, SLICES
 
     def run(batches):
         for b in batches:
             sizes, tokens = [], [np.zeros(0, np.int64)]
-            for high, low in zip(b["shingles"], b["low"], strict=True):
+            for i, (high, low) in enumerate(zip(b["shingles"], b["low"], strict=True)):
                 high, low = np.frombuffer(high.as_buffer(), np.uint32), np.frombuffer(low.as_buffer(), np.uint16)
-                sizes.append(len(high))
-                n = most(len(high))
-                tokens.append(high[:n].astype(np.int64) << 16 | low[:n])
+                own = high.astype(np.int64) << 16 | low
+                sizes.append(len(own))
+                if late:
+                    last = np.isin(own, b["last"][i].values.to_numpy(zero_copy_only=False))
+                    own = np.concatenate((own[~last], own[last]))
+                if similarity is not None:
+                    own = own[: _first(len(own), similarity)]
+                tokens.append(own if part is None else own[own % parts == part])
             ends = pa.array(np.cumsum([0, *map(len, tokens[1:])]), pa.int32())
             columns = [pa.array(sizes, pa.int64()), pa.ListArray.from_arrays(ends, pa.array(np.concatenate(tokens)))]
             yield pa.RecordBatch.from_arrays([*(b[k] for k in ("fp", "text_key", "root")), *columns], names=["fp", "text_key", "root", "n", "tokens"])
 
-    return in_arrow(sets.select("fp", "text_key", "root", "shingles", "low"), run, "fp long, text_key long, root long, n long, tokens array<long>")
+    kept = ["fp", "text_key", "root", "shingles", "low", *(["last"] if late else [])]
+    return in_arrow(sets.select(*kept), run, "fp long, text_key long, root long, n long, tokens array<long>")
 
 
 def missed(texts: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -331,55 +340,57 @@ def missed(texts: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     texts: fp, text_key, root, each text once; sets: see _by_text. In whatever order all shingles are put, one of the first of a text is
     among the first of each that is like it. The order is by hash, but shingles that many texts have come last, so texts with a passage in common
     meet only if such passages are most of what they hold. Where all texts that meet have one root, nothing is compared. No group is capped.
+    All tokens of whole texts are neither stored nor shuffled at once: they are made anew from sets for each part of them.
     """
+    spark = texts.sparkSession
     places = ["fp", "text_key", "root", "n"]
-    first = stored(_ordered(sets.join(texts, ["fp", "text_key"]), lambda n: _first(n, similarity)), "prefixes")
-
-    def sliced(run: Callable[[Column], DataFrame], name: str) -> DataFrame:
-        """The union of what run gives for each part of the tokens."""
-        parts = [stored(run(F.pmod("token", F.lit(SLICES)) == i), f"{name}{i}") for i in range(SLICES)]
-        out = stored(reduce(DataFrame.unionAll, parts), name)
-        dropped(*parts)
+    name = ["fp", "text_key"]
+    first = stored(_ordered(sets.join(texts, name), similarity), "prefixes")
+
+    def sliced(run: Callable[[int], DataFrame], name: str) -> DataFrame:
+        """The union of what run gives for each part of the tokens, in one folder."""
+        folder = f"{name}-{uuid.uuid4().hex}"
+        out = reduce(DataFrame.unionAll, [stored(run(i), f"{folder}/{i}") for i in range(SLICES)])
+        out.helixtab_path = f"{shared_dir(spark)}/helixtab/{folder}"
         return out
 
-    def crossing(rows: DataFrame) -> DataFrame:
+    def part(i: int) -> Column:
+        return F.pmod("token", F.lit(SLICES)) == i
+
+    def exploded(rows: DataFrame, i: int) -> DataFrame:
+        return rows.select(*places[:3], F.explode("tokens").alias("token")).where(part(i))
+
+    def whole(them: DataFrame, i: int) -> DataFrame:
+        return _ordered(sets.join(them, name), None, i).select(*places[:3], F.explode("tokens").alias("token"))
+
+    def crossing(each: DataFrame) -> DataFrame:
         """Tokens in texts of different roots, and in how many."""
-        each = rows.select("root", F.explode("tokens").alias("token"))
         counts = [F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("rows")]
-        return sliced(lambda own: each.where(own).groupBy("token").agg(*counts).where("low < high").select("token", "rows"), "crossing")
-
-    def having(rows: DataFrame, tokens: DataFrame) -> DataFrame:
-        """(text_key, token): which of those tokens are in which rows."""
-        each = rows.select("text_key", F.explode("tokens").alias("token"))
-        return sliced(lambda own: each.where(own).join(tokens.where(own), "token", "left_semi"), "having")
+        return each.groupBy("token").agg(*counts).where("low < high").select("token", "rows")
 
     def holding(tokens: DataFrame) -> DataFrame:
-        """The texts with one of those tokens among the first, with all that they have."""
-        had = having(first, tokens)
-        them = texts.join(had.select("text_key").distinct(), "text_key", "left_semi")
-        out = stored(_ordered(sets.join(them, ["fp", "text_key"]), lambda n: n), "whole")
+        """texts with one of those tokens among the first."""
+        had = sliced(lambda i: exploded(first, i).select(*name, "token").join(tokens.where(part(i)), "token", "left_semi").select(*name).distinct(), "having")
+        out = stored(texts.join(had.distinct(), name, "left_semi"), "holding")
         dropped(had)
         return out
 
-    met = crossing(first)
+    met = sliced(lambda i: crossing(exploded(first, i)), "crossing")
     busy = met.where(F.col("rows") > BUSY).select("token")
     if not busy.isEmpty():
-        whole = holding(busy)
-        counted = crossing(whole)
-        dropped(met, whole)
-        common = stored(counted.where(F.col("rows") > BUSY).select("token"), "common")
-        whole = holding(common)
-        had = having(whole, common)
-        last = had.groupBy("text_key").agg(F.collect_set("token").alias("last"))
-        order = F.concat(F.array_except("tokens", "last"), F.array_intersect("tokens", "last"))
-        size = F.expr(f"int(n - ceil({similarity!r}D * n - 1e-6D) + 1)")  # see _first
-        late = stored(whole.join(last, "text_key").select(*places, F.slice(order, F.lit(1), size).alias("tokens")), "late")
-        dropped(counted, common, whole, had)
-        before, first = first, stored(first.join(late.select("fp", "text_key"), ["fp", "text_key"], "left_anti").unionByName(late), "prefixes")
+        them = holding(busy)
+        common = sliced(lambda i: crossing(whole(them, i)).where(F.col("rows") > BUSY).select("token"), "common")
+        dropped(met, them)
+        them = holding(common)
+        had = sliced(lambda i: whole(them, i).select(*name, "token").join(common.where(part(i)), "token", "left_semi"), "having")
+        last = had.groupBy(*name).agg(F.collect_list("token").alias("last"))
+        late = stored(_ordered(sets.join(them.join(last, name), name), similarity), "late")
+        dropped(common, had, them)
+        before, first = first, stored(first.join(late.select(*name), name, "left_anti").unionByName(late), "prefixes")
         dropped(before, late)
-        met = crossing(first)
+        met = sliced(lambda i: crossing(exploded(first, i)), "crossing")
     every = first.select(*places, F.posexplode("tokens").alias("at", "token"))
-    each = sliced(lambda own: every.where(own).join(met.where(own).select("token"), "token"), "meeting")
+    each = sliced(lambda i: every.where(part(i)).join(met.where(part(i)).select("token"), "token"), "meeting")
     dropped(met, first)
     other = each.select("token", *(F.col(c).alias(f"c_{c}") for c in (*places, "at"))).withColumnRenamed("c_text_key", "c_key")
     most = F.lit(1) + F.least(F.expr("n - at - 1"), F.expr("c_n - c_at - 1"))  # in common, if this is the first token that is

@@ -1,3 +1,4 @@
+import os
 import random
 import re
 
@@ -239,6 +240,26 @@ def test_no_link_is_left_out_of_a_crowd(spark, monkeypatch):
     assert kept == left(docs, 0.8)
 
 
+def test_whole_texts_are_not_stored_again(spark, monkeypatch):
+    """Texts with a passage in common, so that all are looked at whole: no table of the step holds all their shingles (their hashes don't compress)."""
+    r = random.Random(5)
+    word = lambda: "w%d" % r.randrange(10**6)
+    passage = [word() for _ in range(300)]
+    docs = [(i, " ".join([*passage, *(word() for _ in range(400))])) for i in range(120)]
+    sizes, stored = [], S.stored
+
+    def weighed(df, name, rows=0):
+        out = stored(df, name, rows)
+        path = out.helixtab_path.removeprefix("file:")
+        sizes.append((sum(os.path.getsize(os.path.join(path, f)) for f in os.listdir(path) if f.endswith(".parquet")), name))
+        return out
+
+    monkeypatch.setattr(S, "stored", weighed)
+    kept = S.deduplicated(spark.createDataFrame(docs, "doc_id long, text string").repartition(2)).count()
+    shingle_bytes = 6 * 696 * len(docs)
+    assert kept == len(docs) and max(sizes)[0] < 0.5 * shingle_bytes, sorted(sizes)[-3:]
+
+
 def test_clashing_columns_in_dedup(spark):
     kind = "doc_id long, text string, _id long, _row_a long, fp long, minima string, bands int, a int"
     docs = spark.createDataFrame([(1, "a b c", 5, 1, 1, "m", 1, 1), (2, "a b c", 6, 2, 2, "m", 2, 2), (None, None, 7, 3, 3, "m", 3, 3)], kind)
