@@ -10,6 +10,9 @@ have subsets of all their terms besides.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,7 +37,11 @@ BETWEEN = r"[\x00-/:-`{-\x7f]+"
 
 def terms(text: Column) -> Column:
     """Distinct terms, in lower case; '' where the text begins or ends with none."""
-    return F.array_distinct(F.split(F.lower(text), BETWEEN))
+    return F.array_distinct(repeated_terms(text))
+
+
+def repeated_terms(text: Column) -> Column:
+    return F.split(F.lower(text), BETWEEN)
 
 
 def lexicon(texts: DataFrame, n: int) -> DataFrame:
@@ -43,7 +50,8 @@ def lexicon(texts: DataFrame, n: int) -> DataFrame:
     It has at most mean-distinct-terms / RAREST rows, however many documents there are: each
     of its terms is in n * RAREST documents, and all documents have n * mean terms.
     """
-    each = texts.select(F.explode(terms(F.col("text"))).alias("word")).where("word != ''")
+    # outer: Spark would first look whether there are any, by taking the text apart twice
+    each = texts.select(F.explode_outer(terms(F.col("text"))).alias("word")).where("word != ''")
     df = each.select(F.xxhash64("word").alias("term")).groupBy("term").agg(F.count("*").alias("df"))
     kept = df.where((F.col("df") >= n * RAREST) & (F.col("df") <= max(1.0, n * COMMONEST)))
     slots, first = [], 0
@@ -51,7 +59,8 @@ def lexicon(texts: DataFrame, n: int) -> DataFrame:
         part = F.pmod(F.xxhash64("term", F.lit(seed)), F.lit(parts)).cast("int")
         slots.append(F.when(part < subsets, part + first))
         first += subsets
-    return kept.select("term", F.array_compact(F.array(*slots)).alias("slots")).where(F.size("slots") > 0)
+    # no condition on slots, of which the first level gives each term one: Spark would ask it of every term of every text
+    return kept.select("term", F.array_compact(F.array(*slots)).alias("slots"))
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -82,45 +91,69 @@ def _shown(f: Column) -> Column:
 
 
 def fingerprints(texts: DataFrame, words: DataFrame) -> DataFrame:
-    """(doc, variant, kept_text, kept_edited) for texts (doc, variant, text, edited): for each of both the hashes of the lexicon's
-    subsets, -1 where one is empty; null if all are. A document without a kept term has no row.
+    """(doc, variant, few, kept_text, kept_edited) for texts (doc, variant, text, edited): for each of both the hashes of the lexicon's
+    subsets, -1 where one is empty; null if all are. A document without a kept term has no row. few: 1 if the text has at most SHORT terms, and 2 if the edited one has.
 
     Terms that both have are looked up once. words: the lexicon; it is broadcast if it is small.
     """
-    a, b = terms(F.col("text")), terms(F.col("edited"))
-    each = texts.select("doc", "variant", F.posexplode(F.array(F.array_intersect(a, b), F.array_except(a, b), F.array_except(b, a))).alias("side", "words"))
-    found = each.select("doc", "variant", "side", F.explode("words").alias("word")).select("doc", "variant", "side", F.xxhash64("word").alias("term"))
+    a, b = repeated_terms(F.col("text")), repeated_terms(F.col("edited"))
+    parted = texts.select("doc", "variant", F.array(*(f(a, b) for f in (F.array_intersect, F.array_except)), F.array_except(b, a)).alias("sides"))
+    both, *own = (F.size(F.col("sides")[i]) - F.array_contains(F.col("sides")[i], "").cast("int") for i in range(3))
+    few = ((both + own[0]) <= SHORT).cast("int") + F.lit(2) * ((both + own[1]) <= SHORT).cast("int")
+    each = parted.select("doc", "variant", few.alias("few"), F.posexplode_outer("sides").alias("side", "words"))
+    found = each.select("doc", "variant", "few", "side", F.explode("words").alias("word")).select("doc", "variant", "few", "side", F.xxhash64("word").alias("term"))
     small = words.count() <= MOST_BROADCAST
-    found = found.join(F.broadcast(words) if small else words.hint("merge"), "term").select("doc", "variant", "term", F.explode("slots").alias("slot"), "side")
+    found = found.join(F.broadcast(words) if small else words.hint("merge"), "term").select("doc", "variant", "few", "term", F.explode("slots").alias("slot"), "side")
 
     def hashed(other: int) -> Column:
         own = F.sort_array(F.collect_list(F.when(F.col("side") != other, F.col("term"))))
         return F.when(F.size(own) > 0, F.pmod(F.xxhash64(own), F.lit(1 << 4 * DIGITS)).cast("int"))
 
-    slots = found.groupBy("doc", "variant", "slot").agg(hashed(2).alias("text"), hashed(1).alias("edited"))
-    got = slots.groupBy("doc", "variant").agg(F.map_from_entries(F.collect_list(F.struct("slot", F.struct("text", "edited")))).alias("by"))
+    slots = found.groupBy("doc", "variant", "few", "slot").agg(hashed(2).alias("text"), hashed(1).alias("edited"))
+    sides = ("text", "edited")
+    got = slots.groupBy("doc", "variant", "few").agg(F.sort_array(F.collect_list(F.struct("slot", *sides))).alias("by"), *(F.max(c).alias(f"most_{c}") for c in sides))
 
     def of(side: str) -> Column:
-        every = F.transform(F.sequence(F.lit(0), F.lit(SLOTS - 1)), lambda i: F.coalesce(F.try_element_at(F.col("by"), i)[side], F.lit(-1)))
-        return F.when(F.exists(every, lambda h: h >= 0), every)
+        """The hashes in the order of slots, with -1 for slots between them and after the last."""
+        by, none = F.col("by"), F.lit(-1)
+        before = lambda i: F.coalesce(F.get(by, i - 1)["slot"], none)
+        filled = F.flatten(F.transform(by, lambda x, i: F.concat(F.array_repeat(none, x["slot"] - before(i) - 1), F.array(F.coalesce(x[side], none)))))
+        every = F.concat(filled, F.array_repeat(none, F.lit(SLOTS - 1) - F.element_at(by, -1)["slot"]))
+        return F.when(F.col(f"most_{side}").isNotNull(), every)
 
-    return got.select("doc", "variant", *[of(c).alias(f"kept_{c}") for c in ("text", "edited")])
+    return got.select("doc", "variant", "few", *[of(c).alias(f"kept_{c}") for c in sides])
 
 
-def _print(kept: Column, text: Column) -> Column:
-    """(whole, hashes) of a text, from the hashes of its kept terms' subsets (null: no kept term)."""
-    own = F.sort_array(F.transform(F.filter(terms(text), lambda w: w != ""), lambda w: F.xxhash64(w)))
+def _print(kept: Column, text: Column, few: Column) -> Column:
+    """(whole, hashes) of a text, from the hashes of its kept terms' subsets (null: no kept term); few: whether it has at most SHORT terms.
+
+    Only of a text with few terms, or no kept one, are the terms looked at again.
+    """
+    every = F.sort_array(F.transform(F.filter(terms(text), lambda w: w != ""), lambda w: F.xxhash64(w)))
 
     def dealt(own: Column) -> Column:
-        subset = lambda i: F.filter(own, lambda t: F.pmod(t, F.lit(OWN)) == i)
-        return F.transform(F.sequence(F.lit(0), F.lit(OWN - 1)), lambda i: F.when(F.exists(own, lambda t: F.pmod(t, F.lit(OWN)) == i), F.pmod(F.xxhash64(subset(i)), F.lit(1 << 4 * DIGITS)).cast("int")).otherwise(-1))
+        subsets = F.transform(F.sequence(F.lit(0), F.lit(OWN - 1)), lambda i: F.filter(own, lambda t: F.pmod(t, F.lit(OWN)) == i))
+        return F.transform(subsets, lambda s: F.when(F.size(s) > 0, F.pmod(F.xxhash64(s), F.lit(1 << 4 * DIGITS)).cast("int")).otherwise(-1))
 
-    short = F.get(F.transform(F.array(own), lambda own: F.when(kept.isNull() | (F.size(own) <= SHORT), F.struct(F.xxhash64(own).alias("all"), dealt(own).alias("hashes")))), F.lit(0))
+    own = F.get(F.transform(F.array(every), lambda own: F.struct(F.xxhash64(own).alias("all"), dealt(own).alias("hashes"))), F.lit(0))
+    short = F.when(kept.isNull() | F.coalesce(few, F.lit(True)), own)
     none = F.array_repeat(F.lit(-1), OWN)
     of = F.get(F.transform(F.array(short), lambda s: F.struct(F.coalesce(s["all"], F.lit(0)).alias("all"), F.concat(F.coalesce(kept, F.array_repeat(F.lit(-1), SLOTS)), F.coalesce(s["hashes"], none)).alias("hashes"))), F.lit(0))
     return F.get(F.transform(F.array(of), lambda x: F.struct(F.xxhash64(x["all"], x["hashes"]).alias("whole"), x["hashes"].alias("hashes"))), F.lit(0))
 
 
+@contextmanager
+def _sorted(spark: SparkSession) -> Iterator[None]:
+    """While it lasts, lists are collected in order: a document's rows are together, and hashing its many groups would end in sorting them twice."""
+    key = "spark.sql.execution.useObjectHashAggregateExec"
+    before = spark.conf.get(key, "true")
+    spark.conf.set(key, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def compare_edits(docs: DataFrame) -> DataFrame:
     """Fingerprints of texts and of edited ones, and how alike they are.
 
@@ -145,12 +178,12 @@ def compare_edits(docs: DataFrame) -> DataFrame:
     both = rows.join(starts, ["doc", "variant"]).withColumn("edited", F.concat(F.expr("left(text, length(text) - need)"), F.col("start")))
     prints = fingerprints(both, stored(lexicon(rows, n), "lexicon"))
     facts = both.select("doc", "variant", "text", "edited")
-    out = stored(
-        facts.join(prints, ["doc", "variant"], "left").select(
-            "doc", "variant", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
-            _print(F.col("kept_text"), F.col("text")).alias("p"), _print(F.col("kept_edited"), F.col("edited")).alias("e"),
-        ), "prints",
+    found = facts.join(prints, ["doc", "variant"], "left").select(
+        "doc", "variant", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+        _print(F.col("kept_text"), F.col("text"), F.col("few").isin(1, 3)).alias("p"), _print(F.col("kept_edited"), F.col("edited"), F.col("few").isin(2, 3)).alias("e"),
     )
+    with _sorted(docs.sparkSession):
+        out = stored(found, "prints")
     following = out.select("doc", "variant", F.col("p").alias("q")).join(order, ["doc", "variant"]).select(F.col("to_doc").alias("doc"), F.col("to_variant").alias("variant"), "q")
     named = out.join(following, ["doc", "variant"]).select(
         "doc", "variant", "n_chars", "edited_sha256", _shown(F.col("p")).alias("fingerprint"), _shown(F.col("e")).alias("edited_fingerprint"),

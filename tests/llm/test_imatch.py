@@ -125,3 +125,11 @@ def test_odd_tables(spark):
     same = {r.fingerprint for r in rows if r.n_chars == len(text)}
     assert len(same) == 1
     assert I.compare_edits(spark.createDataFrame([], kind)).count() == 0
+
+
+def test_lexicon_takes_texts_apart_once(spark):
+    """Spark adds conditions on what is exploded, and asks those on a term before terms are counted: either is work for every term of every text."""
+    texts = spark.range(3).selectExpr("id doc", "concat('a b ', id) text")
+    plan = I.lexicon(texts, 3)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 1
+    assert "lambdafunction" not in plan[plan.index("Aggregate") :]
