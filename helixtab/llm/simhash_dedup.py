@@ -90,7 +90,7 @@ def _of(values: list, index: str):
 
 def _stars(rows: DataFrame, key: list[str]) -> DataFrame:
     """A link from each fp to the least under its key."""
-    least = rows.groupBy(*key).agg(F.min("fp").alias("b"), F.count("*").alias("n")).where("n > 1").drop("n")
+    least = rows.groupBy(*key).agg(F.min("fp").alias("b"), F.count("*").alias("n")).where("n > 1").drop("n").hint("merge")
     return rows.join(least, key).where("fp != b").select(F.col("fp").alias("a"), "b")
 
 
@@ -104,7 +104,8 @@ def links(fps: DataFrame, distance: int = 2) -> DataFrame:
     do, those of the first kind meet again under variants of the other half with as many
     wildcards as it may differ by, and are linked to the least of them, as all that agree there
     are near; those of the second kind have their other half cut in the same way, then to
-    variants. So no group's pairs are all made, and no link between groups is lost.
+    variants. So no group's pairs are all made, and no link between groups is lost. Variants are 64-fold what Spark
+    takes them for, as it sizes tables by the files that they come from: their joins are told not to broadcast.
     """
     if not 1 <= distance <= 3:
         raise ValueError("distance must be 1, 2 or 3")
@@ -128,20 +129,20 @@ def links(fps: DataFrame, distance: int = 2) -> DataFrame:
         ids = [[j for j, x in enumerate(cross) if x[0] == i] for i in range(len(branches))]
         variants = rows.select("fp", F.explode(_of(ids, "branch")).alias("id")).select("fp", "id", F.col("fp").bitwiseAND(_of([x[1] for x in cross], "id")).alias("part"))
         variants = variants.withColumn("bit", _of([x[2] for x in cross], "id")).withColumn("side", F.expr("shiftright(fp, bit) & 1"))
-        sizes = variants.groupBy("id", "part").agg(F.count("*").alias("n"), F.sum("side").alias("ones")).where("ones > 0 and ones < n")
+        sizes = variants.groupBy("id", "part").agg(F.count("*").alias("n"), F.sum("side").alias("ones")).where("ones > 0 and ones < n").hint("merge")
         met = stored(variants.join(sizes, ["id", "part"]).withColumn("fewer", F.least("ones", F.expr("n - ones"))), f"variants{depth}")
         few = met.where(F.col("fewer") <= BUSY)
         zeros, ones = (few.where(F.col("side") == i).select("id", "part", F.col("fp").alias(c)) for i, c in enumerate("ab"))
-        found.append(zeros.join(ones, ["id", "part"]).where(near).select("a", "b"))
+        found.append(zeros.join(ones.hint("merge"), ["id", "part"]).where(near).select("a", "b"))
         many = met.where(F.col("fewer") > BUSY).select("fp", "id", "part", F.posexplode(_of([wildcards(x[3], distance - 1) for x in cross], "id")).alias("nth", "mask"))
         found.append(_stars(many.select("fp", "id", "part", "nth", F.col("fp").bitwiseAND(F.col("mask")).alias("rest")), ["id", "part", "nth", "rest"]))
 
         ids = [[j for j, x in enumerate(equal) if x[0] == i] for i in range(len(branches))]
         alike = rows.select("fp", F.explode(_of(ids, "branch")).alias("id")).select("fp", "id", F.col("fp").bitwiseAND(_of([x[1] for x in equal], "id")).alias("part"))
-        sizes = alike.groupBy("id", "part").agg(F.count("*").alias("n")).where("n > 1")
+        sizes = alike.groupBy("id", "part").agg(F.count("*").alias("n")).where("n > 1").hint("merge")
         met = stored(alike.join(sizes, ["id", "part"]), f"equal{depth}")
         few = met.where(F.col("n") <= BUSY).select("id", "part", F.col("fp").alias("a"))
-        found.append(few.join(few.withColumnRenamed("a", "b"), ["id", "part"]).where(near & F.expr("a < b")).select("a", "b"))
+        found.append(few.join(few.withColumnRenamed("a", "b").hint("merge"), ["id", "part"]).where(near & F.expr("a < b")).select("a", "b"))
         rows = met.where(F.col("n") > BUSY).select("fp", F.col("id").alias("branch"), "part")
         branches = [(x[2], x[3]) for x in equal]
     last = rows.select("fp", "branch", "part", F.posexplode(_of([wildcards(rest, distance) for _, rest in branches], "branch")).alias("nth", "mask"))

@@ -260,6 +260,22 @@ def test_whole_texts_are_not_stored_again(spark, monkeypatch):
     assert kept == len(docs) and max(sizes)[0] < 0.5 * shingle_bytes, sorted(sizes)[-3:]
 
 
+def test_variants_are_not_broadcast(spark, monkeypatch):
+    """Spark sizes tables by the files that they come from, and fingerprints are taken 64-fold: what meets under variants isn't sent to all by the driver."""
+    plans, stored = {}, S.stored
+
+    def seen(df, name, rows=0):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return stored(df, name, rows)
+
+    fps = stored(spark.createDataFrame([(i * 0x9E3779B97F4A7C15 % (1 << 64) - (1 << 63),) for i in range(200)], "fp long"), "few")
+    monkeypatch.setattr(S, "stored", seen)
+    found = S.links(fps)
+    plans["links"] = found._jdf.queryExecution().executedPlan().toString()
+    assert {"variants0", "equal0", "links"} <= set(plans)
+    assert not [name for name, plan in plans.items() if "BroadcastHashJoin" in plan]
+
+
 def test_clashing_columns_in_dedup(spark):
     kind = "doc_id long, text string, _id long, _row_a long, fp long, minima string, bands int, a int"
     docs = spark.createDataFrame([(1, "a b c", 5, 1, 1, "m", 1, 1), (2, "a b c", 6, 2, 2, "m", 2, 2), (None, None, 7, 3, 3, "m", 3, 3)], kind)
