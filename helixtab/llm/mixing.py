@@ -89,12 +89,14 @@ def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, seed: str = "mix"
     name = dict(zip(docs.columns, own.columns, strict=True))
     doc_id, source, key = F.col(name["doc_id"]), F.col(name["source"]), F.xxhash64(F.coalesce("text", F.lit("")))
     keyed = own.withColumn("key", key)
-    first = keyed.dropDuplicates([name["doc_id"], name["source"], "key"])
+    # without nulls, and the same for the join and the rows that repeat: texts are shuffled once
+    of = lambda d, s, k: [F.coalesce(d.cast("long"), F.lit(0)), d.isNull(), F.coalesce(s.cast("string"), F.lit("")), s.isNull(), k]
+    same = [f"same{i}" for i in range(5)]
     takes = mix(keyed.select(doc_id.alias("doc_id"), source.alias("source"), "text", "key"), weights, seed, carry=F.col("key"))
     takes = takes.groupBy("doc_id", "source", "carried").agg(F.sum("taken").alias("taken"), F.any_value("size").alias("size")).where("taken > 0")
-    same = doc_id.cast("long").eqNullSafe(F.col("doc_id")) & source.eqNullSafe(F.col("source")) & (F.col("key") == F.col("carried"))
+    taken = takes.select(*(c.alias(k) for c, k in zip(of(F.col("doc_id"), F.col("source"), F.col("carried")), same, strict=True)), "taken", "size")
     parts = F.filter(F.array_append(F.array_repeat(F.col("size"), F.expr("int(taken div size)")), F.expr("taken % size")), lambda n: n > 0)
-    rows = first.join(takes, same).withColumn("part", F.explode(parts))
+    rows = keyed.select("*", *(c.alias(k) for c, k in zip(of(doc_id, source, F.col("key")), same, strict=True))).join(taken, same).dropDuplicates(same).withColumn("part", F.explode(parts))
     text = F.when(F.col("part") == F.col("size"), F.col("text")).otherwise(F.array_join(F.slice(words(F.col("text")), F.lit(1), F.col("part").cast("int")), " "))
     out = rows.withColumn("text", text)
     if "n_chars" in name:

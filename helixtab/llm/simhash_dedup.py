@@ -20,7 +20,7 @@ from itertools import accumulate, combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from helixtab.llm import _hashes as H
@@ -216,10 +216,11 @@ def _banded(docs: DataFrame, size: int, words: int, keys: tuple[str, ...]) -> Da
 
 
 def _by_text(rows: DataFrame) -> tuple[str, DataFrame]:
-    """The name of a table and it: (fp, text_key, minima, shingles, low), each text once, dealt out by fp and text_key: what is joined with it moves, not the sets."""
+    """The name of a table and it: (fp, text_key, minima, shingles, low, n, no), each text once, dealt out by fp and text_key: what is joined with it moves, not the sets. n: its shingles; no: its number."""
     spark = rows.sparkSession
     n, name = int(spark.conf.get("spark.sql.shuffle.partitions")), f"helixtab_sets_{uuid.uuid4().hex}"
     own = rows.select("fp", "text_key", "minima", "shingles", "low").repartition(n, "fp", "text_key").dropDuplicates(["fp", "text_key"])
+    own = own.select("*", F.expr("octet_length(shingles) div 4").alias("n"), F.monotonically_increasing_id().alias("no"))
     path = f"{shared_dir(spark)}/helixtab/{name}"
     own.write.format("parquet").option("path", path).bucketBy(n, "fp", "text_key").saveAsTable(name)
     out = spark.table(name)
@@ -304,35 +305,117 @@ def _first(n: int, similarity: float) -> int:
     return n - math.ceil(similarity * n - 1e-6) + 1
 
 
-#: Parts, by token, in which tokens of all texts are shuffled one after the other: less lies on disks at once.
-SLICES = 4
+#: Tokens that are put in order at once, and about as many as meet in a bucket.
+BLOCK = 1 << 21
+#: Parts, by token, in which tokens of whole texts are dealt out one after the other: less lies on disks at once.
+PARTS = 2
+#: Bits of the number of a text that tell the texts of one file of sets apart.
+IN_FILE = 33
 
 
-def _ordered(sets: DataFrame, similarity: float | None = None, part: int | None = None) -> DataFrame:
-    """(fp, text_key, root, n, tokens) of sets with root: each text's number of shingles and 48 bits of their hashes in order, those of the part (of
-    SLICES, by token); with similarity only the first (see _first). Where sets has last, an array, the tokens in it come after all others.
-    """
-    late, parts = "last" in sets.columns, SLICES
+def _packed(values: np.ndarray) -> bytes:
+    """Longs byte by byte, all first bytes and so on, compressed."""
+    return pa.compress(values.astype(np.int64).view(np.uint8).reshape(-1, 8).T.tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpacked(packed: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(pa.decompress(packed, 8 * n, codec="zstd", asbytes=True), np.uint8).reshape(8, n).T.copy().view(np.int64).ravel()
+
+
+def _tokens(high: pa.Scalar, low: pa.Scalar) -> np.ndarray:
+    """48 bits of the hashes of a text's shingles, in order."""
+    return np.frombuffer(high.as_buffer(), np.uint32).astype(np.int64) << 16 | np.frombuffer(low.as_buffer(), np.uint16)
+
+
+def _prefixes(sets: DataFrame, similarity: float) -> DataFrame:
+    """(no, root_no, tokens): the first tokens (see _first) of sets with last; those whose places are in last, an array or null, come after all others."""
 
     def run(batches):
         for b in batches:
-            sizes, tokens = [], [np.zeros(0, np.int64)]
-            for i, (high, low) in enumerate(zip(b["shingles"], b["low"], strict=True)):
-                high, low = np.frombuffer(high.as_buffer(), np.uint32), np.frombuffer(low.as_buffer(), np.uint16)
-                own = high.astype(np.int64) << 16 | low
-                sizes.append(len(own))
-                if late:
-                    last = np.isin(own, b["last"][i].values.to_numpy(zero_copy_only=False))
-                    own = np.concatenate((own[~last], own[last]))
-                if similarity is not None:
-                    own = own[: _first(len(own), similarity)]
-                tokens.append(own if part is None else own[own % parts == part])
+            tokens = [np.zeros(0, np.int64)]
+            for high, low, last in zip(b["shingles"], b["low"], b["last"], strict=True):
+                own = _tokens(high, low)
+                if last.is_valid:
+                    late = np.zeros(len(own), bool)
+                    late[last.values.to_numpy(zero_copy_only=False)] = True
+                    own = np.concatenate((own[~late], own[late]))
+                tokens.append(own[: _first(len(own), similarity)])
             ends = pa.array(np.cumsum([0, *map(len, tokens[1:])]), pa.int32())
-            columns = [pa.array(sizes, pa.int64()), pa.ListArray.from_arrays(ends, pa.array(np.concatenate(tokens)))]
-            yield pa.RecordBatch.from_arrays([*(b[k] for k in ("fp", "text_key", "root")), *columns], names=["fp", "text_key", "root", "n", "tokens"])
+            yield pa.RecordBatch.from_arrays([b["no"], b["root_no"], pa.ListArray.from_arrays(ends, pa.array(np.concatenate(tokens)))], names=["no", "root_no", "tokens"])
 
-    kept = ["fp", "text_key", "root", "shingles", "low", *(["last"] if late else [])]
-    return in_arrow(sets.select(*kept), run, "fp long, text_key long, root long, n long, tokens array<long>")
+    return in_arrow(sets.select("no", "root_no", "shingles", "low", "last"), run, "no long, root_no long, tokens array<long>")
+
+
+def _meeting(rows: DataFrame, buckets: int, found: Callable, schema: str, part: int | None = None) -> DataFrame:
+    """What found gives for all texts of the same tokens. rows: no, root_no and tokens (array), or else shingles and low. part: of PARTS by token, else all.
+
+    Tokens are dealt into that many buckets. A block of texts gives each bucket its tokens in order, with the number and root of the text of each and the place there, packed: five to seven bytes for a token. found
+    gets arrays by token: where each different one begins, tokens, numbers, places, and whether its texts have different roots.
+    """
+    columns, parts = ["token", "at", "own", "root"], PARTS
+
+    def deal(batches):
+        def out():
+            each = [len(h[2]) for h in held]
+            no, root = (np.repeat(np.array([h[i] for h in held], np.int64), each) for i in (0, 1))
+            token, at = (np.concatenate([h[i] for h in held]) for i in (2, 3))
+            order = np.argsort(token % buckets << 48 | token)
+            token, no, root, at = (x[order] for x in (token, no, root, at))
+            edge = np.searchsorted(token % buckets, np.arange(buckets + 1))
+            own = no & (1 << IN_FILE) - 1
+            dealt = [(i, file, e - s, *map(_packed, (np.diff(token[s:e], prepend=0), at[s:e], own[s:e], (root - no)[s:e]))) for i, (s, e) in enumerate(zip(edge[:-1], edge[1:], strict=True)) if s < e]
+            kinds = (pa.int64(), pa.int64(), pa.int64(), *(pa.binary() for _ in columns))
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*dealt, strict=True), kinds, strict=True)], names=["bucket", "file", "n", *columns])
+
+        held, size, file = [], 0, None
+        for b in batches:
+            tokens = (x.values.to_numpy(zero_copy_only=False) for x in b["tokens"]) if "tokens" in b.schema.names else map(_tokens, b["shingles"], b["low"])
+            for no, root, own in zip(b["no"].to_pylist(), b["root_no"].to_pylist(), tokens, strict=True):
+                at = np.arange(len(own)) if part is None else np.flatnonzero(own % parts == part)
+                own = own[at]
+                if not len(own):
+                    continue
+                if held and (size + len(own) > BLOCK or no >> IN_FILE != file):
+                    yield out()
+                    held, size = [], 0
+                file = no >> IN_FILE
+                held.append((no, root, own, at))
+                size += len(own)
+        if size:
+            yield out()
+
+    def meet(table: pa.Table) -> pa.Table:
+        got = {c: [] for c in columns}
+        for i, file in enumerate(table["file"].to_pylist()):
+            token, at, own, root = (_unpacked(table[c][i].as_buffer(), table["n"][i].as_py()) for c in columns)
+            no = own | file << IN_FILE
+            for c, x in zip(columns, (np.cumsum(token), at, no, no + root), strict=True):
+                got[c].append(x)
+        token, at, no, root = (np.concatenate(got.pop(c)) for c in columns)
+        order = np.argsort(token, kind="stable")
+        token, at, no, root = (x[order] for x in (token, at, no, root))
+        begin = np.flatnonzero(np.diff(token, prepend=-1))
+        return found(begin, token, no, at, np.minimum.reduceat(root, begin) < np.maximum.reduceat(root, begin))
+
+    kept = rows.select(*(c for c in ("no", "root_no", "tokens", "shingles", "low") if c in rows.columns))
+    return in_arrow(kept, deal, "bucket long, file long, n long" + "".join(f", {c} binary" for c in columns)).groupBy("bucket").applyInArrow(meet, schema)
+
+
+def _last(sets: DataFrame, buckets: int, part: int | None = None) -> DataFrame:
+    """(no, last): the places, in each text, of tokens that more than BUSY texts have, not all of one root."""
+    busy = BUSY
+
+    def found(begin, token, no, at, crossing):
+        rows = np.diff(begin, append=len(token))
+        kept = np.repeat(crossing & (rows > busy), rows)
+        no, at = no[kept], at[kept].astype(np.int32)
+        order = np.argsort(no, kind="stable")
+        no = no[order]
+        first = np.flatnonzero(np.diff(no, prepend=-1))
+        lists = pa.ListArray.from_arrays(pa.array(np.append(first, len(no)), pa.int32()), pa.array(at[order]))
+        return pa.table({"no": pa.array(no[first]), "last": lists})
+
+    return _meeting(sets, buckets, found, "no long, last array<int>", part).groupBy("no").agg(F.flatten(F.collect_list("last")).alias("last"))
 
 
 def missed(texts: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -341,59 +424,28 @@ def missed(texts: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     texts: fp, text_key, root, each text once; sets: see _by_text. In whatever order all shingles are put, one of the first of a text is
     among the first of each that is like it. The order is by hash, but shingles that many texts have come last, so texts with a passage in common
     meet only if such passages are most of what they hold. Where all texts that meet have one root, nothing is compared. No group is capped.
-    All tokens of whole texts are neither stored nor shuffled at once: they are made anew from sets for each part of them.
+    Shingles of whole texts are neither stored nor shuffled row by row: see _meeting.
     """
-    spark = texts.sparkSession
-    places = ["fp", "text_key", "root", "n"]
     name = ["fp", "text_key"]
-    first = stored(_ordered(sets.join(texts, name), similarity), "prefixes")
-
-    def sliced(run: Callable[[int], DataFrame], name: str) -> DataFrame:
-        """The union of what run gives for each part of the tokens, in one folder."""
-        folder = f"{name}-{uuid.uuid4().hex}"
-        out = reduce(DataFrame.unionAll, [stored(run(i), f"{folder}/{i}") for i in range(SLICES)])
-        out.helixtab_path = f"{shared_dir(spark)}/helixtab/{folder}"
-        return out
-
-    def part(i: int) -> Column:
-        return F.pmod("token", F.lit(SLICES)) == i
-
-    def exploded(rows: DataFrame, i: int) -> DataFrame:
-        return rows.select(*places[:3], F.explode("tokens").alias("token")).where(part(i))
-
-    def whole(them: DataFrame, i: int) -> DataFrame:
-        return _ordered(sets.join(them, name), None, i).select(*places[:3], F.explode("tokens").alias("token"))
-
-    def crossing(each: DataFrame) -> DataFrame:
-        """Tokens in texts of different roots, and in how many."""
-        counts = [F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("rows")]
-        return each.groupBy("token").agg(*counts).where("low < high").select("token", "rows")
-
-    def holding(tokens: DataFrame) -> DataFrame:
-        """texts with one of those tokens among the first."""
-        had = sliced(lambda i: exploded(first, i).select(*name, "token").join(tokens.where(part(i)), "token", "left_semi").select(*name).distinct(), "having")
-        out = stored(texts.join(had.distinct(), name, "left_semi"), "holding")
-        dropped(had)
-        return out
-
-    met = sliced(lambda i: crossing(exploded(first, i)), "crossing")
-    busy = met.where(F.col("rows") > BUSY).select("token")
-    if not busy.isEmpty():
-        them = holding(busy)
-        common = sliced(lambda i: crossing(whole(them, i)).where(F.col("rows") > BUSY).select("token"), "common")
-        dropped(met, them)
-        them = holding(common)
-        had = sliced(lambda i: whole(them, i).select(*name, "token").join(common.where(part(i)), "token", "left_semi"), "having")
-        last = had.groupBy(*name).agg(F.collect_list("token").alias("last"))
-        late = stored(_ordered(sets.join(them.join(last, name), name), similarity), "late")
-        dropped(common, had, them)
-        before, first = first, stored(first.join(late.select(*name), name, "left_anti").unionByName(late), "prefixes")
-        dropped(before, late)
-        met = sliced(lambda i: crossing(exploded(first, i)), "crossing")
-    every = first.select(*places, F.posexplode("tokens").alias("at", "token"))
-    each = sliced(lambda i: every.where(part(i)).join(met.where(part(i)).select("token"), "token"), "meeting")
-    dropped(met, first)
-    other = each.select("token", *(F.col(c).alias(f"c_{c}") for c in (*places, "at"))).withColumnRenamed("c_text_key", "c_key")
+    known = texts.join(sets.select(*name, "no", "n"), name)
+    known = stored(known.join(known.groupBy("root").agg(F.min("no").alias("root_no")).hint("merge"), "root"), "numbered")
+    size = known.agg(F.sum("n")).first()[0] or 0
+    buckets = min(1 + size // BLOCK, 1 << 14)
+    whole = sets.select(*name, "shingles", "low").join(known.select(*name, "no", "root_no"), name)
+    late = [stored(_last(whole, buckets, i), "late") for i in range(PARTS)]
+    last = reduce(DataFrame.unionAll, late).groupBy("no").agg(F.flatten(F.collect_list("last")).alias("last"))
+    last = known.select(*name, "no").join(last.hint("merge"), "no").drop("no")
+    first = stored(_prefixes(whole.join(last.hint("merge"), name, "left"), similarity), "prefixes")
+
+    def crossing(begin, token, no, at, several):
+        kept = np.repeat(several, np.diff(begin, append=len(token)))
+        return pa.table({"token": pa.array(token[kept]), "no": pa.array(no[kept]), "at": pa.array(at[kept])})
+
+    dropped(*late)
+    met = _meeting(first, buckets, crossing, "token long, no long, at long")
+    each = stored(met.join(known.select("no", *name, "root", "n").hint("merge"), "no").drop("no"), "meeting")
+    dropped(first, known)
+    other = each.select("token", *(F.col(c).alias(f"c_{c}") for c in (*name, "root", "n", "at"))).withColumnRenamed("c_text_key", "c_key")
     most = F.lit(1) + F.least(F.expr("n - at - 1"), F.expr("c_n - c_at - 1"))  # in common, if this is the first token that is
     could = most >= F.lit(similarity) * (F.col("n") + F.col("c_n") - most) - 1e-6
     pairs = each.join(other, "token").where(F.expr("root < c_root")).where(could)

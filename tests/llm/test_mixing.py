@@ -81,3 +81,21 @@ def test_clashing_names(spark):
     for r in rows:
         assert r._key == r.taken == r.part == r.size == r.carried or r._key == 77
         assert r.doc_id is None or r._key == r.doc_id
+
+
+def test_texts_move_once(spark):
+    """Rows that repeat are found where texts met what is taken of them: of all shuffles one has texts."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        docs = spark.createDataFrame([(1, "a b", "x"), (1, "a b", "x"), (None, "c", None), (0, "c", ""), (2, None, "x")], "doc_id long, text string, source string")
+        out = M.mixed(docs)
+        plan = out._jdf.queryExecution().executedPlan().toString().split("\n")
+        texts = next(i for i, line in enumerate(plan) if "first(text" in line)
+        met = next(i for i, line in enumerate(plan) if "SortMergeJoin [same0" in line)
+        assert texts < met and not any("Exchange" in line for line in plan[texts:met])
+        rows = out.collect()
+        assert sum(len(x.text.split()) for x in rows) == 9  # of 6 words one and a half times as many
+        assert {(x.doc_id, x.source) for x in rows} == {(1, "x"), (None, None), (0, "")}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

@@ -1,6 +1,7 @@
 import os
 import random
 import re
+from collections import defaultdict
 
 import pytest
 import xxhash
@@ -276,6 +277,27 @@ def test_variants_are_not_broadcast(spark, monkeypatch):
     assert not [name for name, plan in plans.items() if "BroadcastHashJoin" in plan]
 
 
+def test_places_of_common_tokens(spark, monkeypatch):
+    """By brute force: tokens of more than BUSY texts that have different roots; and tokens of texts of different roots, whatever the blocks and buckets."""
+    monkeypatch.setattr(S, "BUSY", 3)
+    monkeypatch.setattr(S, "BLOCK", 50)
+    r = random.Random(4)
+    texts = []
+    for i in range(60):
+        no = (i % 5 << S.IN_FILE) + i
+        texts.append((no, texts[i - 10][1] if i > 10 and i % 7 == 0 else no, sorted(r.sample(range(1 << 47), 5) + r.sample(range(0, 1 << 47, 1 << 41), 12))))
+    rows = spark.createDataFrame(texts, "no long, root_no long, tokens array<long>").repartition(3)
+    holders = defaultdict(set)
+    for no, root, tokens in texts:
+        for t in tokens:
+            holders[t].add((no, root))
+    crossing = {t: x for t, x in holders.items() if len({root for _, root in x}) > 1}
+    want = {no: [i for i, t in enumerate(tokens) if t in crossing and len(crossing[t]) > 3] for no, _, tokens in texts}
+    for buckets in (1, 7):
+        got = {x.no: sorted(x.last) for x in S._last(rows, buckets).collect()}
+        assert got == {no: places for no, places in want.items() if places} and got
+
+
 def test_clashing_columns_in_dedup(spark):
     kind = "doc_id long, text string, _id long, _row_a long, fp long, minima string, bands int, a int"
     docs = spark.createDataFrame([(1, "a b c", 5, 1, 1, "m", 1, 1), (2, "a b c", 6, 2, 2, "m", 2, 2), (None, None, 7, 3, 3, "m", 3, 3)], kind)
