@@ -24,18 +24,24 @@ def at_hotspots(sv: DataFrame, hotspots: DataFrame, key: list[str], compat: bool
 def annotated(sv: DataFrame, repeats: DataFrame, key: list[str], name: str = "repeats", separator: str = "<=>", width: float = intervals.BIN) -> DataFrame:
     """sv with the names of regions (chrom with chr, start, end, name) that hold either breakpoint, first's then second's, in order of start.
 
-    The names at a place are listed once, however many breakpoints lie there. width: see overlap_join().
+    Equal regions are one, with a count, and what is listed at a place, however many breakpoints lie there, has a name once with its count: names are laid out
+    beside each row of sv at the end, so they aren't shuffled. width: see overlap_join().
     """
+    region = ["r_chrom", "r_start", "r_end", "r_name"]
     r = repeats.select(X.without_chr(F.col("chrom")).alias("r_chrom"), F.col("start").alias("r_start"), F.col("end").alias("r_end"), F.col("name").alias("r_name"))
+    r = r.where("r_name is not null").groupBy(*region).agg(F.count("*").alias("r_n"))
     side = lambda c, p: F.struct(X.without_chr(F.col(c)).alias("c"), F.col(p).alias("p"))
-    places = sv.select(F.explode(F.array(side("chrom", "pos"), side("chrom2", "end"))).alias("_at")).distinct().select("_at", "_at.c", "_at.p")
-    hits = intervals.point_join(places, r, "p", ("r_start", "r_end"), (("c", "r_chrom"),), width, deal=True)
-    names = hits.groupBy("_at").agg(F.array_compact(F.transform(F.array_sort(F.collect_list(F.struct("r_start", "r_name"))), lambda x: x["r_name"])).alias("_names"))
-    own = sv
-    for i, at in enumerate((side("chrom", "pos"), side("chrom2", "end"))):
-        own = intervals.per_position(own.withColumn("_at", at), "_at", names.withColumnRenamed("_names", f"_names{i}"), "left").drop("_at")
-    both = F.concat(*(F.coalesce(f"_names{i}", F.array().cast("array<string>")) for i in (0, 1)))
-    return own.withColumn(name, F.array_join(both, separator)).select(*sv.columns, name)
+    own = sv.withColumn("_both", F.struct(side("chrom", "pos").alias("one"), side("chrom2", "end").alias("two")))
+    spots = own.select("_both").distinct()
+    places = spots.select(F.explode(F.array("_both.one", "_both.two")).alias("_at")).distinct().select("_at", "_at.c", "_at.p")
+    hits = intervals.point_join(places, r, "p", ("r_start", "r_end"), (("c", "r_chrom"),), width, deal=True).groupBy("_at", "r_start", "r_name").agg(F.sum("r_n").cast("int").alias("r_n"))
+    names = hits.groupBy("_at").agg(F.array_sort(F.collect_list(F.struct("r_start", "r_name", "r_n"))).alias("_names"))
+    for i, c in enumerate(("one", "two")):
+        spots = intervals.per_position(spots.withColumn("_at", F.col(f"_both.{c}")), "_at", names.withColumnRenamed("_names", f"_names{i}"), "left").drop("_at")
+    none = F.array().cast(names.schema["_names"].dataType)
+    listed = intervals.per_position(own, "_both", spots)
+    text = lambda i: F.flatten(F.transform(F.coalesce(f"_names{i}", none), lambda x: F.array_repeat(x["r_name"], x["r_n"])))
+    return listed.withColumn(name, F.array_join(F.concat(text(0), text(1)), separator)).select(*sv.columns, name)
 
 
 def with_fusions(sv: DataFrame, fusions: DataFrame) -> DataFrame:
