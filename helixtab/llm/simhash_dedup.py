@@ -349,7 +349,7 @@ def _prefixes(sets: DataFrame, similarity: float) -> DataFrame:
 def _meeting(rows: DataFrame, buckets: int, found: Callable, schema: str, part: int | None = None) -> DataFrame:
     """What found gives for all texts of the same tokens. rows: no, root_no and tokens (array), or else shingles and low. part: of PARTS by token, else all.
 
-    Tokens are dealt into that many buckets. A block of texts gives each bucket its tokens in order, with the number and root of the text of each and the place there, packed: five to seven bytes for a token. found
+    Tokens are dealt into that many buckets. A block of texts gives each bucket its tokens in order, with the number and root of the text of each and the place there, packed. found
     gets arrays by token: where each different one begins, tokens, numbers, places, and whether its texts have different roots.
     """
     columns, parts = ["token", "at", "own", "root"], PARTS
